@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "quarry.plans.star_queries",
+    "quarry.plans.text_queries",
 ]
 
 
