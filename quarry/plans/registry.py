@@ -8,6 +8,7 @@ _MODULES = [
     "quarry.plans.star_queries",
     "quarry.plans.text_queries",
     "quarry.plans.search_queries",
+    "quarry.plans.vector_queries",
 ]
 
 
