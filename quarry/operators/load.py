@@ -59,10 +59,20 @@ def load_mentions(mentions: DataFrame, entities: DataFrame, created_at=None) ->
         "entity_id", "doc_id", "page_num", "context", ts.alias("created_at"))
 
 
+def first_per_filename(candidates: DataFrame) -> DataFrame:
+    """One candidate per file name: the first in (corpus, doc_id) order, as a
+    run that walks corpora in order would insert it. A partial ``min_by``
+    aggregate, so a name repeated everywhere is not sorted in one task."""
+    cols = candidates.columns
+    return (candidates.groupBy("filename")
+            .agg(F.min_by(F.struct(*cols), F.struct("corpus", "doc_id")).alias("_c"))
+            .select("_c.*"))
+
+
 def upsert_documents(candidates: DataFrame, documents: DataFrame | None = None,
                      created_at=None) -> DataFrame:
     """One row per new filename (first corpus wins), insert-or-ignore."""
-    c = candidates.dropDuplicates(["filename"])
+    c = first_per_filename(candidates)
     if documents is not None:
         c = c.join(documents.select("filename"), "filename", "left_anti")
     ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
@@ -85,11 +95,15 @@ def ingest_status(candidates: DataFrame, documents: DataFrame, first_pages: Data
     error: unreadable; otherwise ok with pages and mentions.
     """
     loaded = documents.select("filename").distinct().withColumn("_loaded", F.lit(True))
+    # a repeated file name among the candidates: all but the first are skipped
+    firsts = first_per_filename(candidates.select("doc_id", "corpus", "filename")) \
+        .select("doc_id", F.lit(True).alias("_first"))
+    candidates = candidates.join(firsts, "doc_id", "left")
     fp = first_pages.select("doc_id", F.length("text").alias("_first_len"))
     mc = mention_counts.select("doc_id", "mentions")
     j = (candidates.join(loaded, "filename", "left").join(fp, "doc_id", "left")
          .join(mc, "doc_id", "left"))
-    status = (F.when(F.col("_loaded"), F.lit("skipped"))
+    status = (F.when(F.col("_loaded") | F.col("_first").isNull(), F.lit("skipped"))
               .when(~F.coalesce(F.col("readable"), F.lit(True)), F.lit("error"))
               .when(F.coalesce(F.col("page_count"), F.lit(0)) == 0, F.lit("empty"))
               .when(F.coalesce(F.col("_first_len"), F.lit(0)) < S.SCANNED_BELOW, F.lit("scanned"))
@@ -179,3 +193,33 @@ def release_log(documents: DataFrame, mentions: DataFrame) -> DataFrame:
         (F.unix_seconds("run_date") * 1000 + seq).alias("id"), "corpus", "run_date", "docs_added",
         "entities_found",
         F.concat(F.lit("Ingestion run "), F.date_format("run_date", "yyyy-MM-dd HH:mm")).alias("notes"))
+
+
+def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame,
+                 loaded_entities: DataFrame, run_time: str, extract=None) -> dict[str, DataFrame]:
+    """The whole load run as one DAG.
+
+    ``files(doc_id, corpus, filename, file_path, page_count)``;
+    ``pages(doc_id, page_num, text)`` as extracted; ``extract(pages) ->
+    mentions(doc_id, page_num, type, name, start, context)`` (default: the
+    pattern extractor). Returns the rows to append to every table plus the
+    per-file status, the release rows and the run totals. Nothing is collected.
+    """
+    from quarry.operators.mentions import extract_mentions
+    from quarry.operators.pages import first_pages, text_based_filter
+    extract = extract or extract_mentions
+    candidates = text_based_filter(files, pages)                          # P4
+    fresh = skip_ingested(first_per_filename(candidates), loaded_documents)  # D1
+    new_docs = upsert_documents(fresh, None, run_time)                   # D4
+    new_pages = pages.join(fresh.select("doc_id"), "doc_id", "left_semi")
+    mentions = extract(new_pages)                                        # M1-M4
+    new_entities = upsert_entities(mentions, loaded_entities, run_time)  # D2
+    all_entities = loaded_entities.select("id", "name", "type").unionByName(
+        new_entities.select("id", "name", "type"))
+    new_mentions = load_mentions(mentions, all_entities, run_time)       # D3
+    counts = new_mentions.groupBy("doc_id").agg(F.count(F.lit(1)).alias("mentions"))
+    status = ingest_status(candidates.withColumn("readable", F.lit(True)), loaded_documents,
+                           first_pages(pages), counts)                   # D5
+    releases = run_release(status, files.select("corpus"), run_time)     # D6
+    return {"status": status, "documents": new_docs, "entities": new_entities,
+            "mentions": new_mentions, "releases": releases, "totals": run_totals(status)}
