@@ -15,45 +15,34 @@ from __future__ import annotations
 MIN_BYTES, MAX_BYTES = 3, 64
 
 
-def _cons(w: str, i: int) -> bool:
-    c = w[i]
-    if c in "aeiou":
-        return False
-    if c == "y":
-        return i == 0 or not _cons(w, i - 1)
-    return True
+def _cv(w: str) -> str:
+    """Consonant/vowel pattern of ``w`` ('c'/'v' per character). A prefix of
+    ``w`` has the prefix of this pattern, so it is computed once per word."""
+    out, prev_c = [], True
+    for i, ch in enumerate(w):
+        if ch in "aeiou":
+            c = False
+        elif ch == "y":
+            c = i == 0 or not prev_c
+        else:
+            c = True
+        out.append("c" if c else "v")
+        prev_c = c
+    return "".join(out)
 
 
-def _m(w: str) -> int:
-    """Measure of ``w``: the number of VC sequences in [C](VC)^m[V]."""
-    n, i, L = 0, 0, len(w)
-    while i < L and _cons(w, i):
-        i += 1
-    while i < L:
-        while i < L and not _cons(w, i):
-            i += 1
-        if i >= L:
-            break
-        while i < L and _cons(w, i):
-            i += 1
-        n += 1
-    return n
+def _m(cv: str) -> int:
+    """Measure: the number of VC sequences in [C](VC)^m[V]."""
+    return cv.count("vc")
 
 
-def _has_vowel(w: str) -> bool:
-    return any(not _cons(w, i) for i in range(len(w)))
+def _double_cons(w: str, cv: str) -> bool:
+    return len(w) >= 2 and w[-1] == w[-2] and cv[-1] == "c"
 
 
-def _double_cons(w: str) -> bool:
-    return len(w) >= 2 and w[-1] == w[-2] and _cons(w, len(w) - 1)
-
-
-def _cvc(w: str) -> bool:
+def _cvc(w: str, cv: str) -> bool:
     """*o: ends consonant-vowel-consonant, the last not w, x or y."""
-    if len(w) < 3:
-        return False
-    return (_cons(w, len(w) - 3) and not _cons(w, len(w) - 2) and _cons(w, len(w) - 1)
-            and w[-1] not in "wxy")
+    return len(w) >= 3 and cv.endswith("cvc") and w[-1] not in "wxy"
 
 
 # The suffix rules of steps 2, 3 and 4 (suffix, replacement).
@@ -74,13 +63,28 @@ STEP4 = [
 ]
 
 
+def _by_last(rules):
+    out = {}
+    for r in rules:
+        key, rep = (r, "") if isinstance(r, str) else r
+        out.setdefault(key[-1], []).append((key, rep))
+    for v in out.values():
+        v.sort(key=lambda kr: -len(kr[0]))  # longest first
+    return out
+
+
+_INDEX = {}
+
+
 def _longest(w: str, suffixes):
-    best = None
-    for s in suffixes:
-        key = s[0] if isinstance(s, tuple) else s
-        if _ends(w, key) and (best is None or len(key) > len(best[0])):
-            best = (key, s[1] if isinstance(s, tuple) else "")
-    return best
+    """The longest rule suffix that ends ``w`` (one rule per step)."""
+    idx = _INDEX.get(id(suffixes))
+    if idx is None:
+        idx = _INDEX[id(suffixes)] = _by_last(suffixes)
+    for key, rep in idx.get(w[-1:], ()):
+        if _ends(w, key):
+            return key, rep
+    return None
 
 
 def _ends(w: str, suf: str) -> bool:
@@ -98,17 +102,20 @@ def _step1ab(w: str) -> str:
     elif _ends(w, "s"):
         w = w[:-1]
     if _ends(w, "eed"):
-        if _m(w[:-3]) > 0:
+        if _m(_cv(w)[:-3]) > 0:
             w = w[:-1]
         return w
     for suf in ("ed", "ing"):
-        if _ends(w, suf) and _has_vowel(w[:-len(suf)]):
+        if _ends(w, suf):
+            cv = _cv(w)[:-len(suf)]
+            if "v" not in cv:
+                continue
             w = w[:-len(suf)]
             if w.endswith(("at", "bl", "iz")):
                 return w + "e"
-            if _double_cons(w) and w[-1] not in "lsz":
+            if _double_cons(w, cv) and w[-1] not in "lsz":
                 return w[:-1]
-            if _m(w) == 1 and _cvc(w):
+            if _m(cv) == 1 and _cvc(w, cv):
                 return w + "e"
             return w
     return w
@@ -116,23 +123,25 @@ def _step1ab(w: str) -> str:
 
 def _stem_ascii(w: str) -> str:
     w = _step1ab(w)
-    if _ends(w, "y") and _has_vowel(w[:-1]):
+    if _ends(w, "y") and "v" in _cv(w)[:-1]:
         w = w[:-1] + "i"
     for rules in (STEP2, STEP3):
         hit = _longest(w, rules)
-        if hit and _m(w[:-len(hit[0])]) > 0:
+        if hit and _m(_cv(w)[:-len(hit[0])]) > 0:
             w = w[:-len(hit[0])] + hit[1]
     hit = _longest(w, STEP4)
     if hit:
         stem = w[:-len(hit[0])]
-        if _m(stem) > 1 and (hit[0] != "ion" or stem.endswith(("s", "t"))):
+        if _m(_cv(w)[:len(stem)]) > 1 and (hit[0] != "ion" or stem.endswith(("s", "t"))):
             w = stem
     if _ends(w, "e"):
         stem = w[:-1]
-        m = _m(stem)
-        if m > 1 or (m == 1 and not _cvc(stem)):
+        cv = _cv(stem)
+        m = _m(cv)
+        if m > 1 or (m == 1 and not _cvc(stem, cv)):
             w = stem
-    if _m(w) > 1 and _double_cons(w) and w.endswith("l"):
+    cv = _cv(w)
+    if _m(cv) > 1 and _double_cons(w, cv) and w.endswith("l"):
         w = w[:-1]
     return w
 

@@ -79,8 +79,12 @@ def page_tokens(pages: DataFrame, columns: Sequence[str] = FTS_COLUMNS) -> DataF
 
 def stem_vocabulary(tokens: DataFrame) -> DataFrame:
     """(token, term) for the distinct tokens. The distinct runs map-side
-    first, so the Python step sees each word once per partition group."""
-    return tokens.select("token").distinct().withColumn("term", stem_udf("token"))
+    first, so the Python step sees each word once. The vocabulary is small
+    next to the occurrences, and AQE would coalesce it into a few tasks:
+    it is re-spread over all cores (by token) before the Python stage."""
+    n = tokens.sparkSession.sparkContext.defaultParallelism
+    return (tokens.select("token").distinct().repartition(n, "token")
+            .withColumn("term", stem_udf("token")))
 
 
 def with_terms(tokens: DataFrame, stem: bool = True) -> DataFrame:
@@ -224,7 +228,7 @@ def _candidate_pages(src: PageSource, words: list[str]) -> DataFrame:
                                   F.col("page_num").cast("string"), F.col("text")))
     cond = None
     for w in words:
-        probe = w[:max(len(w) - 2, 0)] if src.stem else w
+        probe = _probe(w, src.stem)
         if probe:
             c = hay.contains(probe)
             cond = c if cond is None else cond & c
@@ -232,6 +236,13 @@ def _candidate_pages(src: PageSource, words: list[str]) -> DataFrame:
     return p.filter(cond) if cond is not None else p
 
 
+def _probe(w: str, stem: bool) -> str:
+    """A prefix every token carrying term ``w`` starts with: the word itself,
+    or with stemming the stem minus two characters (checked over the whole
+    vocabulary of the test corpora; Porter only rewrites a word's tail)."""
+    return w[:max(len(w) - 2, 0)] if stem else w
+
+
 def _occurrences(src, words: list[tuple[str, bool]], columns) -> DataFrame:
     """Token rows (doc_id, page_num, col, pos, term) matching any of ``words``."""
     cond = None
@@ -248,7 +259,12 @@ def _occurrences(src, words: list[tuple[str, bool]], columns) -> DataFrame:
         pages = _candidate_pages(src, [w for w, _ in words])
         toks = page_tokens(pages)
         if src.stem:
-            toks = with_terms(toks, True)
+            # only tokens that can carry a wanted stem go through the stemmer
+            pre = None
+            for w, _ in words:
+                c = F.col("token").startswith(_probe(w, True))
+                pre = c if pre is None else pre | c
+            toks = with_terms(toks.filter(pre), True)
         else:
             toks = toks.withColumnRenamed("token", "term")
         t = toks.filter(cond)

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.partitioning import balance
+
 PAGE_CHARS = 2000
 TEXT_RUN_TIME = "2025-03-18 09:30:00"
 
@@ -151,7 +153,7 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extracted pages: ``substring(text, i*2000+1, 2000)``, page_num = i+1.
     Text is as extracted (not yet stripped)."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = balance(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     n = F.greatest(F.ceil(F.length("text") / PAGE_CHARS), F.lit(1)).cast("int")
     return (d.select(F.col("doc_id").cast("string").alias("doc_id"), "text",
                      F.posexplode(F.sequence(F.lit(0), n - 1)).alias("i", "_v"))
@@ -208,5 +210,5 @@ def label_centroid_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
+    p = balance(table(spark, sf_dir, "pages"), "page_id")
     return p.select(F.lit("web").alias("source"), F.col("page_id"), F.col("url"), F.col("html"))
