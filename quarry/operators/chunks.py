@@ -20,12 +20,15 @@ def chunk_text(pages: DataFrame, size: int = S.CHUNK_WORDS, overlap: int = S.CHU
     ``<doc_id>_<page_num>_<idx>``. Extra columns of ``pages`` are kept."""
     step = size - overlap
     t = py_strip(F.coalesce(F.col("text"), F.lit("")))
-    p = pages.withColumn("text", t).filter(F.length("text") > 0)
-    words = py_words(F.col("text"))
+    # the word array is its own column: Catalyst does not share a common
+    # subexpression with a lambda body, so inlining it would split per chunk
+    p = pages.withColumn("text", t).filter(F.length("text") > 0) \
+        .withColumn("_words", py_words(F.col("text")))
+    words = F.col("_words")
     n = F.size(words)
     starts = F.sequence(F.lit(0), (F.ceil(n / F.lit(float(step))) - 1).cast("int"))
     chunks = F.transform(starts, lambda i: F.array_join(F.slice(words, i * step + 1, size), " "))
-    out = p.select(*[c for c in p.columns if c != "text"],
+    out = p.select(*[c for c in p.columns if c not in ("text", "_words")],
                    F.posexplode(chunks).alias("chunk_idx", "text"))
     out = out.filter(F.length(F.trim("text")) > 0)
     return out.withColumn("chunk_id", F.concat_ws("_", "doc_id", F.col("page_num").cast("string"),

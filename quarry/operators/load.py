@@ -217,7 +217,9 @@ def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame
     all_entities = loaded_entities.select("id", "name", "type").unionByName(
         new_entities.select("id", "name", "type"))
     new_mentions = load_mentions(mentions, all_entities, run_time)       # D3
-    counts = new_mentions.groupBy("doc_id").agg(F.count(F.lit(1)).alias("mentions"))
+    # every extracted mention gets an entity (new or loaded), so the status
+    # counts come from the extraction directly, not through the entity join
+    counts = mentions.groupBy("doc_id").agg(F.count(F.lit(1)).alias("mentions"))
     status = ingest_status(candidates.withColumn("readable", F.lit(True)), loaded_documents,
                            first_pages(pages), counts)                   # D5
     releases = run_release(status, files.select("corpus"), run_time)     # D6

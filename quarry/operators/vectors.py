@@ -206,9 +206,23 @@ class HashingEmbedder:
         self.model = IDF(inputCol="_tf", outputCol="_tfidf").fit(self._tf(chunks, text_col))
         return self
 
-    def transform(self, df: DataFrame, text_col: str = "text", out_col: str = "embedding") -> DataFrame:
+    def _finish(self, tf: DataFrame, out_col: str) -> DataFrame:
         from pyspark.ml.feature import Normalizer
         from pyspark.ml.functions import vector_to_array
-        x = self.model.transform(self._tf(df, text_col))
-        x = Normalizer(inputCol="_tfidf", outputCol="_n", p=2.0).transform(x)
+        x = Normalizer(inputCol="_tfidf", outputCol="_n", p=2.0).transform(self.model.transform(tf))
         return x.withColumn(out_col, vector_to_array("_n", "float32")).drop("_tok", "_tf", "_tfidf", "_n")
+
+    def transform(self, df: DataFrame, text_col: str = "text", out_col: str = "embedding") -> DataFrame:
+        return self._finish(self._tf(df, text_col), out_col)
+
+    def fit_transform(self, chunks: DataFrame, text_col: str = "text",
+                      out_col: str = "embedding") -> DataFrame:
+        """Fit and embed with one pass over the text: term frequencies are
+        written once (a reliable checkpoint in the session's shared
+        checkpoint folder), then IDF is fitted on and applied to them."""
+        from pyspark.ml.feature import IDF
+        from quarry.session import checkpoint_dir
+        checkpoint_dir(chunks.sparkSession)
+        tf = self._tf(chunks, text_col).drop("_tok").checkpoint(eager=True)
+        self.model = IDF(inputCol="_tf", outputCol="_tfidf").fit(tf)
+        return self._finish(tf, out_col)

@@ -143,8 +143,7 @@ def _text_chunks(spark, sf):
 @register("embed_chunks")
 def embed_chunks(spark, sf):
     """V4: default embedder (hashing TF, corpus IDF, L2 norm) over all chunks."""
-    ch = _text_chunks(spark, sf)
-    emb = V.HashingEmbedder().fit(ch).transform(ch)
+    emb = V.HashingEmbedder().fit_transform(_text_chunks(spark, sf))
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
     return emb.select("chunk_id", F.size("embedding").alias("dim"), F.round(norm, 3).alias("norm"))
 
@@ -152,9 +151,8 @@ def embed_chunks(spark, sf):
 @register("ask_batch")
 def ask_batch(spark, sf):
     """V14 (+V13): the benchmark passages asked against all text chunks."""
-    ch = _text_chunks(spark, sf)
-    model = V.HashingEmbedder().fit(ch)
-    chunks = model.transform(ch)
+    model = V.HashingEmbedder()
+    chunks = model.fit_transform(_text_chunks(spark, sf))
     qs = fx.questions_from_benchmark(spark, sf)
     out = A.ask_batch(chunks, qs, embed=lambda q: model.transform(q, text_col="question"))
     return out.select("question_id", F.size("citations").alias("n_citations"),

@@ -150,22 +150,30 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def text_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def text_pages(spark: SparkSession, sf_dir: str, with_document: bool = False) -> DataFrame:
     """Extracted pages: ``substring(text, i*2000+1, 2000)``, page_num = i+1.
-    Text is as extracted (not yet stripped)."""
-    d = balance(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    Text is as extracted (not yet stripped). ``with_document`` adds the
+    document attributes the load path carries (corpus, filename, file_path),
+    derived from the same scan rather than joined back."""
+    cols = ["doc_id", "text"] + (["source"] if with_document else [])
+    d = balance(table(spark, sf_dir, "documents").select(*cols), "doc_id")
     n = F.greatest(F.ceil(F.length("text") / PAGE_CHARS), F.lit(1)).cast("int")
-    return (d.select(F.col("doc_id").cast("string").alias("doc_id"), "text",
+    extra = []
+    if with_document:
+        extra = [F.col("source").alias("corpus"),
+                 F.concat(F.lit("doc-"), F.col("doc_id"), F.lit(".pdf")).alias("filename"),
+                 F.concat(F.lit("/data/"), F.col("source"), F.lit("/doc-"), F.col("doc_id"),
+                          F.lit(".pdf")).alias("file_path")]
+    return (d.select(F.col("doc_id").cast("string").alias("doc_id"), "text", *extra,
                      F.posexplode(F.sequence(F.lit(0), n - 1)).alias("i", "_v"))
             .select("doc_id", (F.col("i") + 1).alias("page_num"),
-                    F.substring(F.col("text"), F.col("i") * PAGE_CHARS + 1, PAGE_CHARS).alias("text")))
+                    F.substring(F.col("text"), F.col("i") * PAGE_CHARS + 1, PAGE_CHARS).alias("text"),
+                    *[c for c in ("corpus", "filename", "file_path") if with_document]))
 
 
 def text_corpus_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the document attributes the load path carries."""
-    docs = text_documents(spark, sf_dir).select(F.col("id").alias("doc_id"), "corpus", "filename",
-                                                "file_path")
-    return text_pages(spark, sf_dir).join(docs, "doc_id")
+    return text_pages(spark, sf_dir, with_document=True)
 
 
 def questions_from_benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
