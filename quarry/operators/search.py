@@ -72,9 +72,12 @@ def page_tokens(pages: DataFrame, columns: Sequence[str] = FTS_COLUMNS) -> DataF
     columns; positions count tokens per column from 0."""
     arr = F.array(*[F.struct(F.lit(c).alias("col"), fts_tokens(F.col(c).cast("string")).alias("toks"))
                     for c in columns])
-    x = pages.select(*PAGE_KEY, F.explode(arr).alias("c"))
-    return x.select(*PAGE_KEY, F.col("c.col").alias("col"),
-                    F.posexplode("c.toks").alias("pos", "token"))
+    # ``col`` is its own column before the token explode: otherwise every
+    # token row would keep the struct -- and with it the column's whole
+    # token array -- alive for the operators above
+    x = pages.select(*PAGE_KEY, F.explode(arr).alias("c")) \
+        .select(*PAGE_KEY, F.col("c.col").alias("col"), F.col("c.toks").alias("toks"))
+    return x.select(*PAGE_KEY, "col", F.posexplode("toks").alias("pos", "token"))
 
 
 def stem_vocabulary(tokens: DataFrame) -> DataFrame:
@@ -87,11 +90,35 @@ def stem_vocabulary(tokens: DataFrame) -> DataFrame:
             .withColumn("term", stem_udf("token")))
 
 
+_STEM_CACHE: dict = {}
+_STEM_CACHE_MAX = 1_000_000
+
+
+def _stem_cached(t: str) -> str:
+    r = _STEM_CACHE.get(t)
+    if r is None:
+        if len(_STEM_CACHE) >= _STEM_CACHE_MAX:
+            _STEM_CACHE.clear()
+        r = _STEM_CACHE[t] = _stem(t)
+    return r
+
+
+@F.pandas_udf(T.StringType())
+def stem_tokens_udf(s: pd.Series) -> pd.Series:
+    """Stem token occurrences: each Arrow batch stems its distinct words once,
+    through a bounded per-task cache (word frequencies are Zipfian, so most
+    occurrences are cache hits)."""
+    uniq = pd.unique(s)
+    return s.map({t: _stem_cached(t) for t in uniq})
+
+
 def with_terms(tokens: DataFrame, stem: bool = True) -> DataFrame:
+    """``token`` -> ``term`` (Porter stem when ``stem``). Stemming is a narrow
+    Arrow step on the occurrences: no join back to a vocabulary, so no
+    shuffle and nothing whose size would need to be bounded for a broadcast."""
     if not stem:
         return tokens.withColumnRenamed("token", "term")
-    vocab = stem_vocabulary(tokens)
-    return tokens.join(vocab, "token").drop("token")
+    return tokens.withColumn("term", stem_tokens_udf("token")).drop("token")
 
 
 def index_pages(pages: DataFrame) -> DataFrame:
