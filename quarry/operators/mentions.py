@@ -72,14 +72,19 @@ def extract_mentions(pages: DataFrame, patterns: Sequence[tuple[str, str]] = DEF
         spans = F.concat(*[_spans(capped, ty, rx) for ty, rx in keep]) if len(keep) > 1 \
             else _spans(capped, *keep[0])
     extra = [c for c in p.columns if c not in ("text",)]
-    x = p.select(*extra, "text", F.explode(spans).alias("s"))
-    st = F.col("s.start")
-    en = st + F.length("s.span")
-    lo = F.greatest(F.lit(0), st - S.MENTION_CONTEXT)
-    hi = F.least(F.length("text"), en + S.MENTION_CONTEXT)
-    ctx = py_strip(F.replace(F.substring(F.col("text"), lo + 1, hi - lo), F.lit("\n"), F.lit(" ")))
-    out = x.select(*extra, F.col("s.type").alias("type"), py_strip("s.span").alias("name"),
-                   st.alias("start"), ctx.alias("context"))
+    text = F.col("text")
+
+    def finish(s):
+        # name and context are made inside the page row, so the exploded
+        # mention rows do not each carry a copy of the page text
+        st = s["start"]
+        lo = F.greatest(F.lit(0), st - S.MENTION_CONTEXT)
+        hi = F.least(F.length(text), st + F.length(s["span"]) + S.MENTION_CONTEXT)
+        ctx = py_strip(F.replace(F.substring(text, lo + 1, hi - lo), F.lit("\n"), F.lit(" ")))
+        return F.struct(s["type"].alias("type"), py_strip(s["span"]).alias("name"),
+                        st.alias("start"), ctx.alias("context"))
+    x = p.select(*extra, F.explode(F.transform(spans, finish)).alias("s"))
+    out = x.select(*extra, "s.type", "s.name", "s.start", "s.context")
     return out.filter(F.length("name") >= S.MENTION_MIN_LENGTH)
 
 
