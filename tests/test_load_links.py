@@ -38,16 +38,16 @@ def test_second_run_adds_nothing(spark):
 
 
 def test_same_filename_in_two_corpora(spark):
-    files = spark.createDataFrame([("a1", "jfk", "x.pdf", "/a/x.pdf", 1), ("b1", "epstein", "x.pdf", "/b/x.pdf", 1)],
+    files = spark.createDataFrame([("a1", "alpha", "x.pdf", "/a/x.pdf", 1), ("b1", "beta", "x.pdf", "/b/x.pdf", 1)],
                                   "doc_id string, corpus string, filename string, file_path string, page_count int")
     pages = spark.createDataFrame([("a1", 1, "A" * 60 + " Alice"), ("b1", 1, "B" * 60 + " Bobby")],
                                   "doc_id string, page_num int, text string")
     run = D.ingest_batch(files, pages, spark.createDataFrame([], "id string, filename string"),
                          spark.createDataFrame([], "id long, name string, type string, created_at timestamp"), RUN)
     docs = run["documents"].collect()
-    assert [(d.id, d.corpus) for d in docs] == [("b1", "epstein")]  # first in corpus order
+    assert [(d.id, d.corpus) for d in docs] == [("a1", "alpha")]  # first in corpus order
     st = {r.doc_id: r.status for r in run["status"].collect()}
-    assert st == {"a1": "skipped", "b1": "ok"}
+    assert st == {"a1": "ok", "b1": "skipped"}
 
 
 def test_new_chunks_twice(spark):
@@ -69,7 +69,7 @@ def test_plan_downloads_with_manifest_and_listing(spark):
     assert got == {(1, 0): "fetch", (1, 1): "skip", (2, 0): "skip", (2, 1): "fetch", (3, 0): "skip"}
     c = L.harvest_counts(plan).first()
     assert (c.found, c.to_fetch, c.skipped) == (5, 2, 3)
-    rows = L.manifest_rows(plan, "jfk", "2025-01-02").collect()
+    rows = L.manifest_rows(plan, "alpha", "2025-01-02").collect()
     assert sorted(r.filename for r in rows) == ["a.pdf", "c.pdf"]
 
 

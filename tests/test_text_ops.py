@@ -49,13 +49,13 @@ def test_strip_and_words(spark):
 
 
 @pytest.mark.parametrize("q,expected", [
-    ("epstein", {"Epstein", "EPSTEIN"}), ("école", {"école"}), ("%", {"100%", "Epstein", "EPSTEIN",
+    ("smithers", {"Smithers", "SMITHERS"}), ("école", {"école"}), ("%", {"100%", "Smithers", "SMITHERS",
                                                                       "École", "école", "a_b", "a\\b"}),
-    ("_", {"100%", "Epstein", "EPSTEIN", "École", "école", "a_b", "a\\b"}), ("\\", {"a\\b"}),
+    ("_", {"100%", "Smithers", "SMITHERS", "École", "école", "a_b", "a\\b"}), ("\\", {"a\\b"}),
     ("0%", {"100%"}), ("a_b", {"a_b", "a\\b"}),
 ])
 def test_like_semantics(spark, q, expected):
-    names = ["Epstein", "EPSTEIN", "École", "école", "100%", "a_b", "a\\b"]
+    names = ["Smithers", "SMITHERS", "École", "école", "100%", "a_b", "a\\b"]
     df = spark.createDataFrame([(n,) for n in names], "name string")
     got = {r.name for r in df.filter(name_contains(F.col("name"), q)).collect()}
     assert got == expected

@@ -67,20 +67,20 @@ def test_ask_batch_no_hits(spark):
 
 
 def test_scan_corpora_and_manifest(spark, tmpdir_fresh):
-    for corpus in ("jfk", "epstein"):
+    for corpus in ("alpha", "beta"):
         os.makedirs(f"{tmpdir_fresh}/{corpus}/sub")
         for name, data in (("a.pdf", b"%PDF-1.4 x"), ("b.PDF", b"%PDF-1.4"), ("c.pdf", b"<html>")):
             with open(f"{tmpdir_fresh}/{corpus}/{name}", "wb") as f:
                 f.write(data)
         with open(f"{tmpdir_fresh}/{corpus}/sub/d.pdf", "wb") as f:
             f.write(b"%PDF-")
-    files = IO.scan_corpora(spark, {c: f"{tmpdir_fresh}/{c}" for c in ("jfk", "epstein")}, with_content=True)
+    files = IO.scan_corpora(spark, {c: f"{tmpdir_fresh}/{c}" for c in ("alpha", "beta")}, with_content=True)
     got = sorted((r.corpus, r.filename) for r in files.collect())
-    assert got == [("epstein", "a.pdf"), ("epstein", "c.pdf"), ("jfk", "a.pdf"), ("jfk", "c.pdf")]
+    assert got == [("alpha", "a.pdf"), ("alpha", "c.pdf"), ("beta", "a.pdf"), ("beta", "c.pdf")]
     gate = {(r.corpus, r.filename): r.is_pdf for r in IO.pdf_gate(files).collect()}
-    assert gate[("jfk", "a.pdf")] and not gate[("jfk", "c.pdf")]
+    assert gate[("alpha", "a.pdf")] and not gate[("alpha", "c.pdf")]
     man = f"{tmpdir_fresh}/manifest"
-    rows = spark.createDataFrame([("jfk", "a.pdf", "https://x/a.pdf", None, 0)],
+    rows = spark.createDataFrame([("alpha", "a.pdf", "https://x/a.pdf", None, 0)],
                                  "corpus string, filename string, url string, fetched date, page_count int")
     IO.append_manifest(rows, man)
     IO.append_manifest(rows.withColumn("filename", F.lit("b.pdf")), man)
