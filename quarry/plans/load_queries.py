@@ -218,3 +218,31 @@ def integrity_audit(spark, sf):
     """D8 over the star tables."""
     return D.integrity_audit(fx.star_documents(spark, sf), fx.star_entities(spark, sf),
                              fx.star_mentions(spark, sf), fx.star_redactions(spark, sf))
+
+
+# -- streaming ---------------------------------------------------------------
+
+@register("stream_ingest")
+def stream_ingest(spark, sf):
+    """T1+T2: the text documents dropped as input files in two waves -- first
+    the labelled documents, then all of them (so the second repeats every file
+    name of the first) -- ingested by two ``availableNow`` runs of the
+    streaming load; the result is the release log of both runs.
+    Input, store and checkpoint live under the session's checkpoint folder."""
+    import uuid
+
+    from quarry.session import checkpoint_dir
+    from quarry.streaming.ingest import raw_input_from_pages, read_store
+    from quarry.streaming.ingest import stream_ingest as run
+
+    root = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    files = fx.text_documents(spark, sf).select(F.col("id").alias("doc_id"), "corpus", "filename",
+                                                "file_path")
+    raw = raw_input_from_pages(fx.text_pages(spark, sf), files)
+    lab = fx.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("doc_id"))
+    raw.join(lab, "doc_id", "left_semi").write.parquet(f"{root}/src/wave=1")
+    run(spark, f"{root}/src", f"{root}/store", checkpoint=f"{root}/ckpt").awaitTermination()
+    raw.write.parquet(f"{root}/src/wave=2")                   # everything again: repeats + new
+    run(spark, f"{root}/src", f"{root}/store", checkpoint=f"{root}/ckpt").awaitTermination()
+    return read_store(spark, f"{root}/store", "releases").select(
+        "batch_id", "corpus", "docs_added", "entities_found")

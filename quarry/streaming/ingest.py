@@ -37,10 +37,10 @@ RAW_INPUT = T.StructType([
 TABLES = ("documents", "entities", "mentions", "releases", "status")
 
 
-def _table(spark: SparkSession, store: str, name: str, schema: T.StructType,
-           before_batch: int | None = None) -> DataFrame:
-    s = T.StructType(list(schema.fields) + [T.StructField("batch_id", T.LongType())])
-    df = spark.read.schema(s).parquet(f"{store}/{name}")
+def _table(spark: SparkSession, store: str, name: str, before_batch: int | None = None) -> DataFrame:
+    """A store table with ``batch_id`` from partition discovery; the empty
+    ``batch_id=-1`` partition written at creation carries the schema."""
+    df = spark.read.parquet(f"{store}/{name}").filter(F.col("batch_id") >= 0)
     if before_batch is not None:
         df = df.filter(F.col("batch_id") < before_batch)
     return df
@@ -50,9 +50,7 @@ def _ensure_tables(spark: SparkSession, store: str, schemas: dict[str, T.StructT
     for name, schema in schemas.items():
         path = f"{store}/{name}"
         if not _exists(spark, path):
-            spark.createDataFrame([], T.StructType(list(schema.fields)
-                                                   + [T.StructField("batch_id", T.LongType())])) \
-                .write.mode("append").partitionBy("batch_id").parquet(path)
+            spark.createDataFrame([], schema).coalesce(1).write.parquet(f"{path}/batch_id=-1")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -98,19 +96,27 @@ def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ing
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
+        held = [batch]
+
+        def extract_once(pages):
+            # the extracted mentions feed entities, mentions and status:
+            # computed once per micro-batch
+            from quarry.operators.mentions import extract_mentions
+            m = (extract or extract_mentions)(pages).persist()
+            held.append(m)
+            return m
         try:
             run_time = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-            docs = _table(spark, store, "documents", schemas["documents"], batch_id) \
-                .select("id", "filename")
-            ents = _table(spark, store, "entities", schemas["entities"], batch_id) \
-                .select("id", "name", "type", "created_at")
-            out = _run_batch(spark, batch, docs, ents, run_time, extract)
+            docs = _table(spark, store, "documents", batch_id).select("id", "filename")
+            ents = _table(spark, store, "entities", batch_id).select("id", "name", "type", "created_at")
+            out = _run_batch(spark, batch, docs, ents, run_time, extract_once)
             for t in TABLES:
                 (out[t].withColumn("batch_id", F.lit(batch_id).cast("long")).write
                  .mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(f"{store}/{t}"))
         finally:
-            batch.unpersist()
+            for h in held:
+                h.unpersist()
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt) \
         .queryName(name)
@@ -120,7 +126,7 @@ def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ing
 
 def read_store(spark: SparkSession, store: str, table: str) -> DataFrame:
     """A table of the store across all batches."""
-    return _table(spark, store, table, _schemas(spark)[table])
+    return _table(spark, store, table)
 
 
 def raw_input_from_pages(pages: DataFrame, files: DataFrame) -> DataFrame:
