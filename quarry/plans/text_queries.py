@@ -212,3 +212,15 @@ def distinct_entities_preview(spark, sf):
 SELECT doc_id, count(*) AS mentions FROM mentions GROUP BY doc_id""")
 def mention_count_report(spark, sf):
     return M.mention_count_report(M.extract_mentions(fx.text_pages(spark, sf)))
+
+
+@register("explode_pages", with_(TEXT_PAGES, _STRIPPED) + """
+SELECT doc_id, page_num, CAST(length(t) AS INTEGER) AS n_chars, md5(t) AS text_md5 FROM stripped""")
+def explode_pages(spark, sf):
+    """I4 then P1: pages nested into raw-document records, exploded back to one
+    stripped page per row, numbered from 1 by position."""
+    pages = P.page_facts(fx.text_pages(spark, sf)).withColumn("redaction_count", F.lit(0)) \
+        .withColumn("estimated_chars_redacted", F.lit(0))
+    raw = P.nest_pages(pages, fx.text_documents(spark, sf))
+    return P.explode_pages(raw).select("doc_id", "page_num", F.length("text").alias("n_chars"),
+                                       F.md5("text").alias("text_md5"))
