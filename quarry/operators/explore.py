@@ -67,21 +67,47 @@ def document_redactions(redactions: DataFrame, doc_id: str | None = None) -> Dat
         .orderBy("doc_id", "page_num")
 
 
-def document_pages(raw_docs: DataFrame, doc_id: str | None = None) -> DataFrame:
-    """Q6: nested page list; a document without a raw record gets []."""
-    r = raw_docs if doc_id is None else raw_docs.filter(F.col("doc_id") == doc_id)
-    return r.select("doc_id", F.coalesce(F.col("pages"), F.array().cast(S.RAW_DOCS["pages"].dataType))
-                    .alias("pages"))
+def document_pages(raw_docs: DataFrame, doc_id: str) -> DataFrame:
+    """Q6: the page list of one document (its records' blocks in order); a
+    document without a raw record gives no row (the caller's ``[]``)."""
+    r = raw_docs.filter(F.col("doc_id") == doc_id)
+    return (r.groupBy("doc_id")
+            .agg(F.array_sort(F.collect_list(F.struct("block", "pages"))).alias("_b"))
+            .select("doc_id", F.flatten(F.transform("_b", lambda b: b["pages"])).alias("pages")))
+
+
+def document_page_stats(raw_docs: DataFrame) -> DataFrame:
+    """Q6 in bulk, without collecting any document's pages: page count,
+    words and an order-independent digest per document (partial aggregates)."""
+    from quarry.operators.pages import explode_pages, page_digest
+    p = explode_pages(raw_docs)
+    return p.groupBy("doc_id").agg(
+        F.count(F.lit(1)).cast("int").alias("page_count"),
+        F.sum("word_count").cast("long").alias("total_words"),
+        F.sum(page_digest(F.col("page_num"), F.col("text"))).alias("pages_digest"))
+
+
+def document_record(documents: DataFrame, mentions: DataFrame, entities: DataFrame,
+                    redactions: DataFrame, raw_docs: DataFrame, doc_id: str,
+                    k: int = S.DOC_TOP_ENTITIES) -> dict[str, DataFrame]:
+    """Q7 for one document, as the reference answers it: the document row,
+    its top entities, its redacted pages in page order and its page list."""
+    return {"document": get_document(documents, doc_id),
+            "entities": document_entities(mentions, entities, doc_id, k),
+            "redactions": document_redactions(redactions, doc_id),
+            "pages": document_pages(raw_docs, doc_id)}
 
 
 def document_profile(documents: DataFrame, mentions: DataFrame, entities: DataFrame,
                      redactions: DataFrame, raw_docs: DataFrame | None = None,
                      k: int = S.DOC_TOP_ENTITIES) -> DataFrame:
-    """Q7: Q3-Q6 as one record per document (bulk).
+    """Q7 for every document in one job: one row per document with its top-k
+    entities (a list bounded by k) and redaction / page aggregates.
 
-    Children are grouped per document first (bounded: k entities, one row per
-    redacted page) and left-joined, so each document costs one row per side.
-    """
+    Nothing unbounded is collected per document: the per-page redaction list
+    of Q5 stays a flat table (``document_redactions``), summarised here by
+    partial aggregates, so a document with a huge page count costs no more
+    memory than any other."""
     ents = (document_entities(mentions, entities, None, k)
             .groupBy("doc_id")
             .agg(F.array_sort(F.collect_list(F.struct(
@@ -89,17 +115,18 @@ def document_profile(documents: DataFrame, mentions: DataFrame, entities: DataFr
             .select("doc_id", F.transform("_e", lambda x: F.struct(
                 x["name"].alias("name"), x["type"].alias("type"),
                 x["mentions"].alias("mentions"))).alias("entities")))
-    reds = (redactions.groupBy("doc_id")
-            .agg(F.array_sort(F.collect_list(F.struct("page_num", "redaction_count",
-                                                      "estimated_chars"))).alias("redactions")))
+    reds = redactions.groupBy("doc_id").agg(
+        F.count(F.lit(1)).cast("int").alias("redacted_pages"),
+        F.sum("redaction_count").cast("long").alias("total_redactions"),
+        F.sum("estimated_chars").cast("long").alias("total_chars"))
     out = (documents.join(ents, documents["id"] == ents["doc_id"], "left").drop("doc_id")
            .join(reds, documents["id"] == reds["doc_id"], "left").drop("doc_id"))
-    out = out.withColumn("entities", F.coalesce("entities", F.array().cast(ents.schema["entities"].dataType))) \
-        .withColumn("redactions", F.coalesce("redactions", F.array().cast(reds.schema["redactions"].dataType)))
+    out = out.withColumn("entities", F.coalesce("entities", F.array().cast(ents.schema["entities"].dataType)))
+    for c in ("redacted_pages", "total_redactions", "total_chars"):
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0).cast(reds.schema[c].dataType)))
     if raw_docs is not None:
-        p = document_pages(raw_docs)
-        out = out.join(p, out["id"] == p["doc_id"], "left").drop("doc_id") \
-            .withColumn("pages", F.coalesce("pages", F.array().cast(S.RAW_DOCS["pages"].dataType)))
+        st = document_page_stats(raw_docs).withColumnRenamed("page_count", "stored_pages")
+        out = out.join(st, out["id"] == st["doc_id"], "left").drop("doc_id")
     return out
 
 

@@ -14,10 +14,14 @@ from quarry.functions.text import py_strip, py_word_count
 
 
 def explode_pages(raw_docs: DataFrame) -> DataFrame:
-    """Nested document -> one row per page, numbered from 1, text stripped."""
-    return (raw_docs.select("doc_id", F.posexplode("pages").alias("_pos", "_p"))
-            .select("doc_id", (F.col("_pos") + 1).alias("page_num"),
-                    py_strip(F.col("_p.text")).alias("text")))
+    """Nested document records -> one row per page (page_num from 1, as
+    stored), text stripped, with the page's facts."""
+    return (raw_docs.select("doc_id", F.explode("pages").alias("_p"))
+            .select("doc_id", F.col("_p.page_num").alias("page_num"),
+                    py_strip(F.col("_p.text")).alias("text"),
+                    F.col("_p.redaction_count").alias("redaction_count"),
+                    F.col("_p.estimated_chars_redacted").alias("estimated_chars_redacted"),
+                    F.col("_p.word_count").alias("word_count")))
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
@@ -89,16 +93,32 @@ def document_totals(page_rows: DataFrame) -> DataFrame:
         F.coalesce(F.sum("redaction_count"), F.lit(0)).cast("long").alias("total_redactions"))
 
 
-def nest_pages(pages: DataFrame, docs: DataFrame) -> DataFrame:
-    """I4: the nested raw-document record: document attributes + page list in
+RAW_BLOCK_PAGES = 256
+
+
+def nest_pages(pages: DataFrame, docs: DataFrame, block_pages: int = RAW_BLOCK_PAGES) -> DataFrame:
+    """I4: nested raw-document records: document attributes + a page list in
     page order. ``pages`` has doc_id, page_num, text, redaction_count,
-    estimated_chars_redacted, word_count. The page list of one document is one
-    record by definition of the format, so its size is the document's size."""
-    per = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(
+    estimated_chars_redacted, word_count.
+
+    A document's pages are cut into blocks of at most ``block_pages`` pages
+    (one record per block, ``block`` from 0), so no record -- and no group
+    collected by one task -- grows with the size of a document; an ordinary
+    document is a single record. ``page_count`` is the document's total."""
+    block = F.floor((F.col("page_num") - 1) / block_pages).cast("int")
+    per = pages.groupBy("doc_id", block.alias("block")).agg(F.array_sort(F.collect_list(F.struct(
         F.col("page_num").cast("int").alias("page_num"), "text",
         F.col("redaction_count").cast("int").alias("redaction_count"),
         F.col("estimated_chars_redacted").cast("int").alias("estimated_chars_redacted"),
         F.col("word_count").cast("int").alias("word_count")))).alias("pages"))
+    counts = pages.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("page_count"))
     d = docs.select(F.col("id").alias("doc_id"), "corpus", "filename", "file_path")
-    return d.join(per, "doc_id").select("doc_id", "corpus", "filename", "file_path",
-                                        F.size("pages").alias("page_count"), "pages")
+    return (d.join(counts, "doc_id").join(per, "doc_id")
+            .select("doc_id", "corpus", "filename", "file_path", "page_count", "block", "pages"))
+
+
+def page_digest(page_num, text):
+    """48-bit page digest (md5 of ``page_num:text``); summed per document it
+    gives an order-independent fingerprint without collecting the pages."""
+    h = F.md5(F.concat_ws(":", page_num.cast("string"), text))
+    return F.conv(F.substring(h, 1, 12), 16, 10).cast("long")

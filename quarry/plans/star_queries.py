@@ -81,7 +81,7 @@ SELECT d.id, d.corpus, d.filename, p.page_count,
        coalesce(e.entities_text, '') AS entities_text,
        CAST(coalesce(r.redacted_pages, 0) AS INTEGER) AS redacted_pages,
        CAST(coalesce(r.total_redactions, 0) AS BIGINT) AS total_redactions,
-       coalesce(r.redactions_text, '') AS redactions_text
+       CAST(coalesce(r.total_chars, 0) AS BIGINT) AS total_chars
 FROM star_documents d
 JOIN star_page_count p ON p.ok = d.ok
 LEFT JOIN (SELECT doc_id, count(*) AS n_entities,
@@ -89,26 +89,21 @@ LEFT JOIN (SELECT doc_id, count(*) AS n_entities,
                              ORDER BY mentions DESC, name, type) AS entities_text
            FROM doc_ents WHERE rn <= 20 GROUP BY doc_id) e ON e.doc_id = d.id
 LEFT JOIN (SELECT doc_id, count(*) AS redacted_pages, sum(redaction_count) AS total_redactions,
-                  string_agg(page_num || ':' || redaction_count || ':' || estimated_chars, ';'
-                             ORDER BY page_num, redaction_count, estimated_chars) AS redactions_text
+                  sum(estimated_chars) AS total_chars
            FROM star_redactions GROUP BY doc_id) r ON r.doc_id = d.id""")
 def document_profile(spark, sf):
+    """Q7 in bulk: every document with its top-20 entities (as text, in rank
+    order) and its redaction aggregates."""
     p = X.document_profile(fx.star_documents(spark, sf, with_page_count=True),
                            fx.star_mentions(spark, sf), fx.star_entities(spark, sf),
                            fx.star_redactions(spark, sf))
     ent = F.transform("entities", lambda x: F.concat_ws(":", x["name"], x["type"],
                                                         x["mentions"].cast("string")))
-    red = F.transform("redactions", lambda x: F.concat_ws(":", x["page_num"].cast("string"),
-                                                          x["redaction_count"].cast("string"),
-                                                          x["estimated_chars"].cast("string")))
     return p.select(
         "id", "corpus", "filename", "page_count",
         F.size("entities").alias("n_entities"),
         F.array_join(ent, ";").alias("entities_text"),
-        F.size("redactions").alias("redacted_pages"),
-        F.aggregate("redactions", F.lit(0).cast("long"),
-                    lambda acc, x: acc + x["redaction_count"]).alias("total_redactions"),
-        F.array_join(red, ";").alias("redactions_text"))
+        "redacted_pages", "total_redactions", "total_chars")
 
 
 @register("list_entities", with_(STAR_MENTIONS, STAR_ENTITIES) + """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import chunks as C
+from quarry.operators import explore as X
 from quarry.operators import mentions as M
 from quarry.operators import pages as P
 from quarry.plans.oracle import (PY_WS_CHARS, PY_WS_CLASS, STAR_SHAPES, TEXT_DOCUMENTS, TEXT_PAGES,
@@ -106,19 +107,21 @@ def document_totals(spark, sf):
 @register("document_pages", with_(TEXT_DOCUMENTS, TEXT_PAGES, _STRIPPED) + f"""
 SELECT d.id AS doc_id, d.corpus, d.filename, CAST(count(*) AS INTEGER) AS page_count,
        CAST(sum({_wc('s.t')}) AS BIGINT) AS total_words,
-       md5(string_agg(s.t, chr(12) ORDER BY s.page_num)) AS pages_md5
+       CAST(sum(CAST(('0x' || substr(md5(s.page_num || ':' || s.t), 1, 12)) AS BIGINT)) AS BIGINT)
+         AS pages_digest
 FROM text_documents d JOIN stripped s ON s.doc_id = d.id
 GROUP BY d.id, d.corpus, d.filename""")
 def document_pages(spark, sf):
-    """I4 + Q6: the nested raw-document record of every document, summarised
-    (page count, words, digest of the page texts in page order)."""
+    """I4 + Q6: the raw-document records of every document (written as page
+    blocks), read back and summarised per document: page count, words and an
+    order-independent digest of the page texts."""
     pages = P.page_facts(fx.text_pages(spark, sf)).withColumn("redaction_count", F.lit(0)) \
         .withColumn("estimated_chars_redacted", F.lit(0))
-    raw = P.nest_pages(pages, fx.text_documents(spark, sf))
-    return raw.select(
-        "doc_id", "corpus", "filename", "page_count",
-        F.aggregate("pages", F.lit(0).cast("long"), lambda a, p: a + p["word_count"]).alias("total_words"),
-        F.md5(F.array_join(F.transform("pages", lambda p: p["text"]), "\f")).alias("pages_md5"))
+    docs = fx.text_documents(spark, sf)
+    raw = P.nest_pages(pages, docs)
+    st = X.document_page_stats(raw)
+    return docs.select(F.col("id").alias("doc_id"), "corpus", "filename").join(st, "doc_id") \
+        .select("doc_id", "corpus", "filename", "page_count", "total_words", "pages_digest")
 
 
 # -- chunks ------------------------------------------------------------------

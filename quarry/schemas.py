@@ -135,6 +135,7 @@ RAW_DOCS = T.StructType([
     T.StructField("filename", T.StringType()),
     T.StructField("file_path", T.StringType()),
     T.StructField("page_count", T.IntegerType()),
+    T.StructField("block", T.IntegerType()),
     T.StructField("pages", T.ArrayType(PAGE)),
 ])
 

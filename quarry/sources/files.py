@@ -70,7 +70,8 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by=Non
 def read_raw_docs(spark: SparkSession, path: str) -> DataFrame:
     """Full scan of raw documents, projected to the columns the chunker
     needs (nested pruning keeps other page fields on disk)."""
-    return spark.read.schema(S.RAW_DOCS).parquet(path).select("doc_id", "corpus", "filename", "pages")
+    return spark.read.schema(S.RAW_DOCS).parquet(path).select("doc_id", "corpus", "filename", "block",
+                                                              "pages")
 
 
 def append_redactions(pages: DataFrame, path: str, created_at=None) -> None:

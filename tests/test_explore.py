@@ -81,4 +81,16 @@ def test_profile_has_every_document(spark):
     p = X.document_profile(docs, fx.star_mentions(spark, SF001), fx.star_entities(spark, SF001),
                            fx.star_redactions(spark, SF001))
     assert p.count() == docs.count()
-    assert p.filter(F.col("entities").isNull() | F.col("redactions").isNull()).count() == 0
+    assert p.filter(F.col("entities").isNull() | F.col("total_redactions").isNull()).count() == 0
+    # the bulk profile equals the one-document record for a redacted document
+    red = fx.star_redactions(spark, SF001)
+    one = red.select("doc_id").first().doc_id
+    rec = X.document_record(docs, fx.star_mentions(spark, SF001), fx.star_entities(spark, SF001), red,
+                            red.limit(0).select("doc_id", F.lit(0).alias("block"),
+                                                F.array().cast("array<string>").alias("pages")), one)
+    row = p.filter(F.col("id") == one).first()
+    r_rows = rec["redactions"].collect()
+    assert row.redacted_pages == len(r_rows)
+    assert row.total_redactions == sum(r.redaction_count for r in r_rows)
+    assert [(e.name, e.mentions) for e in row.entities] == \
+        [(e.name, e.mentions) for e in rec["entities"].orderBy(F.col("mentions").desc(), "name", "type").collect()]
