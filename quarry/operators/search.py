@@ -139,10 +139,14 @@ def build_postings(pages: DataFrame, stem: bool = True, buckets: int = 64) -> Da
 
 def write_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Persist the index: one folder per term bucket, rows sorted by term.
-    ``repartition`` on (bucket, term) keeps each term in one task, so each
-    term is one sorted run inside one file."""
-    (postings.repartition("bucket", "term")
-     .sortWithinPartitions("term", *PAGE_KEY, "col", "pos")
+
+    The shuffle is a ``rebalance`` on (bucket, term): AQE splits a partition
+    that a very frequent term makes skewed (a stop word can be several percent
+    of all occurrences) over several writer tasks and merges small ones, so
+    no task writes a hot term alone. Within every file rows are sorted by
+    term, so row-group min/max statistics skip most of a bucket folder."""
+    (postings.hint("rebalance", "bucket", "term")
+     .sortWithinPartitions("bucket", "term", *PAGE_KEY, "col", "pos")
      .write.mode(mode).partitionBy("bucket").parquet(path))
 
 
