@@ -94,3 +94,21 @@ def test_profile_has_every_document(spark):
     assert row.total_redactions == sum(r.redaction_count for r in r_rows)
     assert [(e.name, e.mentions) for e in row.entities] == \
         [(e.name, e.mentions) for e in rec["entities"].orderBy(F.col("mentions").desc(), "name", "type").collect()]
+
+
+def test_timeline_chronological(spark):
+    names = ["1963-11-22", "November 22, 1963", "3 April 1968", "Aug 9, 1974", "11/22/1963", "1961",
+             "last week"]
+    ents = spark.createDataFrame([(i, n, "DATE") for i, n in enumerate(names)] + [(99, "Paris", "GPE")],
+                                 "id long, name string, type string")
+    ments = spark.createDataFrame([(i, "d1", 1, f"c{i}") for i in list(range(len(names))) + [99]],
+                                  "entity_id long, doc_id string, page_num int, context string")
+    docs = spark.createDataFrame([("d1", "a", "d1.pdf")], "id string, corpus string, filename string")
+    plain = X.timeline(ments, docs, ents, limit=None).collect()
+    assert len(plain) == len(names) and "date" not in plain[0].asDict()
+    rows = X.timeline(ments, docs, ents, limit=None, chronological=True).collect()
+    got = [(r.entity_name, str(r.date) if r.date else None) for r in rows]
+    assert got == [("1961", "1961-01-01"), ("11/22/1963", "1963-11-22"), ("1963-11-22", "1963-11-22"),
+                   ("November 22, 1963", "1963-11-22"), ("3 April 1968", "1968-04-03"),
+                   ("Aug 9, 1974", "1974-08-09"), ("last week", None)]
+    assert X.timeline(ments, docs, ents, entity="1963", limit=None).count() == 3
