@@ -22,6 +22,7 @@ tokenizer) and passes the user's query string through. Here:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -393,3 +394,97 @@ def search_pages(src, documents: DataFrame, e: Expr, corpus: str | None = None,
     j = hits.join(d, hits["doc_id"] == d["id"]).select("id", "corpus", "filename", "page_count",
                                                         "page_num").distinct()
     return paginate(j, [F.col("id"), F.col("page_num")], page, limit, S.LIST_LIMITS[1])
+
+
+# ---------------------------------------------------------------------------
+# Ranking (optional): BM25 as the full-text index defines it
+# ---------------------------------------------------------------------------
+
+# BM25 parameters and the floor of a non-positive IDF.
+BM25_K1 = 1.2
+BM25_B = 0.75
+BM25_MIN_IDF = 1e-6
+
+
+def page_lengths(pages: DataFrame) -> DataFrame:
+    """Tokens per index row over all indexed columns (``doc_id``, ``page_num``,
+    ``n_tokens``): array sizes of a narrow projection, no explode. Build it
+    with the postings and keep it next to them."""
+    n = None
+    for c in FTS_COLUMNS:
+        s = F.size(fts_tokens(F.col(c).cast("string")))
+        n = s if n is None else n + s
+    return index_pages(pages).select(*PAGE_KEY, n.alias("n_tokens"))
+
+
+def _phrases(e: Expr, columns=None) -> list[tuple[Expr, object]]:
+    """The phrases a ranking sums over: every word of a Term, every Phrase /
+    Prefix / Near member / Initial; the excluded side of NOT never hits a
+    matching row, so it adds nothing."""
+    if isinstance(e, (And, Or)):
+        return _phrases(e.left, columns) + _phrases(e.right, columns)
+    if isinstance(e, Not):
+        return _phrases(e.left, columns)
+    if isinstance(e, Col):
+        cols = [e.columns] if isinstance(e.columns, str) else list(e.columns)
+        return _phrases(e.expr, cols if columns is None else [c for c in cols if c in columns])
+    if isinstance(e, Term):
+        return [(Term(w), columns) for w in _query_tokens(e.text)]
+    if isinstance(e, Near):
+        return [(Term(w), columns) for w in e.words]
+    return [(e, columns)]
+
+
+def _phrase_hits(src, e: Expr, columns) -> DataFrame:
+    """(doc_id, page_num, f): instances of one phrase per page."""
+    words = _leaf_words(e, src.stem)
+    occ = _occurrences(src, words, columns)
+    if isinstance(e, Initial):
+        occ = _word_rows(occ, words[0]).filter(F.col("pos") == 0)
+        return occ.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("f"))
+    first = _word_rows(occ, words[0]).select(*PAGE_KEY, "col", F.col("pos").alias("p0"))
+    for i, w in enumerate(words[1:], start=1):
+        nxt = _word_rows(occ, w).select(*PAGE_KEY, "col", (F.col("pos") - i).alias("p0"))
+        first = first.join(nxt, PAGE_KEY + ["col", "p0"], "left_semi")
+    return first.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("f"))
+
+
+def rank_pages(src, e: Expr, lengths: DataFrame) -> DataFrame:
+    """Matching pages with a BM25 ``score`` (higher is better):
+    sum over phrases of idf * f * (k1 + 1) / (f + k1 * (1 - b + b * D / avgdl)),
+    idf = ln((N - n + 0.5) / (n + 0.5)) floored at 1e-6, N = index rows,
+    n = rows with the phrase, D = tokens of the row, avgdl = mean D.
+    The corpus-wide numbers (N, avgdl, one n per phrase) are scalar
+    aggregates; everything per page stays distributed."""
+    stats = lengths.agg(F.count(F.lit(1)).alias("N"), F.avg("n_tokens").alias("avgdl")).first()
+    n_rows, avgdl = stats["N"], stats["avgdl"] or 1.0
+    hits = match_pages(src, e)
+    parts = []
+    for ph, cols in _phrases(e):
+        h = _phrase_hits(src, ph, cols)
+        n = h.count()
+        idf = max(math.log((n_rows - n + 0.5) / (n + 0.5)), BM25_MIN_IDF)
+        parts.append(h.withColumn("idf", F.lit(idf)))
+    contrib = parts[0]
+    for p in parts[1:]:
+        contrib = contrib.unionByName(p)
+    d = lengths.select(*PAGE_KEY, "n_tokens")
+    norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("n_tokens") / F.lit(avgdl))
+    score = F.col("idf") * F.col("f") * F.lit(BM25_K1 + 1) / (F.col("f") + norm)
+    scored = (contrib.join(hits, PAGE_KEY, "left_semi").join(d, PAGE_KEY)
+              .groupBy(*PAGE_KEY).agg(F.sum(score).alias("score")))
+    return hits.join(scored, PAGE_KEY, "left").fillna(0.0, ["score"])
+
+
+def search_ranked(src, documents: DataFrame, e: Expr, lengths: DataFrame, corpus: str | None = None,
+                  page: int = 1, limit: int | None = S.LIST_LIMITS[0]) -> DataFrame:
+    """X4 with ranking: the search result plus ``score``, best first
+    (ties by id and page)."""
+    ranked = rank_pages(src, e, lengths)
+    d = documents.select("id", "corpus", "filename", "page_count")
+    if corpus:
+        d = d.filter(F.col("corpus") == corpus)
+    j = ranked.join(d, ranked["doc_id"] == d["id"]).select("id", "corpus", "filename", "page_count",
+                                                            "page_num", "score")
+    return paginate(j, [F.col("score").desc(), F.col("id"), F.col("page_num")], page, limit,
+                    S.LIST_LIMITS[1])

@@ -104,3 +104,25 @@ def test_search_pages_joins_documents(spark):
     page2 = X.search_pages(src, docs, X.Term("and"), page=2, limit=7).collect()
     assert page1 + page2 == full[:14]
     assert set(r.id for r in full) <= {r.id for r in docs.select("id").collect()}
+
+
+RANK_CASES = [
+    ("the", X.Term("the")),
+    ("the on", X.Term("the on")),
+    ('"the on"', X.Phrase("the on")),
+    ("runn*", X.Prefix("runn")),
+    ("the OR und", X.Term("the") | X.Term("und")),
+    ("the NOT on", X.Term("the") - X.Term("on")),
+    ("page_num : 2", X.Col("page_num", X.Term("2"))),
+]
+
+
+@pytest.mark.parametrize("q,expr", RANK_CASES, ids=[c[0] for c in RANK_CASES])
+def test_bm25_equals_fts5(spark, pages, fts, index, q, expr):
+    lengths = X.page_lengths(pages)
+    got = {(r.doc_id, r.page_num): r.score for r in X.rank_pages(index, expr, lengths).collect()}
+    exp = {(d, int(p)): -s for d, p, s in
+           fts.execute("SELECT doc_id, page_num, bm25(f) FROM f WHERE f MATCH ?", (q,))}
+    assert set(got) == set(exp)
+    for k, v in exp.items():
+        assert got[k] == pytest.approx(v, rel=1e-9, abs=1e-9), k
