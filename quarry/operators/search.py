@@ -456,12 +456,16 @@ def rank_pages(src, e: Expr, lengths: DataFrame) -> DataFrame:
     n = rows with the phrase, D = tokens of the row, avgdl = mean D.
     The corpus-wide numbers (N, avgdl, one n per phrase) are scalar
     aggregates; everything per page stays distributed."""
+    from quarry.session import checkpoint_dir
+    checkpoint_dir(lengths.sparkSession)
     stats = lengths.agg(F.count(F.lit(1)).alias("N"), F.avg("n_tokens").alias("avgdl")).first()
     n_rows, avgdl = stats["N"], stats["avgdl"] or 1.0
-    hits = match_pages(src, e)
+    # matching pages and per-phrase hits are one small row per page: they are
+    # written once (reliable checkpoint) instead of re-derived by every job
+    hits = match_pages(src, e).checkpoint()
     parts = []
     for ph, cols in _phrases(e):
-        h = _phrase_hits(src, ph, cols)
+        h = _phrase_hits(src, ph, cols).checkpoint()
         n = h.count()
         idf = max(math.log((n_rows - n + 0.5) / (n + 0.5)), BM25_MIN_IDF)
         parts.append(h.withColumn("idf", F.lit(idf)))

@@ -187,8 +187,10 @@ JOIN text_documents d ON d.id = h.doc_id""")
 def search_ranked(spark, sf):
     """X4 ranked by BM25 (the ranking the reference's index offers but its
     query does not use): every page with both words, best first."""
+    from quarry.session import checkpoint_dir
+    checkpoint_dir(spark)
     pages = fx.text_pages(spark, sf)
     src = X.PageSource(pages, stem=False)
-    r = X.search_ranked(src, fx.text_documents(spark, sf), X.Term("the on"), X.page_lengths(pages),
-                        limit=None)
+    lengths = X.page_lengths(pages).checkpoint()   # one row per page, read by several jobs
+    r = X.search_ranked(src, fx.text_documents(spark, sf), X.Term("the on"), lengths, limit=None)
     return r.withColumn("score", F.round("score", 6))
