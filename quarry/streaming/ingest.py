@@ -87,7 +87,8 @@ def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ing
     ``RAW_INPUT`` rows) into the tables under ``store``. Returns the
     ``StreamingQuery``; with ``available_now`` it processes what is there and
     stops (call ``awaitTermination()``)."""
-    ckpt = checkpoint or os.path.join(checkpoint_dir(spark), f"{name}-stream")
+    shared = checkpoint_dir(spark)       # also where batches are checkpointed
+    ckpt = checkpoint or os.path.join(shared, f"{name}-stream")
     schemas = _schemas(spark)
     _ensure_tables(spark, store, schemas)
     stream = (spark.readStream.schema(RAW_INPUT).format(fmt)
@@ -95,8 +96,11 @@ def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ing
               .dropDuplicates(["filename"]))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        held = [batch]
+        # The deduplicated batch is written once to the shared checkpoint
+        # folder: every table of this batch then reads the same rows, even if
+        # executors are lost (a recomputed dedup could keep another copy).
+        batch = batch.checkpoint(eager=True)
+        held = []
 
         def extract_once(pages):
             # the extracted mentions feed entities, mentions and status:
