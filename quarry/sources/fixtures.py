@@ -143,7 +143,8 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("source_url"),
         F.concat(F.lit("/data/"), F.col("source"), F.lit("/doc-"), F.col("doc_id"),
                  F.lit(".pdf")).alias("file_path"),
-        F.ceil(F.length("text") / PAGE_CHARS).cast("int").alias("page_count"),
+        # n_chars is the text's length, so the document side never reads the text
+        F.ceil(F.col("n_chars") / PAGE_CHARS).cast("int").alias("page_count"),
         F.lit(None).cast("string").alias("date_filed"),
         F.lit(TEXT_RUN_TIME).cast("timestamp").alias("created_at"),
         F.lit(False).alias("is_scanned"),
