@@ -70,9 +70,10 @@ def first_per_filename(candidates: DataFrame) -> DataFrame:
 
 
 def upsert_documents(candidates: DataFrame, documents: DataFrame | None = None,
-                     created_at=None) -> DataFrame:
-    """One row per new filename (first corpus wins), insert-or-ignore."""
-    c = first_per_filename(candidates)
+                     created_at=None, dedupe: bool = True) -> DataFrame:
+    """One row per new filename (first corpus wins), insert-or-ignore.
+    ``dedupe=False`` when the candidates are already one per file name."""
+    c = first_per_filename(candidates) if dedupe else candidates
     if documents is not None:
         c = c.join(documents.select("filename"), "filename", "left_anti")
     ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
@@ -219,7 +220,7 @@ def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame
     extract = extract or extract_mentions
     candidates = text_based_filter(files, pages)                          # P4
     fresh = skip_ingested(first_per_filename(candidates), loaded_documents)  # D1
-    new_docs = upsert_documents(fresh, None, run_time)                   # D4
+    new_docs = upsert_documents(fresh, None, run_time, dedupe=False)     # D4
     new_pages = pages.join(fresh.select("doc_id"), "doc_id", "left_semi")
     mentions = extract(new_pages)                                        # M1-M4
     new_entities = upsert_entities(mentions, loaded_entities, run_time)  # D2
