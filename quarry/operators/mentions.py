@@ -52,11 +52,13 @@ def _spans(capped: Column, type_: str, regex: str) -> Column:
 
 
 def extract_mentions(pages: DataFrame, patterns: Sequence[tuple[str, str]] = DEFAULT_PATTERNS,
-                     types: Sequence[str] = S.ENTITY_TYPES) -> DataFrame:
+                     types: Sequence[str] = S.ENTITY_TYPES,
+                     text_cap: int | None = S.MENTION_TEXT_CAP) -> DataFrame:
     """M1-M4: (doc_id, page_num, type, name, start, context) per mention.
 
     Per page: text is stripped, empty pages are skipped, patterns run on the
-    first 10,000 characters; a name is the stripped span and must have >= 2
+    first ``text_cap`` characters (10,000, the reference's model input; None
+    matches the whole page); a name is the stripped span and must have >= 2
     characters; the context is 60 characters each side clamped to the whole
     text, newlines made spaces, stripped. Patterns of types outside ``types``
     are not even run (the filter of M2 applied at plan time).
@@ -65,7 +67,7 @@ def extract_mentions(pages: DataFrame, patterns: Sequence[tuple[str, str]] = DEF
     keep = [(t, r) for t, r in patterns if t in set(types)]
     t = py_strip(F.coalesce(F.col("text"), F.lit("")))
     p = pages.withColumn("text", t).filter(F.length("text") > 0)
-    capped = F.substring(F.col("text"), 1, S.MENTION_TEXT_CAP)
+    capped = F.col("text") if text_cap is None else F.substring(F.col("text"), 1, text_cap)
     if not keep:
         spans = F.array().cast("array<struct<type:string,span:string,start:int>>")
     else:

@@ -122,3 +122,6 @@ def test_mentions_match_python(spark):
                  for m in py_mentions(t, M.DEFAULT_PATTERNS, M.S.ENTITY_TYPES))
     assert got == exp
     assert any(n == "Zebraland" for _, _, n, _, _ in got) is (long_text.strip().find("Zebraland") < 10000)
+    # without the cap the whole page is matched
+    whole = {r.name for r in M.extract_mentions(pages.filter("doc_id = 'd4'"), text_cap=None).collect()}
+    assert {"Zebraland", "Omega"} <= whole
