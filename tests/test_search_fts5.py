@@ -18,6 +18,8 @@ EDGE = [
     ("e3", 2, "caresses ponies ties relational hopping running runabout"),
     ("e4", 3, "the quick brown fox 3 jumps"),
     ("e5", 1, "x" * 70 + " generalizations sensibility"),
+    ("e6", 1, "a x x a"),
+    ("e7", 1, "b x a"),
 ]
 
 
@@ -53,6 +55,8 @@ CASES = [
     ('NEAR(a g, 4)', X.Near(["a", "g"], 4)),
     ('NEAR(a d g, 5)', X.Near(["a", "d", "g"], 5)),
     ('NEAR(the and, 0)', X.Near(["the", "and"], 0)),
+    ('NEAR(a a, 0)', X.Near(["a", "a"], 0)),
+    ('NEAR(a a b, 1)', X.Near(["a", "a", "b"], 1)),
     ('page_num : 2', X.Col("page_num", X.Term("2"))),
     ('3', X.Term("3")),
     ('^the', X.Initial("the")),
