@@ -158,7 +158,6 @@ def integrity_audit(documents: DataFrame, entities: DataFrame, mentions: DataFra
 
     One row per rule; each is a grouped count or an anti join, all
     distributed (no collect)."""
-    spark = documents.sparkSession
 
     def dup(df, keys, rule):
         return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarry import schemas as S
 from quarry.operators import answers as A
 from quarry.operators import chunks as C
 from quarry.operators import vectors as V

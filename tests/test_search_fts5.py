@@ -4,7 +4,6 @@ import re
 import sqlite3
 
 import pytest
-from pyspark.sql import functions as F
 
 from quarry.functions.porter import stem
 from quarry.operators import search as X
