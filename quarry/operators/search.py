@@ -203,8 +203,9 @@ class Phrase(Expr):
 
 @dataclass
 class Near(Expr):
-    """``NEAR(a b .., k)``: at most k tokens between the first and the last
-    member (same column; members are single words)."""
+    """``NEAR(a b .., k)``: at most k tokens between the end of the first
+    and the start of the last member, all in one column. A member with several
+    words is a phrase (``NEAR("a b" c, k)``)."""
     words: Sequence[str]
     k: int = NEAR_DEFAULT
 
@@ -248,7 +249,7 @@ def _leaf_words(e: Expr, stem: bool) -> list[tuple[str, bool]]:
         ws = _query_tokens(e.text)
         return [(fold_query_token(w, stem), i == len(ws) - 1) for i, w in enumerate(ws)]
     if isinstance(e, Near):
-        return [(fold_query_token(w, stem), False) for w in e.words]
+        return [(fold_query_token(w, stem), False) for m in e.words for w in _query_tokens(m)]
     raise TypeError(e)
 
 
@@ -351,7 +352,8 @@ def _match(src, e: Expr, columns=None) -> DataFrame:
             first = first.join(nxt, PAGE_KEY + ["col", "p0"], "left_semi")
         return first.select(*PAGE_KEY).distinct()
     if isinstance(e, Near):
-        return _near(_occurrences(src, words, columns), words, e.k)
+        members = [[fold_query_token(w, stem) for w in _query_tokens(m)] for m in e.words]
+        return _near(_occurrences(src, words, columns), [m for m in members if m], e.k)
     raise TypeError(e)
 
 
@@ -360,20 +362,34 @@ def _word_rows(occ: DataFrame, w: tuple[str, bool]) -> DataFrame:
     return occ.filter(F.col("term").startswith(word) if is_prefix else F.col("term") == word)
 
 
-def _near(occ: DataFrame, words: list[tuple[str, bool]], k: int) -> DataFrame:
-    """Some occurrence of every word lies in [p, p+k+1] for an occurrence at p
-    (tokens between first and last member <= k). A range-framed window over the
-    occurrences of one page column: groups are bounded by the page size."""
-    idx = None
-    for i, (w, _) in enumerate(words):
-        c = F.when(F.col("term") == w, F.lit(i))
-        idx = c if idx is None else F.coalesce(idx, c)
-    o = occ.withColumn("w", idx)
-    win = (Window.partitionBy(*PAGE_KEY, "col").orderBy("pos")
-           .rangeBetween(Window.currentRow, k + 1))
-    n = len({w for w, _ in words})
-    hit = o.withColumn("seen", F.size(F.collect_set("w").over(win))).filter(F.col("seen") >= n)
-    return hit.select(*PAGE_KEY).distinct()
+def _near(occ: DataFrame, members: list[list[str]], k: int) -> DataFrame:
+    """Instances of every member (a phrase: consecutive tokens; a word: one
+    token) as [start, end]; a page column matches when, for some instance at
+    ``start`` that ends at ``end``, every member has an instance starting in
+    [start, end + k + 1] -- that instance is then the first one, and the last
+    one starts at most k tokens after its end. A range-framed window over the
+    instances of one page column: groups are bounded by the page size.
+    Repeated members may share an instance, as in the full-text index."""
+    parts = []
+    for toks in members:
+        key = " ".join(toks)
+        inst = _word_rows(occ, (toks[0], False)).select(*PAGE_KEY, "col", F.col("pos").alias("start"))
+        for i, w in enumerate(toks[1:], start=1):
+            nxt = _word_rows(occ, (w, False)).select(*PAGE_KEY, "col", (F.col("pos") - i).alias("start"))
+            inst = inst.join(nxt, PAGE_KEY + ["col", "start"], "left_semi")
+        parts.append(inst.select(*PAGE_KEY, "col", "start",
+                                 (F.col("start") + len(toks) - 1).alias("end"), F.lit(key).alias("m")))
+    inst = parts[0]
+    for p in parts[1:]:
+        inst = inst.unionByName(p)
+    longest = max(len(t) for t in members)
+    win = (Window.partitionBy(*PAGE_KEY, "col").orderBy("start")
+           .rangeBetween(Window.currentRow, longest + k))
+    reach = F.col("end") + k + 1
+    near = F.filter(F.collect_list(F.struct("start", "m")).over(win), lambda x: x["start"] <= reach)
+    n = len({" ".join(t) for t in members})
+    hit = inst.withColumn("seen", F.size(F.array_distinct(F.transform(near, lambda x: x["m"]))))
+    return hit.filter(F.col("seen") >= n).select(*PAGE_KEY).distinct()
 
 
 def match_pages(src, e: Expr) -> DataFrame:
@@ -431,7 +447,7 @@ def _phrases(e: Expr, columns=None) -> list[tuple[Expr, object]]:
     if isinstance(e, Term):
         return [(Term(w), columns) for w in _query_tokens(e.text)]
     if isinstance(e, Near):
-        return [(Term(w), columns) for w in e.words]
+        return [(Phrase(m) if len(_query_tokens(m)) > 1 else Term(m), columns) for m in e.words]
     return [(e, columns)]
 
 

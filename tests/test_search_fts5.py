@@ -19,6 +19,8 @@ EDGE = [
     ("e5", 1, "x" * 70 + " generalizations sensibility"),
     ("e6", 1, "a x x a"),
     ("e7", 1, "b x a"),
+    ("e8", 1, "a b x x c"), ("e9", 1, "c x a b"), ("e10", 1, "a b c"), ("e11", 1, "x a x b c"),
+    ("e12", 1, "c a b"), ("e13", 1, "a b x x x x c d"),
 ]
 
 
@@ -56,6 +58,12 @@ CASES = [
     ('NEAR(the and, 0)', X.Near(["the", "and"], 0)),
     ('NEAR(a a, 0)', X.Near(["a", "a"], 0)),
     ('NEAR(a a b, 1)', X.Near(["a", "a", "b"], 1)),
+    ('NEAR("a b" c, 0)', X.Near(["a b", "c"], 0)),
+    ('NEAR("a b" c, 1)', X.Near(["a b", "c"], 1)),
+    ('NEAR("a b" c, 2)', X.Near(["a b", "c"], 2)),
+    ('NEAR(c "a b", 0)', X.Near(["c", "a b"], 0)),
+    ('NEAR("a b" "c d", 4)', X.Near(["a b", "c d"], 4)),
+    ('NEAR("a b" "c d", 3)', X.Near(["a b", "c d"], 3)),
     ('page_num : 2', X.Col("page_num", X.Term("2"))),
     ('3', X.Term("3")),
     ('^the', X.Initial("the")),
@@ -117,6 +125,7 @@ RANK_CASES = [
     ("the OR und", X.Term("the") | X.Term("und")),
     ("the NOT on", X.Term("the") - X.Term("on")),
     ("page_num : 2", X.Col("page_num", X.Term("2"))),
+    ('NEAR("a b" c, 2)', X.Near(["a b", "c"], 2)),
 ]
 
 
