@@ -212,15 +212,21 @@ class Near(Expr):
 
 @dataclass
 class Initial(Expr):
-    """``^a``: the first token of a column."""
+    """``^a`` / ``^"a b"``: a word or phrase starting a column."""
     text: str
 
 
 @dataclass
 class Col(Expr):
-    """X11: ``col : expr``: restrict leaves below to some columns."""
+    """X11: ``col : expr`` / ``{a b} : expr``: restrict leaves below to some
+    columns; ``exclude=True`` is ``- {a b} : expr`` (every other column)."""
     columns: Sequence[str] | str
     expr: Expr
+    exclude: bool = False
+
+    def selected(self) -> list[str]:
+        cols = [self.columns] if isinstance(self.columns, str) else list(self.columns)
+        return [c for c in FTS_COLUMNS if c not in cols] if self.exclude else cols
 
 
 @dataclass
@@ -326,7 +332,7 @@ def _match(src, e: Expr, columns=None) -> DataFrame:
     if isinstance(e, Not):
         return _match(src, e.left, columns).join(_match(src, e.right, columns), PAGE_KEY, "left_anti")
     if isinstance(e, Col):
-        cols = [e.columns] if isinstance(e.columns, str) else list(e.columns)
+        cols = e.selected()
         if columns is not None:
             cols = [c for c in cols if c in columns]
         return _match(src, e.expr, cols)
@@ -339,14 +345,13 @@ def _match(src, e: Expr, columns=None) -> DataFrame:
             m = _occurrences(src, [w], columns).select(*PAGE_KEY).distinct()
             out = m if out is None else out.join(m, PAGE_KEY, "left_semi")
         return out
-    if isinstance(e, Initial):
-        return _occurrences(src, words[:1], columns).filter(F.col("pos") == 0) \
-            .select(*PAGE_KEY).distinct()
-    if isinstance(e, (Phrase, Prefix)):
+    if isinstance(e, (Phrase, Prefix, Initial)):
         # word i must sit at pos0 + i of the same column: equi-joins on the
         # shifted position.
         occ = _occurrences(src, words, columns)
         first = _word_rows(occ, words[0]).select(*PAGE_KEY, "col", F.col("pos").alias("p0"))
+        if isinstance(e, Initial):
+            first = first.filter(F.col("p0") == 0)
         for i, w in enumerate(words[1:], start=1):
             nxt = _word_rows(occ, w).select(*PAGE_KEY, "col", (F.col("pos") - i).alias("p0"))
             first = first.join(nxt, PAGE_KEY + ["col", "p0"], "left_semi")
@@ -442,7 +447,7 @@ def _phrases(e: Expr, columns=None) -> list[tuple[Expr, object]]:
     if isinstance(e, Not):
         return _phrases(e.left, columns)
     if isinstance(e, Col):
-        cols = [e.columns] if isinstance(e.columns, str) else list(e.columns)
+        cols = e.selected()
         return _phrases(e.expr, cols if columns is None else [c for c in cols if c in columns])
     if isinstance(e, Term):
         return [(Term(w), columns) for w in _query_tokens(e.text)]
@@ -455,10 +460,9 @@ def _phrase_hits(src, e: Expr, columns) -> DataFrame:
     """(doc_id, page_num, f): instances of one phrase per page."""
     words = _leaf_words(e, src.stem)
     occ = _occurrences(src, words, columns)
-    if isinstance(e, Initial):
-        occ = _word_rows(occ, words[0]).filter(F.col("pos") == 0)
-        return occ.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("f"))
     first = _word_rows(occ, words[0]).select(*PAGE_KEY, "col", F.col("pos").alias("p0"))
+    if isinstance(e, Initial):
+        first = first.filter(F.col("p0") == 0)
     for i, w in enumerate(words[1:], start=1):
         nxt = _word_rows(occ, w).select(*PAGE_KEY, "col", (F.col("pos") - i).alias("p0"))
         first = first.join(nxt, PAGE_KEY + ["col", "p0"], "left_semi")

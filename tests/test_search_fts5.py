@@ -58,6 +58,10 @@ CASES = [
     ('NEAR(the and, 0)', X.Near(["the", "and"], 0)),
     ('NEAR(a a, 0)', X.Near(["a", "a"], 0)),
     ('NEAR(a a b, 1)', X.Near(["a", "a", "b"], 1)),
+    ('- page_num : 2', X.Col("page_num", X.Term("2"), exclude=True)),
+    ('- {page_num doc_id} : 2', X.Col(["page_num", "doc_id"], X.Term("2"), exclude=True)),
+    ('^"a b"', X.Initial("a b")),
+    ('text : ^"a b"', X.Col("text", X.Initial("a b"))),
     ('NEAR("a b" c, 0)', X.Near(["a b", "c"], 0)),
     ('NEAR("a b" c, 1)', X.Near(["a b", "c"], 1)),
     ('NEAR("a b" c, 2)', X.Near(["a b", "c"], 2)),
@@ -126,6 +130,8 @@ RANK_CASES = [
     ("the NOT on", X.Term("the") - X.Term("on")),
     ("page_num : 2", X.Col("page_num", X.Term("2"))),
     ('NEAR("a b" c, 2)', X.Near(["a b", "c"], 2)),
+    ('^"a b"', X.Initial("a b")),
+    ('- page_num : 2', X.Col("page_num", X.Term("2"), exclude=True)),
 ]
 
 
