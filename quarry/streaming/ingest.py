@@ -82,18 +82,29 @@ def _run_batch(spark, batch: DataFrame, loaded_docs, loaded_entities, run_time,
 
 def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ingest",
                   checkpoint: str | None = None, extract=None, fmt: str = "parquet",
-                  available_now: bool = True):
+                  available_now: bool = True, dedup_watermark: str | None = None):
     """T1+T2: start the incremental ingest of ``source`` (files of
     ``RAW_INPUT`` rows) into the tables under ``store``. Returns the
     ``StreamingQuery``; with ``available_now`` it processes what is there and
-    stops (call ``awaitTermination()``)."""
+    stops (call ``awaitTermination()``).
+
+    By default the streaming dedup keeps every file name forever, as the
+    reference's "already ingested?" test does. ``dedup_watermark`` (e.g.
+    ``"30 days"``) bounds that state: names are deduplicated within the
+    watermark of the input file's modification time, and a later copy is
+    still caught by each batch's anti-join against the loaded documents."""
     shared = checkpoint_dir(spark)       # also where batches are checkpointed
     ckpt = checkpoint or os.path.join(shared, f"{name}-stream")
     schemas = _schemas(spark)
     _ensure_tables(spark, store, schemas)
     stream = (spark.readStream.schema(RAW_INPUT).format(fmt)
-              .option("maxFilesPerTrigger", 1000).load(source)
-              .dropDuplicates(["filename"]))
+              .option("maxFilesPerTrigger", 1000).load(source))
+    if dedup_watermark:
+        stream = (stream.withColumn("_event_time", F.col("_metadata.file_modification_time"))
+                  .withWatermark("_event_time", dedup_watermark)
+                  .dropDuplicatesWithinWatermark(["filename"]).drop("_event_time"))
+    else:
+        stream = stream.dropDuplicates(["filename"])
 
     def process(batch: DataFrame, batch_id: int) -> None:
         # The deduplicated batch is written once to the shared checkpoint

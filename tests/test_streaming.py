@@ -14,7 +14,11 @@ def _raw(spark):
     return raw_input_from_pages(fx.text_pages(spark, SF001), files)
 
 
-def test_stream_ingest_adds_only_unseen(spark, tmpdir_fresh):
+import pytest
+
+
+@pytest.mark.parametrize("watermark", [None, "1 hour"])
+def test_stream_ingest_adds_only_unseen(spark, tmpdir_fresh, watermark):
     src, store, ckpt = f"{tmpdir_fresh}/src", f"{tmpdir_fresh}/store", f"{tmpdir_fresh}/ckpt"
     raw = _raw(spark).cache()
     corpora = sorted(r[0] for r in raw.select("corpus").distinct().collect())
@@ -22,7 +26,7 @@ def test_stream_ingest_adds_only_unseen(spark, tmpdir_fresh):
     first.write.mode("append").parquet(src)
     # the same files again in a second input file: repeated file names
     first.limit(5).write.mode("append").parquet(src)
-    stream_ingest(spark, src, store, checkpoint=ckpt).awaitTermination()
+    stream_ingest(spark, src, store, checkpoint=ckpt, dedup_watermark=watermark).awaitTermination()
     docs1 = read_store(spark, store, "documents")
     n1 = docs1.count()
     assert n1 == docs1.select("filename").distinct().count()
@@ -33,7 +37,7 @@ def test_stream_ingest_adds_only_unseen(spark, tmpdir_fresh):
     # second run: the rest plus copies of already loaded files
     raw.filter(~F.col("corpus").isin(corpora[: len(corpora) // 2])).write.mode("append").parquet(src)
     first.limit(7).write.mode("append").parquet(src)
-    stream_ingest(spark, src, store, checkpoint=ckpt).awaitTermination()
+    stream_ingest(spark, src, store, checkpoint=ckpt, dedup_watermark=watermark).awaitTermination()
     docs2 = read_store(spark, store, "documents")
     assert docs2.count() == docs2.select("filename").distinct().count()
     assert docs2.count() > n1
