@@ -252,19 +252,24 @@ def timeline(mentions: DataFrame, documents: DataFrame, entities: DataFrame,
 
 # -- redactions --------------------------------------------------------------
 
-def _redactions_per_document(redactions: DataFrame, documents: DataFrame) -> DataFrame:
+def _redactions_per_document(redactions: DataFrame, documents: DataFrame,
+                             corpus: str | None = None) -> DataFrame:
     """Per-document sums joined to the document attributes. The sum runs
-    map-side before the shuffle; the join also drops orphan redaction rows."""
+    map-side before the shuffle; the join also drops orphan redaction rows.
+    A corpus filter applies to the (pushed-down) document scan."""
     r = redactions.groupBy("doc_id").agg(
         F.sum("redaction_count").alias("total_redactions"),
         F.sum("estimated_chars").alias("total_chars"))
     d = documents.select(F.col("id").alias("doc_id"), "filename", "corpus")
+    if corpus:
+        d = d.filter(F.col("corpus") == corpus)
     return r.join(d, "doc_id")
 
 
-def redaction_totals(redactions: DataFrame, documents: DataFrame) -> DataFrame:
-    """Q13: total redactions and characters; 0 (not null) without rows."""
-    p = _redactions_per_document(redactions, documents)
+def redaction_totals(redactions: DataFrame, documents: DataFrame, corpus: str | None = None) -> DataFrame:
+    """Q13: total redactions and characters; 0 (not null) without rows.
+    ``corpus`` (accepted and ignored by the reference) filters when given."""
+    p = _redactions_per_document(redactions, documents, corpus)
     return p.agg(F.coalesce(F.sum("total_redactions"), F.lit(0)).cast("long").alias("total_redactions"),
                  F.coalesce(F.sum("total_chars"), F.lit(0)).cast("long").alias("total_chars_redacted"))
 
@@ -276,16 +281,15 @@ def redactions_by_corpus(redactions: DataFrame, documents: DataFrame, corpus: st
     ``COUNT(DISTINCT d.id)`` is a plain count (no distinct expand).
     The reference accepts and ignores a corpus argument; here it filters.
     """
-    p = _redactions_per_document(redactions, documents)
-    if corpus:
-        p = p.filter(F.col("corpus") == corpus)
+    p = _redactions_per_document(redactions, documents, corpus)
     return p.groupBy("corpus").agg(F.count(F.lit(1)).alias("docs_with_redactions"),
                                    F.sum("total_redactions").cast("long").alias("total_redactions"))
 
 
-def most_redacted(redactions: DataFrame, documents: DataFrame, k: int = S.MOST_REDACTED) -> DataFrame:
+def most_redacted(redactions: DataFrame, documents: DataFrame, k: int = S.MOST_REDACTED,
+                  corpus: str | None = None) -> DataFrame:
     """Q15: the k documents with the most redactions (ties by id)."""
-    p = _redactions_per_document(redactions, documents)
+    p = _redactions_per_document(redactions, documents, corpus)
     return p.orderBy(F.col("total_redactions").desc(), F.col("doc_id")).limit(k) \
         .select("filename", "corpus", F.col("total_redactions").cast("long").alias("total_redactions"))
 

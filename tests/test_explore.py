@@ -112,3 +112,11 @@ def test_timeline_chronological(spark):
                    ("November 22, 1963", "1963-11-22"), ("3 April 1968", "1968-04-03"),
                    ("Aug 9, 1974", "1974-08-09"), ("last week", None)]
     assert X.timeline(ments, docs, ents, entity="1963", limit=None).count() == 3
+
+
+def test_redaction_corpus_option(spark):
+    docs, red = fx.star_documents(spark, SF001), fx.star_redactions(spark, SF001)
+    by = {r.corpus: r.total_redactions for r in X.redactions_by_corpus(red, docs).collect()}
+    for c, n in by.items():
+        assert X.redaction_totals(red, docs, corpus=c).first().total_redactions == n
+        assert {r.corpus for r in X.most_redacted(red, docs, corpus=c).collect()} == {c}
