@@ -194,3 +194,20 @@ def search_ranked(spark, sf):
     lengths = X.page_lengths(pages).checkpoint()   # one row per page, read by several jobs
     r = X.search_ranked(src, fx.text_documents(spark, sf), X.Term("the on"), lengths, limit=None)
     return r.withColumn("score", F.round("score", 6))
+
+
+@register("search_near_phrase", _result("""
+SELECT DISTINCT a.doc_id, a.page_num FROM occ a
+  JOIN occ a2 ON a2.doc_id = a.doc_id AND a2.page_num = a.page_num AND a2.col = a.col AND a2.pos = a.pos + 1
+  JOIN occ b ON b.doc_id = a.doc_id AND b.page_num = a.page_num AND b.col = a.col
+WHERE a.term = 'the' AND a2.term = 'on' AND b.term = 'and'
+  AND ((a.pos <= b.pos AND b.pos - (a.pos + 1) - 1 <= 2) OR (b.pos < a.pos AND a.pos - b.pos - 1 <= 2))"""))
+def search_near_phrase(spark, sf):
+    """X10 with a phrase member: NEAR("the on" and, 2)."""
+    return _run(spark, sf, X.Near(["the on", "and"], 2))
+
+
+@register("search_exclude_column", _result(_pages_with("col <> 'page_num' AND term = '2'")))
+def search_exclude_column(spark, sf):
+    """X11 with an excluded column: - page_num : 2 (matches ids and text)."""
+    return _run(spark, sf, X.Col("page_num", X.Term("2"), exclude=True))
