@@ -1,8 +1,8 @@
 """Porter (1980) stemming of ASCII-folded tokens, as a small per-term helper.
 
 Written from the published algorithm (M.F. Porter, "An algorithm for suffix
-stripping", Program 14(3), 1980). It runs on the *distinct vocabulary* of a
-corpus through an Arrow-batched pandas UDF, never per token occurrence.
+stripping", Program 14(3), 1980). Spark calls it from an Arrow-batched pandas
+UDF that stems each batch's distinct words once (with a per-task cache).
 
 Like the full-text tokenizer it stands in for, it works on the UTF-8 bytes
 of a token: tokens shorter than 3 or longer than 64 bytes are left alone,

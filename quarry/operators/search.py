@@ -5,8 +5,10 @@ tokenizer) and passes the user's query string through. Here:
 
 * X1 ``fts_tokens``: runs of ASCII letters/digits and any non-ASCII character,
   ASCII-only case folding; a built-in ``split``, no UDF.
-* X3 stemming runs on the *distinct vocabulary* (Arrow pandas UDF) and is
-  joined back, never per occurrence.
+* X3 stemming is a narrow Arrow pandas UDF on the token column: each batch
+  stems its distinct words once through a bounded per-task cache (no join
+  back to a vocabulary). ``stem_vocabulary`` lists the distinct words with
+  their stems.
 * X2 ``build_postings``: one row per token occurrence
   (bucket, term, doc_id, page_num, col, pos). Written partitioned by the term
   bucket and sorted by term, so a term lookup prunes to one bucket folder and
