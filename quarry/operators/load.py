@@ -42,7 +42,7 @@ def upsert_entities(mentions: DataFrame, entities: DataFrame | None = None,
     new = mentions.select("name", "type").distinct()
     if entities is not None:
         new = new.join(entities.select("name", "type"), ["name", "type"], "left_anti")
-    ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
+    ts = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")
     return new.select(entity_id(F.col("name"), F.col("type")).alias("id"), "name", "type",
                       ts.alias("created_at"))
 
@@ -52,7 +52,7 @@ def load_mentions(mentions: DataFrame, entities: DataFrame, created_at=None) ->
     only confirms the entity exists (rows without one are dropped, as the
     reference drops a mention whose lookup fails)."""
     e = entities.select(F.col("id").alias("entity_id"), "name", "type")
-    ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
+    ts = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")
     m = mentions.join(e, ["name", "type"])
     return m.select(
         F.xxhash64("doc_id", "page_num", "type", "start", "name").alias("id"),
@@ -76,7 +76,7 @@ def upsert_documents(candidates: DataFrame, documents: DataFrame | None = None,
     c = first_per_filename(candidates) if dedupe else candidates
     if documents is not None:
         c = c.join(documents.select("filename"), "filename", "left_anti")
-    ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
+    ts = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")
     return c.select(
         F.col("doc_id").alias("id"), "corpus", "filename",
         F.lit(None).cast("string").alias("source_url"), "file_path",
@@ -124,7 +124,7 @@ def run_release(status: DataFrame, corpora: DataFrame, run_time: str,
     ok = status.filter(F.col("status") == "ok")
     per = ok.groupBy("corpus").agg(F.count(F.lit(1)).alias("docs_added"),
                                    F.sum("mentions").alias("entities_found"))
-    rt = F.lit(run_time).cast("timestamp")
+    rt = F.lit(run_time).cast("timestamp_ntz")
     out = corpora.select("corpus").distinct().join(per, "corpus", "left")
     cols = ["corpus", rt.alias("run_date"),
             F.coalesce("docs_added", F.lit(0)).cast("long").alias("docs_added"),
@@ -190,7 +190,8 @@ def release_log(documents: DataFrame, mentions: DataFrame) -> DataFrame:
     ``created_at``). Mentions are counted per document before the join."""
     mc = mentions.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
     d = documents.select(F.col("id").alias("doc_id"), "corpus",
-                         F.date_trunc("day", "created_at").alias("run_date"))
+                         # the day, zone-less (date_trunc would return a session-zone timestamp)
+                         F.to_date("created_at").cast("timestamp_ntz").alias("run_date"))
     j = d.join(mc, "doc_id", "left")
     per = j.groupBy("corpus", "run_date").agg(
         F.count(F.lit(1)).cast("long").alias("docs_added"),
@@ -199,7 +200,10 @@ def release_log(documents: DataFrame, mentions: DataFrame) -> DataFrame:
     # processes its corpora); the window groups are the corpora of one day.
     seq = F.row_number().over(Window.partitionBy("run_date").orderBy("corpus"))
     return per.select(
-        (F.unix_seconds("run_date") * 1000 + seq).alias("id"), "corpus", "run_date", "docs_added",
+        # days since the epoch of the (day-truncated, zone-less) run date: the
+        # id does not depend on the session time zone
+        (F.unix_date(F.to_date("run_date")).cast("long") * 86400 * 1000 + seq).alias("id"),
+        "corpus", "run_date", "docs_added",
         "entities_found",
         F.concat(F.lit("Ingestion run "), F.date_format("run_date", "yyyy-MM-dd HH:mm")).alias("notes"))
 

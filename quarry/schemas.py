@@ -72,7 +72,7 @@ PY_WHITESPACE_CLASS = ("[\\t\\n\\x{0B}\\f\\r\\x{1C}-\\x{1F} \\x{85}\\x{A0}\\x{16
                        "\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]")
 
 # ---------------------------------------------------------------------------
-# Star schema
+# Star schema (times are zone-less, like the source tables' timestamps)
 # ---------------------------------------------------------------------------
 
 DOCUMENTS = T.StructType([
@@ -83,7 +83,7 @@ DOCUMENTS = T.StructType([
     T.StructField("file_path", T.StringType()),
     T.StructField("page_count", T.IntegerType()),
     T.StructField("date_filed", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
+    T.StructField("created_at", T.TimestampNTZType()),
     T.StructField("is_scanned", T.BooleanType()),
 ])
 
@@ -91,7 +91,7 @@ ENTITIES = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("name", T.StringType(), False),
     T.StructField("type", T.StringType(), False),
-    T.StructField("created_at", T.TimestampType()),
+    T.StructField("created_at", T.TimestampNTZType()),
 ])
 
 MENTIONS = T.StructType([
@@ -100,7 +100,7 @@ MENTIONS = T.StructType([
     T.StructField("doc_id", T.StringType(), False),
     T.StructField("page_num", T.IntegerType(), False),
     T.StructField("context", T.StringType()),
-    T.StructField("created_at", T.TimestampType()),
+    T.StructField("created_at", T.TimestampNTZType()),
 ])
 
 REDACTIONS = T.StructType([
@@ -109,13 +109,13 @@ REDACTIONS = T.StructType([
     T.StructField("page_num", T.IntegerType(), False),
     T.StructField("redaction_count", T.IntegerType()),
     T.StructField("estimated_chars", T.IntegerType()),
-    T.StructField("created_at", T.TimestampType()),
+    T.StructField("created_at", T.TimestampNTZType()),
 ])
 
 RELEASES = T.StructType([
     T.StructField("id", T.LongType(), False),
     T.StructField("corpus", T.StringType(), False),
-    T.StructField("run_date", T.TimestampType()),
+    T.StructField("run_date", T.TimestampNTZType()),
     T.StructField("docs_added", T.IntegerType()),
     T.StructField("entities_found", T.IntegerType()),
     T.StructField("notes", T.StringType()),

@@ -76,7 +76,7 @@ def read_raw_docs(spark: SparkSession, path: str) -> DataFrame:
 
 def append_redactions(pages: DataFrame, path: str, created_at=None) -> None:
     """One redaction row per page with at least one redaction."""
-    ts = F.current_timestamp() if created_at is None else F.lit(created_at).cast("timestamp")
+    ts = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")
     r = pages.filter(F.col("redaction_count") > 0).select(
         F.xxhash64("doc_id", "page_num").alias("id"), "doc_id", "page_num", "redaction_count",
         F.col("estimated_chars_redacted").alias("estimated_chars"), ts.alias("created_at"))

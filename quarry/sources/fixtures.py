@@ -146,7 +146,7 @@ def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         # n_chars is the text's length, so the document side never reads the text
         F.ceil(F.col("n_chars") / PAGE_CHARS).cast("int").alias("page_count"),
         F.lit(None).cast("string").alias("date_filed"),
-        F.lit(TEXT_RUN_TIME).cast("timestamp").alias("created_at"),
+        F.lit(TEXT_RUN_TIME).cast("timestamp_ntz").alias("created_at"),
         F.lit(False).alias("is_scanned"),
     )
 
