@@ -5,12 +5,13 @@ tokenizer) and passes the user's query string through. Here:
 
 * X1 ``fts_tokens``: runs of ASCII letters/digits and any non-ASCII character,
   ASCII-only case folding; a built-in ``split``, no UDF.
-* X3 stemming is a narrow Arrow pandas UDF on the token column: each batch
-  stems its distinct words once through a bounded per-task cache (no join
-  back to a vocabulary). ``stem_vocabulary`` lists the distinct words with
-  their stems.
+* X3 stemming runs on the distinct vocabulary only: a written index keeps
+  postings of folded tokens plus a (token, stem) vocabulary; a query maps its
+  stems to surface forms with one small vocabulary job and looks those up by
+  bucket. Searching pages without an index stems the (prefilter-reduced)
+  token occurrences with an Arrow UDF that stems each batch's distinct words.
 * X2 ``build_postings``: one row per token occurrence
-  (bucket, term, doc_id, page_num, col, pos). Written partitioned by the term
+  (bucket, term, doc_id, page_num, col, pos), term = the folded token. Written partitioned by the term
   bucket and sorted by term, so a term lookup prunes to one bucket folder and
   skips row groups by min/max statistics.
 * X5-X12 are structured predicates (no query-string parser):
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -133,13 +134,22 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def build_postings(pages: DataFrame, stem: bool = True, buckets: int = 64) -> DataFrame:
-    """Postings (bucket, term, doc_id, page_num, col, pos)."""
-    t = with_terms(page_tokens(index_pages(pages)), stem)
+def build_postings(pages: DataFrame, buckets: int = 64) -> DataFrame:
+    """Postings (bucket, term, doc_id, page_num, col, pos) of the folded
+    tokens. Stemming is not applied per occurrence: a stemmed index pairs the
+    postings with :func:`build_vocabulary` (the distinct tokens and their
+    stems), so the Python stemmer runs once per distinct word."""
+    t = page_tokens(index_pages(pages)).withColumnRenamed("token", "term")
     return t.select(term_bucket(F.col("term"), buckets).alias("bucket"), "term",
                     *PAGE_KEY, "col", "pos")
 
 
+def build_vocabulary(postings: DataFrame) -> DataFrame:
+    """X3 for an index: (token, stem) of every distinct token of the postings."""
+    return stem_vocabulary(postings.select(F.col("term").alias("token"))) \
+        .withColumnRenamed("term", "stem")
+
+
 def write_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Persist the index: one folder per term bucket, rows sorted by term.
 
@@ -159,9 +169,13 @@ def write_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> N
 
 @dataclass
 class PostingsIndex:
+    """A written index: postings of folded tokens and, for stemmed search, the
+    (token, stem) vocabulary built with it."""
     postings: DataFrame
     buckets: int
     stem: bool = True
+    vocab: DataFrame | None = None
+    forms: dict | None = None      # (word, is_prefix) -> [(token, stem)], filled per query
 
 
 @dataclass
@@ -290,12 +304,14 @@ def _occurrences(src, words: list[tuple[str, bool]], columns) -> DataFrame:
     for w, is_prefix in words:
         c = F.col("term").startswith(w) if is_prefix else (F.col("term") == w)
         cond = c if cond is None else cond | c
-    if isinstance(src, PostingsIndex):
+    if isinstance(src, PostingsIndex) and not src.stem:
         exact = [w for w, p in words if not p]
         t = src.postings
         if exact and len(exact) == len(words):
             t = t.filter(F.col("bucket").isin([_bucket_of(w, src.buckets) for w in exact]))
         t = t.filter(cond)
+    elif isinstance(src, PostingsIndex):
+        t = _stemmed_lookup(src, words, cond)
     else:
         pages = _candidate_pages(src, [w for w, _ in words])
         toks = page_tokens(pages)
@@ -314,6 +330,69 @@ def _occurrences(src, words: list[tuple[str, bool]], columns) -> DataFrame:
     return t.select(*PAGE_KEY, "col", "pos", "term")
 
 
+# Surface forms of the query stems up to this many are looked up by bucket;
+# beyond it (a short stemmed prefix) the postings are joined to the forms.
+MAX_FORMS_PRUNED = 10_000
+
+
+def _all_words(e: Expr, stem: bool) -> list[tuple[str, bool]]:
+    if isinstance(e, (And, Or, Not)):
+        return _all_words(e.left, stem) + _all_words(e.right, stem)
+    if isinstance(e, Col):
+        return _all_words(e.expr, stem)
+    return _leaf_words(e, stem)
+
+
+def _resolve_forms(src, e: Expr):
+    """For a stemmed index: one vocabulary job per query maps every word of
+    the predicate to its surface forms (bounded by MAX_FORMS_PRUNED; a word
+    with more forms, e.g. a short stemmed prefix, is joined instead)."""
+    if not (isinstance(src, PostingsIndex) and src.stem) or src.forms is not None:
+        return src
+    if src.vocab is None:
+        raise ValueError("a stemmed PostingsIndex needs its vocabulary (build_vocabulary)")
+    words = sorted(set(_all_words(e, True)))
+    rows = (src.vocab.filter(_stem_cond(words)).select("token", "stem")
+            .limit(MAX_FORMS_PRUNED + 1).collect())
+    forms = {}
+    if len(rows) <= MAX_FORMS_PRUNED:
+        for w, is_prefix in words:
+            forms[(w, is_prefix)] = [(r.token, r.stem) for r in rows
+                                     if (r.stem.startswith(w) if is_prefix else r.stem == w)]
+    return replace(src, forms=forms)
+
+
+def _stemmed_lookup(src: PostingsIndex, words, cond) -> DataFrame:
+    """Postings rows whose token carries a wanted stem, with ``term`` = stem.
+    Resolved surface forms prune to their buckets and are pushed to the scan
+    (a bounded list, broadcast); unresolved words join the vocabulary."""
+    if src.vocab is None:
+        raise ValueError("a stemmed PostingsIndex needs its vocabulary (build_vocabulary)")
+    p = src.postings
+    known = src.forms or {}
+    if all(w in known for w in words):
+        pairs = sorted({f for w in words for f in known[w]})
+        if not pairs:
+            return p.limit(0).select(*PAGE_KEY, "col", "pos", "term")
+        toks = sorted({t for t, _ in pairs})
+        p = p.filter(F.col("bucket").isin(sorted({_bucket_of(t, src.buckets) for t in toks}))) \
+            .filter(F.col("term").isin(toks))
+        forms = p.sparkSession.createDataFrame(pairs, "term string, stem string")
+        j = p.join(F.broadcast(forms), "term")          # at most MAX_FORMS_PRUNED rows
+    else:
+        forms = src.vocab.filter(_stem_cond(words)).select(F.col("token").alias("term"), "stem")
+        j = p.join(forms, "term")
+    return j.select(*PAGE_KEY, "col", "pos", F.col("stem").alias("term"))
+
+
+def _stem_cond(words):
+    cond = None
+    for w, is_prefix in words:
+        c = F.col("stem").startswith(w) if is_prefix else (F.col("stem") == w)
+        cond = c if cond is None else cond | c
+    return cond
+
+
 def _bucket_of(term: str, buckets: int) -> int:
     """Bucket of a literal term: Spark's ``xxhash64`` is XXH64 with seed 42 over
     the UTF-8 bytes, so the driver computes it without a job."""
@@ -401,7 +480,7 @@ def _near(occ: DataFrame, members: list[list[str]], k: int) -> DataFrame:
 
 def match_pages(src, e: Expr) -> DataFrame:
     """Page keys (doc_id, page_num) matching a predicate."""
-    return _match(src, e)
+    return _match(_resolve_forms(src, e), e)
 
 
 def search_pages(src, documents: DataFrame, e: Expr, corpus: str | None = None,
@@ -484,6 +563,7 @@ def rank_pages(src, e: Expr, lengths: DataFrame) -> DataFrame:
     n_rows, avgdl = stats["N"], stats["avgdl"] or 1.0
     # matching pages and per-phrase hits are one small row per page: they are
     # written once (reliable checkpoint) instead of re-derived by every job
+    src = _resolve_forms(src, e)
     hits = match_pages(src, e).checkpoint()
     parts = []
     for ph, cols in _phrases(e):

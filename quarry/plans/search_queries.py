@@ -76,7 +76,7 @@ SELECT term, doc_id, page_num, col, string_agg(CAST(pos AS VARCHAR), ',' ORDER B
 FROM occ GROUP BY term, doc_id, page_num, col""")
 def build_postings(spark, sf):
     """X2 without stemming; positions of one (term, page, column) as text."""
-    p = X.build_postings(fx.text_pages(spark, sf), stem=False, buckets=16)
+    p = X.build_postings(fx.text_pages(spark, sf), buckets=16)
     return (p.groupBy("term", "doc_id", "page_num", "col")
             .agg(F.array_join(F.array_sort(F.collect_list("pos")), ",").alias("positions")))
 

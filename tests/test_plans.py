@@ -48,7 +48,7 @@ def test_aggregate_before_join(spark):
 
 def test_index_lookup_prunes_and_pushes(spark, tmp_path):
     path = str(tmp_path / "postings")
-    X.write_postings(X.build_postings(fx.text_pages(spark, SF001), stem=False, buckets=8), path)
+    X.write_postings(X.build_postings(fx.text_pages(spark, SF001), buckets=8), path)
     idx = X.PostingsIndex(spark.read.parquet(path), 8, stem=False)
     p = plan(X.match_pages(idx, X.Term("and")))
     assert re.search(r"PartitionFilters: \[.*bucket#\d+ = \d+", p)

@@ -81,8 +81,10 @@ CASES = [
 @pytest.fixture(scope="module")
 def index(spark, pages, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("postings"))
-    X.write_postings(X.build_postings(pages, stem=True, buckets=4), path)
-    return X.PostingsIndex(spark.read.parquet(path), 4, stem=True)
+    X.write_postings(X.build_postings(pages, buckets=4), path)
+    X.build_vocabulary(spark.read.parquet(path)).write.parquet(path + "-vocab")
+    return X.PostingsIndex(spark.read.parquet(path), 4, stem=True,
+                           vocab=spark.read.parquet(path + "-vocab"))
 
 
 @pytest.mark.parametrize("q,expr", CASES, ids=[c[0] for c in CASES])
