@@ -17,7 +17,10 @@ def balance(df: DataFrame, *keys: str) -> DataFrame:
     cluster -- is returned unchanged, so no shuffle is added there.
     """
     spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it as is
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)

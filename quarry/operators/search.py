@@ -89,7 +89,10 @@ def stem_vocabulary(tokens: DataFrame) -> DataFrame:
     first, so the Python step sees each word once. The vocabulary is small
     next to the occurrences, and AQE would coalesce it into a few tasks:
     it is re-spread over all cores (by token) before the Python stage."""
-    n = tokens.sparkSession.sparkContext.defaultParallelism
+    try:
+        n = tokens.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # remote session: fall back to the shuffle width
+        n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     return (tokens.select("token").distinct().repartition(n, "token")
             .withColumn("term", stem_udf("token")))
 
