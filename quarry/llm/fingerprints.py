@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import slices
-from quarry.llm.shingles import Shingler, mixed
+from quarry.llm.shingles import Shingler, mixed, odd_constants
 
 BINS, BITS = 512, 4
 PROBES = 64
@@ -38,6 +38,7 @@ class Fingerprinter:
         self.bins, self.bits, self.shingler = bins, bits, Shingler()
         self.shift = np.uint64(64 - int(bins).bit_length() + 1)
         self.low = np.uint64((1 << bits) - 1)
+        self.salt = odd_constants(bins, 23)
         self.probes: list[np.ndarray] = []
 
     def _probe(self, block: int) -> np.ndarray:
@@ -72,7 +73,10 @@ class Fingerprinter:
 
     def low_bits(self, text: str | None) -> np.ndarray | None:
         minima = self.minima(text)
-        return None if minima is None else (minima & self.low).astype(np.uint8)
+        if minima is None:
+            return None
+        # hashed once more with the bin: bins that share a minimum must not agree by chance together
+        return (mixed(minima + self.salt) & self.low).astype(np.uint8)
 
     def packed(self, low: np.ndarray | None) -> str:
         if low is None:
@@ -101,7 +105,7 @@ def with_following(docs: DataFrame, partitions: int | None = None) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
-    limits = sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n)))
+    limits = sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.2 / n))) if n > 1 else []
     range_of = F.when(F.col("doc_id").isNull(), F.lit(len(limits) + 1)).otherwise(
         F.size(F.filter(F.array(*[F.lit(int(x)) for x in limits]).cast("array<long>"), lambda x: x <= F.col("doc_id")))).cast("int")
     dealt = docs.withColumn("range", range_of).withColumn("extra", F.lit(False))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import fingerprints, line_dedup, mixing, packing
+from quarry.llm import fingerprints, langid, line_dedup, minhash, mixing, packing, polytope, suffixes, toxicity, wrappers
 from quarry.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -26,16 +26,42 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
+def op5_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.suffix_report(table(spark, sf_dir, "documents"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_line_dedup, op6_packing, op10_fingerprints)}
+    return {f.__name__: f for f in (
+        op1_mixing, op2_line_dedup, op3_minhash, op4_language, op5_html, op6_packing, op7_suffixes, op8_toxicity,
+        op9_embeddings, op10_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -36,9 +36,17 @@ class _Words(dict):
         return value
 
 
+_MEMO = _Words()  # one for each worker process
+
+
+def word_memo() -> dict[bytes, int]:
+    """Word to 64-bit hash, the most recent MEMO_WORDS words remembered."""
+    return _MEMO
+
+
 class Shingler:
     def __init__(self, words: int = 5):
-        self.words, self.memo, self.place = words, _Words(), odd_constants(words, 5)
+        self.words, self.memo, self.place = words, word_memo(), odd_constants(words, 5)
 
     def hashes(self, text: str | None) -> np.ndarray:
         """The hash of every shingle, in text order, repeats included."""

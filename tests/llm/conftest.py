@@ -1,0 +1,7 @@
+import pytest
+from llm_rows import awkward_rows
+
+
+@pytest.fixture(scope="session")
+def corpus():
+    return awkward_rows()
