@@ -55,3 +55,28 @@ def row_key(name: str):
     null sorts last and stays apart from every value, the empty one included."""
     c = F.col(name).cast("string")
     return F.when(c.isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), c))
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[dict]:
+    """Runs of rows with an equal key, as lists by column; a run may span batches."""
+    held: dict | None = None
+    last = None
+    for batch in batches:
+        columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
+        keys = list(zip(*(columns[n] for n in key), strict=True))
+        start = 0
+        while start < len(keys):
+            end = start + 1
+            while end < len(keys) and keys[end] == keys[start]:
+                end += 1
+            piece = {n: c[start:end] for n, c in columns.items()}
+            if held is not None and keys[start] == last:
+                for n, c in piece.items():
+                    held[n] += c
+            else:
+                if held is not None:
+                    yield held
+                held, last = piece, keys[start]
+            start = end
+    if held is not None:
+        yield held

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import cut, slices
+from quarry.llm.common import cut, groups, slices
 from quarry.llm.components import components
 
 THRESHOLD = 0.93
@@ -201,7 +201,7 @@ def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD, tables: in
             columns = list(zip(*found, strict=True)) or [()] * 4
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["rep", "variant", "links", "first"])
 
-        for group in _groups(batches, [*key, "i", "j"]):
+        for group in groups(batches, [*key, "i", "j"]):
             found = list(_compare(group, threshold, tables))
             if found:
                 yield out(found)
@@ -222,28 +222,3 @@ def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD, tables: in
             .select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component_id", "vec_id").alias("component_id")))
     return done.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
-
-
-def _groups(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[dict]:
-    """Runs of rows with an equal key, as lists by column; a run may span batches."""
-    held: dict | None = None
-    last = None
-    for batch in batches:
-        columns = {n: batch.column(n).to_pylist() for n in batch.schema.names}
-        keys = list(zip(*(columns[n] for n in key), strict=True))
-        start = 0
-        while start < len(keys):
-            end = start + 1
-            while end < len(keys) and keys[end] == keys[start]:
-                end += 1
-            piece = {n: c[start:end] for n, c in columns.items()}
-            if held is not None and keys[start] == last:
-                for n, c in piece.items():
-                    held[n] += c
-            else:
-                if held is not None:
-                    yield held
-                held, last = piece, keys[start]
-            start = end
-    if held is not None:
-        yield held

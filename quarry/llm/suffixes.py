@@ -45,7 +45,7 @@ from quarry.llm.shingles import mixed, odd_constants
 LENGTH, GRAM = 200, 64
 SIDE = LENGTH - GRAM  # bytes of a window on either side of the gram at most
 LOG2_BITS = 28
-PIECE = 1 << 20  # bytes hashed at a time
+PIECE = 1 << 18  # bytes hashed at a time
 SHALLOW = 4  # words of eight bytes
 GROUP_ROWS = 20_000  # different surroundings of a gram that one task sorts
 BATCH_ROWS = 30_000  # surroundings sorted together
