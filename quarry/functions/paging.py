@@ -41,6 +41,22 @@ def paginate(df: DataFrame, order: Sequence[Column | str], page: int = 1,
     return out.limit(limit)
 
 
+def page_after(df: DataFrame, key: Sequence[str], after: Sequence | None = None, limit: int = 20) -> DataFrame:
+    """The next ``limit`` rows in ascending order of the total order ``key`` after the
+    row whose key is ``after`` (None: from the start). A whole traversal by the
+    last key of each page keeps only ``limit`` rows per task, however deep."""
+    if after is not None:
+        beyond, equal = None, None
+        for name, value in zip(key, after, strict=True):
+            here = F.col(name) > F.lit(value)
+            here = here if equal is None else equal & here
+            beyond = here if beyond is None else beyond | here
+            same = F.col(name) == F.lit(value)
+            equal = same if equal is None else equal & same
+        df = df.filter(beyond)
+    return df.orderBy(*key).limit(limit)
+
+
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                     k: int, rank_col: str | None = None) -> DataFrame:
     """Rows ranked 1..k within each group under a total ``order``.

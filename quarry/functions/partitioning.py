@@ -4,23 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+INPUT_PARTITIONS = "spark.quarry.inputPartitions"
 
-def balance(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a skinny input over the cluster before CPU-heavy row work
-    (regex matching, tokenizing, chunking).
 
-    A scan yields one task per file split; a few large files (or one file
-    with one row group) leave most cores idle for every narrow stage after
-    the scan. When the scan has fewer partitions than the default
-    parallelism, rows are hash-partitioned by ``keys`` (deterministic on
-    retry). A scan that already has enough splits -- the normal case on a
-    cluster -- is returned unchanged, so no shuffle is added there.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a skinny input out to the number of partitions that the session
+    names in ``spark.quarry.inputPartitions`` before CPU-heavy row work.
+
+    Unset (the default, and right wherever the files give enough splits) nothing
+    is shuffled. It is for inputs of few files or row groups, as in the tests and
+    the benchmark, whose scan would leave most cores idle.
     """
-    spark = df.sparkSession
-    try:
-        target = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave it as is
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    n = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(n), *keys) if n else df

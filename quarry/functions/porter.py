@@ -155,9 +155,6 @@ def stem(token: str) -> str:
         return token
     # one character per byte, so non-ASCII bytes are consonants
     out = _stem_ascii(b.decode("latin-1"))
-    return out.encode("latin-1").decode("utf-8", errors="surrogateescape")
-
-
-def stem_series(s):
-    """pandas Series -> Series, for ``pandas_udf``."""
-    return s.map(stem)
+    # a suffix rule can cut a multi-byte character; what is left of it becomes
+    # U+FFFD in documents and queries alike, so that the stem stays valid text
+    return out.encode("latin-1").decode("utf-8", errors="replace")

@@ -67,13 +67,12 @@ def document_redactions(redactions: DataFrame, doc_id: str | None = None) -> Dat
         .orderBy("doc_id", "page_num")
 
 
-def document_pages(raw_docs: DataFrame, doc_id: str) -> DataFrame:
-    """Q6: the page list of one document (its records' blocks in order); a
-    document without a raw record gives no row (the caller's ``[]``)."""
-    r = raw_docs.filter(F.col("doc_id") == doc_id)
-    return (r.groupBy("doc_id")
-            .agg(F.array_sort(F.collect_list(F.struct("block", "pages"))).alias("_b"))
-            .select("doc_id", F.flatten(F.transform("_b", lambda b: b["pages"])).alias("pages")))
+def document_pages(raw_docs: DataFrame, doc_id: str | None = None) -> DataFrame:
+    """Q6: the pages of one document (of all, without ``doc_id``), one row per
+    page in page order; a document without a raw record gives none."""
+    from quarry.operators.pages import explode_pages
+    r = raw_docs if doc_id is None else raw_docs.filter(F.col("doc_id") == doc_id)
+    return explode_pages(r).orderBy("doc_id", "page_num")
 
 
 def document_page_stats(raw_docs: DataFrame) -> DataFrame:
@@ -155,11 +154,11 @@ def list_entities(entities: DataFrame, mentions: DataFrame, type: str | None = N
     return paginate(j, [F.col("mention_count").desc(), F.col("id")], page, limit, S.LIST_LIMITS[1])
 
 
-def get_entity(entities: DataFrame, name: str, all_types: bool = False) -> DataFrame:
-    """Q9: entity row by exact name. The reference key is (name, type) but
-    the lookup is by name, so one row wins: the smallest id. ``all_types``
-    returns every type instead."""
-    e = entities.filter(F.col("name") == name)
+def get_entity(entities: DataFrame, name: str | None = None, all_types: bool = False) -> DataFrame:
+    """Q9: entity row by exact name (of every name, without one). The reference
+    key is (name, type) but the lookup is by name, so one row wins: the smallest
+    id. ``all_types`` returns every type instead."""
+    e = entities if name is None else entities.filter(F.col("name") == name)
     if all_types:
         return e
     return e.groupBy("name").agg(F.min_by(F.struct(*entities.columns), F.col("id")).alias("e")) \
@@ -184,14 +183,16 @@ def entity_cooccurrence(mentions: DataFrame, entities: DataFrame, focus: DataFra
 
     ``mention_pairs`` is the reference's number (COUNT(*) of the
     mention x mention self join); ``shared_docs`` is the number of distinct
-    documents. The self join is never materialised: mentions are first counted
-    per (doc, entity), the focus entity's documents are joined to those counts
-    and the products summed: work is linear in the focus entities' documents.
+    documents. The self join is never materialised: the focus entities' documents
+    come first, the mentions of those documents alone are counted per (doc,
+    entity), and the products of counts are summed.
     ``focus`` has one column ``entity_id``.
     """
-    c = mentions.groupBy("doc_id", "entity_id").agg(F.count(F.lit(1)).alias("n"))
-    f = (c.join(focus.select(F.col("entity_id")).distinct(), "entity_id", "left_semi")
-         .select("doc_id", F.col("entity_id").alias("focus_id"), F.col("n").alias("n1")))
+    m = mentions.select("doc_id", "entity_id")
+    f = (m.join(focus.select(F.col("entity_id")).distinct(), "entity_id", "left_semi")
+         .groupBy("doc_id", F.col("entity_id").alias("focus_id")).agg(F.count(F.lit(1)).alias("n1")))
+    c = (m.join(f.select("doc_id"), "doc_id", "left_semi")
+         .groupBy("doc_id", "entity_id").agg(F.count(F.lit(1)).alias("n")))
     pairs = (f.join(c, "doc_id").filter(F.col("entity_id") != F.col("focus_id"))
              .groupBy("focus_id", "entity_id")
              .agg(F.sum(F.col("n1") * F.col("n")).alias("mention_pairs"),

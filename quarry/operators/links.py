@@ -1,29 +1,37 @@
 """Link harvest over fetched index pages.
 
 Fetching is outside Spark; the input is a table of fetched pages
-``(source, page_id, url, html)``. Link extraction is a regex over the
-markup with script, style and comment bodies removed first (an HTML
-parser does not see links inside them), all built-in functions.
+``(source, page_id, url, html)``. Anchors are found by a regular expression that
+reads attributes as units (quoted values may hold anything), after script,
+style and comment bodies are removed (an HTML parser does not see links inside
+them); character references of the few hrefs that have any are decoded by an
+Arrow-batched function.
 """
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.functions.text import url_filename
 
-# What is removed before matching, and the anchor pattern
-# (case-insensitive tag and attribute names, quoted or bare values).
-RAW_TEXT_BLOCKS = "(?is)<script[\\s>].*?</script\\s*>|<style[\\s>].*?</style\\s*>|<!--.*?-->"
-ANCHOR_HREF = "(?i)<a\\s[^>]*?href\\s*=\\s*[\"']?([^\"'\\s>]*)"
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", "\""), ("&#39;", "'"), ("&amp;", "&")]
+# What is removed before matching.
+RAW_TEXT_BLOCKS = "(?is)<script[\\s/>].*?</script\\s*>|<style[\\s/>].*?</style\\s*>|<!--.*?-->"
+# An attribute value, and an attribute, of a start tag.
+_VALUE = "(?:\"[^\"]*+\"|'[^']*+'|[^\\s\"'>][^\\s>]*+)"
+_ATTRIBUTE = "[^\\s/>=][^\\s/>=]*+(?:\\s*+=\\s*+" + _VALUE + "?)?"
+# The anchors of a page, and the value of the last href attribute in one.
+ANCHOR = "(?is)<a(?=[\\s/])(?:[\\s/]++(?:" + _ATTRIBUTE + ")?+)*+>"
+HREF = "(?is)^<a(?:[\\s/]++" + _ATTRIBUTE + ")*[\\s/]++href\\s*+=\\s*+(" + _VALUE + ")"
 
 
-def _unescape(c):
-    for k, v in ENTITIES:
-        c = F.replace(c, F.lit(k), F.lit(v))
-    return c
+@F.pandas_udf(T.StringType())
+def _decoded(values: pd.Series) -> pd.Series:
+    return values.map(html.unescape, na_action="ignore")
 
 
 def extract_links(pages: DataFrame, needle: str | None = None) -> DataFrame:
@@ -31,10 +39,12 @@ def extract_links(pages: DataFrame, needle: str | None = None) -> DataFrame:
     ``needle``, only hrefs whose lower-cased text contains it (the reference
     uses ``.pdf``)."""
     clean = F.regexp_replace(F.col("html"), RAW_TEXT_BLOCKS, "")
-    hrefs = F.regexp_extract_all(clean, F.lit(ANCHOR_HREF), 1)
+    found = F.transform(F.regexp_extract_all(clean, F.lit(ANCHOR), 0), lambda t: F.regexp_extract(t, HREF, 1))
     keep = [c for c in pages.columns if c != "html"]
-    out = pages.select(*keep, F.posexplode(hrefs).alias("pos", "href")) \
-        .withColumn("href", _unescape(F.col("href")))
+    value = F.col("href")
+    quoted = value.startswith('"') | value.startswith("'")
+    out = (pages.select(*keep, F.posexplode(F.filter(found, lambda v: v != "")).alias("pos", "href"))
+           .withColumn("href", _decoded(F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value))))
     if needle:
         out = out.filter(F.lower("href").contains(needle.lower()))
     return out

@@ -2,9 +2,10 @@
 
 The reference loads one file at a time with INSERT OR IGNORE and
 autoincrement ids. Here a run is one DAG over all candidate files:
-anti-joins replace the "already there?" lookups, ids are content hashes
-(``sha2`` for documents, ``xxhash64`` for entities) so reruns give the same
-keys without a global sort, and integrity is checked by audit queries.
+anti-joins replace the "already there?" lookups, entity and mention ids are
+64-bit content hashes (``xxhash64``) so reruns give the same keys without a
+global sort, documents keep the id of their file, and integrity -- colliding
+hashes included -- is checked by audit queries.
 """
 
 from __future__ import annotations
@@ -15,12 +16,6 @@ from pyspark.sql import functions as F
 from quarry import schemas as S
 
 
-def document_id(corpus, filename):
-    """Stable document key: sha2 of corpus and filename (the reference uses a
-    random uuid4; a hash keeps reruns and retries idempotent)."""
-    return F.sha2(F.concat_ws("/", corpus, filename), 256)
-
-
 def entity_id(name, type_):
     """Stable entity key for (name, type)."""
     return F.xxhash64(name, type_)
@@ -47,16 +42,17 @@ def upsert_entities(mentions: DataFrame, entities: DataFrame | None = None,
                       ts.alias("created_at"))
 
 
-def load_mentions(mentions: DataFrame, entities: DataFrame, created_at=None) -> DataFrame:
-    """D3: mention rows with their entity id. The ids are hashes, so the join
-    only confirms the entity exists (rows without one are dropped, as the
-    reference drops a mention whose lookup fails)."""
-    e = entities.select(F.col("id").alias("entity_id"), "name", "type")
+def mention_id():
+    return F.xxhash64("doc_id", "page_num", "type", "start", "name")
+
+
+def load_mentions(mentions: DataFrame, created_at=None) -> DataFrame:
+    """D3: mention rows with their entity id. An entity's id is a hash of its
+    name and type, so no row has to meet the entity table."""
     ts = F.localtimestamp() if created_at is None else F.lit(created_at).cast("timestamp_ntz")
-    m = mentions.join(e, ["name", "type"])
-    return m.select(
-        F.xxhash64("doc_id", "page_num", "type", "start", "name").alias("id"),
-        "entity_id", "doc_id", "page_num", "context", ts.alias("created_at"))
+    return mentions.select(
+        mention_id().alias("id"), entity_id(F.col("name"), F.col("type")).alias("entity_id"),
+        "doc_id", "page_num", "context", ts.alias("created_at"))
 
 
 def first_per_filename(candidates: DataFrame) -> DataFrame:
@@ -139,25 +135,30 @@ def run_release(status: DataFrame, corpora: DataFrame, run_time: str,
     return out.select(*cols)
 
 
-def run_totals(status: DataFrame) -> DataFrame:
+def run_totals(status: DataFrame, elapsed_seconds: float | None = None) -> DataFrame:
     """Totals of the run. Scanned and empty files are counted nowhere in
-    the reference; they get their own columns here."""
+    the reference; they get their own columns here. ``elapsed_seconds`` is the
+    run's wall-clock time, for the caller that ran it to pass."""
     s = F.col("status")
-    return status.agg(
+    out = status.agg(
         F.count_if(s == "ok").alias("total_docs"),
         F.count_if(s == "skipped").alias("skipped"),
         F.count_if(s == "error").alias("errors"),
         F.count_if(s == "scanned").alias("scanned"),
         F.count_if(s == "empty").alias("empty"),
     )
+    return out if elapsed_seconds is None else out.withColumn("elapsed_seconds", F.lit(float(elapsed_seconds)))
 
 
 def integrity_audit(documents: DataFrame, entities: DataFrame, mentions: DataFrame,
-                    redactions: DataFrame) -> DataFrame:
+                    redactions: DataFrame, releases: DataFrame | None = None,
+                    raw_docs: DataFrame | None = None) -> DataFrame:
     """The store's key rules as violation counts (all 0 when clean).
 
     One row per rule; each is a grouped count or an anti join, all
-    distributed (no collect)."""
+    distributed (no collect). A duplicate hash id shows two keys that collide.
+    The rules for release ids and raw-document keys (doc_id, block) apply where
+    those tables are given."""
 
     def dup(df, keys, rule):
         return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -175,6 +176,11 @@ def integrity_audit(documents: DataFrame, entities: DataFrame, mentions: DataFra
         dup(documents, ["filename"], "documents.filename unique"),
         dup(entities, ["id"], "entities.id unique"),
         dup(entities, ["name", "type"], "entities.(name,type) unique"),
+        dup(mentions, ["id"], "mentions.id unique"),
+        dup(redactions, ["id"], "redactions.id unique"),
+        *([dup(releases, ["id"], "releases.id unique")] if releases is not None else []),
+        *([dup(raw_docs, ["doc_id", "block"], "raw_docs.(doc_id,block) unique"),
+           orphan(raw_docs, "doc_id", documents, "id", "raw_docs.doc_id -> documents")] if raw_docs is not None else []),
         orphan(mentions, "entity_id", entities, "id", "mentions.entity_id -> entities"),
         orphan(mentions, "doc_id", documents, "id", "mentions.doc_id -> documents"),
         orphan(redactions, "doc_id", documents, "id", "redactions.doc_id -> documents"),
@@ -209,32 +215,47 @@ def release_log(documents: DataFrame, mentions: DataFrame) -> DataFrame:
 
 
 def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame,
-                 loaded_entities: DataFrame, run_time: str, extract=None) -> dict[str, DataFrame]:
-    """The whole load run as one DAG.
+                 loaded_entities: DataFrame, run_time: str, extract=None,
+                 shapes: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The whole load run (D1-D7 and the raw-document, page-index and
+    redaction rows that belong to it).
 
     ``files(doc_id, corpus, filename, file_path, page_count)``;
-    ``pages(doc_id, page_num, text)`` as extracted; ``extract(pages) ->
-    mentions(doc_id, page_num, type, name, start, context)`` (default: the
-    pattern extractor). Returns the rows to append to every table plus the
-    per-file status, the release rows and the run totals. Nothing is collected.
+    ``pages(doc_id, page_num, text)`` as extracted; ``shapes`` the page shapes
+    of P5-P7, if any; ``extract(pages) -> mentions(doc_id, page_num, type, name,
+    start, context)`` (default: the pattern extractor). Returns the rows to
+    append to every table plus the per-file status, the release rows and the
+    run totals.
+
+    Loaded files are skipped before their pages are read. The mentions of the
+    run are extracted once, into the shared scratch folder, and so are its
+    fresh files; every output is derived from these two.
     """
+    from quarry.functions.scratch import materialize
     from quarry.operators.mentions import extract_mentions
-    from quarry.operators.pages import first_pages, text_based_filter
+    from quarry.operators.pages import first_pages, nest_pages, page_records, text_based_filter
+    from quarry.operators.search import index_pages
     extract = extract or extract_mentions
-    candidates = text_based_filter(files, pages)                          # P4
-    fresh = skip_ingested(first_per_filename(candidates), loaded_documents)  # D1
-    new_docs = upsert_documents(fresh, None, run_time, dedupe=False)     # D4
+    unseen = skip_ingested(files, loaded_documents)                          # D1
+    text_based = text_based_filter(unseen, pages)                            # P4
+    fresh = materialize(first_per_filename(text_based), "run-files")
+    new_docs = upsert_documents(fresh, None, run_time, dedupe=False)         # D4
     new_pages = pages.join(fresh.select("doc_id"), "doc_id", "left_semi")
-    mentions = extract(new_pages)                                        # M1-M4
-    new_entities = upsert_entities(mentions, loaded_entities, run_time)  # D2
-    all_entities = loaded_entities.select("id", "name", "type").unionByName(
-        new_entities.select("id", "name", "type"))
-    new_mentions = load_mentions(mentions, all_entities, run_time)       # D3
-    # every extracted mention gets an entity (new or loaded), so the status
-    # counts come from the extraction directly, not through the entity join
+    mentions = materialize(extract(new_pages), "run-mentions")               # M1-M4
+    new_entities = upsert_entities(mentions, loaded_entities, run_time)      # D2
+    new_mentions = load_mentions(mentions, run_time)                         # D3
     counts = mentions.groupBy("doc_id").agg(F.count(F.lit(1)).alias("mentions"))
-    status = ingest_status(candidates.withColumn("readable", F.lit(True)), loaded_documents,
-                           first_pages(pages), counts)                   # D5
+    # files of the run: text-based ones, and the ones loaded before (skipped unread)
+    known = files.join(loaded_documents.select("filename").distinct(), "filename", "left_semi")
+    candidates = text_based.unionByName(known).withColumn("readable", F.lit(True))
+    status = ingest_status(candidates, loaded_documents, first_pages(new_pages), counts)  # D5
     releases = run_release(status, files.select("corpus"), run_time, mentions)  # D6
+    records = page_records(new_pages, shapes)
+    redactions = (records.where("redaction_count > 0")
+                  .select(F.xxhash64("doc_id", "page_num").alias("id"), "doc_id", "page_num", "redaction_count",
+                          F.col("estimated_chars_redacted").alias("estimated_chars")))
     return {"status": status, "documents": new_docs, "entities": new_entities,
-            "mentions": new_mentions, "releases": releases, "totals": run_totals(status)}
+            "mentions": new_mentions, "releases": releases, "totals": run_totals(status),
+            "raw_docs": nest_pages(records, new_docs),
+            "page_index": index_pages(records).select("doc_id", "page_num", "text"),
+            "redactions": redactions}

@@ -3,22 +3,26 @@
 The reference runs a statistical NER model per page. Its place is taken by a
 table of typed patterns (the model stays pluggable: any
 ``DataFrame(doc_id, page_num, type, name, start)`` can feed the load path).
-Matching, offsets and context are built-in array functions evaluated inside
-the page row, so the step is a narrow map with no shuffle.
+A page is matched by an Arrow-batched function that walks its matches once, so
+the step is a narrow map, linear in the text and its matches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry import schemas as S
-from quarry.functions.text import py_strip
+
+PAGES_AT_ONCE = 256  # texts that are Python objects at one time
 
 # The patterns that stand in for the NER model, as
-# (entity type, Java/RE2 regular expression). EMAIL is not a kept type and is
+# (entity type, regular expression). EMAIL is not a kept type and is
 # dropped by the type filter, as the model's other labels are.
 DEFAULT_PATTERNS = [
     ("PERSON", "[A-Z][a-z]{4,}"),
@@ -29,70 +33,48 @@ DEFAULT_PATTERNS = [
 ]
 
 
-def _spans(capped: Column, type_: str, regex: str) -> Column:
-    """array<struct<type, span, start>> of the matches of one pattern.
-
-    ``split`` gives the n+1 pieces between the n matches; one ``aggregate``
-    walks pieces and matches once, carrying the running offset, so offsets
-    cost O(n) lambda steps per page (n is bounded by the 10,000-character cap).
-    """
-    ms = F.regexp_extract_all(capped, F.lit(regex), 0)
-    ps = F.split(capped, regex, -1)
-    pairs = F.arrays_zip(F.slice(ps, 1, F.size(ms)).alias("p"), ms.alias("m"))
-    init = F.struct(F.lit(0).alias("pos"),
-                    F.array().cast("array<struct<type:string,span:string,start:int>>").alias("out"))
-
-    def step(acc, x):
-        st = acc["pos"] + F.length(x["p"])
-        return F.struct((st + F.length(x["m"])).alias("pos"),
-                        F.array_append(acc["out"], F.struct(F.lit(type_).alias("type"),
-                                                            x["m"].alias("span"),
-                                                            st.alias("start"))).alias("out"))
-    return F.when(F.size(ms) == 0, init["out"]).otherwise(F.aggregate(pairs, init, step)["out"])
-
-
 def extract_mentions(pages: DataFrame, patterns: Sequence[tuple[str, str]] = DEFAULT_PATTERNS,
                      types: Sequence[str] = S.ENTITY_TYPES,
-                     text_cap: int | None = S.MENTION_TEXT_CAP) -> DataFrame:
+                     text_cap: int | None = None) -> DataFrame:
     """M1-M4: (doc_id, page_num, type, name, start, context) per mention.
 
-    Per page: text is stripped, empty pages are skipped, patterns run on the
-    first ``text_cap`` characters (10,000, the reference's model input; None
-    matches the whole page); a name is the stripped span and must have >= 2
-    characters; the context is 60 characters each side clamped to the whole
-    text, newlines made spaces, stripped. Patterns of types outside ``types``
-    are not even run (the filter of M2 applied at plan time).
+    Per page: text is stripped, empty pages are skipped, patterns (Python
+    regular expressions) run on the whole text; ``text_cap`` limits matching to
+    the first characters of a page, for models with a bounded input
+    (``schemas.MENTION_TEXT_CAP``). A name is the stripped span and must have
+    >= 2 characters; the context is 60 characters each side clamped to the
+    whole text, newlines made spaces, stripped. Patterns of types outside
+    ``types`` are not even run (the filter of M2 applied at plan time).
     Extra columns of ``pages`` (corpus, filename, ...) are carried along.
     """
     keep = [(t, r) for t, r in patterns if t in set(types)]
-    t = py_strip(F.coalesce(F.col("text"), F.lit("")))
-    p = pages.withColumn("text", t).filter(F.length("text") > 0)
-    capped = F.col("text") if text_cap is None else F.substring(F.col("text"), 1, text_cap)
-    if not keep:
-        spans = F.array().cast("array<struct<type:string,span:string,start:int>>")
-    else:
-        spans = F.concat(*[_spans(capped, ty, rx) for ty, rx in keep]) if len(keep) > 1 \
-            else _spans(capped, *keep[0])
-    extra = [c for c in p.columns if c not in ("text",)]
-    text = F.col("text")
-
-    def finish(s):
-        # name and context are made inside the page row, so the exploded
-        # mention rows do not each carry a copy of the page text
-        st = s["start"]
-        lo = F.greatest(F.lit(0), st - S.MENTION_CONTEXT)
-        hi = F.least(F.length(text), st + F.length(s["span"]) + S.MENTION_CONTEXT)
-        ctx = py_strip(F.replace(F.substring(text, lo + 1, hi - lo), F.lit("\n"), F.lit(" ")))
-        return F.struct(s["type"].alias("type"), py_strip(s["span"]).alias("name"),
-                        st.alias("start"), ctx.alias("context"))
-    x = p.select(*extra, F.explode(F.transform(spans, finish)).alias("s"))
-    out = x.select(*extra, "s.type", "s.name", "s.start", "s.context")
-    return out.filter(F.length("name") >= S.MENTION_MIN_LENGTH)
-
-
-def mention_type_filter(mentions: DataFrame, types: Sequence[str] = S.ENTITY_TYPES) -> DataFrame:
-    """M2: keep mentions of the kept types (for mentions from another model)."""
-    return mentions.filter(F.col("type").isin(list(types)))
+    extra = [f for f in pages.schema.fields if f.name != "text"]
+    schema = T.StructType([*extra, T.StructField("type", T.StringType()), T.StructField("name", T.StringType()),
+                           T.StructField("start", T.IntegerType()), T.StructField("context", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compiled = [(t, re.compile(r)) for t, r in keep]
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(at, PAGES_AT_ONCE)
+                rows, found = [], []
+                for i, text in enumerate(part.column("text").to_pylist()):
+                    text = (text or "").strip()
+                    for type_, rx in compiled:
+                        for m in rx.finditer(text if text_cap is None else text[:text_cap]):
+                            name = m.group().strip()
+                            if len(name) >= S.MENTION_MIN_LENGTH:
+                                lo, hi = max(0, m.start() - S.MENTION_CONTEXT), m.end() + S.MENTION_CONTEXT
+                                rows.append(i)
+                                found.append((type_, name, m.start(), text[lo:hi].replace("\n", " ").strip()))
+                take = pa.array(rows, pa.int64())
+                columns = list(zip(*found, strict=True)) or [()] * 4
+                kinds = (pa.string(), pa.string(), pa.int32(), pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(f.name).take(take) for f in extra),
+                     *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], schema.names)
+
+    return pages.mapInArrow(run, schema)
 
 
 def distinct_entities_preview(mentions: DataFrame) -> DataFrame:

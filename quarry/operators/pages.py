@@ -86,6 +86,17 @@ def page_redactions(shapes: DataFrame) -> DataFrame:
         .alias("estimated_chars_redacted"))
 
 
+def page_records(pages: DataFrame, shapes: DataFrame | None = None) -> DataFrame:
+    """The full record of every page: stripped text, word count, and the
+    redactions and hidden characters of its shapes (0 where it has none)."""
+    facts = page_facts(pages)
+    if shapes is None:
+        return facts.withColumn("redaction_count", F.lit(0)).withColumn("estimated_chars_redacted", F.lit(0))
+    return (facts.join(page_redactions(shapes), ["doc_id", "page_num"], "left")
+            .withColumn("redaction_count", F.coalesce("redaction_count", F.lit(0)))
+            .withColumn("estimated_chars_redacted", F.coalesce("estimated_chars_redacted", F.lit(0))))
+
+
 def document_totals(page_rows: DataFrame) -> DataFrame:
     """Page count and total redactions per document."""
     return page_rows.groupBy("doc_id").agg(
@@ -93,7 +104,7 @@ def document_totals(page_rows: DataFrame) -> DataFrame:
         F.coalesce(F.sum("redaction_count"), F.lit(0)).cast("long").alias("total_redactions"))
 
 
-RAW_BLOCK_PAGES = 256
+RAW_BLOCK_PAGES = 256  # part of the raw-document schema: pages of a record at most
 
 
 def nest_pages(pages: DataFrame, docs: DataFrame, block_pages: int = RAW_BLOCK_PAGES) -> DataFrame:

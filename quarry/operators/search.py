@@ -6,28 +6,30 @@ tokenizer) and passes the user's query string through. Here:
 * X1 ``fts_tokens``: runs of ASCII letters/digits and any non-ASCII character,
   ASCII-only case folding; a built-in ``split``, no UDF.
 * X3 stemming runs on the distinct vocabulary only: a written index keeps
-  postings of folded tokens plus a (token, stem) vocabulary; a query maps its
-  stems to surface forms with one small vocabulary job and looks those up by
-  bucket. Searching pages without an index stems the (prefilter-reduced)
-  token occurrences with an Arrow UDF that stems each batch's distinct words.
+  postings of folded tokens plus a (bucket, token, stem) vocabulary; a stemmed
+  query joins the postings with the vocabulary rows of its stems on (bucket,
+  token), where Spark prunes the bucket folders at run time. Searching pages without
+  an index stems the (prefilter-reduced) token occurrences with an Arrow UDF
+  that stems each batch's distinct words.
 * X2 ``build_postings``: one row per token occurrence
   (bucket, term, doc_id, page_num, col, pos), term = the folded token. Written partitioned by the term
   bucket and sorted by term, so a term lookup prunes to one bucket folder and
   skips row groups by min/max statistics.
 * X5-X12 are structured predicates (no query-string parser):
   ``Term, Prefix, Phrase, Near, Initial, Col`` combined with ``&`` (AND),
-  ``|`` (OR) and ``-`` (NOT). Each leaf becomes a filtered scan of the
-  postings; AND / OR / NOT are semi / union / anti joins on the page key.
-* Without a built index (``PageSource``) each leaf first keeps only pages
-  whose folded text contains the leaf's term (or its stem minus two
+  ``|`` (OR) and ``-`` (NOT). The occurrences of all words of a query come from
+  one filtered scan of the postings and are written once to the shared scratch
+  folder; leaves read them there, and AND / OR / NOT are semi / union / anti
+  joins on the page key.
+* Without a built index (``PageSource``) a query first keeps only pages whose
+  folded text contains one of its terms (or a term's stem minus two
   characters, a prefix of every token with that stem) and tokenizes just those.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -38,6 +40,7 @@ from pyspark.sql.window import Window
 from quarry import schemas as S
 from quarry.functions.paging import paginate
 from quarry.functions.porter import stem as _stem
+from quarry.functions.scratch import materialize
 from quarry.functions.text import ascii_lower, py_strip
 
 # The separators of the ASCII tokenizer (every ASCII character
@@ -148,9 +151,35 @@ def build_postings(pages: DataFrame, buckets: int = 64) -> DataFrame:
 
 
 def build_vocabulary(postings: DataFrame) -> DataFrame:
-    """X3 for an index: (token, stem) of every distinct token of the postings."""
-    return stem_vocabulary(postings.select(F.col("term").alias("token"))) \
-        .withColumnRenamed("term", "stem")
+    """X3 for an index: (bucket, token, stem) of every distinct token of the
+    postings. For appended postings, build it from them alone and append what
+    :func:`new_vocabulary` leaves."""
+    stems = stem_vocabulary(postings.select(F.col("term").alias("token"))).withColumnRenamed("term", "stem")
+    return postings.select("bucket", F.col("term").alias("token")).distinct().join(stems, "token")
+
+
+def new_vocabulary(vocabulary: DataFrame, known: DataFrame) -> DataFrame:
+    """The rows of ``vocabulary`` whose token the index does not have yet."""
+    return vocabulary.join(known.select("token"), "token", "left_anti")
+
+
+def append_pages(pages: DataFrame, path: str, buckets: int) -> None:
+    """Add pages to the index written under ``path`` (``postings``, ``vocabulary``
+    and ``lengths``), creating it if it is not there: new postings and page
+    lengths are appended, and the vocabulary's new tokens only."""
+    spark = pages.sparkSession
+    rows = materialize(build_postings(pages, buckets), "postings")
+    fresh = build_vocabulary(rows)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/vocabulary")
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        fresh = new_vocabulary(fresh, spark.read.parquet(f"{path}/vocabulary"))
+    materialize(fresh, "vocabulary").write.mode("append").parquet(f"{path}/vocabulary")
+    write_postings(rows, f"{path}/postings", mode="append")
+    page_lengths(pages).write.mode("append").parquet(f"{path}/lengths")
+
+
+def open_index(spark, path: str, buckets: int, stem: bool = True) -> PostingsIndex:
+    return PostingsIndex(spark.read.parquet(f"{path}/postings"), buckets, stem, spark.read.parquet(f"{path}/vocabulary"))
 
 
 def write_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -173,12 +202,11 @@ def write_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> N
 @dataclass
 class PostingsIndex:
     """A written index: postings of folded tokens and, for stemmed search, the
-    (token, stem) vocabulary built with it."""
+    (bucket, token, stem) vocabulary built with it."""
     postings: DataFrame
     buckets: int
     stem: bool = True
     vocab: DataFrame | None = None
-    forms: dict | None = None      # (word, is_prefix) -> [(token, stem)], filled per query
 
 
 @dataclass
@@ -187,6 +215,13 @@ class PageSource:
     stem: bool = True
 
 
+@dataclass
+class QueryOccurrences:
+    """The occurrences of all words of one query."""
+    rows: DataFrame
+    stem: bool
+
+
 # ---------------------------------------------------------------------------
 # Predicates
 # ---------------------------------------------------------------------------
@@ -279,65 +314,64 @@ def _leaf_words(e: Expr, stem: bool) -> list[tuple[str, bool]]:
 
 
 def _candidate_pages(src: PageSource, words: list[str]) -> DataFrame:
-    """Pages whose folded columns contain every needed word (a necessary
-    condition for a token match; with stemming, the stem minus two
-    characters is a prefix of every token carrying that stem)."""
+    """Pages whose folded columns contain one of the words (a necessary
+    condition for a token match)."""
     hay = ascii_lower(F.concat_ws(" ", F.col("doc_id").cast("string"),
                                   F.col("page_num").cast("string"), F.col("text")))
-    cond = None
-    for w in words:
-        probe = _probe(w, src.stem)
-        if probe:
-            c = hay.contains(probe)
-            cond = c if cond is None else cond & c
     p = index_pages(src.pages).select(*PAGE_KEY, "text")
-    return p.filter(cond) if cond is not None else p
+    probes = [_probe(w, src.stem) for w in words]
+    return p.filter(_any([hay.contains(x) for x in probes])) if all(probes) else p
 
 
 def _probe(w: str, stem: bool) -> str:
     """A prefix every token carrying term ``w`` starts with: the word itself,
-    or with stemming the stem minus two characters (checked over the whole
-    vocabulary of the test corpora; Porter only rewrites a word's tail)."""
+    or with stemming the stem minus two characters. Every step of the stemmer
+    keeps that true: a rule shortens the word or replaces a suffix by one that is
+    no longer, and all but the last two characters of the replacement start the
+    suffix (asserted over the rule tables in the tests); an added ``e`` and a
+    final ``i`` for ``y`` are single last characters."""
     return w[:max(len(w) - 2, 0)] if stem else w
 
 
-def _occurrences(src, words: list[tuple[str, bool]], columns) -> DataFrame:
+def _any(conditions: list[Column]) -> Column:
+    out = conditions[0]
+    for c in conditions[1:]:
+        out = out | c
+    return out
+
+
+def _carries(column: str, words: list[tuple[str, bool]]) -> Column:
+    return _any([F.col(column).startswith(w) if is_prefix else (F.col(column) == w) for w, is_prefix in words])
+
+
+def _occurrences(src, words: list[tuple[str, bool]], columns=None) -> DataFrame:
     """Token rows (doc_id, page_num, col, pos, term) matching any of ``words``."""
-    cond = None
-    for w, is_prefix in words:
-        c = F.col("term").startswith(w) if is_prefix else (F.col("term") == w)
-        cond = c if cond is None else cond | c
-    if isinstance(src, PostingsIndex) and not src.stem:
-        exact = [w for w, p in words if not p]
+    if isinstance(src, QueryOccurrences):
+        t = src.rows.filter(_carries("term", words))
+    elif isinstance(src, PostingsIndex) and not src.stem:
         t = src.postings
-        if exact and len(exact) == len(words):
-            t = t.filter(F.col("bucket").isin([_bucket_of(w, src.buckets) for w in exact]))
-        t = t.filter(cond)
+        if not any(is_prefix for _, is_prefix in words):
+            # literals: folded by the optimizer into a filter on the bucket folders
+            t = t.filter(F.col("bucket").isin(*[term_bucket(F.lit(w), src.buckets) for w, _ in words]))
+        t = t.filter(_carries("term", words))
     elif isinstance(src, PostingsIndex):
-        t = _stemmed_lookup(src, words, cond)
+        if src.vocab is None:
+            raise ValueError("a stemmed PostingsIndex needs its vocabulary (build_vocabulary)")
+        forms = src.vocab.filter(_carries("stem", words)).select("bucket", F.col("token").alias("term"), "stem")
+        t = src.postings.join(forms, ["bucket", "term"]).drop("term").withColumnRenamed("stem", "term")
     else:
-        pages = _candidate_pages(src, [w for w, _ in words])
-        toks = page_tokens(pages)
+        toks = page_tokens(_candidate_pages(src, [w for w, _ in words]))
         if src.stem:
             # only tokens that can carry a wanted stem go through the stemmer
-            pre = None
-            for w, _ in words:
-                c = F.col("token").startswith(_probe(w, True))
-                pre = c if pre is None else pre | c
-            toks = with_terms(toks.filter(pre), True)
+            toks = with_terms(toks.filter(_any([F.col("token").startswith(_probe(w, True)) for w, _ in words])), True)
         else:
             toks = toks.withColumnRenamed("token", "term")
-        t = toks.filter(cond)
+        t = toks.filter(_carries("term", words))
     if columns is not None:
         t = t.filter(F.col("col").isin(list(columns)))
     return t.select(*PAGE_KEY, "col", "pos", "term")
 
 
-# Surface forms of the query stems up to this many are looked up by bucket;
-# beyond it (a short stemmed prefix) the postings are joined to the forms.
-MAX_FORMS_PRUNED = 10_000
-
-
 def _all_words(e: Expr, stem: bool) -> list[tuple[str, bool]]:
     if isinstance(e, (And, Or, Not)):
         return _all_words(e.left, stem) + _all_words(e.right, stem)
@@ -346,64 +380,14 @@ def _all_words(e: Expr, stem: bool) -> list[tuple[str, bool]]:
     return _leaf_words(e, stem)
 
 
-def _resolve_forms(src, e: Expr):
-    """For a stemmed index: one vocabulary job per query maps every word of
-    the predicate to its surface forms (bounded by MAX_FORMS_PRUNED; a word
-    with more forms, e.g. a short stemmed prefix, is joined instead)."""
-    if not (isinstance(src, PostingsIndex) and src.stem) or src.forms is not None:
+def query_occurrences(src, e: Expr) -> QueryOccurrences:
+    """One scan for all words of the query, written once for its leaves."""
+    if isinstance(src, QueryOccurrences):
         return src
-    if src.vocab is None:
-        raise ValueError("a stemmed PostingsIndex needs its vocabulary (build_vocabulary)")
-    words = sorted(set(_all_words(e, True)))
-    rows = (src.vocab.filter(_stem_cond(words)).select("token", "stem")
-            .limit(MAX_FORMS_PRUNED + 1).collect())
-    forms = {}
-    if len(rows) <= MAX_FORMS_PRUNED:
-        for w, is_prefix in words:
-            forms[(w, is_prefix)] = [(r.token, r.stem) for r in rows
-                                     if (r.stem.startswith(w) if is_prefix else r.stem == w)]
-    return replace(src, forms=forms)
-
-
-def _stemmed_lookup(src: PostingsIndex, words, cond) -> DataFrame:
-    """Postings rows whose token carries a wanted stem, with ``term`` = stem.
-    Resolved surface forms prune to their buckets and are pushed to the scan
-    (a bounded list, broadcast); unresolved words join the vocabulary."""
-    if src.vocab is None:
-        raise ValueError("a stemmed PostingsIndex needs its vocabulary (build_vocabulary)")
-    p = src.postings
-    known = src.forms or {}
-    if all(w in known for w in words):
-        pairs = sorted({f for w in words for f in known[w]})
-        if not pairs:
-            return p.limit(0).select(*PAGE_KEY, "col", "pos", "term")
-        toks = sorted({t for t, _ in pairs})
-        p = p.filter(F.col("bucket").isin(sorted({_bucket_of(t, src.buckets) for t in toks}))) \
-            .filter(F.col("term").isin(toks))
-        forms = p.sparkSession.createDataFrame(pairs, "term string, stem string")
-        j = p.join(F.broadcast(forms), "term")          # at most MAX_FORMS_PRUNED rows
-    else:
-        forms = src.vocab.filter(_stem_cond(words)).select(F.col("token").alias("term"), "stem")
-        j = p.join(forms, "term")
-    return j.select(*PAGE_KEY, "col", "pos", F.col("stem").alias("term"))
-
-
-def _stem_cond(words):
-    cond = None
-    for w, is_prefix in words:
-        c = F.col("stem").startswith(w) if is_prefix else (F.col("stem") == w)
-        cond = c if cond is None else cond | c
-    return cond
-
-
-def _bucket_of(term: str, buckets: int) -> int:
-    """Bucket of a literal term: Spark's ``xxhash64`` is XXH64 with seed 42 over
-    the UTF-8 bytes, so the driver computes it without a job."""
-    import xxhash
-    h = xxhash.xxh64_intdigest(term.encode("utf-8"), seed=42)
-    if h >= 1 << 63:
-        h -= 1 << 64
-    return h % buckets
+    words = sorted(set(_all_words(e, src.stem)))
+    if not words:
+        raise ValueError(f"empty query {e!r}")
+    return QueryOccurrences(materialize(_occurrences(src, words), "occurrences"), src.stem)
 
 
 def _match(src, e: Expr, columns=None) -> DataFrame:
@@ -441,8 +425,8 @@ def _match(src, e: Expr, columns=None) -> DataFrame:
             first = first.join(nxt, PAGE_KEY + ["col", "p0"], "left_semi")
         return first.select(*PAGE_KEY).distinct()
     if isinstance(e, Near):
-        members = [[fold_query_token(w, stem) for w in _query_tokens(m)] for m in e.words]
-        return _near(_occurrences(src, words, columns), [m for m in members if m], e.k)
+        return (_near_instances(_occurrences(src, words, columns), _near_members(e, stem), e.k)
+                .select(*PAGE_KEY).distinct())
     raise TypeError(e)
 
 
@@ -451,53 +435,61 @@ def _word_rows(occ: DataFrame, w: tuple[str, bool]) -> DataFrame:
     return occ.filter(F.col("term").startswith(word) if is_prefix else F.col("term") == word)
 
 
-def _near(occ: DataFrame, members: list[list[str]], k: int) -> DataFrame:
-    """Instances of every member (a phrase: consecutive tokens; a word: one
-    token) as [start, end]; a page column matches when, for some instance at
+def _instances(occ: DataFrame, toks: list[str]) -> DataFrame:
+    """Where a word or phrase starts: (doc_id, page_num, col, start)."""
+    inst = _word_rows(occ, (toks[0], False)).select(*PAGE_KEY, "col", F.col("pos").alias("start"))
+    for i, w in enumerate(toks[1:], start=1):
+        nxt = _word_rows(occ, (w, False)).select(*PAGE_KEY, "col", (F.col("pos") - i).alias("start"))
+        inst = inst.join(nxt, PAGE_KEY + ["col", "start"], "left_semi")
+    return inst
+
+
+def _near_instances(occ: DataFrame, members: list[list[str]], k: int) -> DataFrame:
+    """The instances (doc_id, page_num, col, m, start) that take part in a NEAR
+    match. Instances of every member (a phrase: consecutive tokens; a word: one
+    token) are [start, end]; a page column matches when, for some instance at
     ``start`` that ends at ``end``, every member has an instance starting in
     [start, end + k + 1] -- that instance is then the first one, and the last
     one starts at most k tokens after its end. A range-framed window over the
     instances of one page column: groups are bounded by the page size.
     Repeated members may share an instance, as in the full-text index."""
-    parts = []
-    for toks in members:
-        key = " ".join(toks)
-        inst = _word_rows(occ, (toks[0], False)).select(*PAGE_KEY, "col", F.col("pos").alias("start"))
-        for i, w in enumerate(toks[1:], start=1):
-            nxt = _word_rows(occ, (w, False)).select(*PAGE_KEY, "col", (F.col("pos") - i).alias("start"))
-            inst = inst.join(nxt, PAGE_KEY + ["col", "start"], "left_semi")
-        parts.append(inst.select(*PAGE_KEY, "col", "start",
-                                 (F.col("start") + len(toks) - 1).alias("end"), F.lit(key).alias("m")))
-    inst = parts[0]
-    for p in parts[1:]:
-        inst = inst.unionByName(p)
+    distinct = {" ".join(t): t for t in members}
+    inst = None
+    for key, toks in distinct.items():
+        p = _instances(occ, toks).withColumn("end", F.col("start") + len(toks) - 1).withColumn("m", F.lit(key))
+        inst = p if inst is None else inst.unionByName(p)
     longest = max(len(t) for t in members)
     win = (Window.partitionBy(*PAGE_KEY, "col").orderBy("start")
            .rangeBetween(Window.currentRow, longest + k))
     reach = F.col("end") + k + 1
     near = F.filter(F.collect_list(F.struct("start", "m")).over(win), lambda x: x["start"] <= reach)
-    n = len({" ".join(t) for t in members})
-    hit = inst.withColumn("seen", F.size(F.array_distinct(F.transform(near, lambda x: x["m"]))))
-    return hit.filter(F.col("seen") >= n).select(*PAGE_KEY).distinct()
+    first = (inst.withColumn("near", near)
+             .filter(F.size(F.array_distinct(F.transform("near", lambda x: x["m"]))) >= len(distinct)))
+    return (first.select(*PAGE_KEY, "col", F.explode("near").alias("x"))
+            .select(*PAGE_KEY, "col", F.col("x.m").alias("m"), F.col("x.start").alias("start")).distinct())
+
+
+def _near_members(e: Near, stem: bool) -> list[list[str]]:
+    members = [[fold_query_token(w, stem) for w in _query_tokens(m)] for m in e.words]
+    return [m for m in members if m]
 
 
 def match_pages(src, e: Expr) -> DataFrame:
     """Page keys (doc_id, page_num) matching a predicate."""
-    return _match(_resolve_forms(src, e), e)
+    return _match(query_occurrences(src, e), e)
 
 
 def search_pages(src, documents: DataFrame, e: Expr, corpus: str | None = None,
                  page: int = 1, limit: int | None = S.LIST_LIMITS[0]) -> DataFrame:
-    """DISTINCT (id, corpus, filename, page_count, page_num) of matching
-    pages, optional corpus filter (pushed to the document scan), ordered by
+    """Distinct (id, corpus, filename, page_count, page_num) of matching
+    pages (page keys and document ids are unique), optional corpus filter (pushed to the document scan), ordered by
     (id, page_num) -- the reference leaves the order unspecified -- then paged.
     ``limit=None`` returns every match."""
     hits = match_pages(src, e)
     d = documents.select("id", "corpus", "filename", "page_count")
     if corpus:
         d = d.filter(F.col("corpus") == corpus)
-    j = hits.join(d, hits["doc_id"] == d["id"]).select("id", "corpus", "filename", "page_count",
-                                                        "page_num").distinct()
+    j = hits.join(d, hits["doc_id"] == d["id"]).select("id", "corpus", "filename", "page_count", "page_num")
     return paginate(j, [F.col("id"), F.col("page_num")], page, limit, S.LIST_LIMITS[1])
 
 
@@ -523,8 +515,8 @@ def page_lengths(pages: DataFrame) -> DataFrame:
 
 
 def _phrases(e: Expr, columns=None) -> list[tuple[Expr, object]]:
-    """The phrases a ranking sums over: every word of a Term, every Phrase /
-    Prefix / Near member / Initial; the excluded side of NOT never hits a
+    """The leaves a ranking sums over: every word of a Term, every Phrase,
+    Prefix, Initial and Near; the excluded side of NOT never hits a
     matching row, so it adds nothing."""
     if isinstance(e, (And, Or)):
         return _phrases(e.left, columns) + _phrases(e.right, columns)
@@ -535,22 +527,33 @@ def _phrases(e: Expr, columns=None) -> list[tuple[Expr, object]]:
         return _phrases(e.expr, cols if columns is None else [c for c in cols if c in columns])
     if isinstance(e, Term):
         return [(Term(w), columns) for w in _query_tokens(e.text)]
-    if isinstance(e, Near):
-        return [(Phrase(m) if len(_query_tokens(m)) > 1 else Term(m), columns) for m in e.words]
     return [(e, columns)]
 
 
-def _phrase_hits(src, e: Expr, columns) -> DataFrame:
-    """(doc_id, page_num, f): instances of one phrase per page."""
+def _phrase_hits(src, e: Expr, columns, tag: int) -> DataFrame:
+    """(tag, doc_id, page_num, f): instances of one phrase per page, for every
+    page with the phrase. A NEAR counts, for each member under a tag of its
+    own, the instances that take part in the match."""
     words = _leaf_words(e, src.stem)
     occ = _occurrences(src, words, columns)
+    if isinstance(e, Near):
+        members = _near_members(e, src.stem)
+        found = _near_instances(occ, members, e.k).withColumn("hit", F.lit(1))
+        first = None
+        for i, m in enumerate(members):
+            inst = _instances(occ, m).withColumn("m", F.lit(" ".join(m))).withColumn("tag", F.lit(f"{tag}.{i}"))
+            first = inst if first is None else first.unionByName(inst)
+        # a page where a member takes part in no match still counts as a row with the member
+        return (first.join(found, [*PAGE_KEY, "col", "m", "start"], "left")
+                .groupBy("tag", *PAGE_KEY).agg(F.count("hit").alias("f")))
     first = _word_rows(occ, words[0]).select(*PAGE_KEY, "col", F.col("pos").alias("p0"))
     if isinstance(e, Initial):
         first = first.filter(F.col("p0") == 0)
     for i, w in enumerate(words[1:], start=1):
         nxt = _word_rows(occ, w).select(*PAGE_KEY, "col", (F.col("pos") - i).alias("p0"))
         first = first.join(nxt, PAGE_KEY + ["col", "p0"], "left_semi")
-    return first.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("f"))
+    first = first.select(*PAGE_KEY, F.lit(str(tag)).alias("tag"))
+    return first.groupBy("tag", *PAGE_KEY).agg(F.count(F.lit(1)).alias("f"))
 
 
 def rank_pages(src, e: Expr, lengths: DataFrame) -> DataFrame:
@@ -558,30 +561,23 @@ def rank_pages(src, e: Expr, lengths: DataFrame) -> DataFrame:
     sum over phrases of idf * f * (k1 + 1) / (f + k1 * (1 - b + b * D / avgdl)),
     idf = ln((N - n + 0.5) / (n + 0.5)) floored at 1e-6, N = index rows,
     n = rows with the phrase, D = tokens of the row, avgdl = mean D.
-    The corpus-wide numbers (N, avgdl, one n per phrase) are scalar
-    aggregates; everything per page stays distributed."""
-    from quarry.session import checkpoint_dir
-    checkpoint_dir(lengths.sparkSession)
-    stats = lengths.agg(F.count(F.lit(1)).alias("N"), F.avg("n_tokens").alias("avgdl")).first()
-    n_rows, avgdl = stats["N"], stats["avgdl"] or 1.0
-    # matching pages and per-phrase hits are one small row per page: they are
-    # written once (reliable checkpoint) instead of re-derived by every job
-    src = _resolve_forms(src, e)
-    hits = match_pages(src, e).checkpoint()
-    parts = []
-    for ph, cols in _phrases(e):
-        h = _phrase_hits(src, ph, cols).checkpoint()
-        n = h.count()
-        idf = max(math.log((n_rows - n + 0.5) / (n + 0.5)), BM25_MIN_IDF)
-        parts.append(h.withColumn("idf", F.lit(idf)))
-    contrib = parts[0]
+    One plan: the hits of all phrases, tagged, are written once; n is an
+    aggregate by tag, N and avgdl are scalar subqueries over ``lengths``."""
+    src = query_occurrences(src, e)
+    hits = match_pages(src, e)
+    parts = [_phrase_hits(src, ph, cols, i) for i, (ph, cols) in enumerate(_phrases(e))]
+    found = parts[0]
     for p in parts[1:]:
-        contrib = contrib.unionByName(p)
-    d = lengths.select(*PAGE_KEY, "n_tokens")
-    norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("n_tokens") / F.lit(avgdl))
-    score = F.col("idf") * F.col("f") * F.lit(BM25_K1 + 1) / (F.col("f") + norm)
-    scored = (contrib.join(hits, PAGE_KEY, "left_semi").join(d, PAGE_KEY)
-              .groupBy(*PAGE_KEY).agg(F.sum(score).alias("score")))
+        found = found.unionByName(p)
+    found = materialize(found, "phrase-hits")
+    n_rows = lengths.agg(F.count(F.lit(1))).scalar()
+    avgdl = lengths.agg(F.coalesce(F.avg("n_tokens"), F.lit(1.0))).scalar()
+    rows_with = found.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))  # one row per phrase of the query text
+    idf = F.greatest(F.log((n_rows - F.col("n") + 0.5) / (F.col("n") + 0.5)), F.lit(BM25_MIN_IDF))
+    norm = F.lit(BM25_K1) * (F.lit(1 - BM25_B) + F.lit(BM25_B) * F.col("n_tokens") / avgdl)
+    score = idf * F.col("f") * F.lit(BM25_K1 + 1) / (F.col("f") + norm)
+    scored = (found.join(hits, PAGE_KEY, "left_semi").join(lengths.select(*PAGE_KEY, "n_tokens"), PAGE_KEY)
+              .join(rows_with, "tag").groupBy(*PAGE_KEY).agg(F.sum(score).alias("score")))
     return hits.join(scored, PAGE_KEY, "left").fillna(0.0, ["score"])
 
 

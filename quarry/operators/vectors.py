@@ -4,14 +4,16 @@
   fixed dimension, corpus IDF, L2 normalisation) from Spark ML. Any external
   model plugs in as a ``DataFrame(chunk_id, embedding)``.
 * V6 ``vector_topk``: exact cosine top-k of a batch of query vectors against
-  the whole chunk table. The query batch is broadcast (its size is checked;
-  larger batches are cut into blocks), every task multiplies its Arrow batch
-  of chunk vectors with the query matrix in numpy and keeps only its own
-  top-k per query, and a final ``row_number() <= k`` per query merges at
+  the whole chunk table. The query batch goes to the tasks in blocks of
+  MAX_QUERY_BYTES, one at a time on the driver; every task multiplies tiles of
+  TILE queries with its Arrow batches of chunk vectors in numpy (memory:
+  the block, the batch, and TILE x batch rows distances) and keeps only its own
+  top-k per query; a final ``row_number() <= k`` per query merges at
   most ``k x tasks`` rows per query. The chunk table is never shuffled.
-* V7 ``vector_topk_lsh``: approximate top-k: random-projection LSH buckets
-  (Spark ML) equi-joined between queries and chunks, exact distance on the
-  candidates only.
+* V7 ``vector_topk_lsh``: approximate top-k: bands of random-hyperplane signs
+  (BITS per band, one bucket key each) equi-joined between queries and
+  chunks on ids alone; vectors are fetched for the surviving pairs only, and
+  those are ranked by exact distance.
 """
 
 from __future__ import annotations
@@ -27,9 +29,12 @@ from pyspark.sql import types as T
 
 from quarry import schemas as S
 from quarry.functions.paging import top_k_per_group
+from quarry.functions.scratch import materialize
 
-# Broadcast bound for the query matrix (float64 values).
+# Bound on the query vectors (float64) that travel to the tasks at a time, and
+# queries whose distances to an Arrow batch are held at a time.
 MAX_QUERY_BYTES = 64 * 1024 * 1024
+TILE = 256
 
 TOPK_SCHEMA = T.StructType([
     T.StructField("question_id", T.LongType()),
@@ -44,33 +49,36 @@ def _unit(m: np.ndarray) -> np.ndarray:
     return m / n
 
 
-def _partition_topk(qids, qmat, qcorpus, k, has_filter):
+def _partition_topk(qids, qmat, qcorpus, k):
     """mapInPandas body: running top-k per query over the Arrow batches of one
-    task. Only indices that can still enter a query's top-k leave numpy."""
+    task. Only distances that can still enter a query's top-k leave numpy."""
+    corpora = np.array([c if c is not None else "" for c in qcorpus], dtype=object)
+    filtered = np.array([c is not None for c in qcorpus], dtype=bool)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         best = [[] for _ in qids]                     # per query: [(distance, chunk_id)]
+        worst = np.full(len(qids), np.inf)            # its k-th distance so far
         for b in batches:
             if len(b) == 0:
                 continue
             x = _unit(np.stack(b["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy()))
-            d = 1.0 - qmat @ x.T                      # (queries, rows) cosine distances
-            ids = b["chunk_id"].to_numpy(dtype=object)
-            if has_filter:
-                corp = b["corpus"].to_numpy(dtype=object)
-                for qc in {c for c in qcorpus if c is not None}:
-                    rows = [i for i, c in enumerate(qcorpus) if c == qc]
-                    d[np.ix_(rows, np.nonzero(corp != qc)[0])] = np.inf
-            if d.shape[1] > k:
+            ids, corp = b["chunk_id"].to_numpy(dtype=object), b["corpus"].to_numpy(dtype=object)
+            for t in range(0, len(qids), TILE):
+                d = 1.0 - qmat[t:t + TILE] @ x.T      # (queries of the tile, rows) cosine distances
+                if filtered[t:t + TILE].any():
+                    d[filtered[t:t + TILE, None] & (corpora[t:t + TILE, None] != corp[None, :])] = np.inf
                 # every row tied with the k-th distance stays a candidate, so
                 # the final (distance, chunk_id) order is exact
-                kth = np.partition(d, k - 1, axis=1)[:, k - 1:k]
-                keep = (d <= kth) & np.isfinite(d)
-            else:
-                keep = np.isfinite(d)
-            for qi in range(len(qids)):
-                idx = np.nonzero(keep[qi])[0]
-                if len(idx):
-                    best[qi] = sorted(best[qi] + [(float(d[qi, j]), ids[j]) for j in idx])[:k]
+                bound = worst[t:t + TILE]
+                if d.shape[1] > k:
+                    bound = np.minimum(bound, np.partition(d, k - 1, axis=1)[:, k - 1])
+                qi, at = np.nonzero((d <= bound[:, None]) & np.isfinite(d))
+                for q, j in zip(qi.tolist(), at.tolist()):
+                    best[t + q].append((float(d[q, j]), ids[j]))
+                for q in set(qi.tolist()):
+                    best[t + q] = sorted(best[t + q])[:k]
+                    if len(best[t + q]) == k:
+                        worst[t + q] = best[t + q][-1][0]
         rows = [(q, c, dist) for q, hits in zip(qids, best) for dist, c in hits]
         yield pd.DataFrame({"question_id": pd.Series([r[0] for r in rows], dtype="int64"),
                             "chunk_id": pd.Series([r[1] for r in rows], dtype=object),
@@ -99,20 +107,21 @@ def vector_topk(chunks: DataFrame, queries: DataFrame, k: int = S.DEFAULT_TOP_K,
     that ``metadata.corpus`` before ranking. Returns (question_id, rank,
     chunk_id, distance); ties are broken by chunk_id; distances are clamped
     at 0 and rounded to 6 digits.
-    Query batches above the broadcast bound are split into blocks by id.
+    A query batch beyond MAX_QUERY_BYTES is answered block by block; each
+    block's result is written to the shared scratch folder before the next block
+    is read, so the driver holds one block at a time.
     """
     stats = queries.select(F.count(F.lit(1)).alias("n"), F.max(F.size("embedding")).alias("d")).first()
     n, d = stats["n"], stats["d"] or 0
     per_block = max(1, MAX_QUERY_BYTES // (max(d, 1) * 8))
     blocks = max(1, math.ceil(n / per_block))
-    parts = []
+    if blocks == 1:
+        return _topk_block(chunks, queries, k, corpus_col, d)
+    out = None
     for b in range(blocks):
-        qb = queries if blocks == 1 else queries.filter(
-            F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == b)
-        parts.append(_topk_block(chunks, qb, k, corpus_col, d))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = materialize(_topk_block(chunks, queries.filter(F.pmod(F.xxhash64("question_id"), F.lit(blocks)) == b),
+                                       k, corpus_col, d), "topk-block")
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -127,7 +136,7 @@ def _topk_block(chunks, queries, k, corpus_col, d):
         wanted = sorted({x for x in qcorpus if x is not None})
         if all(x is not None for x in qcorpus):
             c = c.filter(F.col("corpus").isin(wanted))    # pushed to the scan
-    part = c.mapInPandas(_partition_topk(qids, qmat, qcorpus, k, has_filter), TOPK_SCHEMA)
+    part = c.mapInPandas(_partition_topk(qids, qmat, qcorpus, k), TOPK_SCHEMA)
     ranked = top_k_per_group(part, ["question_id"], [F.col("distance"), F.col("chunk_id")], k,
                              rank_col="rank")
     return ranked.select("question_id", F.col("rank").cast("int").alias("rank"), "chunk_id",
@@ -136,8 +145,7 @@ def _topk_block(chunks, queries, k, corpus_col, d):
 
 def retrieve(chunks: DataFrame, queries: DataFrame, k: int = S.DEFAULT_TOP_K) -> DataFrame:
     """V9: hits with chunk text and metadata, nearest first."""
-    # the hits are at most k per query of a size-checked batch: broadcast them
-    top = F.broadcast(vector_topk(chunks, queries, k))
+    top = vector_topk(chunks, queries, k)
     c = chunks.select("chunk_id", "text", "metadata")
     return c.join(top, "chunk_id").select("question_id", "rank", "chunk_id", "text", "metadata",
                                           "distance")
@@ -147,35 +155,49 @@ def retrieve(chunks: DataFrame, queries: DataFrame, k: int = S.DEFAULT_TOP_K) ->
 # V7: approximate top-k with random-projection LSH
 # ---------------------------------------------------------------------------
 
+BITS, BANDS = 8, 96  # nearest vectors at a cosine of 1/3 share a band with chance 0.9, orthogonal ones 0.3
+
+
+def sign_bands(df: DataFrame, id_col: str, d: int, bits: int, bands: int, seed: int) -> DataFrame:
+    """(id, band, key): the signs of ``bits`` random projections per band as an
+    integer. A zero vector has all signs positive, as any fixed choice would do."""
+    planes = np.random.default_rng(seed).normal(size=(bands * bits, d))
+    weights = 1 << np.arange(bits)
+    id_field = df.schema[id_col]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b) == 0:
+                continue
+            x = np.stack(b["embedding"].map(lambda v: np.asarray(v, dtype=np.float64)).to_numpy())
+            keys = ((x @ planes.T >= 0).reshape(len(x), bands, bits) * weights).sum(axis=2)
+            yield pd.DataFrame({id_col: np.repeat(b[id_col].to_numpy(), bands), "band": np.tile(np.arange(bands), len(x)),
+                                "key": keys.ravel()})
+
+    schema = T.StructType([id_field, T.StructField("band", T.IntegerType()), T.StructField("key", T.IntegerType())])
+    return df.select(id_col, "embedding").mapInPandas(run, schema)
+
+
+def lsh_candidates(chunks: DataFrame, queries: DataFrame, bits: int = BITS, bands: int = BANDS, seed: int = 7) -> DataFrame:
+    """(question_id, chunk_id) pairs that share a bucket in at least one band; ids only."""
+    d = queries.select(F.max(F.size("embedding"))).first()[0] or 1
+    ck = sign_bands(chunks, "chunk_id", d, bits, bands, seed)
+    qk = sign_bands(queries, "question_id", d, bits, bands, seed)
+    return qk.join(ck, ["band", "key"]).select("question_id", "chunk_id").distinct()
+
+
 def vector_topk_lsh(chunks: DataFrame, queries: DataFrame, k: int = S.DEFAULT_TOP_K,
-                    bucket_length: float = 0.8, tables: int = 8, seed: int = 7) -> DataFrame:
-    """V7: candidates share an LSH bucket with the query in at least one table;
-    exact cosine distance on candidates; top k per query. Unit vectors make
-    Euclidean order equal to cosine order."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def unit(df, idc):
-        norm = F.sqrt(F.aggregate(F.col("embedding"), F.lit(0.0), lambda a, x: a + x * x))
-        u = F.transform(F.col("embedding"), lambda x: x / norm)
-        return df.select(idc, u.alias("u"), array_to_vector(u).alias("v"))
-
-    cu = unit(chunks, "chunk_id")
-    qu = unit(queries, "question_id")
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                      numHashTables=tables, seed=seed).fit(cu)
-
-    def keys(df, idc):
-        from pyspark.ml.functions import vector_to_array
-        return (lsh.transform(df)
-                .select(idc, "u", F.posexplode(F.transform("h", lambda v: vector_to_array(v)[0]))
-                        .alias("t", "b")))
-    ck = keys(cu, "chunk_id")
-    qk = keys(qu, "question_id").withColumnRenamed("u", "qu")
-    cand = (qk.join(ck, ["t", "b"]).select("question_id", "chunk_id", "qu", "u")
-            .dropDuplicates(["question_id", "chunk_id"]))
-    dot = F.aggregate(F.zip_with("qu", "u", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
-    scored = cand.select("question_id", "chunk_id", (F.lit(1.0) - dot).alias("distance"))
+                    bits: int = BITS, bands: int = BANDS, seed: int = 7) -> DataFrame:
+    """V7: top k per query among the candidates, by exact cosine distance (1 to
+    a zero vector). More bits per band prune more, more bands find more."""
+    norm = lambda c: F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x * x))
+    dot = F.aggregate(F.zip_with("qe", "ce", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda a, x: a + x)
+    cand = (lsh_candidates(chunks, queries, bits, bands, seed)
+            .join(queries.select("question_id", F.col("embedding").alias("qe")), "question_id")
+            .join(chunks.select("chunk_id", F.col("embedding").alias("ce")), "chunk_id"))
+    lengths = norm("qe") * norm("ce")
+    scored = cand.select("question_id", "chunk_id",
+                         F.when(lengths == 0, F.lit(1.0)).otherwise(F.lit(1.0) - F.try_divide(dot, lengths)).alias("distance"))
     ranked = top_k_per_group(scored, ["question_id"], [F.col("distance"), F.col("chunk_id")], k,
                              rank_col="rank")
     return ranked.select("question_id", F.col("rank").cast("int").alias("rank"), "chunk_id",
@@ -218,11 +240,9 @@ class HashingEmbedder:
     def fit_transform(self, chunks: DataFrame, text_col: str = "text",
                       out_col: str = "embedding") -> DataFrame:
         """Fit and embed with one pass over the text: term frequencies are
-        written once (a reliable checkpoint in the session's shared
-        checkpoint folder), then IDF is fitted on and applied to them."""
+        written once to the shared scratch folder, then IDF is fitted on and
+        applied to them."""
         from pyspark.ml.feature import IDF
-        from quarry.session import checkpoint_dir
-        checkpoint_dir(chunks.sparkSession)
-        tf = self._tf(chunks, text_col).drop("_tok").checkpoint(eager=True)
+        tf = materialize(self._tf(chunks, text_col).drop("_tok"), "term-frequencies")
         self.model = IDF(inputCol="_tf", outputCol="_tfidf").fit(tf)
         return self._finish(tf, out_col)

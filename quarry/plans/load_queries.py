@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from quarry.operators import links as L
 from quarry.operators import load as D
 from quarry.operators import mentions as M
-from quarry.plans.oracle import (STAR_DOCUMENTS, STAR_ENTITIES, STAR_MENTIONS, STAR_REDACTIONS,
-                                 TEXT_DOCUMENTS, TEXT_PAGES, with_)
-from quarry.plans.text_queries import _STRIPPED, _mentions_sql
+from quarry.operators import pages as P
+from quarry.plans.oracle import (STAR_DOCUMENTS, STAR_ENTITIES, STAR_MENTIONS, STAR_REDACTIONS, STAR_RELEASES,
+                                 STAR_SHAPES, TEXT_DOCUMENTS, TEXT_PAGES, with_)
+from quarry.plans.text_queries import _PAGE_RED, _STRIPPED, _mentions_sql, _wc
 from quarry.sources import fixtures as fx
 
 Q: dict = {}
@@ -35,23 +36,23 @@ def register(name, sql=None):
 
 # -- links -------------------------------------------------------------------
 
+# The generated pages write every anchor as <a href="...">, outside scripts and
+# comments; the twin cuts them at that text instead of matching tags.
 _LINKS = """
-WITH clean AS (
-  SELECT page_id, regexp_replace(html,
-           '(?is)<script[\\s>].*?</script\\s*>|<style[\\s>].*?</style\\s*>|<!--.*?-->', '', 'g') AS h
-  FROM pages),
-raw AS (SELECT page_id, regexp_extract_all(h, '(?i)<a\\s[^>]*?href\\s*=\\s*["'']?([^"''\\s>]*)', 1) AS hs
-        FROM clean),
-l0 AS (SELECT page_id, unnest(hs) AS h0, generate_subscripts(hs, 1) - 1 AS pos FROM raw),
-l1 AS (SELECT 'web' AS source, page_id, CAST(pos AS INTEGER) AS pos,
-              replace(replace(replace(replace(replace(h0, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
-                              '&#39;', ''''), '&amp;', '&') AS href FROM l0),
+WITH pieces AS (SELECT page_id, url, string_split(html, '<a href="') AS ps FROM pages),
+raw AS (SELECT page_id, url, unnest(ps[2:]) AS piece, generate_subscripts(ps[2:], 1) - 1 AS pos FROM pieces),
+l1 AS (SELECT 'web' AS source, page_id, url, CAST(pos AS INTEGER) AS pos,
+              replace(replace(replace(replace(replace(substr(piece, 1, instr(piece, '"') - 1), '&lt;', '<'),
+                '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&amp;', '&') AS href FROM raw),
 links AS (SELECT *, CASE WHEN starts_with(href, 'http') THEN href
                          ELSE 'https://www.example.org' || href END AS link FROM l1),
 named AS (SELECT *, url_decode(replace(split_part(string_split(link, '/')[-1], '?', 1), '+', '%2B'))
                     AS filename FROM links),
-plan AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY filename ORDER BY page_id, pos) = 1
-                        THEN 'fetch' ELSE 'skip' END AS status FROM named)
+known AS (SELECT filename FROM named WHERE url LIKE '%//blog.%' UNION SELECT filename FROM named WHERE url LIKE '%/de/%'),
+plan AS (SELECT page_id, pos, filename, source,
+                CASE WHEN row_number() OVER (PARTITION BY filename ORDER BY page_id, pos) = 1
+                          AND filename NOT IN (SELECT filename FROM known) THEN 'fetch' ELSE 'skip' END AS status
+         FROM named)
 """
 
 
@@ -86,11 +87,19 @@ def url_filename(spark, sf):
     return L.with_filenames(_links(spark, sf), decode=True).select("page_id", "pos", "filename")
 
 
+def _plan(spark, sf):
+    """The plan of a run after which the blogs' links are in the manifest and
+    the links of German pages lie on disk."""
+    named = L.with_filenames(_links(spark, sf), decode=True)
+    return L.plan_downloads(named, named.where("url LIKE '%//blog.%'").select("filename"),
+                            named.where("url LIKE '%/de/%'").select("filename"))
+
+
 @register("plan_downloads", _LINKS + "SELECT page_id, pos, filename, status FROM plan")
 def plan_downloads(spark, sf):
-    """First link per file name is fetched, repeats are skipped."""
-    return L.plan_downloads(L.with_filenames(_links(spark, sf), decode=True)) \
-        .select("page_id", "pos", "filename", "status")
+    """The first link per new file name is fetched; repeats, names in the
+    manifest and names on disk are skipped."""
+    return _plan(spark, sf).select("page_id", "pos", "filename", "status")
 
 
 @register("harvest_counts", _LINKS + """
@@ -98,20 +107,27 @@ SELECT source, count(*) AS found, count(*) FILTER (WHERE status = 'fetch') AS to
        count(*) FILTER (WHERE status = 'skip') AS skipped FROM plan GROUP BY source""")
 def harvest_counts(spark, sf):
     """L6."""
-    return L.harvest_counts(L.plan_downloads(L.with_filenames(_links(spark, sf), decode=True)))
+    return L.harvest_counts(_plan(spark, sf))
 
 
 # -- load --------------------------------------------------------------------
 
-def _run(spark, sf):
-    files = fx.text_documents(spark, sf).select(F.col("id").alias("doc_id"), "corpus", "filename",
-                                                "file_path", "page_count")
-    pages = fx.text_pages(spark, sf)
+def _loaded(spark, sf):
+    """What an earlier run left: documents and entities of the labelled files."""
     lab = fx.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("doc_id"))
-    loaded_docs = files.join(lab, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "filename")
-    old_mentions = M.extract_mentions(pages.join(lab, "doc_id", "left_semi"))
-    loaded_entities = D.upsert_entities(old_mentions, None, RUN_TIME)
-    return D.ingest_batch(files, pages, loaded_docs, loaded_entities, RUN_TIME)
+    docs = _files(spark, sf).join(lab, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "filename")
+    mentions = M.extract_mentions(fx.text_pages(spark, sf).join(lab, "doc_id", "left_semi"))
+    return docs, D.upsert_entities(mentions, None, RUN_TIME)
+
+
+def _files(spark, sf):
+    return fx.text_documents(spark, sf).select(F.col("id").alias("doc_id"), "corpus", "filename",
+                                               "file_path", "page_count")
+
+
+def _run(spark, sf):
+    return D.ingest_batch(_files(spark, sf), fx.text_pages(spark, sf), *_loaded(spark, sf), RUN_TIME,
+                          shapes=fx.star_page_shapes(spark, sf))
 
 
 _LOAD = with_(TEXT_DOCUMENTS, TEXT_PAGES, _STRIPPED, _mentions_sql()) + """,
@@ -119,7 +135,8 @@ loaded AS (SELECT d.id, d.filename FROM text_documents d
            WHERE d.id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)),
 candidates AS (SELECT d.id AS doc_id, d.corpus, d.filename, d.file_path, d.page_count
                FROM text_documents d
-               WHERE d.id IN (SELECT doc_id FROM stripped WHERE page_num = 1 AND length(t) > 50)),
+               WHERE d.id IN (SELECT doc_id FROM stripped WHERE page_num = 1 AND length(t) > 50)
+                  OR d.id IN (SELECT id FROM loaded)),
 fresh AS (SELECT * FROM candidates WHERE filename NOT IN (SELECT filename FROM loaded)),
 old_entities AS (SELECT DISTINCT name, type FROM mentions WHERE doc_id IN (SELECT id FROM loaded)),
 new_mentions AS (SELECT * FROM mentions WHERE doc_id IN (SELECT doc_id FROM fresh)),
@@ -143,11 +160,11 @@ def ingest_status(spark, sf):
     return _run(spark, sf)["status"]
 
 
-@register("skip_ingested", _LOAD + "SELECT doc_id, corpus, filename FROM fresh")
+@register("skip_ingested", _LOAD + """
+SELECT id AS doc_id, corpus, filename FROM text_documents WHERE filename NOT IN (SELECT filename FROM loaded)""")
 def skip_ingested(spark, sf):
-    """Candidates not loaded before."""
-    st = _run(spark, sf)["status"]
-    return st.filter(F.col("status") == "ok").select("doc_id", "corpus", "filename")
+    """Files not loaded before."""
+    return D.skip_ingested(_files(spark, sf), _loaded(spark, sf)[0]).select("doc_id", "corpus", "filename")
 
 
 @register("upsert_documents", _LOAD + """
@@ -160,19 +177,70 @@ def upsert_documents(spark, sf):
 
 
 @register("upsert_entities", _LOAD + """
-SELECT DISTINCT name, type FROM new_mentions
-WHERE (name, type) NOT IN (SELECT (name, type) FROM old_entities)""")
+SELECT name, type, count(*) AS mentions FROM new_mentions
+WHERE (name, type) NOT IN (SELECT (name, type) FROM old_entities) GROUP BY name, type""")
 def upsert_entities(spark, sf):
-    """New (name, type) pairs of the run."""
-    return _run(spark, sf)["entities"].select("name", "type")
+    """New (name, type) pairs of the run, with the mentions that carry their id."""
+    run = _run(spark, sf)
+    counts = run["mentions"].groupBy(F.col("entity_id").alias("id")).agg(F.count(F.lit(1)).alias("mentions"))
+    return run["entities"].join(counts, "id").select("name", "type", "mentions")
 
 
 @register("load_mentions", _LOAD + """
-SELECT doc_id, page_num, context, count(*) AS n FROM new_mentions GROUP BY doc_id, page_num, context""")
+SELECT doc_id, page_num, name, type, context, count(*) AS n, count(*) AS ids
+FROM new_mentions GROUP BY doc_id, page_num, name, type, context""")
 def load_mentions(spark, sf):
-    """D3: mention rows appended (grouped by page and context to compare)."""
-    return _run(spark, sf)["mentions"].groupBy("doc_id", "page_num", "context") \
-        .agg(F.count(F.lit(1)).alias("n"))
+    """D3: mention rows appended, through their entity ids, and their own ids counted."""
+    run, (_, old) = _run(spark, sf), _loaded(spark, sf)
+    entities = old.unionByName(run["entities"]).select(F.col("id").alias("entity_id"), "name", "type")
+    return (run["mentions"].join(entities, "entity_id").groupBy("doc_id", "page_num", "name", "type", "context")
+            .agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("ids")))
+
+
+_RECORDS = with_(TEXT_DOCUMENTS, TEXT_PAGES, _STRIPPED, STAR_SHAPES, _PAGE_RED) + """,
+records AS (SELECT s.doc_id, s.page_num, s.t, coalesce(r.redaction_count, 0) AS redaction_count,
+                   coalesce(r.estimated_chars_redacted, 0) AS estimated_chars_redacted
+            FROM stripped s LEFT JOIN page_red r ON r.doc_id = s.doc_id AND r.page_num = s.page_num),
+new_records AS (SELECT * FROM records
+                WHERE doc_id IN (SELECT doc_id FROM stripped WHERE page_num = 1 AND length(t) > 50)
+                  AND doc_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels))
+"""
+
+
+@register("page_records", _RECORDS + f"""
+SELECT doc_id, page_num, {_wc('t')} AS word_count, redaction_count, estimated_chars_redacted, md5(t) AS text_md5
+FROM records""")
+def page_records(spark, sf):
+    """P1, P2 and P7 as one record per page, pages without shapes included."""
+    r = P.page_records(fx.text_pages(spark, sf), fx.star_page_shapes(spark, sf))
+    return r.select("doc_id", "page_num", "word_count", "redaction_count", "estimated_chars_redacted",
+                    F.md5("text").alias("text_md5"))
+
+
+@register("load_raw_documents", _RECORDS + f"""
+SELECT doc_id, CAST((page_num - 1) // 256 AS INTEGER) AS block, CAST(count(*) AS INTEGER) AS pages,
+       CAST(sum({_wc('t')}) AS BIGINT) AS words, CAST(sum(redaction_count) AS BIGINT) AS redactions
+FROM new_records GROUP BY doc_id, (page_num - 1) // 256""")
+def load_raw_documents(spark, sf):
+    """The raw-document records that a load run writes."""
+    total = lambda f: F.aggregate("pages", F.lit(0).cast("long"), lambda a, p: a + p[f])
+    return _run(spark, sf)["raw_docs"].select("doc_id", "block", F.size("pages").alias("pages"),
+                                              total("word_count").alias("words"), total("redaction_count").alias("redactions"))
+
+
+@register("load_page_index", _RECORDS + """
+SELECT doc_id, page_num, md5(t) AS text_md5 FROM new_records WHERE t <> ''""")
+def load_page_index(spark, sf):
+    """The page-index rows that a load run writes."""
+    return _run(spark, sf)["page_index"].select("doc_id", "page_num", F.md5("text").alias("text_md5"))
+
+
+@register("load_redactions", _RECORDS + """
+SELECT doc_id, page_num, redaction_count, estimated_chars_redacted AS estimated_chars
+FROM new_records WHERE redaction_count > 0""")
+def load_redactions(spark, sf):
+    """The redaction rows that a load run writes."""
+    return _run(spark, sf)["redactions"].select("doc_id", "page_num", "redaction_count", "estimated_chars")
 
 
 @register("run_release", _LOAD + """
@@ -204,35 +272,54 @@ def run_totals(spark, sf):
     return _run(spark, sf)["totals"]
 
 
-@register("integrity_audit", with_(STAR_DOCUMENTS, STAR_ENTITIES, STAR_MENTIONS, STAR_REDACTIONS) + """
-SELECT 'documents.id unique' AS rule,
-       CAST(coalesce((SELECT sum(n - 1) FROM (SELECT count(*) n FROM star_documents GROUP BY id) WHERE n > 1), 0) AS BIGINT) AS violations
-UNION ALL SELECT 'documents.filename unique',
-       CAST(coalesce((SELECT sum(n - 1) FROM (SELECT count(*) n FROM star_documents GROUP BY filename) WHERE n > 1), 0) AS BIGINT)
-UNION ALL SELECT 'entities.id unique',
-       CAST(coalesce((SELECT sum(n - 1) FROM (SELECT count(*) n FROM star_entities GROUP BY id) WHERE n > 1), 0) AS BIGINT)
-UNION ALL SELECT 'entities.(name,type) unique',
-       CAST(coalesce((SELECT sum(n - 1) FROM (SELECT count(*) n FROM star_entities GROUP BY name, type) WHERE n > 1), 0) AS BIGINT)
-UNION ALL SELECT 'mentions.entity_id -> entities',
-       (SELECT count(*) FROM star_mentions WHERE entity_id NOT IN (SELECT id FROM star_entities))
-UNION ALL SELECT 'mentions.doc_id -> documents',
-       (SELECT count(*) FROM star_mentions WHERE doc_id NOT IN (SELECT id FROM star_documents))
-UNION ALL SELECT 'redactions.doc_id -> documents',
-       (SELECT count(*) FROM star_redactions WHERE doc_id NOT IN (SELECT id FROM star_documents))""")
+def _dup(table: str, keys: str, rule: str) -> str:
+    return (f"SELECT '{rule}' AS rule, CAST(coalesce((SELECT sum(n - 1) FROM (SELECT count(*) n FROM {table} "
+            f"GROUP BY {keys}) WHERE n > 1), 0) AS BIGINT) AS violations")
+
+
+def _orphan(table: str, key: str, parent: str, rule: str) -> str:
+    return f"SELECT '{rule}', (SELECT count(*) FROM {table} WHERE {key} NOT IN (SELECT id FROM {parent}))"
+
+
+@register("integrity_audit", with_(STAR_DOCUMENTS, STAR_ENTITIES, STAR_MENTIONS, STAR_REDACTIONS, STAR_RELEASES)
+          + " UNION ALL ".join([
+              _dup("star_documents", "id", "documents.id unique"),
+              _dup("star_documents", "filename", "documents.filename unique"),
+              _dup("star_entities", "id", "entities.id unique"),
+              _dup("star_entities", "name, type", "entities.(name,type) unique"),
+              _dup("lineitem", "l_orderkey, l_linenumber, l_partkey, l_suppkey", "mentions.id unique"),
+              _dup("star_redactions", "doc_id, page_num", "redactions.id unique"),
+              _dup("star_releases", "id", "releases.id unique"),
+              _orphan("star_mentions", "entity_id", "star_entities", "mentions.entity_id -> entities"),
+              _orphan("star_mentions", "doc_id", "star_documents", "mentions.doc_id -> documents"),
+              _orphan("star_redactions", "doc_id", "star_documents", "redactions.doc_id -> documents")]))
 def integrity_audit(spark, sf):
     """D8 over the star tables."""
-    return D.integrity_audit(fx.star_documents(spark, sf), fx.star_entities(spark, sf),
-                             fx.star_mentions(spark, sf), fx.star_redactions(spark, sf))
+    return D.integrity_audit(fx.star_documents(spark, sf), fx.star_entities(spark, sf), fx.star_mentions(spark, sf),
+                             fx.star_redactions(spark, sf), fx.star_releases(spark, sf))
 
 
 # -- streaming ---------------------------------------------------------------
 
-@register("stream_ingest")
+@register("stream_ingest", with_(TEXT_DOCUMENTS, TEXT_PAGES, _STRIPPED, _mentions_sql()) + """,
+counts AS (SELECT doc_id, count(*) AS n FROM mentions GROUP BY doc_id),
+files AS (SELECT d.id, d.corpus, coalesce(c.n, 0) AS n,
+                 d.id IN (SELECT doc_id FROM stripped WHERE page_num = 1 AND length(t) > 50) AS good,
+                 d.id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels) AS early
+          FROM text_documents d LEFT JOIN counts c ON c.doc_id = d.id)
+SELECT CAST(0 AS BIGINT) AS batch_id, corpus, count(*) FILTER (WHERE good) AS docs_added,
+       CAST(coalesce(sum(n) FILTER (WHERE good), 0) AS BIGINT) AS entities_found, CAST(0 AS BIGINT) AS skipped
+FROM files WHERE early GROUP BY corpus
+UNION ALL
+SELECT 1, corpus, count(*) FILTER (WHERE good AND NOT early),
+       CAST(coalesce(sum(n) FILTER (WHERE good AND NOT early), 0) AS BIGINT), count(*) FILTER (WHERE good AND early)
+FROM files GROUP BY corpus""")
 def stream_ingest(spark, sf):
     """T1+T2: the text documents dropped as input files in two waves -- first
     the labelled documents, then all of them (so the second repeats every file
     name of the first) -- ingested by two ``availableNow`` runs of the
-    streaming load; the result is the release log of both runs.
+    streaming load; the result is the release log of both runs with the number
+    of files that each skipped.
     Input, store and checkpoint live under the session's checkpoint folder."""
     import uuid
 
@@ -249,5 +336,8 @@ def stream_ingest(spark, sf):
     run(spark, f"{root}/src", f"{root}/store", checkpoint=f"{root}/ckpt").awaitTermination()
     raw.write.parquet(f"{root}/src/wave=2")                   # everything again: repeats + new
     run(spark, f"{root}/src", f"{root}/store", checkpoint=f"{root}/ckpt").awaitTermination()
-    return read_store(spark, f"{root}/store", "releases").select(
-        "batch_id", "corpus", "docs_added", "entities_found")
+    skipped = (read_store(spark, f"{root}/store", "status").groupBy("batch_id", "corpus")
+               .agg(F.count_if(F.col("status") == "skipped").alias("skipped")))
+    return (read_store(spark, f"{root}/store", "releases").join(skipped, ["batch_id", "corpus"], "left")
+            .select(F.col("batch_id").cast("long").alias("batch_id"), "corpus", "docs_added", "entities_found",
+                    F.coalesce("skipped", F.lit(0)).alias("skipped")))

@@ -10,6 +10,7 @@ _MODULES = [
     "quarry.plans.search_queries",
     "quarry.plans.vector_queries",
     "quarry.plans.load_queries",
+    "quarry.plans.sink_queries",
 ]
 
 

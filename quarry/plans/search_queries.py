@@ -6,10 +6,13 @@ split); the stemmed ones are checked against SQLite FTS5 in the unit tests.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quarry.operators import search as X
 from quarry.plans.oracle import PY_WS_CHARS, TEXT_DOCUMENTS, TEXT_PAGES, with_
+from quarry.session import checkpoint_dir
 from quarry.sources import fixtures as fx
 
 Q: dict = {}
@@ -54,9 +57,33 @@ def _pages_with(term_cond: str) -> str:
     return f"SELECT DISTINCT doc_id, page_num FROM occ WHERE {term_cond}"
 
 
+BUCKETS = 16
+_WRITTEN: dict[tuple[str, str], str] = {}  # (application, input) -> folder of its index
+
+
+def _index(spark, sf, stem=False):
+    """The page index of the fixture, written once per application to the
+    shared checkpoint folder and read back."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _WRITTEN:
+        folder = f"{checkpoint_dir(spark).rstrip('/')}/page-index-{uuid.uuid4().hex}"
+        X.append_pages(fx.text_pages(spark, sf), folder, BUCKETS)
+        _WRITTEN[key] = folder
+    return X.open_index(spark, _WRITTEN[key], BUCKETS, stem)
+
+
+def _lengths(spark, sf):
+    _index(spark, sf)
+    return spark.read.parquet(f"{_WRITTEN[spark.sparkContext.applicationId, sf]}/lengths")
+
+
 def _run(spark, sf, expr, stem=False, **kw):
-    src = X.PageSource(fx.text_pages(spark, sf), stem=stem)
-    return X.search_pages(src, fx.text_documents(spark, sf), expr, limit=kw.pop("limit", None), **kw)
+    return X.search_pages(_index(spark, sf, stem), fx.text_documents(spark, sf), expr, limit=kw.pop("limit", None), **kw)
+
+
+def _scan(spark, sf, expr, stem=False):
+    """The same search over pages without an index."""
+    return X.search_pages(X.PageSource(fx.text_pages(spark, sf), stem=stem), fx.text_documents(spark, sf), expr, limit=None)
 
 
 @register("tokenize_ascii", _HEAD + """
@@ -99,6 +126,13 @@ def search_and(spark, sf):
     return _run(spark, sf, X.Term("the on"))
 
 
+@register("search_scan_and_not", _result(
+    _pages_with("term = 'the'") + " INTERSECT " + _pages_with("term = 'of'") + " EXCEPT " + _pages_with("term = 'on'")))
+def search_scan_and_not(spark, sf):
+    """AND and NOT over pages without an index."""
+    return _scan(spark, sf, X.Term("the of") - X.Term("on"))
+
+
 @register("search_or", _result(_pages_with("term IN ('und', 'les')")))
 def search_or(spark, sf):
     return _run(spark, sf, X.Term("und") | X.Term("les"))
@@ -154,9 +188,7 @@ def search_initial(spark, sf):
 @register("search_corpus_page", _result(_pages_with("term = 'and'"), extra="WHERE d.corpus = 'src1'",
                                         limit="LIMIT 20 OFFSET 20"))
 def search_corpus_page(spark, sf):
-    src = X.PageSource(fx.text_pages(spark, sf), stem=False)
-    return X.search_pages(src, fx.text_documents(spark, sf), X.Term("and"), corpus="src1", page=2,
-                          limit=20)
+    return _run(spark, sf, X.Term("and"), corpus="src1", page=2, limit=20)
 
 
 @register("search_stemmed")
@@ -187,12 +219,7 @@ JOIN text_documents d ON d.id = h.doc_id""")
 def search_ranked(spark, sf):
     """X4 ranked by BM25 (the ranking the reference's index offers but its
     query does not use): every page with both words, best first."""
-    from quarry.session import checkpoint_dir
-    checkpoint_dir(spark)
-    pages = fx.text_pages(spark, sf)
-    src = X.PageSource(pages, stem=False)
-    lengths = X.page_lengths(pages).checkpoint()   # one row per page, read by several jobs
-    r = X.search_ranked(src, fx.text_documents(spark, sf), X.Term("the on"), lengths, limit=None)
+    r = X.search_ranked(_index(spark, sf), fx.text_documents(spark, sf), X.Term("the on"), _lengths(spark, sf), limit=None)
     return r.withColumn("score", F.round("score", 6))
 
 

@@ -135,8 +135,16 @@ def get_entity(spark, sf):
     p = fx.table(spark, sf, "part").select(F.col("p_partkey").alias("id"),
                                            F.col("p_name").alias("name"),
                                            F.col("p_type").alias("type"))
-    return p.groupBy("name").agg(F.min_by(F.struct("id", "type"), F.col("id")).alias("e")) \
-        .select("name", "e.id", "e.type")
+    return X.get_entity(p).select("name", "id", "type")
+
+
+@register("get_document", with_(STAR_DOCUMENTS) + """
+SELECT id, corpus, filename, file_path, is_scanned FROM star_documents
+WHERE ok = (SELECT max(o_orderkey) FROM orders)""")
+def get_document(spark, sf):
+    """Q3: the document of the largest order key, by its id."""
+    last = fx.table(spark, sf, "orders").agg(F.max("o_orderkey")).first()[0]
+    return X.get_document(fx.star_documents(spark, sf), str(last)).select("id", "corpus", "filename", "file_path", "is_scanned")
 
 
 @register("entity_appearances", with_(STAR_DOCUMENTS, STAR_MENTIONS) + """

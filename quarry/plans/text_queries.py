@@ -175,14 +175,22 @@ def build_report(spark, sf):
 
 # -- mentions ----------------------------------------------------------------
 
+# The patterns of the kept types, written for the twin.
+_TWIN_PATTERNS = [
+    ("PERSON", "[A-Z][a-z][a-z][a-z][a-z]+"),
+    ("ORG", "Licensed under [^\\n]+"),
+    ("FAC", "\\d{1,3}[.]\\d{1,3}[.]\\d{1,3}[.]\\d{1,3}"),
+    ("DATE", "\\d{4}-\\d{2}-\\d{2}"),
+]
+
+
 def _mentions_sql() -> str:
-    kept = [(t, r) for t, r in M.DEFAULT_PATTERNS if t in {"PERSON", "ORG", "GPE", "DATE", "EVENT",
-                                                              "FAC", "LOC"}]
+    kept = _TWIN_PATTERNS
     per = " UNION ALL ".join(
         f"SELECT doc_id, page_num, t, '{t}' AS type, regexp_extract_all(c, '{r}', 0) AS ms, "
         f"string_split_regex(c, '{r}') AS ps FROM capped" for t, r in kept)
     return f"""
-capped AS (SELECT doc_id, page_num, t, substring(t, 1, 10000) AS c FROM stripped WHERE t <> ''),
+capped AS (SELECT doc_id, page_num, t, t AS c FROM stripped WHERE t <> ''),
 per_type AS ({per}),
 xs AS (SELECT doc_id, page_num, t, type, ms, ps, unnest(range(0, len(ms))) AS i FROM per_type),
 ys AS (SELECT doc_id, page_num, t, type, ms[i + 1] AS span,
@@ -203,6 +211,19 @@ def extract_mentions(spark, sf):
         .select("doc_id", "page_num", "type", "name", "start", "context")
 
 
+_WHOLE_PAGES = """
+text_pages AS (SELECT CAST(doc_id AS VARCHAR) AS doc_id, 1 AS page_num, text FROM documents)"""
+
+
+@register("extract_mentions_whole", with_(_WHOLE_PAGES, _STRIPPED, _mentions_sql()) + """
+SELECT doc_id, page_num, type, name, start, context FROM mentions""")
+def extract_mentions_whole(spark, sf):
+    """M1-M4 over whole documents as single pages, however long."""
+    docs = fx.table(spark, sf, "documents")
+    return M.extract_mentions(docs.select(F.col("doc_id").cast("string").alias("doc_id"),
+                                          F.lit(1).alias("page_num"), "text"))
+
+
 @register("distinct_entities_preview", with_(TEXT_PAGES, _STRIPPED, _mentions_sql()) + """
 SELECT doc_id, type, name, arg_min(page_num, page_num * 100000 + start) AS first_page,
        arg_min(start, page_num * 100000 + start) AS first_start

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from quarry.operators import answers as A
 from quarry.operators import chunks as C
 from quarry.operators import vectors as V
+from quarry import schemas as S
+from quarry.operators.search import fts_tokens
+from quarry.plans.oracle import TEXT_PAGES, with_
+from quarry.plans.text_queries import _CHUNKS, _STRIPPED
 from quarry.sources import fixtures as fx
 
 Q: dict = {}
@@ -128,10 +132,20 @@ def citations(spark, sf):
         "c.corpus", "c.doc_id", "c.excerpt")
 
 
-@register("vector_topk_lsh")
+@register("vector_topk_lsh", """
+SELECT DISTINCT CAST(label AS BIGINT) AS question_id, true AS most_found, true AS pruned, true AS exact_distances
+FROM embeddings""")
 def vector_topk_lsh(spark, sf):
-    """V7: approximate top-5 through random-projection LSH buckets."""
-    return V.vector_topk_lsh(fx.vector_chunks(spark, sf), _questions(spark, sf))
+    """V7 against V6: per question, whether the approximate top 5 hold at least
+    3 of the exact ones, whether its candidates are under half of all chunks, and
+    whether the distances they share are equal."""
+    chunks, qs = fx.vector_chunks(spark, sf), _questions(spark, sf)
+    near = V.vector_topk_lsh(chunks, qs).select("question_id", "chunk_id", F.col("distance").alias("near"))
+    both = V.vector_topk(chunks, qs).join(near, ["question_id", "chunk_id"]).groupBy("question_id").agg(
+        (F.count(F.lit(1)) >= 3).alias("most_found"), F.bool_and(F.abs(F.col("distance") - F.col("near")) < 1e-5).alias("exact_distances"))
+    share = V.lsh_candidates(chunks, qs).groupBy("question_id").agg(
+        (F.count(F.lit(1)) < 0.5 * chunks.agg(F.count(F.lit(1))).scalar()).alias("pruned"))
+    return both.join(share, "question_id").select("question_id", "most_found", "pruned", "exact_distances")
 
 
 def _text_chunks(spark, sf):
@@ -139,21 +153,50 @@ def _text_chunks(spark, sf):
     return C.with_metadata(C.chunk_text(pages))
 
 
-@register("embed_chunks")
+@register("embed_chunks", with_(TEXT_PAGES, _STRIPPED, _CHUNKS) + """,
+toks AS (SELECT md5(text) AS text_md5,
+                len(list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\\x00-/:-@\\[-`{-\\x7f]+'), lambda x: x <> '')) AS n FROM chunks)
+SELECT text_md5, count(*) AS chunks, CAST(1 AS BIGINT) AS embeddings, CAST(max(n) AS INTEGER) AS n_tokens, max(n) > 0 AS unit, 1024 AS dim
+FROM toks GROUP BY text_md5""")
 def embed_chunks(spark, sf):
-    """V4: default embedder (hashing TF, corpus IDF, L2 norm) over all chunks."""
+    """V4: default embedder (hashing TF, corpus IDF, L2 norm) over all chunks:
+    per distinct text its chunks, their distinct embeddings, tokens, and whether
+    the embedding has length 1 (it has length 0 without tokens)."""
     emb = V.HashingEmbedder().fit_transform(_text_chunks(spark, sf))
     norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x))
-    return emb.select("chunk_id", F.size("embedding").alias("dim"), F.round(norm, 3).alias("norm"))
+    return emb.select(F.md5("text").alias("text_md5"), F.xxhash64("embedding").alias("e"), F.size("embedding").alias("dim"),
+                      F.size(fts_tokens(F.col("text"))).alias("n"), (F.abs(norm - 1) < 1e-3).alias("u")).groupBy("text_md5").agg(
+        F.count(F.lit(1)).alias("chunks"), F.count_distinct("e").alias("embeddings"), F.max("n").alias("n_tokens"),
+        F.bool_and("u").alias("unit"), F.max("dim").alias("dim"))
 
 
-@register("ask_batch")
+@register("ask_batch", _FILTERED + f""",
+ctx AS (SELECT question_id, count(*) AS n, arg_min(filename, rank) AS top_filename,
+               string_agg(chr(10) || '[Source ' || rank || ': ' || filename || ', page ' || page_num || ']'
+                          || chr(10) || text || chr(10), '' ORDER BY rank) AS context
+        FROM hits GROUP BY question_id)
+SELECT q.question_id, CAST(c.n AS INTEGER) AS n_citations, {_PROMPT_SQL} AS prompt, CAST(NULL AS VARCHAR) AS answer, c.top_filename
+FROM q JOIN ctx c ON c.question_id = q.question_id
+UNION ALL
+SELECT question_id + 1000, 0, NULL, '{S.NO_HITS_ANSWER.replace("'", "''")}', NULL FROM q""")
 def ask_batch(spark, sf):
-    """V14 (+V13): the benchmark passages asked against all text chunks."""
+    """Every label's question asked in its own corpus, and once more
+    in a corpus that has no chunk."""
+    qs = _questions(spark, sf, filtered=True)
+    qs = qs.unionByName(qs.withColumn("question_id", F.col("question_id") + 1000).withColumn("corpus", F.lit("nowhere")))
+    out = A.ask_batch(fx.vector_chunks(spark, sf), qs)
+    return out.select("question_id", F.size("citations").alias("n_citations"), "prompt", "answer",
+                      F.get("citations", F.lit(0))["filename"].alias("top_filename"))
+
+
+@register("ask_text_batch")
+def ask_text_batch(spark, sf):
+    """V14 with the default embedder: the benchmark passages asked against all text chunks."""
     model = V.HashingEmbedder()
     chunks = model.fit_transform(_text_chunks(spark, sf))
     qs = fx.questions_from_benchmark(spark, sf)
     out = A.ask_batch(chunks, qs, embed=lambda q: model.transform(q, text_col="question"))
     return out.select("question_id", F.size("citations").alias("n_citations"),
                       F.length("prompt").alias("prompt_chars"), "answer",
-                      F.col("citations")[0]["filename"].alias("top_filename"))
+                      F.get("citations", F.lit(0))["filename"].alias("top_filename"))

@@ -30,6 +30,7 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    conf["spark.quarry.inputPartitions"] = str(shuffle_partitions)  # few small files on one machine
     conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
@@ -43,10 +44,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and lineage cuts.
 
     On a cluster the operator names it in ``spark.checkpoint.dir``; we read it
-    from the session. Only when it is unset (tests, a laptop) do we make one.
+    from the session. Where it is unset we make one, on a local master only: on a
+    cluster every executor would write to a disk of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.partitioning import balance
+from quarry.functions.partitioning import spread
 
 PAGE_CHARS = 2000
 TEXT_RUN_TIME = "2025-03-18 09:30:00"
@@ -157,18 +157,18 @@ def text_pages(spark: SparkSession, sf_dir: str, with_document: bool = False) ->
     document attributes the load path carries (corpus, filename, file_path),
     derived from the same scan rather than joined back."""
     cols = ["doc_id", "text"] + (["source"] if with_document else [])
-    d = balance(table(spark, sf_dir, "documents").select(*cols), "doc_id")
-    n = F.greatest(F.ceil(F.length("text") / PAGE_CHARS), F.lit(1)).cast("int")
+    d = spread(table(spark, sf_dir, "documents").select(*cols), "doc_id")
+    # one regex pass cuts the text; an empty text is one empty page
+    runs = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("(?s).{1,%d}" % PAGE_CHARS), 0)
+    pages = F.when(F.size(runs) == 0, F.array(F.col("text"))).otherwise(runs)
     extra = []
     if with_document:
         extra = [F.col("source").alias("corpus"),
                  F.concat(F.lit("doc-"), F.col("doc_id"), F.lit(".pdf")).alias("filename"),
                  F.concat(F.lit("/data/"), F.col("source"), F.lit("/doc-"), F.col("doc_id"),
                           F.lit(".pdf")).alias("file_path")]
-    return (d.select(F.col("doc_id").cast("string").alias("doc_id"), "text", *extra,
-                     F.posexplode(F.sequence(F.lit(0), n - 1)).alias("i", "_v"))
-            .select("doc_id", (F.col("i") + 1).alias("page_num"),
-                    F.substring(F.col("text"), F.col("i") * PAGE_CHARS + 1, PAGE_CHARS).alias("text"),
+    return (d.select(F.col("doc_id").cast("string").alias("doc_id"), *extra, F.posexplode(pages).alias("i", "text"))
+            .select("doc_id", (F.col("i") + 1).alias("page_num"), "text",
                     *[c for c in ("corpus", "filename", "file_path") if with_document]))
 
 
@@ -219,5 +219,5 @@ def label_centroid_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = balance(table(spark, sf_dir, "pages"), "page_id")
+    p = spread(table(spark, sf_dir, "pages"), "page_id")
     return p.select(F.lit("web").alias("source"), F.col("page_id"), F.col("url"), F.col("html"))

@@ -1,12 +1,15 @@
 """Incremental ingest as Structured Streaming.
 
-Reruns of the reference add only files it has not seen; here the "seen"
-set is the streaming state of ``dropDuplicates(["filename"])`` (unbounded by
-design: a file name stays known forever) plus the file source's own log of
-processed input files, both in the query checkpoint.
-
-Each micro-batch runs the batch load DAG (:func:`quarry.operators.load.ingest_batch`)
-and writes every output table under ``batch_id=N``. A re-executed batch
+Reruns of the reference add only files it has not seen. What has been seen is
+the documents table of the store: each micro-batch runs the batch load
+(:func:`quarry.operators.load.ingest_batch`), whose anti-join skips loaded
+files and whose first-per-name rule settles repeats within the batch. Only
+files that got into ``documents`` are remembered, so a file that was rejected
+(scanned, short) is tried again when it comes back; repeats are reported as
+``skipped``, and every corpus of a batch gets its release row. The stream itself
+holds no state beyond the source's log of processed input files.
+
+Every output table is written under ``batch_id=N``. A re-executed batch
 overwrites only its own partition and reads "already loaded" from batches
 ``< N``, so retries after a lost executor or driver neither duplicate nor
 lose rows.
@@ -34,7 +37,7 @@ RAW_INPUT = T.StructType([
         T.StructField("text", T.StringType())]))),
 ])
 
-TABLES = ("documents", "entities", "mentions", "releases", "status")
+TABLES = ("documents", "entities", "mentions", "releases", "status", "raw_docs", "page_index", "redactions")
 
 
 def _table(spark: SparkSession, store: str, name: str, before_batch: int | None = None) -> DataFrame:
@@ -67,7 +70,11 @@ def _schemas(spark: SparkSession) -> dict[str, T.StructType]:
     return {k: out[k].schema for k in TABLES}
 
 
-def _run_batch(spark, batch: DataFrame, loaded_docs, loaded_entities, run_time, extract=None):
+def _run_batch(spark, batch: DataFrame, loaded_docs, loaded_entities, run_time, extract=None, shapes=None):
+    # a document dropped twice in one batch counts once: the copy with the longer first page
+    first = F.length(F.get("pages", F.lit(0))["text"])
+    batch = (batch.groupBy("doc_id").agg(F.max_by(F.struct(*batch.columns), F.coalesce(first, F.lit(-1))).alias("row"))
+             .select("row.*"))
     files = batch.select("doc_id", "corpus", "filename", "file_path",
                          F.size("pages").cast("int").alias("page_count"))
     pages = batch.select("doc_id", F.explode("pages").alias("p")).select(
@@ -77,61 +84,32 @@ def _run_batch(spark, batch: DataFrame, loaded_docs, loaded_entities, run_time,
     if loaded_entities is None:
         loaded_entities = spark.createDataFrame([], "id long, name string, type string, "
                                                     "created_at timestamp")
-    return ingest_batch(files, pages, loaded_docs, loaded_entities, run_time, extract)
+    return ingest_batch(files, pages, loaded_docs, loaded_entities, run_time, extract, shapes)
 
 
 def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ingest",
                   checkpoint: str | None = None, extract=None, fmt: str = "parquet",
-                  available_now: bool = True, dedup_watermark: str | None = None):
+                  available_now: bool = True, shapes: DataFrame | None = None):
     """T1+T2: start the incremental ingest of ``source`` (files of
     ``RAW_INPUT`` rows) into the tables under ``store``. Returns the
     ``StreamingQuery``; with ``available_now`` it processes what is there and
-    stops (call ``awaitTermination()``).
-
-    By default the streaming dedup keeps every file name forever, as the
-    reference's "already ingested?" test does. ``dedup_watermark`` (e.g.
-    ``"30 days"``) bounds that state: names are deduplicated within the
-    watermark of the input file's modification time, and a later copy is
-    still caught by each batch's anti-join against the loaded documents."""
-    shared = checkpoint_dir(spark)       # also where batches are checkpointed
+    stops (call ``awaitTermination()``). ``shapes`` is a static table of page
+    shapes, if redactions are wanted."""
+    shared = checkpoint_dir(spark)       # also where a batch's intermediate tables go
     ckpt = checkpoint or os.path.join(shared, f"{name}-stream")
-    schemas = _schemas(spark)
-    _ensure_tables(spark, store, schemas)
+    _ensure_tables(spark, store, _schemas(spark))
     stream = (spark.readStream.schema(RAW_INPUT).format(fmt)
               .option("maxFilesPerTrigger", 1000).load(source))
-    if dedup_watermark:
-        stream = (stream.withColumn("_event_time", F.col("_metadata.file_modification_time"))
-                  .withWatermark("_event_time", dedup_watermark)
-                  .dropDuplicatesWithinWatermark(["filename"]).drop("_event_time"))
-    else:
-        stream = stream.dropDuplicates(["filename"])
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # The deduplicated batch is written once to the shared checkpoint
-        # folder: every table of this batch then reads the same rows, even if
-        # executors are lost (a recomputed dedup could keep another copy).
-        batch = batch.checkpoint(eager=True)
-        held = []
-
-        def extract_once(pages):
-            # the extracted mentions feed entities, mentions and status:
-            # computed once per micro-batch
-            from quarry.operators.mentions import extract_mentions
-            m = (extract or extract_mentions)(pages).persist()
-            held.append(m)
-            return m
-        try:
-            run_time = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
-            docs = _table(spark, store, "documents", batch_id).select("id", "filename")
-            ents = _table(spark, store, "entities", batch_id).select("id", "name", "type", "created_at")
-            out = _run_batch(spark, batch, docs, ents, run_time, extract_once)
-            for t in TABLES:
-                (out[t].withColumn("batch_id", F.lit(batch_id).cast("long")).write
-                 .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(f"{store}/{t}"))
-        finally:
-            for h in held:
-                h.unpersist()
+        run_time = dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+        docs = _table(spark, store, "documents", batch_id).select("id", "filename")
+        ents = _table(spark, store, "entities", batch_id).select("id", "name", "type", "created_at")
+        out = _run_batch(spark, batch, docs, ents, run_time, extract, shapes)
+        for t in TABLES:
+            (out[t].withColumn("batch_id", F.lit(batch_id).cast("long")).write
+             .mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(f"{store}/{t}"))
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt) \
         .queryName(name)

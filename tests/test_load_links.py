@@ -1,6 +1,10 @@
 """Load path idempotence and link planning (FIXTURES C: same input twice,
 same filename in two corpora, manifest and on-disk skips)."""
 
+from html.parser import HTMLParser
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quarry.operators import chunks as C
@@ -84,9 +88,56 @@ def test_extract_links_skips_script_and_comments(spark):
 def test_integrity_audit_finds_violations(spark):
     docs = spark.createDataFrame([("1", "x.pdf"), ("1", "y.pdf"), ("2", "y.pdf")], "id string, filename string")
     ents = spark.createDataFrame([(1, "A", "T"), (2, "A", "T")], "id long, name string, type string")
-    ments = spark.createDataFrame([(1, "1"), (3, "9")], "entity_id long, doc_id string")
-    reds = spark.createDataFrame([("7",)], "doc_id string")
-    got = {r.rule: r.violations for r in D.integrity_audit(docs, ents, ments, reds).collect()}
+    ments = spark.createDataFrame([(5, 1, "1"), (5, 3, "9")], "id long, entity_id long, doc_id string")
+    reds = spark.createDataFrame([(1, "7")], "id long, doc_id string")
+    raw = spark.createDataFrame([("1", 0), ("1", 0), ("8", 0)], "doc_id string, block int")
+    got = {r.rule: r.violations for r in D.integrity_audit(docs, ents, ments, reds, raw_docs=raw).collect()}
     assert got == {"documents.id unique": 1, "documents.filename unique": 1, "entities.id unique": 0,
-                   "entities.(name,type) unique": 1, "mentions.entity_id -> entities": 1,
-                   "mentions.doc_id -> documents": 1, "redactions.doc_id -> documents": 1}
+                   "entities.(name,type) unique": 1, "mentions.id unique": 1, "redactions.id unique": 0,
+                   "raw_docs.(doc_id,block) unique": 1, "raw_docs.doc_id -> documents": 1,
+                   "mentions.entity_id -> entities": 1, "mentions.doc_id -> documents": 1,
+                   "redactions.doc_id -> documents": 1}
+
+
+class _Anchors(HTMLParser):
+    """What an HTML parser reads, the last of repeated attributes winning."""
+
+    def __init__(self):
+        super().__init__()
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        value = dict(attrs).get("href") if tag == "a" else None
+        if value is not None:
+            self.found.append(value)
+
+    handle_startendtag = handle_starttag
+
+
+_value = st.text(st.sampled_from("ab/ .?=&;#x>é"), max_size=8)
+_attribute = st.one_of(
+    st.builds(lambda n, v, q: f"{n}={q}{v.replace(q, '')}{q}", st.sampled_from(["href", "HREF", "data-href", "class", "title"]),
+              st.one_of(_value, st.sampled_from(["/O'Brien.pdf", "/p/q&amp;r.pdf", "/n&#39;s&hellip;t.pdf", "a&copy=1", "a&lt"])),
+              st.sampled_from(["'", '"'])),
+    st.sampled_from(["href=/bare.pdf", "href = '/spaced.pdf'", "download", "title=x", "href=/a&amp;b"]))
+
+
+def test_extract_links_equals_an_html_parser(spark):
+    """Spaces, quotes, data-href, > in values, character references, bare values."""
+    pages = []
+
+    @settings(max_examples=250, deadline=None, database=None)
+    @given(st.lists(st.lists(_attribute, max_size=4), min_size=1, max_size=4), st.sampled_from(["a", "A", "abbr"]))
+    def collect(anchors, name):
+        pages.append("<p>" + "".join(f"<{name} {' '.join(a)}>x</{name}>" for a in anchors) + "</p>")
+
+    collect()
+    pages.append("""<a href="/a b.pdf"><a href="/O'Brien.pdf"><a data-href="/x" href=/y.pdf><a title="a>b" href="/z.pdf">""")
+    df = spark.createDataFrame([("s", i, "u", h) for i, h in enumerate(pages)], "source string, page_id long, url string, html string")
+    got = {}
+    for r in L.extract_links(df).orderBy("page_id", "pos").collect():
+        got.setdefault(r.page_id, []).append(r.href)
+    for i, h in enumerate(pages):
+        parser = _Anchors()
+        parser.feed(h)
+        assert got.get(i, []) == parser.found, h

@@ -50,7 +50,7 @@ def test_index_lookup_prunes_and_pushes(spark, tmp_path):
     path = str(tmp_path / "postings")
     X.write_postings(X.build_postings(fx.text_pages(spark, SF001), buckets=8), path)
     idx = X.PostingsIndex(spark.read.parquet(path), 8, stem=False)
-    p = plan(X.match_pages(idx, X.Term("and")))
+    p = plan(X._occurrences(idx, [("and", False)]))
     assert re.search(r"PartitionFilters: \[.*bucket#\d+ = \d+", p)
     assert "EqualTo(term,and)" in p
 
@@ -59,3 +59,40 @@ def test_vector_scan_is_not_shuffled(spark):
     p = plan(E.queries()["vector_topk"](spark, SF001))
     below = p[p.find("MapInPandas"):]
     assert "Exchange" not in below.split("Scan parquet")[0]
+
+
+def test_cooccurrence_counts_only_the_focus_documents(spark):
+    p = plan(E.queries()["entity_cooccurrence"](spark, SF001))
+    # every aggregate by (document, entity) has the semi join to the focus below it
+    assert p.count("LeftSemi") >= 2
+
+
+def test_mentions_are_extracted_once_per_load_run(spark):
+    from quarry.plans.load_queries import _run
+    run = _run(spark, SF001)
+    for name in ("status", "mentions", "releases", "totals"):  # the fixture extracts the entities of the earlier run
+        assert "MapInArrow" not in plan(run[name]), name
+
+
+def test_keyset_pages_cover_the_whole(spark):
+    from quarry.functions.paging import page_after
+    df = spark.createDataFrame([(i % 3, i) for i in range(20)], "a int, b int")
+    seen, after = [], None
+    while True:
+        rows = page_after(df, ["a", "b"], after, 6).collect()
+        if not rows:
+            break
+        seen += rows
+        after = tuple(rows[-1])
+    assert seen == df.orderBy("a", "b").collect()
+
+
+def test_no_local_folder_stands_in_for_the_shared_one():
+    from types import SimpleNamespace
+
+    import pytest as pt
+
+    from quarry.session import checkpoint_dir
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pt.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(cluster)

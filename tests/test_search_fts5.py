@@ -146,3 +146,32 @@ def test_bm25_equals_fts5(spark, pages, fts, index, q, expr):
     assert set(got) == set(exp)
     for k, v in exp.items():
         assert got[k] == pytest.approx(v, rel=1e-9, abs=1e-9), k
+
+
+def test_bm25_of_near_counts_only_instances_in_the_match(spark):
+    rows = [("1", 1, "a b x y z u v"), ("2", 1, "a b x y z a v"), ("3", 1, "q r s t"), ("4", 1, "a a b b a x b"), ("5", 1, "b q")]
+    pages = spark.createDataFrame(rows, "doc_id string, page_num int, text string")
+    con = sqlite3.connect(":memory:")
+    con.execute("CREATE VIRTUAL TABLE f USING fts5(doc_id, page_num, text, tokenize='porter ascii')")
+    con.executemany("INSERT INTO f VALUES (?, ?, ?)", rows)
+    for q, e in [("NEAR(a b, 1)", X.Near(["a", "b"], 1)), ("NEAR(a b, 0)", X.Near(["a", "b"], 0)),
+                 ("NEAR(a x, 3)", X.Near(["a", "x"], 3)), ("NEAR(a b, 1) OR q", X.Near(["a", "b"], 1) | X.Term("q"))]:
+        got = {r.doc_id: r.score for r in X.rank_pages(X.PageSource(pages), e, X.page_lengths(pages)).collect()}
+        exp = {d: -s for d, s in con.execute("SELECT doc_id, bm25(f) FROM f WHERE f MATCH ?", (q,))}
+        assert got == pytest.approx(exp, rel=1e-9, abs=1e-9), q
+
+
+def test_appended_index_equals_one_built_at_once(spark, tmp_path):
+    pages = fx.text_pages(spark, SF001)
+    parts = [pages.where("doc_id < '3'"), pages.where("doc_id >= '3'")]
+    for part in parts:
+        X.append_pages(part, str(tmp_path / "parts"), 4)
+    X.append_pages(pages, str(tmp_path / "whole"), 4)
+    for name in ("postings", "vocabulary", "lengths"):
+        a, b = (spark.read.parquet(str(tmp_path / x / name)) for x in ("parts", "whole"))
+        assert a.count() == b.count() and a.exceptAll(b.select(a.columns)).count() == 0, name
+
+
+def test_stemmed_index_prunes_buckets_by_the_vocabulary(index):
+    plan = X._occurrences(index, [("run", False)])._jdf.queryExecution().optimizedPlan().toString()
+    assert "bucket" in plan and "Join Inner" in plan and "stem" in plan

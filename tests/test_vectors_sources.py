@@ -85,3 +85,19 @@ def test_scan_corpora_and_manifest(spark, tmpdir_fresh):
     IO.append_manifest(rows, man)
     IO.append_manifest(rows.withColumn("filename", F.lit("b.pdf")), man)
     assert sorted(r.filename for r in IO.read_manifest(spark, man).collect()) == ["a.pdf", "b.pdf"]
+
+
+def test_lsh_survives_zero_vectors(spark):
+    chunks = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.0, 0.0]), ("c", [0.9, 0.1])], "chunk_id string, embedding array<float>")
+    queries = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 0.0])], "question_id long, embedding array<float>")
+    got = {(r.question_id, r.chunk_id): r.distance for r in V.vector_topk_lsh(chunks, queries, k=3).collect()}
+    assert got[1, "a"] == 0.0 and all(d == 1.0 for (q, c), d in got.items() if q == 2 or c == "b")
+
+
+def test_topk_in_tiles_and_blocks(spark, monkeypatch):
+    chunks, queries = fx.vector_chunks(spark, SF001), fx.label_centroid_questions(spark, SF001)
+    whole = sorted(map(tuple, V.vector_topk(chunks, queries).collect()))
+    monkeypatch.setattr(V, "TILE", 3)
+    assert sorted(map(tuple, V.vector_topk(chunks, queries).collect())) == whole
+    monkeypatch.setattr(V, "MAX_QUERY_BYTES", 64 * 8 * 4)
+    assert sorted(map(tuple, V.vector_topk(chunks, queries).collect())) == whole
