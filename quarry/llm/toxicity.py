@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from quarry.llm.common import slices
 from quarry.llm.shingles import word_memo
 
-SAMPLE = 20_000  # labelled documents that the chain is fitted on
+SAMPLE = 12_000  # labelled documents that the chain is fitted on
 FEATURES = 4096  # words of a model
 FOLDS = 5
 LEAST_DOCS, LEAST_Z = 4, 4.0  # of a word that a model may use
@@ -110,15 +110,19 @@ def _fit(row: np.ndarray, word: np.ndarray, dense: np.ndarray, y: np.ndarray, vo
 
 
 def _scores(model: Linear, row, word, dense, vocabulary) -> np.ndarray:
-    weights = np.array([model.words.get(h, 0.0) for h in vocabulary.tolist()])
+    weights = np.zeros(len(vocabulary))
+    weights[np.searchsorted(vocabulary, np.array(list(model.words), np.uint64))] = list(model.words.values())
     return np.bincount(row, weights[word], len(dense)) + dense @ model.earlier + model.intercept
 
 
 def fit_chain(words: list[np.ndarray], labels: np.ndarray, categories: Sequence[str]) -> Chain:
     """From distinct word hashes of each document and its labels (NaN: unknown)."""
     fold = np.array([int(np.bitwise_xor.reduce(w)) % FOLDS if len(w) else 0 for w in words])
-    vocabulary, word = np.unique(np.concatenate([*words, np.empty(0, np.uint64)]), return_inverse=True)
-    row = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    vocabulary, word, docs = np.unique(np.concatenate([*words, np.empty(0, np.uint64)]), return_inverse=True, return_counts=True)
+    often = docs >= LEAST_DOCS  # no model may use the others
+    row = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words])[often[word]]
+    word = (np.cumsum(often, dtype=np.int32) - 1)[word[often[word]]]
+    vocabulary = vocabulary[often]
     dense, models = np.empty((len(words), 0)), []
     for c in range(len(categories)):
         y = labels[:, c]
@@ -159,7 +163,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
             .mapInArrow(run, schema).groupBy("words").agg(*[(F.avg(c) >= 0.5).cast("double").alias(c) for c in categories])
             .orderBy("words").toPandas())
     values = rows[list(categories)].to_numpy(np.float64, na_value=np.nan) if len(rows) else np.empty((0, len(categories)))
-    return fit_chain([np.frombuffer(w, np.uint64) for w in rows["words"]], values, categories)
+    words = [np.frombuffer(w, np.uint64) for w in rows["words"]]
+    del rows
+    return fit_chain(words, values, categories)
 
 
 def _scored(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
