@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from quarry.llm.common import WORD, cut, row_key
 
 WEIGHTS = (5.0, 2.0, 1.0)
-BUCKET_ROWS = 20_000  # documents of a cell that are ranked together
+BUCKET_ROWS = 2_000  # documents of a cell that are ranked together
+SALTS = 16  # parts in which the documents of a cell meet its numbers
 NEWTON_BLOCK, NEWTON_BLOCKS = 6, 10
 TOLERANCE = 1e-7
 
@@ -137,6 +138,13 @@ def _hash() -> Column:
     return F.xxhash64(F.lit("mix"), F.col("doc_id"), F.col("size"))
 
 
+def _met(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """Rows with key, size and hash joined to their cell; a cell that holds many of
+    all rows is met in SALTS parts."""
+    parts = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod("hash", F.lit(SALTS)).cast("int")).join(parts, ["key", "size", "salt"]).drop("salt")
+
+
 def cell_limits(sized: DataFrame, cells: DataFrame) -> DataFrame:
     """key, size, base, limit: every document of the cell takes ``base`` copies,
     those whose hash is at most ``limit`` one more."""
@@ -145,14 +153,14 @@ def cell_limits(sized: DataFrame, cells: DataFrame) -> DataFrame:
              .withColumn("buckets", F.ceil(F.col("n") / BUCKET_ROWS)))
     # hash buckets are hash ranges, so that ranks run on from bucket to bucket
     bucket = F.least(F.floor((F.shiftright("hash", 11) / F.lit(2.0 ** 53) + 0.5) * F.col("buckets")), F.col("buckets") - 1)
-    ranked = (sized.select("key", "size", _hash().alias("hash")).join(cells.where("odd > 0"), ["key", "size"])
+    ranked = (_met(sized.select("key", "size", _hash().alias("hash")), cells.where("odd > 0"))
               .withColumn("bucket", bucket).select("key", "size", "bucket", "hash", "odd"))
     counts = ranked.groupBy("key", "size", "bucket", "odd").agg(F.count("*").alias("rows"))
     upto = F.sum("rows").over(Window.partitionBy("key", "size").orderBy("bucket"))
     # the one bucket of a cell in which the last odd copy falls
     last = (counts.withColumn("upto", upto).where((F.col("upto") >= F.col("odd")) & (F.col("upto") - F.col("rows") < F.col("odd")))
             .select("key", "size", "bucket", (F.col("odd") - F.col("upto") + F.col("rows")).alias("place")))
-    place = F.row_number().over(Window.partitionBy("key", "size").orderBy("hash"))
+    place = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("hash"))
     limit = (ranked.drop("odd").join(last, ["key", "size", "bucket"]).withColumn("at", place).where("at = place")
              .select("key", "size", F.col("hash").alias("limit")))
     return cells.select("key", "size", "base").join(limit, ["key", "size"], "left")
@@ -174,7 +182,7 @@ def mix_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for every row."""
     sized = cut(docs.select("doc_id", "source", row_key("source").alias("key"), size_of().alias("size")), "mix-sizes")
     goal, limits = plan(sized, **options)
-    return (sized.withColumn("hash", _hash()).join(limits, ["key", "size"]).join(goal, "key")
+    return (_met(sized.withColumn("hash", _hash()), limits).join(goal, "key")
             .withColumn("copies", F.when(F.col("size") > 0, _copies()).otherwise(0))
             .select("doc_id", "source", "size", "source_size", "target", "copies",
                     (F.col("copies") * F.col("size")).cast("long").alias("taken")))
@@ -188,6 +196,6 @@ def mix(docs: DataFrame, **options) -> DataFrame:
                        row_key("source").alias("key"), size_of().alias("size"))
     _, limits = plan(cut(wide.select("doc_id", "key", "size"), "mix-sizes"), **options)
     copies = F.when(F.col("size") > 0, _copies()).otherwise(1).cast("int")
-    return (wide.withColumn("hash", _hash()).join(limits, ["key", "size"])
+    return (_met(wide.withColumn("hash", _hash()), limits)
             .withColumn("copies", copies).where("copies > 0")
             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*"))
