@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +13,23 @@ from pyspark.sql import functions as F
 
 from quarry.session import checkpoint_dir
 
+T = TypeVar("T")
+
 # ASCII white space and the words between it, as Java regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def per_process(name: str, make: Callable[[], T]) -> T:
+    """A value that is made once in each worker process and serves all its tasks.
+    The package's functions travel to the workers by value, so a module variable
+    would start anew with every task."""
+    held = sys.__dict__.setdefault("_quarry_per_process", {})
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,6 +25,7 @@ each for itself; an empty table gives no pieces; further columns are ignored.
 
 from __future__ import annotations
 
+import gc
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from quarry.llm.common import slices
+from quarry.llm.common import per_process, slices
 
 WINDOW = 2048
 SMALLEST_TIER = 1
@@ -73,6 +74,13 @@ class WordIds:
         return {w: raw[4 * i:4 * j] for w, i, j in zip(words, cuts, cuts[1:], strict=False)}
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
+        gc.disable()  # no cycles are made here, and collections would walk the lists of words again and again
+        try:
+            return self._batch(texts)
+        finally:
+            gc.enable()
+
+    def _batch(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").encode().split() for t in texts]
         memo = self.memo
         unknown = {w for words in split for w in words if w not in memo}
@@ -95,13 +103,9 @@ class WordIds:
         return out
 
 
-_READERS: dict[str, WordIds] = {}  # one for each worker process and vocabulary
-
-
 def word_ids(path: str) -> WordIds:
-    if path not in _READERS:
-        _READERS[path] = WordIds(path)
-    return _READERS[path]
+    """One reader for each worker process and vocabulary."""
+    return per_process(f"word ids of {path}", lambda: WordIds(path))
 
 
 def tier_of(length: int, window: int = WINDOW) -> int:

@@ -12,6 +12,8 @@ import hashlib
 
 import numpy as np
 
+from quarry.llm.common import per_process
+
 MEMO_WORDS = 400_000
 
 
@@ -36,12 +38,9 @@ class _Words(dict):
         return value
 
 
-_MEMO = _Words()  # one for each worker process
-
-
 def word_memo() -> dict[bytes, int]:
-    """Word to 64-bit hash, the most recent MEMO_WORDS words remembered."""
-    return _MEMO
+    """Word to 64-bit hash, up to MEMO_WORDS words remembered by the process."""
+    return per_process("word hashes", _Words)
 
 
 class Shingler:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import bloom
-from quarry.llm.common import cut, slices
+from quarry.llm.common import cut, per_process, slices
 from quarry.llm.shingles import mixed, odd_constants
 
 LENGTH, GRAM = 200, 64
@@ -61,14 +61,17 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-_UP, _DOWN = _powers(_BASE, PIECE + LENGTH + 1), _powers(_INVERSE, PIECE + LENGTH + 1)
+def _ladders() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse."""
+    return per_process("suffix powers", lambda: (_powers(_BASE, PIECE + LENGTH + 1), _powers(_INVERSE, PIECE + LENGTH + 1)))
 
 
 def gram_hashes(raw: np.ndarray) -> np.ndarray:
     """A mixed 64-bit hash of the GRAM bytes from each position on."""
+    up, down = _ladders()
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _UP[:len(raw)], out=sums[1:])
-    return mixed((sums[GRAM:] - sums[:-GRAM]) * _DOWN[:len(sums) - GRAM])
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[:len(raw)], out=sums[1:])
+    return mixed((sums[GRAM:] - sums[:-GRAM]) * down[:len(sums) - GRAM])
 
 
 def _slide(values: np.ndarray, width: int, best: np.ufunc, pad: int) -> np.ndarray:
