@@ -9,8 +9,8 @@ and bucket where the two classes meet, so no pair leaves its task: a task
 returns each class's number of links and, for the components, one edge from
 each class to its group's first.
 
-With 12 tables of 4 probes, a pair at cosine 0.93 in 64 dimensions is missed with
-chance below 1e-6 (measured on random pairs, see the tests). Large buckets are
+With 10 tables of 4 probes, a pair at cosine 0.93 in 64 dimensions is missed with
+chance below 1e-5 (measured on random pairs, see the tests). Large buckets are
 split into blocks of BLOCK homes, met by blocks of BLOCK lookers.
 
 Defined edge cases: vectors that are null, empty, zero or hold null or non-finite
@@ -29,14 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.llm.common import cut, groups, slices
 from quarry.llm.components import components
 
 THRESHOLD = 0.93
-TABLES, PROBES = 12, 4
+TABLES, PROBES = 10, 4
 BLOCK = 1024
 AXES_TRIED = 4  # of each rotation, for the probe order
+PAIRS_AT_ONCE = 1 << 15
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -86,45 +88,42 @@ def usable(name: str = "embedding"):
     return (F.size(name) > 0) & finite & F.exists(name, lambda x: x != 0)
 
 
-def _hashed(classes: DataFrame, tables: int, probes: int) -> DataFrame:
-    """One row per class, table and probe: bucket, role and all that its task needs."""
+def _hashed(classes: DataFrame, tables: int, probes: int, carried: list[str]) -> DataFrame:
+    """One row per class, table and probe: bucket, role and the ``carried`` columns."""
+    fixed = ["label", "width", "table", "bucket", "home"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 2048):
             lengths = np.array([len(v) for v in part.column("embedding").to_pylist()])
             for width in np.unique(lengths):
                 rows = part.filter(pa.array(lengths == width))
-                x = unit(rows.column("embedding").to_pylist())
-                codes = np.stack([buckets(x, t, probes) for t in range(tables)], axis=1)  # row, table, probe
-                flat = codes.reshape(len(x), -1)
-                packed = [r.astype("<i8").tobytes() for r in flat]
-                values = [r.astype("<f8").tobytes() for r in x]
+                x, n = unit(rows.column("embedding").to_pylist()), rows.num_rows
                 for t in range(tables):
-                    for p in range(codes.shape[2]):
+                    codes = buckets(x, t, probes)
+                    for p in range(codes.shape[1]):
                         yield pa.RecordBatch.from_arrays(
-                            [rows.column("label"), pa.array(np.full(len(x), width), pa.int64()),
-                             pa.array(np.full(len(x), t), pa.int64()), pa.array(codes[:, t, p], pa.int64()),
-                             pa.array(np.full(len(x), p == 0)), rows.column("rep"), rows.column("variant"),
-                             rows.column("copies"), pa.array(packed, pa.binary()), pa.array(values, pa.binary())],
-                            ["label", "width", "table", "bucket", "home", "rep", "variant", "copies", "codes", "vector"])
+                            [rows.column("label"), pa.array(np.full(n, width), pa.int64()), pa.array(np.full(n, t), pa.int64()),
+                             pa.array(codes[:, p], pa.int64()), pa.array(np.full(n, p == 0)), *(rows.column(c) for c in carried)],
+                            [*fixed, *carried])
 
-    label = classes.schema["label"].dataType.simpleString()
-    return classes.mapInArrow(run, f"label {label}, width long, table long, bucket long, home boolean, rep long, "
-                                   "variant long, copies long, codes binary, vector binary")
+    schema = T.StructType([classes.schema["label"], *[T.StructField(n, T.LongType()) for n in fixed[1:4]],
+                           T.StructField("home", T.BooleanType()), *[classes.schema[c] for c in carried]])
+    return classes.mapInArrow(run, schema)
 
 
-def _met_here(a: np.ndarray, b: np.ndarray, ia: np.ndarray, ib: np.ndarray, table: int, bucket: int) -> np.ndarray:
+def _met_here(codes: np.ndarray, ia: np.ndarray, ib: np.ndarray, table: int) -> np.ndarray:
     """Which pairs (looker a, home b) count here: in the first table where one
-    looks into the other's home, in that home (the lower class's look first)."""
+    looks into the other's home."""
     out = np.zeros(len(ia), bool)
-    for i in range(0, len(ia), 1 << 15):
-        ca, cb = a[ia[i:i + (1 << 15)]], b[ib[i:i + (1 << 15)]]
+    for i in range(0, len(ia), PAIRS_AT_ONCE):
+        ca, cb = codes[ia[i:i + PAIRS_AT_ONCE]], codes[ib[i:i + PAIRS_AT_ONCE]]
         a_sees = (ca == cb[:, :, :1]).any(axis=2)
         b_sees = (cb == ca[:, :, :1]).any(axis=2)
-        out[i:i + (1 << 15)] = ((a_sees | b_sees).argmax(axis=1) == table) & a_sees[:, table]
+        out[i:i + PAIRS_AT_ONCE] = ((a_sees | b_sees).argmax(axis=1) == table) & a_sees[:, table]
     return out
 
 
-def _compare(rows: dict, threshold: float, tables: int) -> Iterator[tuple]:
+def _compare(rows: dict, threshold: float, tables: int, probes: int) -> Iterator[tuple]:
     """rep, variant, links, least class of its group here, for one block of a bucket."""
     table = rows["table"][0]
     home = np.array(rows["home"])
@@ -134,22 +133,24 @@ def _compare(rows: dict, threshold: float, tables: int) -> Iterator[tuple]:
     lookers, homes = np.flatnonzero(looks), np.flatnonzero(home)
     if not len(homes) or not len(lookers):
         return
-    codes = np.frombuffer(b"".join(rows["codes"]), "<i8").reshape(len(rep), -1)
-    codes = codes.reshape(len(rep), tables, -1)
-    x = np.frombuffer(b"".join(rows["vector"]), "<f8").reshape(len(rep), -1)
+    x = unit(rows["embedding"])
     la, lb = np.nonzero(x[lookers] @ x[homes].T >= threshold)
     ia, ib = lookers[la], homes[lb]
     same = (rep[ia] == rep[ib]) & (variant[ia] == variant[ib])
     ia, ib = ia[~same], ib[~same]
     if not len(ia):
         return
-    here = _met_here(codes, codes, ia, ib, table, rows["bucket"][0])
+    # where else the linked ones meet is hashed again here, not carried along
+    linked, place = np.unique(np.concatenate([ia, ib]), return_inverse=True)
+    codes = np.stack([buckets(x[linked], t, probes) for t in range(tables)], axis=1)  # row, table, probe
+    pa_, pb = place[:len(ia)], place[len(ia):]
+    here = _met_here(codes, pa_, pb, table)
     # both look into each other's home: the lower class's look counts
     lower = (rep[ia] < rep[ib]) | ((rep[ia] == rep[ib]) & (variant[ia] < variant[ib]))
     mutual = np.zeros(len(ia), bool)
-    for i in range(0, len(ia), 1 << 15):
-        s = slice(i, i + (1 << 15))
-        mutual[s] = (codes[ib[s], table] == codes[ia[s], table, :1]).any(axis=1)
+    for i in range(0, len(ia), PAIRS_AT_ONCE):
+        part = slice(i, i + PAIRS_AT_ONCE)
+        mutual[part] = (codes[pb[part], table] == codes[pa_[part], table, :1]).any(axis=1)
     keep = here & (lower | ~mutual)
     ia, ib = ia[keep], ib[keep]
     # a class may be here twice, as looker and as home: one node for both
@@ -183,17 +184,26 @@ def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD, tables: in
     same = rows.where("usable").groupBy("label", "embedding", "variant").agg(F.min("vec_id").alias("rep"),
                                                                               F.count("*").alias("copies"))
     classes = cut(same, "vector-classes")
-    posted = cut(_hashed(classes, tables, probes), "vector-buckets")
     key = ["label", "width", "table", "bucket"]
-    sizes = (posted.groupBy(*key).agg(F.count("*").alias("n"), F.sum(F.col("home").cast("long")).alias("homes"))
-             .where("homes > 0 AND n > 1")
-             .select(*key, F.ceil(F.col("homes") / block).cast("int").alias("hb"), F.ceil(F.col("n") / block).cast("int").alias("lb")))
-    spread = posted.join(sizes, key).withColumn("slot", F.xxhash64("rep", "variant"))
-    h, look = F.pmod("slot", F.col("hb")).cast("int"), F.pmod("slot", F.col("lb")).cast("int")
-    # a home meets every block of lookers, a looker every block of homes
-    as_home = spread.where("home").select("*", h.alias("i"), F.explode(F.sequence(F.lit(0), F.col("lb") - 1)).alias("j"), F.lit(False).alias("looks"))
-    as_look = spread.select("*", F.explode(F.sequence(F.lit(0), F.col("hb") - 1)).alias("i"), look.alias("j"), F.lit(True).alias("looks"))
-    met = (as_home.unionByName(as_look.withColumn("home", F.lit(False))).drop("hb", "lb", "slot")
+    # buckets are hashed twice: first alone, to find the large ones, then with the vectors
+    large = cut(_hashed(classes, tables, probes, []).groupBy(*key)
+                .agg(F.count("*").alias("n"), F.sum(F.col("home").cast("long")).alias("homes")).where(F.col("n") > block)
+                .select(*key, F.greatest(F.lit(1), F.ceil(F.col("homes") / block)).cast("int").alias("hb"),
+                        F.ceil(F.col("n") / block).cast("int").alias("lb")), "large-buckets")
+    posted = _hashed(classes, tables, probes, ["rep", "variant", "copies", "embedding"]).join(large, key, "left")
+    slot = F.xxhash64("rep", "variant")
+
+    def role(i, j, home, looks):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), home.alias("home"), looks.alias("looks"))
+
+    yes, no = F.lit(True), F.lit(False)
+    # in a large bucket a home meets every block of lookers, a looker every block of homes
+    as_home = F.transform(F.sequence(F.lit(0), F.col("lb") - 1), lambda j: role(F.pmod(slot, F.col("hb")), j, yes, no))
+    as_look = F.transform(F.sequence(F.lit(0), F.col("hb") - 1), lambda i: role(i, F.pmod(slot, F.col("lb")), no, yes))
+    roles = (F.when(F.col("hb").isNull(), F.array(role(F.lit(0), F.lit(0), F.col("home"), yes)))
+             .when(F.col("home"), F.concat(as_home, as_look)).otherwise(as_look))
+    met = (posted.select(*key, "rep", "variant", "copies", "embedding", F.explode(roles).alias("role"))
+           .select(*key, "rep", "variant", "copies", "embedding", "role.*")
            .repartition(*key, "i", "j").sortWithinPartitions(*key, "i", "j"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,7 +212,7 @@ def near_vectors(vectors: DataFrame, *, threshold: float = THRESHOLD, tables: in
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["rep", "variant", "links", "first"])
 
         for group in groups(batches, [*key, "i", "j"]):
-            found = list(_compare(group, threshold, tables))
+            found = list(_compare(group, threshold, tables, probes))
             if found:
                 yield out(found)
 
