@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.operators import search as X
 from quarry.plans.oracle import PY_WS_CHARS, TEXT_DOCUMENTS, TEXT_PAGES, with_
+from quarry.plans.porter_sql import stem_ctes
 from quarry.session import checkpoint_dir
 from quarry.sources import fixtures as fx
 
@@ -108,7 +109,14 @@ def build_postings(spark, sf):
             .agg(F.array_join(F.array_sort(F.collect_list("pos")), ",").alias("positions")))
 
 
-@register("porter_vocabulary")
+_STEMS = """,
+vocab AS (SELECT DISTINCT term AS token FROM occ),
+asked AS (SELECT token FROM vocab UNION SELECT unnest(['retitioning', 'thes'])),
+""" + stem_ctes("asked")
+
+
+@register("porter_vocabulary", _HEAD + _STEMS + """
+SELECT token, term FROM stems WHERE token IN (SELECT token FROM vocab)""")
 def porter_vocabulary(spark, sf):
     """Every distinct token of the page index with its Porter stem."""
     t = X.page_tokens(X.index_pages(fx.text_pages(spark, sf)))
@@ -191,7 +199,12 @@ def search_corpus_page(spark, sf):
     return _run(spark, sf, X.Term("and"), corpus="src1", page=2, limit=20)
 
 
-@register("search_stemmed")
+@register("search_stemmed", _HEAD + _STEMS + """,
+hits AS (SELECT o.doc_id, o.page_num FROM occ o JOIN stems s ON s.token = o.term
+         WHERE s.term = (SELECT term FROM stems WHERE token = 'retitioning')
+            OR starts_with(s.term, (SELECT term FROM stems WHERE token = 'thes')))
+SELECT DISTINCT d.id, d.corpus, d.filename, d.page_count, h.page_num
+FROM hits h JOIN text_documents d ON h.doc_id = d.id""")
 def search_stemmed(spark, sf):
     """Porter mode, as the reference indexes: ``retitioning`` finds every
     word with the stem ``retit``; ``the*`` as a stemmed prefix."""
