@@ -43,7 +43,7 @@ SMALLEST_TIER = 1
 END_ID = 1
 CHUNK_TOKENS = 1 << 21
 STEP_TOKENS = 64 * WINDOW
-MEMO_WORDS, MEMO_CHARS = 1_000_000, 48
+MEMO_WORDS, MEMO_CHARS = 700_000, 48
 
 
 class WordIds:

@@ -7,8 +7,10 @@ fitted without the row's own fold, so that a later model sees the earlier ones
 as uncertain as they are on new documents.
 
 The chain is fitted on at most SAMPLE labelled documents (the ones whose id hashes
-lowest, the same at every run); the vocabulary is chosen on them, too. Scoring is
-one narrow pass over all documents and whole texts.
+lowest, the same at every run). Spark counts their words; the driver gets the
+CANDIDATES words whose documents differ most from the mean, and the sample's
+documents as sets of these. Scoring is one narrow pass over all documents and whole
+texts.
 
 Defined edge cases: null, empty or white-space text has no words and gets the
 chain's prior; a label that is null is not learned from, several labels of a
@@ -25,19 +27,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import slices
+from quarry.llm.common import cut, slices
 from quarry.llm.shingles import word_memo
 
-SAMPLE = 12_000  # labelled documents that the chain is fitted on
+SAMPLE = 20_000  # labelled documents that the chain is fitted on
 FEATURES = 4096  # words of a model
+CANDIDATES = 4 * FEATURES  # words of the sample that models choose from
 FOLDS = 5
 LEAST_DOCS, LEAST_Z = 4, 4.0  # of a word that a model may use
 RIDGE, STEPS = 0.1, 300
-REJECT = 0.5
+REJECT = 0.3
 CATEGORIES = ("low_quality", "toxic")  # in the order of the chain
 # ASCII letters and digits, lower-cased; other ASCII parts words; bytes above it stay
 _FOLD = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(128)) + bytes(range(128, 256))
@@ -115,14 +118,16 @@ def _scores(model: Linear, row, word, dense, vocabulary) -> np.ndarray:
     return np.bincount(row, weights[word], len(dense)) + dense @ model.earlier + model.intercept
 
 
-def fit_chain(words: list[np.ndarray], labels: np.ndarray, categories: Sequence[str]) -> Chain:
-    """From distinct word hashes of each document and its labels (NaN: unknown)."""
-    fold = np.array([int(np.bitwise_xor.reduce(w)) % FOLDS if len(w) else 0 for w in words])
-    vocabulary, word, docs = np.unique(np.concatenate([*words, np.empty(0, np.uint64)]), return_inverse=True, return_counts=True)
-    often = docs >= LEAST_DOCS  # no model may use the others
-    row = np.repeat(np.arange(len(words), dtype=np.int32), [len(w) for w in words])[often[word]]
-    word = (np.cumsum(often, dtype=np.int32) - 1)[word[often[word]]]
-    vocabulary = vocabulary[often]
+def _fold_of(words: np.ndarray) -> int:
+    return int(np.bitwise_xor.reduce(words)) % FOLDS if len(words) else 0
+
+
+def fit_chain(words: list[np.ndarray], labels: np.ndarray, categories: Sequence[str], fold: np.ndarray | None = None) -> Chain:
+    """From distinct word hashes of each document, its labels (NaN: unknown) and its fold."""
+    if fold is None:
+        fold = np.array([_fold_of(w) for w in words])
+    vocabulary, word = np.unique(np.concatenate([*words, np.empty(0, np.uint64)]), return_inverse=True)
+    row = np.repeat(np.arange(len(words)), [len(w) for w in words])
     dense, models = np.empty((len(words), 0)), []
     for c in range(len(categories)):
         y = labels[:, c]
@@ -150,22 +155,42 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
              .agg(*[(F.avg(c) >= 0.5).cast("double").alias(c) for c in categories])
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = word_memo()
         for part in slices(batches):
-            found = [np.sort(np.fromiter((memo[w] for w in words_of(t)), np.uint64)).tobytes() for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary()), *[part.column(c) for c in categories]],
+            found = [np.sort(np.fromiter((memo[w] for w in words_of(t)), np.uint64)).view(np.int64) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), *[part.column(c) for c in categories]],
                                              ["words", *categories])
 
-    schema = "words binary, " + ", ".join(f"`{c}` double" for c in categories)
-    # at most ``sample`` rows of an id and a few numbers
-    rows = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", *categories)
-            .mapInArrow(run, schema).groupBy("words").agg(*[(F.avg(c) >= 0.5).cast("double").alias(c) for c in categories])
-            .orderBy("words").toPandas())
-    values = rows[list(categories)].to_numpy(np.float64, na_value=np.nan) if len(rows) else np.empty((0, len(categories)))
-    words = [np.frombuffer(w, np.uint64) for w in rows["words"]]
-    del rows
-    return fit_chain(words, values, categories)
+    numbers = ", ".join(f"`{c}` double" for c in categories)
+    # ``known`` has at most ``sample`` rows of an id and a few numbers
+    rows = cut(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", *categories)
+               .mapInArrow(hashed, f"words array<long>, {numbers}")
+               .groupBy("words").agg(*[(F.avg(c) >= 0.5).cast("double").alias(c) for c in categories]), "toxicity-sample")
+    means = rows.agg(*[F.avg(c).alias(c) for c in categories]).first()
+
+    def distance(c: str) -> Column:
+        """How far the share of ones among a word's documents is from the mean, in standard errors."""
+        p = min(max(means[c] or 0.0, 1e-6), 1 - 1e-6)
+        return F.coalesce(F.abs(F.sum(c) - p * F.count(c)) / F.sqrt(F.greatest(F.count(c), F.lit(1)) * (p * (1 - p))), F.lit(0.0))
+
+    far = F.greatest(*[distance(c) for c in categories], F.lit(0.0))
+    chosen = (rows.select(F.explode("words").alias("word"), *categories).groupBy("word").agg(F.count("*").alias("docs"), far.alias("far"))
+              .where((F.col("docs") >= LEAST_DOCS) & (F.col("far") >= LEAST_Z - 1)).orderBy(F.desc("far"), "word").limit(CANDIDATES))
+    candidates = np.sort(np.array([r.word for r in chosen.select("word").collect()], np.int64))
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            found = [np.array(w, np.int64) for w in part.column("words").to_pylist()]
+            folds = [_fold_of(w.view(np.uint64)) for w in found]
+            kept = [w[np.isin(w, candidates)].tobytes() for w in found]
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.binary()), pa.array(folds, pa.int64()), *[part.column(c) for c in categories]],
+                                             ["words", "fold", *categories])
+
+    local = rows.mapInArrow(reduced, f"words binary, fold long, {numbers}").toPandas()
+    local = local.sort_values(["words", "fold", *categories], kind="stable")
+    values = local[list(categories)].to_numpy(np.float64, na_value=np.nan) if len(local) else np.empty((0, len(categories)))
+    return fit_chain([np.frombuffer(w, np.uint64) for w in local["words"]], values, categories, local["fold"].to_numpy(np.int64))
 
 
 def _scored(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
