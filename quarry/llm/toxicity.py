@@ -40,7 +40,7 @@ CANDIDATES = 4 * FEATURES  # words of the sample that models choose from
 FOLDS = 5
 LEAST_DOCS, LEAST_Z = 4, 4.0  # of a word that a model may use
 RIDGE, STEPS = 0.1, 300
-REJECT = 0.3
+REJECT = 0.4
 CATEGORIES = ("low_quality", "toxic")  # in the order of the chain
 # ASCII letters and digits, lower-cased; other ASCII parts words; bytes above it stay
 _FOLD = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(128)) + bytes(range(128, 256))
