@@ -30,7 +30,6 @@ CHAR_CELL_HEIGHT = 12
 # Chunking: window and step in words; excerpt length of a citation.
 CHUNK_WORDS = 300
 CHUNK_OVERLAP = 50
-CHUNK_STEP = CHUNK_WORDS - CHUNK_OVERLAP
 EXCERPT_CHARS = 200
 DEFAULT_TOP_K = 5
 
@@ -75,51 +74,6 @@ PY_WHITESPACE_CLASS = ("[\\t\\n\\x{0B}\\f\\r\\x{1C}-\\x{1F} \\x{85}\\x{A0}\\x{16
 # Star schema (times are zone-less, like the source tables' timestamps)
 # ---------------------------------------------------------------------------
 
-DOCUMENTS = T.StructType([
-    T.StructField("id", T.StringType(), False),
-    T.StructField("corpus", T.StringType(), False),
-    T.StructField("filename", T.StringType(), False),
-    T.StructField("source_url", T.StringType()),
-    T.StructField("file_path", T.StringType()),
-    T.StructField("page_count", T.IntegerType()),
-    T.StructField("date_filed", T.StringType()),
-    T.StructField("created_at", T.TimestampNTZType()),
-    T.StructField("is_scanned", T.BooleanType()),
-])
-
-ENTITIES = T.StructType([
-    T.StructField("id", T.LongType(), False),
-    T.StructField("name", T.StringType(), False),
-    T.StructField("type", T.StringType(), False),
-    T.StructField("created_at", T.TimestampNTZType()),
-])
-
-MENTIONS = T.StructType([
-    T.StructField("id", T.LongType(), False),
-    T.StructField("entity_id", T.LongType(), False),
-    T.StructField("doc_id", T.StringType(), False),
-    T.StructField("page_num", T.IntegerType(), False),
-    T.StructField("context", T.StringType()),
-    T.StructField("created_at", T.TimestampNTZType()),
-])
-
-REDACTIONS = T.StructType([
-    T.StructField("id", T.LongType(), False),
-    T.StructField("doc_id", T.StringType(), False),
-    T.StructField("page_num", T.IntegerType(), False),
-    T.StructField("redaction_count", T.IntegerType()),
-    T.StructField("estimated_chars", T.IntegerType()),
-    T.StructField("created_at", T.TimestampNTZType()),
-])
-
-RELEASES = T.StructType([
-    T.StructField("id", T.LongType(), False),
-    T.StructField("corpus", T.StringType(), False),
-    T.StructField("run_date", T.TimestampNTZType()),
-    T.StructField("docs_added", T.IntegerType()),
-    T.StructField("entities_found", T.IntegerType()),
-    T.StructField("notes", T.StringType()),
-])
 
 PAGE = T.StructType([
     T.StructField("page_num", T.IntegerType(), False),
@@ -139,15 +93,6 @@ RAW_DOCS = T.StructType([
     T.StructField("pages", T.ArrayType(PAGE)),
 ])
 
-PAGE_SHAPES = T.StructType([
-    T.StructField("doc_id", T.StringType(), False),
-    T.StructField("page_num", T.IntegerType(), False),
-    T.StructField("kind", T.StringType(), False),
-    T.StructField("annot_type", T.IntegerType()),
-    T.StructField("fill", T.ArrayType(T.DoubleType())),
-    T.StructField("width", T.DoubleType()),
-    T.StructField("height", T.DoubleType()),
-])
 
 CHUNK_METADATA = T.StructType([
     T.StructField("doc_id", T.StringType()),
@@ -156,12 +101,6 @@ CHUNK_METADATA = T.StructType([
     T.StructField("page_num", T.IntegerType()),
 ])
 
-CHUNKS = T.StructType([
-    T.StructField("chunk_id", T.StringType(), False),
-    T.StructField("text", T.StringType()),
-    T.StructField("embedding", T.ArrayType(T.FloatType())),
-    T.StructField("metadata", CHUNK_METADATA),
-])
 
 MANIFEST = T.StructType([
     T.StructField("corpus", T.StringType()),
@@ -171,13 +110,4 @@ MANIFEST = T.StructType([
     T.StructField("page_count", T.IntegerType()),
 ])
 
-QUESTIONS = T.StructType([
-    T.StructField("question_id", T.LongType(), False),
-    T.StructField("question", T.StringType()),
-    T.StructField("corpus", T.StringType()),
-])
 
-MENTION_PATTERNS = T.StructType([
-    T.StructField("type", T.StringType(), False),
-    T.StructField("regex", T.StringType(), False),
-])
