@@ -125,6 +125,8 @@ def _met_here(codes: np.ndarray, ia: np.ndarray, ib: np.ndarray, table: int) ->
 
 def _compare(rows: dict, threshold: float, tables: int, probes: int) -> Iterator[tuple]:
     """rep, variant, links, least class of its group here, for one block of a bucket."""
+    if len(rows["rep"]) < 2 or not any(rows["home"]):
+        return  # most buckets hold one vector, or only lookers
     table = rows["table"][0]
     home = np.array(rows["home"])
     rep, variant = np.array(rows["rep"], np.int64), np.array(rows["variant"], np.int64)
