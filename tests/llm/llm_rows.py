@@ -1,5 +1,6 @@
 import random
 
+import pytest
 
 SF = "/root/testdata/sf0.01"
 WORDS = [a + b for a in "ba be bi bo bu da de di do du ka ke ki ko ku ma me mi mo mu".split()
@@ -38,3 +39,8 @@ def awkward_rows():
              (407, "a" * 900, "aa", "s1"), (408, base[9] + base[9], None, "s1"), (408, base[9] + base[9], None, "s1"),
              (409, base[5], "aa", "s1"), (409, base[6], "aa", "s1"), (None, base[9], "aa", "s1"), (None, None, None, None)]
     return rows
+
+
+@pytest.fixture(scope="session")
+def corpus():
+    return awkward_rows()

@@ -2,7 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
-from llm_rows import make_docs, prose
+from llm_rows import corpus, make_docs, prose  # noqa: F401
 
 from quarry.llm import fingerprints
 from quarry.llm.shingles import Shingler

@@ -1,6 +1,6 @@
 import zlib
 
-from llm_rows import SF, make_docs
+from llm_rows import SF, corpus, make_docs  # noqa: F401
 
 from quarry.llm import langid
 

@@ -1,7 +1,7 @@
 import hashlib
 from collections import defaultdict
 
-from llm_rows import make_docs
+from llm_rows import corpus, make_docs  # noqa: F401
 
 from quarry.llm import bloom, line_dedup
 

@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from llm_rows import make_docs, prose
+from llm_rows import corpus, make_docs, prose  # noqa: F401
 
 from quarry.llm import minhash
 from quarry.llm.components import components

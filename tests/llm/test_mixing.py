@@ -2,7 +2,7 @@ import math
 import re
 from collections import defaultdict
 
-from llm_rows import make_docs
+from llm_rows import corpus, make_docs  # noqa: F401
 
 from quarry.llm import mixing
 

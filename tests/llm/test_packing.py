@@ -2,7 +2,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
-from llm_rows import SF, make_docs
+from llm_rows import SF, corpus, make_docs  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

@@ -3,7 +3,7 @@ import random
 from collections import Counter
 
 import pytest
-from llm_rows import make_docs
+from llm_rows import corpus, make_docs  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

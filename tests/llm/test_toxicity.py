@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from llm_rows import SF, make_docs, prose
+from llm_rows import SF, corpus, make_docs, prose  # noqa: F401
 
 from quarry.llm import toxicity
 
