@@ -15,7 +15,10 @@ pages is neither one group nor one task's work. For extraction, a page is
 aligned with its host's wrapper and gives the texts under the main container.
 
 Page furniture is known by its element or by a word in its class, id or role
-(see the fixed lists); scripts, styles, forms and comments never give text.
+(see the fixed lists); scripts, styles, forms and comments never give text. An element
+is a sure sign; a word is evidence only, a whole value more than a part of one: inside an
+article parts do not count, and a word is set aside on hosts where the elements it marks
+hold the only article or most of the text that varies (``release``).
 
 Defined edge cases: null or empty html gives "" ; a page without a host in its url
 (or without a url) belongs to host ""; very long pages are read whole; a host with
@@ -29,7 +32,7 @@ from __future__ import annotations
 import html as entities
 import marshal
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -47,11 +50,22 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
                    "samp small span strike strong sub sup time tt u var wbr".split())
 MAIN = frozenset("article main".split())
 FRAME = frozenset("html body article main".split())  # never furniture by the words in their class
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words in a class, id or role that mark page furniture.
 FURNITURE_WORDS = frozenset("ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent "
                             "cookie cookies copyright disclaimer disqus footer header login masthead menu modal nav navbar navigation "
                             "newsletter notice notification pager pagination popup promo promotion recommended related respond share "
                             "sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split())
+# Two words that count as one whole value.
+FURNITURE_PAIRS = frozenset("ad-banner ad-box ad-container ad-slot ad-unit ad-wrapper alert-banner author-social comment-form comment-list "
+                            "comment-respond comment-section comments-area comments-list comments-section cookie-banner cookie-bar "
+                            "cookie-consent cookie-notice login-form main-menu main-nav nav-bar nav-menu newsletter-form "
+                            "newsletter-signup page-footer promo-box related-articles related-content related-links related-posts "
+                            "related-stories share-bar share-buttons share-links sharing-buttons side-bar sidebar-left sidebar-right "
+                            "site-footer site-header site-navigation social-buttons social-icons social-links social-media "
+                            "social-share sponsored-content user-comments".split())
+OTHERS = frozenset("comment comments disqus recommended related respond".split())  # texts of readers and of other pages, often long
+WEAK, STRONG, APART = "~", "!", "!!"  # last part of a marked element's label: part of a value, whole value, whole value of OTHERS
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
@@ -68,7 +82,7 @@ class Node:
     text: str | None = None  # constant text, None for a slot
     optional: bool = False
     pages: int = 1
-    chars: int = 0
+    chars: dict[tuple[str, ...], int] = field(default_factory=dict)  # length of a text by the marks around it
     inner: list[Node] = field(default_factory=list)
     where: list[int] = field(default_factory=list)  # tokens of the page at hand
     key: str = ""
@@ -82,25 +96,47 @@ class Token:
     label: str  # name.words, /name or #
     name: str
     text: str = ""
-    furniture: bool = False
+    furniture: bool = False  # by its element
     article: bool = False
     linked: bool = False
+    marks: tuple[str, ...] = ()  # labels of the marked elements around it, outer first, "" for an article element
 
 
-def _words(rest: str) -> list[str]:
-    found = [a or b or c for _, a, b, c in ATTRIBUTE.findall(rest)]
-    return sorted({w for v in found for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", v).lower()) if w})
+def _values(rest: str) -> list[tuple[str, list[str]]]:
+    """Attribute and words of every value in class, id and role."""
+    return [(name.lower(), [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1-\2", v).lower()) if w])
+            for name, a, b, c in ATTRIBUTE.findall(rest) for v in (a or b or c).split()]
+
+
+def _mark(name: str, values: list[tuple[str, list[str]]], article: bool, inside: bool) -> str:
+    """How the words of an element mark it: not at all, WEAK, STRONG or APART."""
+    found = ""
+    for attribute, words in values:
+        marked = FURNITURE_WORDS.intersection(words)
+        if (not marked or name in FRAME and not (name == "article" and "comment" in marked)
+                or attribute == "id" and (name in HEADINGS or name == "section" and article)
+                or article and marked <= {"header"}):
+            continue
+        if len(words) == 1 or "-".join(words) in FURNITURE_PAIRS:
+            found = APART if found == APART or marked & OTHERS else STRONG
+        elif not inside and name not in HEADINGS and not (attribute == "id" and name == "section"):
+            found = found or WEAK
+    return found
+
+
+def _hidden(marks: tuple[str, ...], free: frozenset[str]) -> bool:
+    return any(m and m not in free for m in marks)
 
 
 def tokens(page: str) -> list[Token]:
     """Tags and texts of a page, each with the zone it stands in."""
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # name, furniture, article, link
-    zone = (False, False, False)
+    stack: list[tuple] = []  # name, furniture, article, link, marks, inside an article element
+    zone: tuple = (False, False, False, (), False)
 
     def text(raw: str):
         if not raw.isspace():
-            out.append(Token("#", "#", raw, *zone))
+            out.append(Token("#", "#", raw, *zone[:4]))
 
     at, end = 0, len(page)
     while at < end:
@@ -118,26 +154,64 @@ def tokens(page: str) -> list[Token]:
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None:
                 del stack[depth:]
-                zone = stack[-1][1:] if stack else (False, False, False)
-                out.append(Token(f"/{name}", name, "", *zone))
+                zone = stack[-1][1:] if stack else (False, False, False, (), False)
+                out.append(Token(f"/{name}", name, "", *zone[:4]))
             continue
-        words = _words(found["rest"]) if found["rest"] else []
+        values = _values(found["rest"]) if found["rest"] else []
         if name in OPAQUE:
             close = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
             at = close.end() if close else end
             continue
-        furniture, article, linked = zone
-        marked = FURNITURE_WORDS.intersection(words)
-        furniture |= (name in FURNITURE or name == "header" and not article
-                      or bool(marked) and (name not in FRAME or name == "article" and "comment" in marked))
-        zone_here = (furniture, article or name in MAIN, linked or name == "a")
-        out.append(Token(".".join([name, *words]), name, "", *zone_here))
-        if name not in VOID and not found["rest"].endswith("/"):
+        furniture, article, linked, marks, inside = zone
+        furniture |= name in FURNITURE or name == "header" and not article
+        empty = name in VOID or found["rest"].endswith("/")
+        mark = _mark(name, values, article, inside) if values and not empty else ""
+        label = ".".join([name, *sorted({w for _, words in values for w in words}), *([mark] if mark else [])])
+        marks += (label,) * bool(mark) + ("",) * (name in MAIN and mark in ("", WEAK))
+        zone_here = (furniture, article or name in MAIN, linked or name == "a", marks, inside or name == "article")
+        out.append(Token(label, name, "", *zone_here[:4]))
+        if not empty:
             stack.append((name, *zone_here))
             zone = zone_here
     return out
 
 
+def release(texts: Iterable[tuple[tuple[str, ...], int]], pages: int) -> frozenset[str]:
+    """Labels of marked elements that are no furniture, from the marks around the texts
+    and their length. Innermost marks are looked at first, until nothing changes."""
+    sizes: dict[tuple[str, ...], int] = {}
+    for marks, chars in texts:
+        if chars:
+            sizes[marks] = sizes.get(marks, 0) + chars
+    out: set[str] = set()
+    while True:
+        held: dict[str, int] = {}
+        mains: dict[str, int] = {}
+        plain, article = 0, False
+        for marks, chars in sizes.items():
+            at = next((i for i in range(len(marks) - 1, -1, -1) if marks[i] and marks[i] not in out), None)
+            if at is None:
+                plain += chars
+                article |= "" in marks
+            else:
+                held[marks[at]] = held.get(marks[at], 0) + chars
+                if "" in marks[at + 1:]:
+                    mains[marks[at]] = mains.get(marks[at], 0) + chars
+        rest = plain + sum(n for x, n in held.items() if not x.endswith(APART))
+
+        def whole(x: str) -> bool:
+            if not article and x in mains and (x.endswith(WEAK) or mains[x] > plain):
+                return True
+            if x.endswith(APART):
+                return not rest
+            return 2 * held[x] > rest and (x.endswith(WEAK) or pages >= CONSTANT_PAGES or not plain)
+
+        new = {x for x in held if whole(x)}
+        if not new:
+            return frozenset(out)
+        out |= new
+
+
 def _fold(nodes: list[Node]) -> list[Node]:
     """Adjacent equal units become one group each, short units first."""
     unit = 1
@@ -162,11 +236,15 @@ def _fold(nodes: list[Node]) -> list[Node]:
     return nodes
 
 
+def _sum(a: dict, b: dict) -> dict:
+    return {k: a.get(k, 0) + b.get(k, 0) for k in (*a, *b)} if a and b else dict(a or b)
+
+
 def _same(a: Node, b: Node) -> Node:
     """Two nodes of one structure on the same page or on pages of the same structure."""
     inner = [_same(x, y) for x, y in zip(a.inner, b.inner, strict=True)]
     return Node(a.label, a.text if a.text == b.text else None, a.optional or b.optional, max(a.pages, b.pages),
-                a.chars + b.chars, inner, a.where + b.where, a.key)
+                _sum(a.chars, b.chars), inner, a.where + b.where, a.key)
 
 
 def _seen_together(a: Node, b: Node) -> Node:
@@ -179,7 +257,8 @@ def _seen_together(a: Node, b: Node) -> Node:
 
 def folded(stream: list[Token]) -> list[Node]:
     nodes = [Node(t.label, " ".join(t.text.split()) if t.label == "#" else None,
-                  chars=0 if t.furniture or t.linked else len(t.text), where=[i]) for i, t in enumerate(stream)]
+                  chars={} if t.label != "#" or t.furniture or t.linked else {t.marks: len(t.text)}, where=[i])
+             for i, t in enumerate(stream)]
     return _fold(nodes)
 
 
@@ -224,7 +303,7 @@ def align(a: list[Node], b: list[Node]) -> list[Node]:
             p, q = a[x], b[y]
             inner = align(p.inner, q.inner) if p.label == "+" else []
             out.append(Node(p.label, p.text if p.text == q.text else None, p.optional or q.optional, p.pages + q.pages,
-                            p.chars + q.chars, inner))
+                            _sum(p.chars, q.chars), inner))
         i, j = x + 1, y + 1
     return out
 
@@ -261,7 +340,17 @@ def _flat(nodes: list[Node]) -> Iterator[Node]:
             yield n
 
 
-def main_label(wrapper: list[Node]) -> str | None:
+def _varies(n: Node) -> bool:
+    return n.label == "#" and (n.text is None or n.pages < CONSTANT_PAGES)
+
+
+def released(wrapper: list[Node]) -> frozenset[str]:
+    """Labels of marked elements that are no furniture on this host."""
+    texts = [n for n in _flat(wrapper) if _varies(n)]
+    return release((x for n in texts for x in n.chars.items()), max((n.pages for n in texts), default=0))
+
+
+def main_label(wrapper: list[Node], free: frozenset[str] = frozenset()) -> str | None:
     """The start tag of the main container: an article element if there is one,
     else the innermost element with half of the varying text, None for the page."""
     held: dict[str, int] = {}
@@ -271,10 +360,11 @@ def main_label(wrapper: list[Node]) -> str | None:
     for n in _flat(wrapper):
         name = n.label.split(".")[0]
         if n.label == "#":
-            if n.text is None or n.pages < CONSTANT_PAGES:
-                total += n.chars
+            if _varies(n):
+                chars = sum(size for marks, size in n.chars.items() if not _hidden(marks, free))
+                total += chars
                 for label in set(stack):
-                    held[label] = held.get(label, 0) + n.chars
+                    held[label] = held.get(label, 0) + chars
         elif name.startswith("/"):
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].split(".")[0] == name[1:]), None)
             if at is not None:
@@ -298,11 +388,17 @@ def _constant(nodes: list[Node], wrapper: list[Node], out: set[int]) -> None:
             out.update(nodes[j].where)
 
 
-def main_text(page: str | None, wrapper: list[Node] | None, container: str | None) -> str:
+def main_text(page: str | None, wrapper: list[Node] | None, container: str | None, free: frozenset[str] = frozenset()) -> str:
     """The blocks of the page's main text, one per line."""
     stream = tokens(page or "")
-    if container is not None and not any(t.label == container and not t.furniture for t in stream):
-        container = next((t.label for t in stream if t.name in MAIN and not t.furniture), None)
+
+    def furniture(t: Token) -> bool:
+        return t.furniture or _hidden(t.marks, free)
+
+    if not any((t.label == container if container else t.label == "#") and not furniture(t) for t in stream):
+        free |= release(((t.marks, len(t.text)) for t in stream if t.label == "#" and not t.furniture and not t.linked), 1)
+        if container is not None and not any(t.label == container and not furniture(t) for t in stream):
+            container = next((t.label for t in stream if t.name in MAIN and not furniture(t)), None)
     constant: set[int] = set()
     if wrapper and container is None:
         _constant(folded(stream), wrapper, constant)
@@ -310,11 +406,11 @@ def main_text(page: str | None, wrapper: list[Node] | None, container: str | Non
     inside, name = 0, container.split(".")[0] if container else ""
     for i, t in enumerate(stream):
         if t.label == "#":
-            if not t.furniture and i not in constant and (container is None or inside):
+            if (container is None or inside) and i not in constant and not furniture(t):
                 blocks[-1].append(entities.unescape(t.text))
             continue
         if container is not None:
-            if t.label == container and not inside and not t.furniture:
+            if t.label == container and not inside and not furniture(t):
                 inside = 1
             elif inside and t.name == name:
                 inside += -1 if t.label.startswith("/") else 1
@@ -399,7 +495,8 @@ def extract(pages: DataFrame) -> DataFrame:
                     if len(known) >= 256:
                         known.clear()
                     wrapper = restored(nodes) if nodes else None
-                    known[host] = (wrapper, main_label(wrapper) if wrapper else None)
+                    free = released(wrapper) if wrapper else frozenset()
+                    known[host] = (wrapper, main_label(wrapper, free) if wrapper else None, free)
                 texts.append(main_text(page, *known[host]))
             yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
                                               pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

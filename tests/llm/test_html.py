@@ -68,3 +68,34 @@ def test_wrapper_of_two_pages():
         "<body><h1>B</h1><img><ul><li>4</li><li>5</li></ul><p>same</p></body>"))
     assert wrappers.pattern(wrappers.align(one, two)) == (
         "<body> <h1> #TEXT </h1> (<img>)? <ul> (<li> #TEXT </li>)+ </ul> <p> same </p> </body>")
+
+
+def test_words_in_a_class_are_no_veto(spark):
+    def site(open_, close, inner="", side="<div class=sidebar><p>Side {i}</p></div>"):
+        return [(i, "http://{h}.example/%d" % i, f"<html><body><div class=\"site-header\"><p>Site {i}</p></div>{open_}<article>"
+                 f"<div class=\"article-header\"><h1>Head {i}</h1></div><p>First {i} {'word ' * (9 + i)}</p>{inner}</article>"
+                 f"{side.format(i=i)}{close}<div id=comments><p>Reader {i} {'says ' * 99}</p></div></body></html>") for i in range(4)]
+
+    inner = ("<section id=related-work><h2 id=notice>Related</h2><p>Others</p></section><section id=social-history><p>Past</p></section>"
+             "<div class=share-buttons>Share</div><div class=notice>Notice</div><div class=header><h3>Part</h3></div>")
+    rows, expected = [], {}
+    for h, (open_, close) in enumerate([("", ""), ("<div class='page has-sidebar'>", "</div>"), ("<div id=login>", "</div>"),
+                                        ("<div class=content-with-sidebar><div class=hasNav>", "</div></div>")]):
+        for i, url, page in site(open_, close, inner):
+            rows.append((10 * h + i, url.replace("{h}", f"h{h}"), page))
+            expected[10 * h + i] = "\n".join([f"Head {i}", " ".join(f"First {i} {'word ' * (9 + i)}".split()), "Related", "Others", "Past", "Part"])
+    assert texts(spark, rows) == expected
+
+
+def test_a_marked_element_with_most_of_the_text(spark):
+    rows = [(i, f"http://a.example/{i}", f"<body><p>Top {i}</p><div class=notice><h1>Head {i}</h1><p>Text {i} {'word ' * (20 + i)}</p></div>"
+             f"<div class=sidebar><p>Side {i}</p></div></body>") for i in range(5)]
+    rows += [(10 + i, f"http://b.example/{i}", f"<body><div class=text><p>Text {i} {'word ' * 9}</p></div><div class=related-posts>"
+              f"<article>Other {i} {'thing ' * 5}</article></div><div class=comments><p>Reader {i} {'says ' * 99}</p></div></body>") for i in range(5)]
+    rows += [(20 + i, f"http://c.example/{i}", f"<body>{'<div class=with-sidebar>' if i == 4 else ''}<article>Text {i}</article></body>")
+             for i in range(5)]
+    found = texts(spark, rows)
+    for i in range(5):
+        assert found[i] == " ".join(f"Head {i}\tText {i} {'word ' * (20 + i)}".split()).replace(f" Text {i}", f"\nText {i}")
+        assert found[10 + i] == " ".join(f"Text {i} {'word ' * 9}".split())
+        assert found[20 + i] == f"Text {i}"
