@@ -23,7 +23,8 @@ hold the only article or most of the text that varies (``release``).
 Defined edge cases: null or empty html gives "" ; a page without a host in its url
 (or without a url) belongs to host ""; very long pages are read whole; a host with
 one page has that page as its wrapper; a page without the main container gives all
-text outside furniture; rows that repeat a page_id are pages of their own; an
+text outside furniture; an element
+such as svg or object that is never closed holds text up to the next block or its parent's end; rows that repeat a page_id are pages of their own; an
 empty table gives an empty result; further columns do not matter.
 """
 
@@ -44,7 +45,10 @@ from quarry.llm.common import cut, slices
 
 # HTML elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-OPAQUE = frozenset("script style noscript template iframe object svg math canvas textarea title select".split())
+RAW = frozenset("script style textarea title".split())  # no tags inside; without an end tag they hold the rest of the page
+OPAQUE = frozenset("noscript template iframe object svg math canvas select".split())  # nothing inside is text of the page
+BLOCK = frozenset("address article aside blockquote dd details div dl dt fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr li main "
+                  "nav ol p pre section table ul".split())
 FURNITURE = frozenset("nav footer aside form menu dialog button head".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q rp rt ruby s "
                    "samp small span strike strong sub sup time tt u var wbr".split())
@@ -128,43 +132,87 @@ def _hidden(marks: tuple[str, ...], free: frozenset[str]) -> bool:
     return any(m and m not in free for m in marks)
 
 
-def tokens(page: str) -> list[Token]:
-    """Tags and texts of a page, each with the zone it stands in."""
-    out: list[Token] = []
-    stack: list[tuple] = []  # name, furniture, article, link, marks, inside an article element
-    zone: tuple = (False, False, False, (), False)
-
-    def text(raw: str):
-        if not raw.isspace():
-            out.append(Token("#", "#", raw, *zone[:4]))
-
+def _events(page: str) -> list[tuple[str, str, str]]:
+    """Tags and texts as (kind, name, rest or text), kind "<", "/" or "#", without what stands in RAW and OPAQUE
+    elements. One of OPAQUE that its parent's end (or the page's) finds open ends where the first block in it starts."""
+    out: list[tuple[str, str, str]] = []
+    opaque: list[int] = []  # places of the OPAQUE start tags
     at, end = 0, len(page)
     while at < end:
         found = TOKEN.search(page, at)
         stop = found.start() if found else end
-        if stop > at:
-            text(page[at:stop])
+        if stop > at and not page[at:stop].isspace():
+            out.append(("#", "#", page[at:stop]))
         if not found:
             break
         at = found.end()
         name = (found["name"] or "").lower()
         if not name:
             continue
-        if found["end"]:
+        if name in RAW and not found["end"]:
+            close = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
+            at = close.end() if close else end
+            continue
+        if name in OPAQUE and not found["end"]:
+            if found["rest"].endswith("/"):
+                continue
+            opaque.append(len(out))
+        out.append(("/" if found["end"] else "<", name, found["rest"]))
+    if not opaque:
+        return out
+    stack: list[tuple[str, int]] = []
+    blocks: dict[int, int] = {}  # place of an OPAQUE start tag -> place of the first block in it
+    waiting: list[int] = []
+    ends: dict[int, int] = {}  # place of an OPAQUE start tag -> place behind what it holds
+
+    def leave(depth: int, place: int, closed: bool):
+        for i, (name, start) in enumerate(stack[depth:]):
+            if name in OPAQUE:
+                ends[start] = place + 1 if closed and i == 0 else blocks.get(start, place)
+        del stack[depth:]
+
+    for place, (kind, name, rest) in enumerate(out):
+        if kind == "/":
+            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            if depth is not None:
+                leave(depth, place, True)
+        elif kind == "<":
+            if name in BLOCK:
+                blocks.update(dict.fromkeys(waiting, place))
+                waiting.clear()
+            if name not in VOID and not rest.endswith("/"):
+                stack.append((name, place))
+                if name in OPAQUE:
+                    waiting.append(place)
+    leave(0, len(out), False)
+    kept, at = [], 0
+    for start in opaque:
+        if start >= at:
+            kept += out[at:start]
+            at = ends[start]
+    return kept + out[at:]
+
+
+def tokens(page: str) -> list[Token]:
+    """Tags and texts of a page, each with the zone it stands in."""
+    out: list[Token] = []
+    stack: list[tuple] = []  # name, furniture, article, link, marks, inside an article element
+    zone: tuple = (False, False, False, (), False)
+    for kind, name, rest in _events(page):
+        if kind == "#":
+            out.append(Token("#", "#", rest, *zone[:4]))
+            continue
+        if kind == "/":
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
             if depth is not None:
                 del stack[depth:]
                 zone = stack[-1][1:] if stack else (False, False, False, (), False)
                 out.append(Token(f"/{name}", name, "", *zone[:4]))
             continue
-        values = _values(found["rest"]) if found["rest"] else []
-        if name in OPAQUE:
-            close = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
-            at = close.end() if close else end
-            continue
+        values = _values(rest) if rest else []
         furniture, article, linked, marks, inside = zone
         furniture |= name in FURNITURE or name == "header" and not article
-        empty = name in VOID or found["rest"].endswith("/")
+        empty = name in VOID or rest.endswith("/")
         mark = _mark(name, values, article, inside) if values and not empty else ""
         label = ".".join([name, *sorted({w for _, words in values for w in words}), *([mark] if mark else [])])
         marks += (label,) * bool(mark) + ("",) * (name in MAIN and mark in ("", WEAK))

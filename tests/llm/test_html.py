@@ -99,3 +99,20 @@ def test_a_marked_element_with_most_of_the_text(spark):
         assert found[i] == " ".join(f"Head {i}\tText {i} {'word ' * (20 + i)}".split()).replace(f" Text {i}", f"\nText {i}")
         assert found[10 + i] == " ".join(f"Text {i} {'word ' * 9}".split())
         assert found[20 + i] == f"Text {i}"
+
+
+def test_text_after_elements_that_are_never_closed(spark):
+    cases = ["<p>One <svg class=\"icon\"/> two</p><p>Three</p><svg><path d=m/><text>no</text></svg><p>Four</p>",
+             "<p>One two</p><div><object data=x>no</div><p>Three</p><p>Four</p>",
+             "<p>One two</p><canvas><p>Three</p><p>Four</p>",
+             "<p>One two</p><div><select><option>no<option>no</div><p>Three</p><select><option>no</option></select><p>Four</p>",
+             "<p>One two</p><svg><path><p>Three <svg><title>no</title><foreignObject><p>no</p></foreignObject></svg></p><math/><p>Four</p>",
+             "<p>One two</p><noscript><p>no</p><object><div>no</div></object></noscript><iframe src=x /><p>Three</p><template/><p>Four</p>",
+             "<p>One two</p><p>Three</p><p>Four</p><textarea><p>no"]
+    rows = [(i, f"http://h{i}.example/", f"<body><article>{x}</article><footer>Foot</footer></body>") for i, x in enumerate(cases)]
+    assert texts(spark, rows) == dict.fromkeys(range(len(cases)), "One two\nThree\nFour")
+
+
+def test_many_elements_that_are_never_closed_take_linear_time():
+    page = "<article>" + "<p>text <svg class=icon> <object>" * 20000
+    assert sum(t.label == "#" for t in wrappers.tokens(page)) == 20000
