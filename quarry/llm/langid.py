@@ -2,7 +2,7 @@
 
 Each language is a distribution over hashed byte trigrams, counted over all
 labelled training documents. A document is a mixture: expectation maximisation
-estimates the proportions of the languages from its trigrams' likelihoods. The
+estimates the proportions of all learned languages from its trigrams' likelihoods. The
 set of languages is selected by penalised likelihood: the strongest 1, 2, ...
 languages are fitted again by themselves, and a further language must raise the
 log-likelihood by PENALTY * log(trigrams). The prediction is the language with the
@@ -35,7 +35,7 @@ BUCKETS = 1 << 15
 SMOOTHING = 0.1
 STEPS = 12
 PENALTY = 3.0  # overlapping trigrams count every byte three times
-CANDIDATES = 8  # languages that enter a document's mixture, by single likelihood
+CELLS = 1 << 22  # trigrams times languages that are worked on at once, unless one document has more
 UNKNOWN = "und"
 _FOLD = bytes(c if c > 127 or chr(c).isalpha() else 32 for c in range(256))
 
@@ -105,37 +105,49 @@ def mixtures(texts: list[str], model: Languages) -> np.ndarray:
         at = np.flatnonzero(counts)
         grams.append((at, counts[at]))
     out = np.zeros((len(texts), len(model.names)))
-    filled = [i for i, (at, _) in enumerate(grams) if len(at)]
-    if not filled:
-        return out
-    at = np.concatenate([grams[i][0] for i in filled])
-    n = np.concatenate([grams[i][1] for i in filled]).astype(np.float64)
-    sizes = np.array([len(grams[i][0]) for i in filled])
-    doc, starts = np.repeat(np.arange(len(filled)), sizes), np.r_[0, np.cumsum(sizes)[:-1]]
-    total = np.add.reduceat(n, starts)
+    part: list[int] = []
+    cells = 0
+    for i, (at, _) in enumerate(grams):
+        if not len(at):
+            continue
+        if part and cells + len(at) * len(model.names) > CELLS:
+            out[part] = _fitted([grams[k] for k in part], model)
+            part, cells = [], 0
+        part.append(i)
+        cells += len(at) * len(model.names)
+    if part:
+        out[part] = _fitted([grams[k] for k in part], model)
+    return out
+
+
+def _fitted(grams: list[tuple[np.ndarray, np.ndarray]], model: Languages) -> np.ndarray:
+    """Proportions of documents that have trigrams."""
+    at = np.concatenate([a for a, _ in grams])
+    n = np.concatenate([c for _, c in grams]).astype(np.float64)
+    sizes = np.array([len(a) for a, _ in grams])
+    total = np.add.reduceat(n, np.r_[0, np.cumsum(sizes)[:-1]])
     log_p = model.log_p[at]
-    alone = np.add.reduceat(log_p * n[:, None], starts, axis=0)
-    order = np.argsort(-alone, axis=1, kind="stable")[:, :CANDIDATES]  # document, place -> language
-    log_p = np.take_along_axis(log_p, order[doc], axis=1)
     p = np.exp(log_p - log_p.max(axis=1, keepdims=True))
-    shift = np.add.reduceat(n * log_p.max(axis=1), starts)
-    full, _ = _climb(p, n, doc, starts, np.full((len(filled), order.shape[1]), 1 / order.shape[1]), total, STEPS)
-    rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1, kind="stable")
-    best, best_value = None, None
-    for size in range(1, order.shape[1] + 1):
-        start = np.where(rank < size, np.maximum(full, 1e-6), 0)
-        share, value = _climb(p, n, doc, starts, start / start.sum(axis=1, keepdims=True), total, 1 if size == 1 else STEPS // 2)
-        value = value + shift - (size - 1) * PENALTY * np.log(np.maximum(total, 2))
-        if best is None:
-            best, best_value = share, value
-            continue
-        better = value > best_value
-        if not better.any():
+    doc, starts = np.repeat(np.arange(len(sizes)), sizes), np.r_[0, np.cumsum(sizes)[:-1]]
+    alone = np.add.reduceat(log_p * n[:, None], starts, axis=0)
+    full, _ = _climb(p, n, doc, starts, np.full(alone.shape, 1 / alone.shape[1]), total, STEPS)
+    order = np.lexsort((-alone, -full), axis=1)  # document, place -> language
+    p, full = np.take_along_axis(p, order[doc], axis=1), np.take_along_axis(full, order, axis=1)
+    best, best_value = np.zeros(alone.shape), np.full(len(sizes), -np.inf)
+    cost = PENALTY * np.log(np.maximum(total, 2))
+    left = np.arange(len(sizes))
+    for size in range(1, alone.shape[1] + 1):
+        start = np.maximum(full[left, :size], 1e-6)
+        share, value = _climb(p[:, :size], n, doc, starts, start / start.sum(axis=1, keepdims=True), total[left],
+                              1 if size == 1 else STEPS // 2)
+        value = value - (size - 1) * cost[left]
+        better = value > best_value[left]
+        best[left[better], :size] = share[better]
+        best_value[left[better]] = value[better]
+        if size > 1 and not better.any():
             break
-        best, best_value = np.where(better[:, None], share, best), np.where(better, value, best_value)
-    rows = np.zeros((len(filled), len(model.names)))
-    np.put_along_axis(rows, order, best, axis=1)
-    out[filled] = rows
+    out = np.zeros(alone.shape)
+    np.put_along_axis(out, order, best, axis=1)
     return out
 
 

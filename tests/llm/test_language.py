@@ -1,5 +1,7 @@
+import random
 import zlib
 
+import numpy as np
 from llm_rows import SF, corpus, make_docs  # noqa: F401
 
 from quarry.llm import langid
@@ -37,3 +39,33 @@ def test_edge_rows(spark, corpus):
     assert langid.language_report(make_docs(spark, [])).count() == 0
     nothing = langid.language_report(make_docs(spark, [(1, "some words", None, None)])).collect()
     assert [(r.lang_pred, r.score) for r in nothing] == [("und", 0.0)]
+
+
+def invented(rng, letters, n):
+    return ["".join(rng.choices(letters, k=rng.randint(3, 7))) for _ in range(n)]
+
+
+def learned(pools):
+    counts = np.stack([np.bincount(langid.trigrams(" ".join(p)), minlength=langid.BUCKETS) for p in pools.values()], axis=1)
+    return langid.Languages(list(pools), np.log((counts + 0.1) / (counts.sum(axis=0) + 0.1 * langid.BUCKETS)))
+
+
+def found(texts, model):
+    return [{model.names[i]: float(x) for i, x in enumerate(row) if x > 0} for row in langid.mixtures(texts, model)]
+
+
+def test_a_distinct_language_among_many_related_ones():
+    rng = random.Random(3)
+    common = invented(rng, "абвгдежзик", 300)
+    pools = {f"c{i:02}": common + invented(rng, "абвгдежзик", 60) for i in range(11)} | {"zh": invented(rng, "的一是不了人我在有他", 300)}
+    [row] = found([" ".join(rng.choices(pools["c03"], k=210) + rng.choices(pools["zh"], k=90))], learned(pools))
+    assert set(row) == {"c03", "zh"} and 0.25 < row["zh"] < 0.45
+
+
+def test_documents_are_split_up_when_there_are_many_languages(monkeypatch):
+    rng = random.Random(5)
+    pools = {f"l{i:02}": invented(rng, "abcdefghijklmnop", 50) for i in range(20)}
+    texts = [" ".join(rng.choices(p, k=5 + i)) for i, p in enumerate(pools.values())] + [""]
+    whole = found(texts, learned(pools))
+    monkeypatch.setattr(langid, "CELLS", 1000)
+    assert found(texts, learned(pools)) == whole and [max(r, key=r.get) for r in whole[:-1]] == list(pools)
