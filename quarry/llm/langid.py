@@ -4,12 +4,13 @@ Each language is a distribution over hashed byte trigrams, counted over all
 labelled training documents. A document is a mixture: expectation maximisation
 estimates the proportions of all learned languages from its trigrams' likelihoods. The
 set of languages is selected by penalised likelihood: the strongest 1, 2, ...
-languages are fitted again by themselves, and a further language must raise the
-log-likelihood by PENALTY * log(trigrams). The prediction is the language with the
-largest proportion, the score that proportion.
+languages are fitted again by themselves, and the set with the largest log-likelihood
+less PENALTY * log(trigrams) for every further language is taken. A document's larger
+sets are left out only where a bound shows that none can be better. The prediction is
+the language with the largest proportion, the score that proportion.
 
 ASCII letters are lower-cased, other ASCII bytes part words. Documents of a slice
-run through the iterations together; whole texts are counted.
+run through the iterations together, but no result depends on the neighbours; whole texts are counted.
 
 Defined edge cases: null text and text without a letter are ``und`` with score 0,
 and so is everything if nothing can be learned from; rows without a doc_id, and
@@ -131,11 +132,15 @@ def _fitted(grams: list[tuple[np.ndarray, np.ndarray]], model: Languages) -> np.
     doc, starts = np.repeat(np.arange(len(sizes)), sizes), np.r_[0, np.cumsum(sizes)[:-1]]
     alone = np.add.reduceat(log_p * n[:, None], starts, axis=0)
     full, _ = _climb(p, n, doc, starts, np.full(alone.shape, 1 / alone.shape[1]), total, STEPS)
+    mix = (p * full[doc]).sum(axis=1)
+    slope = np.add.reduceat(p * (n / mix)[:, None], starts, axis=0)
+    # No mixture of whichever languages has a larger log-likelihood: it is concave in the proportions, and p is at most 1.
+    bound = np.minimum(np.add.reduceat(n * np.log(mix), starts) + slope.max(axis=1) - total, 0)
     order = np.lexsort((-alone, -full), axis=1)  # document, place -> language
     p, full = np.take_along_axis(p, order[doc], axis=1), np.take_along_axis(full, order, axis=1)
     best, best_value = np.zeros(alone.shape), np.full(len(sizes), -np.inf)
     cost = PENALTY * np.log(np.maximum(total, 2))
-    left = np.arange(len(sizes))
+    left = np.arange(len(sizes))  # documents that a larger set may still improve
     for size in range(1, alone.shape[1] + 1):
         start = np.maximum(full[left, :size], 1e-6)
         share, value = _climb(p[:, :size], n, doc, starts, start / start.sum(axis=1, keepdims=True), total[left],
@@ -144,8 +149,13 @@ def _fitted(grams: list[tuple[np.ndarray, np.ndarray]], model: Languages) -> np.
         better = value > best_value[left]
         best[left[better], :size] = share[better]
         best_value[left[better]] = value[better]
-        if size > 1 and not better.any():
+        more = bound[left] - size * cost[left] > best_value[left]
+        if not more.any():
             break
+        if not more.all():
+            rows = more[doc]
+            left, p, n = left[more], p[rows], n[rows]
+            doc, starts = np.repeat(np.arange(len(left)), sizes[left]), np.r_[0, np.cumsum(sizes[left])[:-1]]
     out = np.zeros(alone.shape)
     np.put_along_axis(out, order, best, axis=1)
     return out

@@ -69,3 +69,41 @@ def test_documents_are_split_up_when_there_are_many_languages(monkeypatch):
     whole = found(texts, learned(pools))
     monkeypatch.setattr(langid, "CELLS", 1000)
     assert found(texts, learned(pools)) == whole and [max(r, key=r.get) for r in whole[:-1]] == list(pools)
+
+
+def test_a_row_does_not_depend_on_its_neighbours():
+    rng = random.Random(1010)
+    common = invented(rng, "abcdefghij", 300)
+    pools = {k: common + invented(rng, "abcdefghij", 10) for k in ("a1", "a2")} | {"x": invented(rng, "qrstuvwxyz", 300)}
+    close = " ".join(rng.choices(common, k=120) + rng.choices(pools["a1"][300:], k=4) + rng.choices(pools["a2"][300:], k=2)
+                     + rng.choices(pools["x"], k=20))
+    texts = [close, " ".join(rng.choices(pools["a1"], k=150) + rng.choices(pools["x"], k=100)), " ".join(pools["a1"]), "xyz", ""]
+    model = learned(pools)
+    alone = [found([t], model)[0] for t in texts]
+    assert alone == found(texts, model) and alone[::-1] == found(texts[::-1], model)
+    assert set(alone[0]) == {"a1", "a2", "x"}  # two of them gain too little, three enough
+
+
+def test_every_set_size_that_could_be_better_is_tried():
+    rng = random.Random(8)
+    common = invented(rng, "abcdefgh", 80)
+    pools = {f"l{i}": common[: 12 * i] + invented(rng, "abcdefghijkl", 60) for i in range(6)}
+    texts = [" ".join(w for p in rng.sample(list(pools.values()), k=1 + i % 4) for w in rng.choices(p, k=rng.randint(5, 80))) for i in range(60)]
+    model = learned(pools)
+    for text, row in zip(texts, langid.mixtures(texts, model), strict=True):
+        n = np.bincount(langid.trigrams(text), minlength=langid.BUCKETS).astype(float)
+        p = np.exp(model.log_p[n > 0])
+        n = n[n > 0]
+
+        def climb(share, steps, p=p, n=n):
+            for _ in range(steps):
+                share = (p * share * (n / (p @ share))[:, None]).sum(axis=0) / n.sum()
+            return share, n @ np.log(p @ share)
+
+        full, _ = climb(np.full(6, 1 / 6), langid.STEPS)
+        tried = []
+        for size in range(1, 7):
+            start = np.where(np.argsort(np.argsort(-full)) < size, np.maximum(full, 1e-6), 0)
+            share, value = climb(start / start.sum(), langid.STEPS // 2)
+            tried.append((value - (size - 1) * langid.PENALTY * np.log(n.sum()), share))
+        assert np.allclose(row, max(tried, key=lambda v: v[0])[1], atol=1e-9)
