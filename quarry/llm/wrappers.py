@@ -11,8 +11,11 @@ are the same on page after page where a page has no such container.
 Every page of a host takes part: tasks fold their pages into one stream per
 host and structure, and these are aligned in two rounds (by host and a salt, then by
 host), each streaming over its rows, so that a host with a third of all
-pages is neither one group nor one task's work. For extraction, a page is
-aligned with its host's wrapper and gives the texts under the main container.
+pages is neither one group nor one task's work. For extraction, the wrapper names the
+container, and a page gives all texts under it that are no furniture, those that are the
+same on every page included (a heading that all articles share looks no different from a
+notice). Only a page of a host without a container is aligned with the wrapper, and gives
+the texts that are not constant there.
 
 Page furniture is known by its element or by a word in its class, id or role
 (see the fixed lists); scripts, styles, forms and comments never give text. An element
