@@ -6,6 +6,10 @@ give. While training, those log-odds come from models of the same kind
 fitted without the row's own fold, so that a later model sees the earlier ones
 as uncertain as they are on new documents.
 
+A document is rejected from a probability of REJECT, or from the lowest one that rejects
+no more than CLEAN_REJECTED of the clean labelled documents, each by the models without
+its fold; with too few of them to tell such a share it stays at REJECT.
+
 The chain is fitted on at most SAMPLE labelled documents (the ones whose id hashes
 lowest, the same at every run). Spark counts their words; the driver gets the
 CANDIDATES words whose documents differ most from the mean, and the sample's
@@ -40,7 +44,8 @@ CANDIDATES = 4 * FEATURES  # words of the sample that models choose from
 FOLDS = 5
 LEAST_DOCS, LEAST_Z = 4, 4.0  # of a word that a model may use
 RIDGE, STEPS = 0.1, 300
-REJECT = 0.4
+REJECT = 0.4  # toxic probability from which a document is rejected, or a lower one (see CLEAN_REJECTED)
+CLEAN_REJECTED = 0.005  # share of the clean labelled documents that a lower threshold may reject, by out-of-fold probabilities
 CATEGORIES = ("low_quality", "toxic")  # in the order of the chain
 # ASCII letters and digits, lower-cased; other ASCII parts words; bytes above it stay
 _FOLD = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(128)) + bytes(range(128, 256))
@@ -65,6 +70,7 @@ class Linear:
 class Chain:
     categories: tuple[str, ...]
     models: list[Linear | None]
+    reject: float = REJECT
 
     def probabilities(self, hashes) -> list[float]:
         known = {h for h in hashes if any(m and h in m.words for m in self.models)}
@@ -122,13 +128,19 @@ def _fold_of(words: np.ndarray) -> int:
     return int(np.bitwise_xor.reduce(words)) % FOLDS if len(words) else 0
 
 
+def _threshold(clean: np.ndarray) -> float:
+    """From the out-of-fold probabilities of the clean documents."""
+    allowed = int(CLEAN_REJECTED * (len(clean) + 1)) - 1  # one is held back, as new documents may lie above the largest
+    return REJECT if allowed < LEAST_DOCS else min(REJECT, float(np.nextafter(np.sort(clean)[::-1][allowed], 1)))
+
+
 def fit_chain(words: list[np.ndarray], labels: np.ndarray, categories: Sequence[str], fold: np.ndarray | None = None) -> Chain:
     """From distinct word hashes of each document, its labels (NaN: unknown) and its fold."""
     if fold is None:
         fold = np.array([_fold_of(w) for w in words])
     vocabulary, word = np.unique(np.concatenate([*words, np.empty(0, np.uint64)]), return_inverse=True)
     row = np.repeat(np.arange(len(words)), [len(w) for w in words])
-    dense, models = np.empty((len(words), 0)), []
+    dense, models, reject = np.empty((len(words), 0)), [], REJECT
     for c in range(len(categories)):
         y = labels[:, c]
         known = ~np.isnan(y)
@@ -146,7 +158,9 @@ def fit_chain(words: list[np.ndarray], labels: np.ndarray, categories: Sequence[
             out[fold == k] = _scores(part, row, word, dense, vocabulary)[fold == k]
         models.append(model)
         dense = np.column_stack([dense, _bounded(out)])
-    return Chain(tuple(categories), models)
+        if model and c == len(categories) - 1:
+            reject = _threshold(_sigmoid(dense[known & (y == 0), c]))
+    return Chain(tuple(categories), models, reject)
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGORIES, sample: int = SAMPLE) -> Chain:
@@ -200,27 +214,29 @@ def _scored(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[tuple[p
         yield part, np.array(rows, np.float64).reshape(part.num_rows, len(chain.categories))
 
 
-def predict(docs: DataFrame, chain: Chain, reject: float = REJECT) -> DataFrame:
-    """doc_id, one probability per category, rejected (by the last category)."""
+def predict(docs: DataFrame, chain: Chain, reject: float | None = None) -> DataFrame:
+    """doc_id, one probability per category, rejected (by the last category, from the chain's threshold if none is given)."""
+    limit = chain.reject if reject is None else reject
     shared = docs.sparkSession.sparkContext.broadcast(chain)
     schema = T.StructType([docs.schema["doc_id"], *[T.StructField(c, T.DoubleType()) for c in chain.categories],
                            T.StructField("rejected", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, scores in _scored(batches, shared.value):
-            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c) for c in scores.T], pa.array(scores[:, -1] >= reject)],
+            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c) for c in scores.T], pa.array(scores[:, -1] >= limit)],
                                              ["doc_id", *shared.value.categories, "rejected"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def keep_clean(docs: DataFrame, chain: Chain, reject: float = REJECT) -> DataFrame:
+def keep_clean(docs: DataFrame, chain: Chain, reject: float | None = None) -> DataFrame:
     """The rows of ``docs`` that are not rejected, in one narrow pass."""
+    limit = chain.reject if reject is None else reject
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, scores in _scored(batches, shared.value):
-            yield part.filter(pa.array(scores[:, -1] < reject))
+            yield part.filter(pa.array(scores[:, -1] < limit))
 
     return docs.mapInArrow(run, docs.schema)
 

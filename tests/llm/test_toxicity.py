@@ -55,3 +55,19 @@ def test_edge_rows(spark, corpus):
     chain = toxicity.train(docs, toxicity.category_labels(labels))
     assert toxicity.keep_clean(docs, chain).columns == docs.columns
     assert toxicity.toxicity_report(make_docs(spark, []), labels).count() == 0
+
+
+def test_the_threshold_follows_the_clean_documents():
+    few, many = np.linspace(0, 0.05, 500), np.linspace(0, 0.05, 5000)
+    assert toxicity._threshold(few) == toxicity.REJECT and toxicity._threshold(np.empty(0)) == toxicity.REJECT
+    assert 0.04 < toxicity._threshold(many) <= 0.05 and 0 < (many >= toxicity._threshold(many)).mean() <= toxicity.CLEAN_REJECTED
+    assert toxicity._threshold(np.full(5000, 0.9)) == toxicity.REJECT
+
+
+def test_held_out_recall_of_the_chosen_threshold(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    chain = toxicity.train(docs, toxicity.category_labels(labels.where("doc_id % 3 <> 0")))
+    rows = toxicity.predict(docs, chain).drop("toxic").join(labels, "doc_id").where("doc_id % 3 = 0").collect()
+    marked = [r.rejected for r in rows if r["toxic"] == 1]
+    clean = [r.rejected for r in rows if r["toxic"] == 0]
+    assert sum(marked) >= 0.88 * len(marked) and sum(clean) <= 0.005 * len(clean)
