@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import fingerprints, langid, line_dedup, minhash, mixing, packing, polytope, suffixes, toxicity, wrappers
+from quarry.llm import (
+    decontaminate,
+    fingerprints,
+    langid,
+    line_dedup,
+    merkle,
+    minhash,
+    mixing,
+    packing,
+    polytope,
+    suffixes,
+    toxicity,
+    variants,
+    wrappers,
+)
 from quarry.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,11 +72,24 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(table(spark, sf_dir, "documents"))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mixing, op2_line_dedup, op3_minhash, op4_language, op5_html, op6_packing, op7_suffixes, op8_toxicity,
-        op9_embeddings, op10_fingerprints)}
+        op9_embeddings, op10_fingerprints, op11_merkle, op12_decontaminate, op13_variants)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.REPORT_SQL}
+    return {"op2_line_dedup": line_dedup.REPORT_SQL, "op11_merkle": merkle.REPORT_SQL,
+            "op12_decontaminate": decontaminate.REPORT_SQL, "op13_variants": variants.REPORT_SQL}
