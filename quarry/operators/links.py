@@ -1,53 +1,49 @@
 """Link harvest over fetched index pages.
 
 Fetching is outside Spark; the input is a table of fetched pages
-``(source, page_id, url, html)``. Anchors are found by a regular expression that
-reads attributes as units (quoted values may hold anything), after script,
-style and comment bodies are removed (an HTML parser does not see links inside
-them); character references of the few hrefs that have any are decoded by an
-Arrow-batched function.
+``(source, page_id, url, html)``. Pages are read by an Arrow-batched function
+(``functions.anchors``), a narrow step in time linear in the page.
 """
 
 from __future__ import annotations
 
-import html
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.anchors import hrefs
 from quarry.functions.text import url_filename
 
-# What is removed before matching.
-RAW_TEXT_BLOCKS = "(?is)<script[\\s/>].*?</script\\s*>|<style[\\s/>].*?</style\\s*>|<!--.*?-->"
-# An attribute value, and an attribute, of a start tag.
-_VALUE = "(?:\"[^\"]*+\"|'[^']*+'|[^\\s\"'>][^\\s>]*+)"
-_ATTRIBUTE = "[^\\s/>=][^\\s/>=]*+(?:\\s*+=\\s*+" + _VALUE + "?)?"
-# The anchors of a page, and the value of the last href attribute in one.
-ANCHOR = "(?is)<a(?=[\\s/])(?:[\\s/]++(?:" + _ATTRIBUTE + ")?+)*+>"
-HREF = "(?is)^<a(?:[\\s/]++" + _ATTRIBUTE + ")*[\\s/]++href\\s*+=\\s*+(" + _VALUE + ")"
-
-
-@F.pandas_udf(T.StringType())
-def _decoded(values: pd.Series) -> pd.Series:
-    return values.map(html.unescape, na_action="ignore")
+PAGES_AT_ONCE = 64  # pages that are Python objects at one time
 
 
 def extract_links(pages: DataFrame, needle: str | None = None) -> DataFrame:
     """L1: every ``<a href>`` of a page in document order (pos from 0); with
     ``needle``, only hrefs whose lower-cased text contains it (the reference
-    uses ``.pdf``)."""
-    clean = F.regexp_replace(F.col("html"), RAW_TEXT_BLOCKS, "")
-    found = F.transform(F.regexp_extract_all(clean, F.lit(ANCHOR), 0), lambda t: F.regexp_extract(t, HREF, 1))
-    keep = [c for c in pages.columns if c != "html"]
-    value = F.col("href")
-    quoted = value.startswith('"') | value.startswith("'")
-    out = (pages.select(*keep, F.posexplode(F.filter(found, lambda v: v != "")).alias("pos", "href"))
-           .withColumn("href", _decoded(F.when(quoted, F.substring(value, F.lit(2), F.length(value) - 2)).otherwise(value))))
-    if needle:
-        out = out.filter(F.lower("href").contains(needle.lower()))
-    return out
+    uses ``.pdf``). A null page has no links; the page's other columns are carried along."""
+    kept = [f for f in pages.schema.fields if f.name not in ("html", "pos", "href")]
+    schema = T.StructType([*kept, T.StructField("pos", T.IntegerType()), T.StructField("href", T.StringType())])
+    wanted = needle.lower() if needle else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(start, PAGES_AT_ONCE)
+                rows, places, found = [], [], []
+                for i, page in enumerate(part.column("html").to_pylist()):
+                    for pos, href in enumerate(hrefs(page)):
+                        if wanted is None or wanted in href.lower():
+                            rows.append(i)
+                            places.append(pos)
+                            found.append(href)
+                taken = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(f.name).take(taken) for f in kept),
+                                                  pa.array(places, pa.int32()), pa.array(found, pa.string())], schema.names)
+
+    return pages.select(*[f.name for f in kept], "html").mapInArrow(run, schema)
 
 
 def absolutize_links(links: DataFrame, base: str) -> DataFrame:
@@ -78,7 +74,8 @@ def plan_downloads(links: DataFrame, manifest: DataFrame | None = None,
     """Per link, ``fetch`` or ``skip``: skip when the file name is in the
     manifest, already on disk, or an earlier link (page order, then position)
     has the same file name in this run. ``manifest`` and ``present`` hold a
-    ``filename`` column.
+    ``filename`` column. ``links`` is read twice and small next to its pages:
+    pass a stored table (``scratch.materialize``), or the pages are read twice.
 
     The first occurrence per name is a partial (map-side) ``min`` aggregate
     joined back on the name: a name on every page costs one row per map task

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry import schemas as S
 from quarry.functions.text import py_strip, py_word_count
@@ -15,7 +16,11 @@ from quarry.functions.text import py_strip, py_word_count
 
 def explode_pages(raw_docs: DataFrame) -> DataFrame:
     """Nested document records -> one row per page (page_num from 1, as
-    stored), text stripped, with the page's facts."""
+    stored), text stripped, with the page's facts. ``pages`` must hold the page
+    records of ``schemas.RAW_DOCS``."""
+    element = getattr(raw_docs.schema["pages"].dataType, "elementType", None)
+    if not isinstance(element, T.StructType) or not set(S.PAGE.names) <= set(element.names):
+        raise ValueError("pages must be an array of page records, as in schemas.RAW_DOCS")
     return (raw_docs.select("doc_id", F.explode("pages").alias("_p"))
             .select("doc_id", F.col("_p.page_num").alias("page_num"),
                     py_strip(F.col("_p.text")).alias("text"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarry.functions.scratch import materialize
 from quarry.operators import links as L
 from quarry.operators import load as D
 from quarry.operators import mentions as M
@@ -90,7 +91,7 @@ def url_filename(spark, sf):
 def _plan(spark, sf):
     """The plan of a run after which the blogs' links are in the manifest and
     the links of German pages lie on disk."""
-    named = L.with_filenames(_links(spark, sf), decode=True)
+    named = materialize(L.with_filenames(_links(spark, sf), decode=True), "links")
     return L.plan_downloads(named, named.where("url LIKE '%//blog.%'").select("filename"),
                             named.where("url LIKE '%/de/%'").select("filename"))
 

@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "quarry.plans.star_queries",
     "quarry.plans.text_queries",
+    "quarry.plans.mention_queries",
     "quarry.plans.search_queries",
     "quarry.plans.vector_queries",
     "quarry.plans.load_queries",

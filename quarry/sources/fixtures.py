@@ -221,3 +221,13 @@ def label_centroid_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fetched_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = spread(table(spark, sf_dir, "pages"), "page_id")
     return p.select(F.lit("web").alias("source"), F.col("page_id"), F.col("url"), F.col("html"))
+
+
+def benchmark_names(spark: SparkSession, sf: str) -> DataFrame:
+    """A dictionary (name, type): the first words of every benchmark passage, alone and in runs, some of them
+    under two types and some under one that is not kept."""
+    w = F.split("text", " ")
+    part = lambda a, n, kind: F.struct(F.array_join(F.slice(w, a, n), " ").alias("name"), F.lit(kind).alias("type"))
+    names = F.array(part(1, 1, "GPE"), part(1, 2, "PERSON"), part(2, 2, "PERSON"), part(2, 2, "ORG"), part(1, 3, "ORG"),
+                    part(3, 4, "EVENT"), part(2, 1, "EMAIL"))
+    return table(spark, sf, "benchmark").select(F.explode(names).alias("n")).select("n.*")

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from quarry import schemas as S
 from quarry.operators import explore as X
 from quarry.sources import fixtures as fx
 
@@ -85,9 +86,11 @@ def test_profile_has_every_document(spark):
     # the bulk profile equals the one-document record for a redacted document
     red = fx.star_redactions(spark, SF001)
     one = red.select("doc_id").first().doc_id
-    rec = X.document_record(docs, fx.star_mentions(spark, SF001), fx.star_entities(spark, SF001), red,
-                            red.limit(0).select("doc_id", F.lit(0).alias("block"),
-                                                F.array().cast("array<string>").alias("pages")), one)
+    stored = spark.createDataFrame(
+        [(one, "c", "f", "p", 3, 1, [(3, " last\n", 0, 0, 1)]), (one, "c", "f", "p", 3, 0, [(1, "a b", 0, 0, 2), (2, "", 0, 0, 0)]),
+         ("other", "c", "f", "p", 1, 0, [(1, "x", 0, 0, 1)])], S.RAW_DOCS)
+    rec = X.document_record(docs, fx.star_mentions(spark, SF001), fx.star_entities(spark, SF001), red, stored, one)
+    assert [(r.page_num, r.text, r.word_count) for r in rec["pages"].collect()] == [(1, "a b", 2), (2, "", 0), (3, "last", 1)]
     row = p.filter(F.col("id") == one).first()
     r_rows = rec["redactions"].collect()
     assert row.redacted_pages == len(r_rows)
@@ -120,3 +123,9 @@ def test_redaction_corpus_option(spark):
     for c, n in by.items():
         assert X.redaction_totals(red, docs, corpus=c).first().total_redactions == n
         assert {r.corpus for r in X.most_redacted(red, docs, corpus=c).collect()} == {c}
+
+
+def test_pages_need_the_stored_schema(spark):
+    texts = spark.createDataFrame([("d", 0, ["a"])], "doc_id string, block int, pages array<string>")
+    with pytest.raises(ValueError, match="RAW_DOCS"):
+        X.document_pages(texts, "d")
