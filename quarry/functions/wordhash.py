@@ -84,10 +84,11 @@ def words(column: pa.Array, table: np.ndarray, fold: bool = True) -> Words:
         return Words(np.empty(0, np.uint64), *(np.empty(0, np.int64),) * 2, np.zeros(len(offsets), np.int64), data)
     run = inside[cuts[:-1]]
     starts, ends = cuts[:-1][run], cuts[1:][run]
-    return Words(_hashes(data, starts, ends), starts, ends, np.searchsorted(starts, offsets), data)
+    return Words(hash_spans(data, starts, ends), starts, ends, np.searchsorted(starts, offsets), data)
 
 
-def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The 64-bit hashes of stretches of bytes (sorted, apart, none empty)."""
     lengths = ends - starts
     out = np.empty(len(starts), np.uint64)
     a = 0

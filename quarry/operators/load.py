@@ -229,7 +229,7 @@ def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame
 
     Loaded files are skipped before their pages are read. The mentions of the
     run are extracted once, into the shared scratch folder, and so are its
-    fresh files; every output is derived from these two.
+    fresh files and its page records; every output is derived from these three.
     """
     from quarry.functions.scratch import materialize
     from quarry.operators.mentions import extract_mentions
@@ -250,7 +250,7 @@ def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame
     candidates = text_based.unionByName(known).withColumn("readable", F.lit(True))
     status = ingest_status(candidates, loaded_documents, first_pages(new_pages), counts)  # D5
     releases = run_release(status, files.select("corpus"), run_time, mentions)  # D6
-    records = page_records(new_pages, shapes)
+    records = materialize(page_records(new_pages, shapes), "run-pages")       # raw documents, page index, redactions
     redactions = (records.where("redaction_count > 0")
                   .select(F.xxhash64("doc_id", "page_num").alias("id"), "doc_id", "page_num", "redaction_count",
                           F.col("estimated_chars_redacted").alias("estimated_chars")))

@@ -152,36 +152,11 @@ def build_postings(pages: DataFrame, buckets: int = 64) -> DataFrame:
 
 def build_vocabulary(postings: DataFrame) -> DataFrame:
     """X3 for an index: (bucket, token, stem) of every distinct token of the
-    postings. For appended postings, build it from them alone and append what
-    :func:`new_vocabulary` leaves."""
+    postings."""
     stems = stem_vocabulary(postings.select(F.col("term").alias("token"))).withColumnRenamed("term", "stem")
     return postings.select("bucket", F.col("term").alias("token")).distinct().join(stems, "token")
 
 
-def new_vocabulary(vocabulary: DataFrame, known: DataFrame) -> DataFrame:
-    """The rows of ``vocabulary`` whose token the index does not have yet."""
-    return vocabulary.join(known.select("token"), "token", "left_anti")
-
-
-def append_pages(pages: DataFrame, path: str, buckets: int) -> None:
-    """Add pages to the index written under ``path`` (``postings``, ``vocabulary``
-    and ``lengths``), creating it if it is not there: new postings and page
-    lengths are appended, and the vocabulary's new tokens only."""
-    spark = pages.sparkSession
-    rows = materialize(build_postings(pages, buckets), "postings")
-    fresh = build_vocabulary(rows)
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/vocabulary")
-    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
-        fresh = new_vocabulary(fresh, spark.read.parquet(f"{path}/vocabulary"))
-    materialize(fresh, "vocabulary").write.mode("append").parquet(f"{path}/vocabulary")
-    write_postings(rows, f"{path}/postings", mode="append")
-    page_lengths(pages).write.mode("append").parquet(f"{path}/lengths")
-
-
-def open_index(spark, path: str, buckets: int, stem: bool = True) -> PostingsIndex:
-    return PostingsIndex(spark.read.parquet(f"{path}/postings"), buckets, stem, spark.read.parquet(f"{path}/vocabulary"))
-
-
 def write_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Persist the index: one folder per term bucket, rows sorted by term.
 
@@ -357,7 +332,8 @@ def _occurrences(src, words: list[tuple[str, bool]], columns=None) -> DataFrame:
     elif isinstance(src, PostingsIndex):
         if src.vocab is None:
             raise ValueError("a stemmed PostingsIndex needs its vocabulary (build_vocabulary)")
-        forms = src.vocab.filter(_carries("stem", words)).select("bucket", F.col("token").alias("term"), "stem")
+        # a word may stand in the vocabulary of several index segments
+        forms = src.vocab.filter(_carries("stem", words)).select("bucket", F.col("token").alias("term"), "stem").distinct()
         t = src.postings.join(forms, ["bucket", "term"]).drop("term").withColumnRenamed("stem", "term")
     else:
         toks = page_tokens(_candidate_pages(src, [w for w, _ in words]))

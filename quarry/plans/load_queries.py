@@ -322,10 +322,22 @@ def stream_ingest(spark, sf):
     streaming load; the result is the release log of both runs with the number
     of files that each skipped.
     Input, store and checkpoint live under the session's checkpoint folder."""
+    from quarry.streaming.ingest import read_store
+
+    store = _two_waves(spark, sf)
+    skipped = (read_store(spark, store, "status").groupBy("batch_id", "corpus")
+               .agg(F.count_if(F.col("status") == "skipped").alias("skipped")))
+    return (read_store(spark, store, "releases").join(skipped, ["batch_id", "corpus"], "left")
+            .select(F.col("batch_id").cast("long").alias("batch_id"), "corpus", "docs_added", "entities_found",
+                    F.coalesce("skipped", F.lit(0)).alias("skipped")))
+
+
+def _two_waves(spark, sf, index_buckets=None):
+    """The store after two runs of the stream: the labelled documents, then all of them."""
     import uuid
 
     from quarry.session import checkpoint_dir
-    from quarry.streaming.ingest import raw_input_from_pages, read_store
+    from quarry.streaming.ingest import raw_input_from_pages
     from quarry.streaming.ingest import stream_ingest as run
 
     root = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -333,12 +345,22 @@ def stream_ingest(spark, sf):
                                                 "file_path")
     raw = raw_input_from_pages(fx.text_pages(spark, sf), files)
     lab = fx.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("doc_id"))
-    raw.join(lab, "doc_id", "left_semi").write.parquet(f"{root}/src/wave=1")
-    run(spark, f"{root}/src", f"{root}/store", checkpoint=f"{root}/ckpt").awaitTermination()
-    raw.write.parquet(f"{root}/src/wave=2")                   # everything again: repeats + new
-    run(spark, f"{root}/src", f"{root}/store", checkpoint=f"{root}/ckpt").awaitTermination()
-    skipped = (read_store(spark, f"{root}/store", "status").groupBy("batch_id", "corpus")
-               .agg(F.count_if(F.col("status") == "skipped").alias("skipped")))
-    return (read_store(spark, f"{root}/store", "releases").join(skipped, ["batch_id", "corpus"], "left")
-            .select(F.col("batch_id").cast("long").alias("batch_id"), "corpus", "docs_added", "entities_found",
-                    F.coalesce("skipped", F.lit(0)).alias("skipped")))
+    for wave, rows in enumerate((raw.join(lab, "doc_id", "left_semi"), raw), 1):  # then everything again: repeats + new
+        rows.write.parquet(f"{root}/src/wave={wave}")
+        run(spark, f"{root}/src", f"{root}/store", checkpoint=f"{root}/ckpt", index_buckets=index_buckets).awaitTermination()
+    return f"{root}/store"
+
+
+@register("search_after_stream", with_(TEXT_DOCUMENTS, TEXT_PAGES, _STRIPPED) + """
+SELECT d.id, d.corpus, d.filename, s.page_num
+FROM stripped s JOIN text_documents d ON d.id = s.doc_id
+WHERE d.id IN (SELECT doc_id FROM stripped WHERE page_num = 1 AND length(t) > 50)
+  AND regexp_matches(lower(s.t), '(^|[^0-9a-z\\x{80}-\\x{10FFFF}])the[^0-9a-z\\x{80}-\\x{10FFFF}]+on([^0-9a-z\\x{80}-\\x{10FFFF}]|$)')""")
+def search_after_stream(spark, sf):
+    """A phrase searched in the index that two runs of the stream kept."""
+    from quarry.operators import search as X
+    from quarry.streaming.ingest import open_store_index, read_store
+
+    store = _two_waves(spark, sf, index_buckets=8)
+    found = X.search_pages(open_store_index(spark, store, stem=False), read_store(spark, store, "documents"), X.Phrase("the on"), limit=None)
+    return found.select("id", "corpus", "filename", "page_num")

@@ -9,6 +9,7 @@ _MODULES = [
     "quarry.plans.text_queries",
     "quarry.plans.mention_queries",
     "quarry.plans.search_queries",
+    "quarry.plans.search_batch_queries",
     "quarry.plans.vector_queries",
     "quarry.plans.load_queries",
     "quarry.plans.sink_queries",

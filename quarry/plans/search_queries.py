@@ -10,6 +10,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from quarry.operators import page_index
 from quarry.operators import search as X
 from quarry.plans.oracle import PY_WS_CHARS, TEXT_DOCUMENTS, TEXT_PAGES, with_
 from quarry.plans.porter_sql import stem_ctes
@@ -68,14 +69,14 @@ def _index(spark, sf, stem=False):
     key = (spark.sparkContext.applicationId, sf)
     if key not in _WRITTEN:
         folder = f"{checkpoint_dir(spark).rstrip('/')}/page-index-{uuid.uuid4().hex}"
-        X.append_pages(fx.text_pages(spark, sf), folder, BUCKETS)
+        page_index.append_pages(fx.text_pages(spark, sf), folder, BUCKETS, "all")
         _WRITTEN[key] = folder
-    return X.open_index(spark, _WRITTEN[key], BUCKETS, stem)
+    return page_index.open_index(spark, _WRITTEN[key], stem)
 
 
 def _lengths(spark, sf):
     _index(spark, sf)
-    return spark.read.parquet(f"{_WRITTEN[spark.sparkContext.applicationId, sf]}/lengths")
+    return page_index.read_lengths(spark, _WRITTEN[spark.sparkContext.applicationId, sf])
 
 
 def _run(spark, sf, expr, stem=False, **kw):

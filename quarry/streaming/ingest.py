@@ -12,7 +12,10 @@ holds no state beyond the source's log of processed input files.
 Every output table is written under ``batch_id=N``. A re-executed batch
 overwrites only its own partition and reads "already loaded" from batches
 ``< N``, so retries after a lost executor or driver neither duplicate nor
-lose rows.
+lose rows. A batch is read once: its rows are stored in the shared scratch folder,
+repeated documents are settled by ids and digests alone, and all outputs derive from what is
+stored. With ``index_buckets`` the batch's pages also become a segment of the page
+index under the store, committed with the batch's name, so a search finds what was just loaded.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.functions.scratch import materialize
+from quarry.operators import page_index
 from quarry.operators.load import ingest_batch
 from quarry.session import checkpoint_dir
 
@@ -71,10 +76,8 @@ def _schemas(spark: SparkSession) -> dict[str, T.StructType]:
 
 
 def _run_batch(spark, batch: DataFrame, loaded_docs, loaded_entities, run_time, extract=None, shapes=None):
-    # a document dropped twice in one batch counts once: the copy with the longer first page
-    first = F.length(F.get("pages", F.lit(0))["text"])
-    batch = (batch.groupBy("doc_id").agg(F.max_by(F.struct(*batch.columns), F.coalesce(first, F.lit(-1))).alias("row"))
-             .select("row.*"))
+    stored = materialize(batch.withColumn("_row", F.monotonically_increasing_id()), "batch")
+    batch = one_per_document(stored)
     files = batch.select("doc_id", "corpus", "filename", "file_path",
                          F.size("pages").cast("int").alias("page_count"))
     pages = batch.select("doc_id", F.explode("pages").alias("p")).select(
@@ -87,14 +90,29 @@ def _run_batch(spark, batch: DataFrame, loaded_docs, loaded_entities, run_time,
     return ingest_batch(files, pages, loaded_docs, loaded_entities, run_time, extract, shapes)
 
 
+def one_per_document(stored: DataFrame) -> DataFrame:
+    """A document dropped more than once in a batch counts once: the copy with the longer first page, of
+    equal ones the one with the greater digest, so that a batch that is executed again chooses alike.
+    ``stored`` is a written table whose rows are numbered by ``_row``. Only ids, lengths and digests
+    are grouped; the rows that go (usually none) are taken out by number."""
+    first = F.coalesce(F.length(F.get("pages", F.lit(0))["text"]), F.lit(-1))
+    content = F.xxhash64(F.to_json(F.struct(*[c for c in stored.columns if c != "_row"])))
+    keys = stored.select("doc_id", "_row", F.struct(first.alias("first"), content.alias("content"), (-F.col("_row")).alias("row")).alias("key"))
+    several = keys.groupBy("doc_id").agg(F.max("key").alias("best"), F.count("*").alias("copies")).where("copies > 1")
+    gone = (keys.join(several.select(F.col("doc_id").alias("twice"), "best"), F.col("doc_id").eqNullSafe(F.col("twice")))
+            .where("_row <> -best.row").select("_row"))
+    return stored.join(gone, "_row", "left_anti").drop("_row")
+
+
 def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ingest",
                   checkpoint: str | None = None, extract=None, fmt: str = "parquet",
-                  available_now: bool = True, shapes: DataFrame | None = None):
+                  available_now: bool = True, shapes: DataFrame | None = None, index_buckets: int | None = None):
     """T1+T2: start the incremental ingest of ``source`` (files of
     ``RAW_INPUT`` rows) into the tables under ``store``. Returns the
     ``StreamingQuery``; with ``available_now`` it processes what is there and
     stops (call ``awaitTermination()``). ``shapes`` is a static table of page
-    shapes, if redactions are wanted."""
+    shapes, if redactions are wanted; ``index_buckets`` the number of term buckets of
+    the page index (``open_store_index``), if one is."""
     shared = checkpoint_dir(spark)       # also where a batch's intermediate tables go
     ckpt = checkpoint or os.path.join(shared, f"{name}-stream")
     _ensure_tables(spark, store, _schemas(spark))
@@ -110,6 +128,9 @@ def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ing
             (out[t].withColumn("batch_id", F.lit(batch_id).cast("long")).write
              .mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(f"{store}/{t}"))
+        if index_buckets:
+            pages = _table(spark, store, "page_index").where(F.col("batch_id") == batch_id).drop("batch_id")
+            page_index.append_pages(pages, f"{store}/index", index_buckets, f"batch-{batch_id}")
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt) \
         .queryName(name)
@@ -122,6 +143,11 @@ def read_store(spark: SparkSession, store: str, table: str) -> DataFrame:
     return _table(spark, store, table)
 
 
+def open_store_index(spark: SparkSession, store: str, stem: bool = True):
+    """The page index of all committed batches, ready to be searched."""
+    return page_index.open_index(spark, f"{store}/index", stem)
+
+
 def raw_input_from_pages(pages: DataFrame, files: DataFrame) -> DataFrame:
     """RAW_INPUT rows (one per file, pages nested in page order) from a page
     table and a file table: the shape a document extractor would drop."""

@@ -10,7 +10,7 @@ from quarry.sources import fixtures as fx
 
 from conftest import SF001
 
-SIDE_EFFECTS = {"stream_ingest"}   # runs a stream inside the callable
+SIDE_EFFECTS = {"stream_ingest", "search_after_stream"}   # runs a stream inside the callable
 
 
 def plan(df) -> str:

@@ -6,6 +6,7 @@ import sqlite3
 import pytest
 
 from quarry.functions.porter import stem
+from quarry.operators import page_index
 from quarry.operators import search as X
 from quarry.sources import fixtures as fx
 
@@ -161,15 +162,66 @@ def test_bm25_of_near_counts_only_instances_in_the_match(spark):
         assert got == pytest.approx(exp, rel=1e-9, abs=1e-9), q
 
 
-def test_appended_index_equals_one_built_at_once(spark, tmp_path):
+def _opened(spark, path):
+    index = page_index.open_index(spark, path)
+    return {"postings": index.postings, "vocabulary": index.vocab.distinct(), "lengths": page_index.read_lengths(spark, path)}
+
+
+def _same(a, b):
+    return a.count() == b.count() and a.exceptAll(b.select(a.columns)).count() == 0
+
+
+def test_appended_and_merged_segments_equal_one_built_at_once(spark, tmp_path):
     pages = fx.text_pages(spark, SF001)
-    parts = [pages.where("doc_id < '3'"), pages.where("doc_id >= '3'")]
-    for part in parts:
-        X.append_pages(part, str(tmp_path / "parts"), 4)
-    X.append_pages(pages, str(tmp_path / "whole"), 4)
-    for name in ("postings", "vocabulary", "lengths"):
-        a, b = (spark.read.parquet(str(tmp_path / x / name)) for x in ("parts", "whole"))
-        assert a.count() == b.count() and a.exceptAll(b.select(a.columns)).count() == 0, name
+    parts, whole = str(tmp_path / "parts"), str(tmp_path / "whole")
+    for name, part in (("run-1", pages.where("doc_id < '3'")), ("run-2", pages.where("doc_id >= '3'")), ("run-3", pages.limit(0))):
+        assert page_index.append_pages(part, parts, 4, name)
+        assert not page_index.append_pages(part, parts, 4, name)  # a repeated run adds nothing
+    page_index.append_pages(pages, whole, 4)
+    expected = _opened(spark, whole)
+    for name, table in _opened(spark, parts).items():
+        assert _same(table, expected[name]), name
+    merged = page_index.compact(spark, parts)
+    assert page_index.live_segments(spark, parts) == [merged] and page_index.compact(spark, parts) is None
+    assert page_index.drop_replaced(spark, parts) == ["run-1", "run-2", "run-3"]
+    assert not page_index.append_pages(pages, parts, 4, "run-1")  # its name stays taken
+    for name, table in _opened(spark, parts).items():
+        assert _same(table, expected[name]), name
+    assert page_index.open_index(spark, parts).vocab.count() == expected["vocabulary"].count()
+    with pytest.raises(ValueError):
+        page_index.append_pages(pages, parts, 8, "run-4")
+
+
+def test_a_killed_segment_is_not_seen_and_can_be_repeated(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "index")
+    first, second = (spark.createDataFrame([(d, 1, t)], "doc_id string, page_num int, text string") for d, t in (("1", "alpha"), ("2", "alpha beta")))
+    page_index.append_pages(first, path, 4, "a")
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    hits = lambda: sorted(r.doc_id for r in X.match_pages(page_index.open_index(spark, path), X.Term("alpha")).collect())
+    with monkeypatch.context() as m:
+        m.setattr(page_index, "_commit", killed)
+        for _ in range(2):
+            with pytest.raises(RuntimeError):
+                page_index.append_pages(second, path, 4, "b")
+        assert hits() == ["1"]
+    page_index.append_pages(second, path, 4, "b")
+    with monkeypatch.context() as m:
+        m.setattr(page_index, "_commit", killed)
+        with pytest.raises(RuntimeError):
+            page_index.compact(spark, path)
+    assert hits() == ["1", "2"] and page_index.live_segments(spark, path) == ["a", "b"]
+    assert page_index.compact(spark, path) and hits() == ["1", "2"]
+    assert page_index.read_lengths(spark, path).agg({"n_tokens": "sum"}).first()[0] == 7  # ids, page numbers and texts
+    ranked = X.rank_pages(page_index.open_index(spark, path), X.Term("alpha"), page_index.read_lengths(spark, path)).collect()
+    assert len(ranked) == 2
+
+
+def test_an_index_without_segments_finds_nothing(spark, tmp_path):
+    index = page_index.open_index(spark, str(tmp_path / "none"))
+    assert X.match_pages(index, X.Term("a") | X.Prefix("b")).count() == 0
 
 
 def test_stemmed_index_prunes_buckets_by_the_vocabulary(index):
