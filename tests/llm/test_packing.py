@@ -1,7 +1,9 @@
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from llm_rows import SF, corpus, make_docs  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -75,9 +77,33 @@ def test_pack_covers_each_token_once(lengths):
     assert [seen[d] for d in range(len(lengths))] == lengths
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from("aeés.,'’ \t\n\x0b\x1c\x85\xa0　́<|>0")), max_size=60))
-def test_word_ids_equal_the_tokenizer(text):
-    for t in (text, f"<|endoftext|>{text} it's word. {text}, <|STARTOFTEXT|>"):
-        expected = PLAIN.encode(t, add_special_tokens=False).ids
-        assert np.frombuffer(packing.word_ids(tokenizer_path()).batch([t])[0], "<u4").tolist() == expected
+_characters = st.one_of(st.characters(codec="utf-8"), st.characters(min_codepoint=0xA0, max_codepoint=0x250),
+                        st.sampled_from("aeés.,'’ \t\n\x0b\x1c\x85\xa0\u3000\u0301<|>0İßÉ×÷"))
+
+
+@settings(max_examples=1000, deadline=None)
+@given(st.lists(st.text(_characters, max_size=60), max_size=4))
+def test_text_ids_equal_the_tokenizer(texts):
+    texts = [x for t in texts for x in (t, f"<|endoftext|>{t} it's word. {t}, <|STARTOFTEXT|>", None)]
+    got = packing.text_ids(tokenizer_path()).batch(pa.array(texts, pa.string()))
+    assert [g.tolist() for g in got] == [PLAIN.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_forgotten_pieces_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(packing, "RECENT", 20)
+    monkeypatch.setattr(packing, "MEMO_PIECES", 60)
+    ids, rng = packing.TextIds(tokenizer_path()), random.Random(0)
+    for _ in range(60):
+        texts = [" ".join("".join(rng.choices("abcdé'.1", k=rng.randrange(1, 4))) for _ in range(30)) for _ in range(3)]
+        assert [g.tolist() for g in ids.batch(pa.array(texts))] == [PLAIN.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(ids.pieces.tables[0]["hash"]) <= 200
+
+
+def test_a_tokenizer_that_cuts_otherwise_encodes_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids, plain = packing.TextIds(path), Tokenizer.from_file(path)
+    texts = ["It's a test, Éric 12.", None, ""]
+    assert not ids.cuts
+    assert [g.tolist() for g in ids.batch(pa.array(texts, pa.string()))] == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
