@@ -148,6 +148,38 @@ def vector_topk_lsh(spark, sf):
     return both.join(share, "question_id").select("question_id", "most_found", "pruned", "exact_distances")
 
 
+@register("vector_index", """
+SELECT count(*) AS stored, true AS recall_reached, true AS distances_possible, true AS exact_with_all_cells FROM embeddings""")
+def vector_index(spark, sf):
+    """V7 on a written index: all chunks stored in two segments, the label centroids and every hundredth chunk as
+    questions against V6: whether nine in ten of the exact top 5 are found, whether no result is nearer than the
+    exact one of its rank, and whether reading all cells gives the exact distances."""
+    import uuid
+
+    from quarry.operators import vector_index as VI
+    from quarry.session import checkpoint_dir
+
+    chunks = fx.vector_chunks(spark, sf)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/vector-index-{uuid.uuid4().hex}"
+    late = F.pmod(F.xxhash64("chunk_id"), F.lit(5)) == 0
+    VI.build_index(chunks.where(~late), path, questions=_questions(spark, sf))
+    VI.append_chunks(chunks.where(late), path, "late")
+    index = VI.open_index(spark, path)
+    picked = chunks.where(F.pmod(F.xxhash64("chunk_id"), F.lit(100)) == 0).select(F.xxhash64("chunk_id").alias("question_id"), "embedding")
+    qs = _questions(spark, sf).select("question_id", "embedding").unionByName(picked)
+    exact = V.vector_topk(chunks, qs).select("question_id", "rank", F.col("distance").alias("exact"))
+    full = VI.search(index, qs, probes=len(index.centres)).select("question_id", "rank", F.col("distance").alias("full"))
+    # equal vectors are interchangeable: what counts is how near the found ones are
+    last = exact.groupBy("question_id").agg(F.max("exact").alias("last"))
+    near = (VI.search(index, qs).join(last, "question_id").where(F.col("distance") <= F.col("last") + 1e-5)
+            .select("question_id", "rank", F.col("distance").alias("near")))
+    return (exact.join(full, ["question_id", "rank"], "left").join(near, ["question_id", "rank"], "left").agg(
+        F.lit(index.vectors.agg(F.count(F.lit(1))).first()[0]).cast("long").alias("stored"),
+        (F.count("near") >= 0.9 * F.count(F.lit(1))).alias("recall_reached"),
+        F.bool_and(F.coalesce(F.col("near") >= F.col("exact") - 1e-5, F.lit(True))).alias("distances_possible"),
+        F.bool_and(F.coalesce(F.abs(F.col("full") - F.col("exact")) < 1e-5, F.lit(False))).alias("exact_with_all_cells")))
+
+
 def _text_chunks(spark, sf):
     pages = fx.text_corpus_pages(spark, sf)
     return C.with_metadata(C.chunk_text(pages))
