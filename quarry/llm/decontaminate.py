@@ -39,12 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.common import cut, slices
-from quarry.llm.wordhash import LETTERS_DIGITS, words
+from quarry.functions.wordhash import LETTERS_DIGITS, words
 
 WINDOW = 10
-SEGMENT_WORDS = 1 << 17
+SEGMENT_WORDS = 1 << 16
 BLOCK_WORDS = 1 << 20  # words of the test items that are sent out at once
-STARTS = 1 << 20  # starts that are intersected at once
+STARTS = 1 << 18  # starts that are intersected at once
 MAX_SPAN = 64  # a bit set of starts is one word
 POS_BITS = 33
 

@@ -7,7 +7,8 @@ import pyarrow as pa
 import pytest
 from llm_rows import WORDS, corpus, make_docs, prose  # noqa: F401
 
-from quarry.llm import decontaminate, wordhash
+from quarry.functions import wordhash
+from quarry.llm import decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 FOLD = str.maketrans({c: c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"})
