@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -57,6 +60,17 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Give back what earlier steps left behind: the driver's Python and Arrow memory, and in its JVM the plans,
+    broadcasts and shuffles that nothing refers to any more (Spark drops their files on the executors
+    once a collection finds them). Called where an operator with many jobs begins."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+    spark._jvm.System.gc()
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Smaller zero-copy pieces, so that few texts are Python objects at once."""
     for batch in batches:

@@ -49,9 +49,8 @@ class Fingerprinter:
             self.probes.append((mixed(at + np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.bins)).astype(np.int64))
         return self.probes[block]
 
-    def minima(self, text: str | None) -> np.ndarray | None:
+    def minima(self, hashes: np.ndarray) -> np.ndarray | None:
         """The densified bins, None for a text without words."""
-        hashes = self.shingler.hashes(text)
         if not len(hashes):
             return None
         out = np.full(self.bins, np.iinfo(np.uint64).max, np.uint64)
@@ -72,7 +71,13 @@ class Fingerprinter:
         return out[source]
 
     def low_bits(self, text: str | None) -> np.ndarray | None:
-        minima = self.minima(text)
+        return self._low(self.shingler.hashes(text))
+
+    def low_bits_of(self, column: pa.Array) -> list[np.ndarray | None]:
+        return list(map(self._low, self.shingler.of(column)))
+
+    def _low(self, hashes: np.ndarray) -> np.ndarray | None:
+        minima = self.minima(hashes)
         if minima is None:
             return None
         # hashed once more with the bin: bins that share a minimum must not agree by chance together
@@ -139,9 +144,8 @@ def fingerprint_report(docs: DataFrame, *, bins: int = BINS, bits: int = BITS,
         held = None  # the row that waits for its follower: range, doc_id, text, low bits
         for part in slices(batches):
             rows = []
-            for doc_id, text, group, extra in zip(*(part.column(n).to_pylist() for n in ("doc_id", "text", "range", "extra")),
-                                                  strict=True):
-                low = of.low_bits(text)
+            for doc_id, text, group, extra, low in zip(*(part.column(n).to_pylist() for n in ("doc_id", "text", "range", "extra")),
+                                                       of.low_bits_of(part.column("text")), strict=True):
                 if held:
                     _, old_id, old_text, old = held
                     new_text = edited(old_text, text)
@@ -162,7 +166,7 @@ def fingerprints(docs: DataFrame, *, bins: int = BINS, bits: int = BITS) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Fingerprinter(bins, bits)
         for part in slices(batches):
-            out = [of.packed(of.low_bits(t)) for t in part.column(1).to_pylist()]
+            out = [of.packed(low) for low in of.low_bits_of(part.column(1))]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(out, pa.string())], ["doc_id", "fingerprint"])
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import cut, groups, slices
+from quarry.llm.common import cut, groups, release, slices
 from quarry.llm.components import components
 from quarry.llm.shingles import Shingler, odd_constants
 
@@ -71,8 +71,7 @@ def signatures(docs: DataFrame, k: int = K) -> DataFrame:
         of, factors, offsets = Shingler(), odd_constants(k, 11), odd_constants(k, 13)
         for part in slices(batches):
             counts, digests, signed = [], [], []
-            for text in part.column(1).to_pylist():
-                found = of.distinct(text)
+            for found in map(np.unique, of.of(part.column(1))):
                 counts.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
                 signed.append(signature(found, factors, offsets).view(np.int32) if len(found) else None)
@@ -91,7 +90,7 @@ def shingle_sets(docs: DataFrame, sketch: int = SKETCH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Shingler()
         for part in slices(batches):
-            sets = [of.distinct(t) for t in part.column(1).to_pylist()]
+            sets = list(map(np.unique, of.of(part.column(1))))
             least = [np.unique((x[:sketch] >> np.uint64(32)).astype("<u4")).tobytes() for x in sets]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x.view(np.int64) for x in sets], pa.list_(pa.int64())),
                                               pa.array(least, pa.binary())], ["doc_id", "shingles", "sketch"])
@@ -229,11 +228,13 @@ def near_links(docs: DataFrame, lists: DataFrame, *, matches: int = MATCHES, per
         links = links.unionByName(fresh)
         if turn < LEADER_ROUNDS:
             found = components(links)
+            release(links.sparkSession)
     return links
 
 
 def near_groups(docs: DataFrame, *, k: int = K, matches: int = MATCHES, percent: int = LIKENESS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs``."""
+    release(docs.sparkSession)
     signed = cut(signatures(docs.withColumn("doc_id", F.col("doc_id").cast("long")), k), "minhash-signatures")
     classes = (signed.where("digest IS NOT NULL AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep")))
     rows = signed.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
@@ -244,6 +245,7 @@ def near_groups(docs: DataFrame, *, k: int = K, matches: int = MATCHES, percent:
     several = (rows.where("rep IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("hi"))
                .where("a < hi").select("doc_id", "a"))
     links = links.unionByName(rows.join(several, "doc_id").where("rep <> a").select("a", F.col("rep").alias("b")))
+    release(docs.sparkSession)
     found = components(links).withColumnRenamed("node", "rep")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return (rows.join(found, "rep", "left")

@@ -2,19 +2,19 @@
 
 A-Z is lower-cased, words are ``[^\\x20\\x09-\\x0D]+``, a shingle is five
 consecutive words; a text with fewer words is one shingle, a text without words
-(or null) has none. A word's hash is the first 8 bytes of its BLAKE2b digest; a
-shingle's is a mixed sum of its words' hashes times odd constants by place.
+(or null) has none. Words are hashed by ``wordhash``, without a Python object for any; a
+shingle's hash is a mixed sum of its words' hashes times odd constants by place.
 """
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
+import pyarrow as pa
 
-from quarry.llm.common import per_process
-
-MEMO_WORDS = 400_000
+from quarry.functions.wordhash import NOT_SPACE, words
 
 
 def odd_constants(n: int, seed: int) -> np.ndarray:
@@ -30,34 +30,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Words(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
-def word_memo() -> dict[bytes, int]:
-    """Word to 64-bit hash, up to MEMO_WORDS words remembered by the process."""
-    return per_process("word hashes", _Words)
-
-
 class Shingler:
     def __init__(self, words: int = 5):
-        self.words, self.memo, self.place = words, word_memo(), odd_constants(words, 5)
+        self.words, self.place = words, odd_constants(words, 5)
 
-    def hashes(self, text: str | None) -> np.ndarray:
-        """The hash of every shingle, in text order, repeats included."""
-        tokens = (text or "").encode().lower().split()
-        if not tokens:
-            return np.empty(0, np.uint64)
-        ids = np.fromiter(map(self.memo.__getitem__, tokens), np.uint64, len(tokens))
+    def _shingles(self, ids: np.ndarray) -> np.ndarray:
+        if not len(ids):
+            return ids
         k = min(self.words, len(ids))
         total = self.place[-k:].sum() + ids[:len(ids) - k + 1] * self.place[0]
         for i in range(1, k):
             total += ids[i:len(ids) - k + 1 + i] * self.place[i]
         return mixed(total)
 
+    def of(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The hash of every shingle of each text of an Arrow column, in text order, repeats included."""
+        found = words(column, NOT_SPACE)
+        for a, b in pairwise(found.texts.tolist()):
+            yield self._shingles(found.hashes[a:b])
+
+    def hashes(self, text: str | None) -> np.ndarray:
+        return next(self.of(pa.array([text], pa.string())))
+
     def distinct(self, text: str | None) -> np.ndarray:
         return np.unique(self.hashes(text))

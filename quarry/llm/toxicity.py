@@ -6,9 +6,9 @@ give. While training, those log-odds come from models of the same kind
 fitted without the row's own fold, so that a later model sees the earlier ones
 as uncertain as they are on new documents.
 
-A document is rejected from a probability of REJECT, or from the lowest one that rejects
-no more than CLEAN_REJECTED of the clean labelled documents, each by the models without
-its fold; with too few of them to tell such a share it stays at REJECT.
+A document is rejected from a probability of REJECT, or from the lowest one that rejects, with
+95 % confidence, no more than CLEAN_REJECTED of the clean documents, judged by the labelled
+ones, each by the models without its fold. One rule for every number of labels.
 
 The chain is fitted on at most SAMPLE labelled documents (the ones whose id hashes
 lowest, the same at every run). Spark counts their words; the driver gets the
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import cut, slices
-from quarry.llm.shingles import word_memo
+from quarry.llm.common import cut, release, slices
+from quarry.functions.wordhash import LETTERS_DIGITS, words
 
 SAMPLE = 20_000  # labelled documents that the chain is fitted on
 FEATURES = 4096  # words of a model
@@ -45,14 +46,15 @@ FOLDS = 5
 LEAST_DOCS, LEAST_Z = 4, 4.0  # of a word that a model may use
 RIDGE, STEPS = 0.1, 300
 REJECT = 0.4  # toxic probability from which a document is rejected, or a lower one (see CLEAN_REJECTED)
-CLEAN_REJECTED = 0.005  # share of the clean labelled documents that a lower threshold may reject, by out-of-fold probabilities
+CLEAN_REJECTED = 0.0075  # bound on the share of clean documents that a lower threshold rejects
 CATEGORIES = ("low_quality", "toxic")  # in the order of the chain
-# ASCII letters and digits, lower-cased; other ASCII parts words; bytes above it stay
-_FOLD = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(128)) + bytes(range(128, 256))
 
 
-def words_of(text: str | None) -> set[bytes]:
-    return set((text or "").encode().translate(_FOLD).lower().split())
+def words_of(column: pa.Array) -> Iterator[np.ndarray]:
+    """The sorted hashes of the distinct words of each text: ASCII letters and digits, lower-cased, and bytes above."""
+    found = words(column, LETTERS_DIGITS)
+    for a, b in pairwise(found.texts.tolist()):
+        yield np.unique(found.hashes[a:b])
 
 
 @dataclass
@@ -72,6 +74,10 @@ class Chain:
     models: list[Linear | None]
     reject: float = REJECT
 
+    def vocabulary(self) -> np.ndarray:
+        """The words that any model knows, sorted."""
+        return np.unique(np.array([h for m in self.models if m for h in m.words], np.uint64))
+
     def probabilities(self, hashes) -> list[float]:
         known = {h for h in hashes if any(m and h in m.words for m in self.models)}
         odds: list[float] = []
@@ -129,9 +135,14 @@ def _fold_of(words: np.ndarray) -> int:
 
 
 def _threshold(clean: np.ndarray) -> float:
-    """From the out-of-fold probabilities of the clean documents."""
-    allowed = int(CLEAN_REJECTED * (len(clean) + 1)) - 1  # one is held back, as new documents may lie above the largest
-    return REJECT if allowed < LEAST_DOCS else min(REJECT, float(np.nextafter(np.sort(clean)[::-1][allowed], 1)))
+    """From the out-of-fold probabilities of the clean documents: the lowest that is, with 95 %
+    confidence, reached by a share of CLEAN_REJECTED of them at most, and REJECT at most. The
+    fewer documents, the wider the bound (Wilson's), so that few of them leave REJECT in force."""
+    n, z = max(1, len(clean)), 1.645
+    share = np.arange(len(clean)) / n  # if so many of the highest were rejected
+    bound = (share + z * z / (2 * n) + z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    allowed = np.flatnonzero(bound <= CLEAN_REJECTED)
+    return min(REJECT, float(np.nextafter(np.sort(clean)[::-1][allowed[-1]], 1))) if len(allowed) else REJECT
 
 
 def fit_chain(words: list[np.ndarray], labels: np.ndarray, categories: Sequence[str], fold: np.ndarray | None = None) -> Chain:
@@ -170,9 +181,8 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = word_memo()
         for part in slices(batches):
-            found = [np.sort(np.fromiter((memo[w] for w in words_of(t)), np.uint64)).view(np.int64) for t in part.column("text").to_pylist()]
+            found = [w.view(np.int64) for w in words_of(part.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int64())), *[part.column(c) for c in categories]],
                                              ["words", *categories])
 
@@ -204,13 +214,23 @@ def train(docs: DataFrame, labels: DataFrame, categories: Sequence[str] = CATEGO
     local = rows.mapInArrow(reduced, f"words binary, fold long, {numbers}").toPandas()
     local = local.sort_values(["words", "fold", *categories], kind="stable")
     values = local[list(categories)].to_numpy(np.float64, na_value=np.nan) if len(local) else np.empty((0, len(categories)))
-    return fit_chain([np.frombuffer(w, np.uint64) for w in local["words"]], values, categories, local["fold"].to_numpy(np.int64))
+    chain = fit_chain([np.frombuffer(w, np.uint64) for w in local["words"]], values, categories, local["fold"].to_numpy(np.int64))
+    del local, values
+    release(docs.sparkSession)
+    return chain
+
+
+def _among(hashes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Those that are known (sorted)."""
+    if not len(known):
+        return hashes[:0]
+    return hashes[known[np.minimum(np.searchsorted(known, hashes), len(known) - 1)] == hashes]
 
 
 def _scored(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    memo = word_memo()
+    known = chain.vocabulary()
     for part in slices(batches):
-        rows = [chain.probabilities([memo[w] for w in words_of(t)]) for t in part.column("text").to_pylist()]
+        rows = [chain.probabilities(_among(w, known).tolist()) for w in words_of(part.column("text"))]
         yield part, np.array(rows, np.float64).reshape(part.num_rows, len(chain.categories))
 
 

@@ -58,8 +58,11 @@ def test_edge_rows(spark, corpus):
 
 
 def test_the_threshold_follows_the_clean_documents():
-    few, many = np.linspace(0, 0.05, 500), np.linspace(0, 0.05, 5000)
+    few, many = np.linspace(0, 0.05, 200), np.linspace(0, 0.05, 5000)
     assert toxicity._threshold(few) == toxicity.REJECT and toxicity._threshold(np.empty(0)) == toxicity.REJECT
+    # one rule at every number: the share that is rejected grows towards the bound and never passes it
+    shares = [(x >= toxicity._threshold(x)).mean() for x in (np.linspace(0, 0.05, n) for n in (400, 800, 1600, 6400, 25_600, 102_400))]
+    assert shares == sorted(shares) and shares[-1] <= toxicity.CLEAN_REJECTED < shares[-1] + 0.001
     assert 0.04 < toxicity._threshold(many) <= 0.05 and 0 < (many >= toxicity._threshold(many)).mean() <= toxicity.CLEAN_REJECTED
     assert toxicity._threshold(np.full(5000, 0.9)) == toxicity.REJECT
 
