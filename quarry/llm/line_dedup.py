@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm import bloom
-from quarry.llm.common import cut, slices
+from quarry.llm.common import cut, release, slices
 
 STRIPPED = b" \t\n\x0b\x0c\r"
 SALTS = 32
@@ -58,6 +58,7 @@ def dropped_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5,
                   log2_bits: int = 27) -> DataFrame:
     """doc_id, dropped: the digests of the lines that each document loses."""
     spark = docs.sparkSession
+    release(spark)
     texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
 
     def hashes_of(batch: pa.RecordBatch) -> np.ndarray:
@@ -94,22 +95,21 @@ def dropped_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5,
             .groupBy("doc_id").agg(F.collect_list("digest").alias("dropped")))
 
 
-def dedup_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5,
-                log2_bits: int = 27) -> DataFrame:
-    """All rows and columns of ``docs`` with the repeated lines cut from
-    ``text`` (null text stays null), plus ``n_lines`` (before) and
-    ``n_dropped``; columns that already have these names are replaced."""
-    docs = docs.drop("n_lines", "n_dropped", "__dropped")
+def _rewritten(docs: DataFrame, min_chars: int, min_docs: int, log2_bits: int) -> DataFrame:
+    """row (all columns of ``docs``, the repeated lines cut from ``text``), n_lines, n_dropped. The row travels as a
+    struct, so that no column's name matters."""
     drops = dropped_lines(docs, min_chars=min_chars, min_docs=min_docs, log2_bits=log2_bits)
-    joined = docs.join(drops.withColumnRenamed("dropped", "__dropped"), "doc_id", "left")
     names = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_lines", T.LongType()),
-                           T.StructField("n_dropped", T.LongType())])
+    wide = docs.select(F.col("doc_id"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    joined = wide.join(drops, "doc_id", "left").select("row", "dropped")
+    schema = T.StructType([joined.schema["row"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    at = names.index("text")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
+            fields = part.column("row").flatten()
             texts, n_lines, n_dropped = [], [], []
-            for text, dropped in zip(part.column("text").to_pylist(), part.column("__dropped").to_pylist(), strict=True):
+            for text, dropped in zip(fields[at].to_pylist(), part.column("dropped").to_pylist(), strict=True):
                 lines = _split(text)
                 n_lines.append(len(lines))
                 if dropped:
@@ -120,11 +120,28 @@ def dedup_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5,
                 else:
                     n_dropped.append(0)
                 texts.append(text)
-            columns = [pa.array(texts, pa.string()) if n == "text" else part.column(n) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
-                                             [*names, "n_lines", "n_dropped"])
+            fields[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(fields, names), pa.array(n_lines, pa.int64()),
+                                              pa.array(n_dropped, pa.int64())], ["row", "n_lines", "n_dropped"])
+
+    return joined.mapInArrow(rewrite, schema)
+
+
+def dedup_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5,
+                log2_bits: int = 27) -> DataFrame:
+    """All rows and columns of ``docs`` with the repeated lines cut from
+    ``text`` (null text stays null), plus ``n_lines`` (before) and
+    ``n_dropped``; columns that already have these names are replaced."""
+    kept = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return _rewritten(docs, min_chars, min_docs, log2_bits).select(*kept, "n_lines", "n_dropped")
+
 
-    return joined.select(*names, "__dropped").mapInArrow(rewrite, schema)
+def cut_lines(docs: DataFrame, *, min_chars: int = 40, min_docs: int = 5, log2_bits: int = 27) -> DataFrame:
+    """The rows of ``docs`` with exactly its columns, whatever their names: repeated lines are cut from
+    ``text``, and ``n_chars``, if there is one, follows where a text lost lines."""
+    size = F.when(F.col("n_dropped") > 0, F.length("row.text")).otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None
+    return _rewritten(docs, min_chars, min_docs, log2_bits).select(
+        *[size.cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def line_report(docs: DataFrame) -> DataFrame:

@@ -47,6 +47,20 @@ def test_columns_stay_and_empty_table(spark, corpus):
     assert line_dedup.line_report(make_docs(spark, [])).count() == 0
 
 
+def test_cut_lines_keeps_columns_of_any_name(spark, corpus):
+    docs = make_docs(spark, corpus).withColumnRenamed("n", "n_lines").withColumnRenamed("key", "__dropped").withColumnRenamed("hash", "dropped")
+    docs = docs.withColumnRenamed("size", "row").withColumnRenamed("rep", "a.b")
+    cut = line_dedup.cut_lines(docs)
+    assert cut.schema.simpleString() == docs.schema.simpleString()
+    texts = {str(r.doc_id): r for r in line_dedup.line_report(docs).collect()}
+    own = ["doc_id", "lang", "n_lines", "__dropped", "dropped", "row", "`a.b`"]
+    assert sorted(map(str, cut.select(own).collect())) == sorted(map(str, docs.select(own).collect()))
+    for r in cut.collect():
+        if r.text is not None and texts[str(r.doc_id)].n_dropped:
+            assert r.n_chars == len(r.text)
+    assert line_dedup.cut_lines(docs.limit(0)).count() == 0
+
+
 def test_twice_filter_has_no_false_negatives(spark):
     import numpy as np
 
