@@ -19,7 +19,8 @@ a third of all rows is not one group.
 
 Defined edge cases: null text has size 0; null is a source of its own, ranked
 last; documents of size 0 take 0 words; without any word all targets are 0;
-rows that repeat a doc_id and size share one hash and are taken alike; an empty
+rows that repeat a doc_id and size share one hash and are told apart by the number
+under which they were written, so any number of them meets its target; an empty
 table gives an empty result; further columns do not matter.
 The distinct (source, size) pairs bound the iterated table, and the number of
 sources the one unpartitioned window.
@@ -30,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WORD, cut, row_key
+from quarry.llm.common import WORD, cut, release, row_key
 
 WEIGHTS = (5.0, 2.0, 1.0)
 BUCKET_ROWS = 2_000  # documents of a cell that are ranked together
@@ -139,35 +140,58 @@ def _hash() -> Column:
 
 
 def _met(rows: DataFrame, cells: DataFrame) -> DataFrame:
-    """Rows with key, size and hash joined to their cell; a cell that holds many of
+    """Rows with key, size and nth joined to their cell; a cell that holds many of
     all rows is met in SALTS parts."""
     parts = cells.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("salt", F.pmod("hash", F.lit(SALTS)).cast("int")).join(parts, ["key", "size", "salt"]).drop("salt")
+    return rows.withColumn("salt", F.pmod(F.xxhash64("nth"), F.lit(SALTS)).cast("int")).join(parts, ["key", "size", "salt"]).drop("salt")
 
 
 def cell_limits(sized: DataFrame, cells: DataFrame) -> DataFrame:
-    """key, size, base, limit: every document of the cell takes ``base`` copies,
-    those whose hash is at most ``limit`` one more."""
+    """key, size, base, limit, tied: every document of the cell takes ``base`` copies, those whose
+    hash is below ``limit`` one more, and of those that have this hash the ones up to number ``tied``
+    (all if null)."""
     cells = (cells.withColumn("base", F.floor(F.col("m") / F.col("n")))
              .withColumn("odd", F.col("m") - F.col("base") * F.col("n"))
              .withColumn("buckets", F.ceil(F.col("n") / BUCKET_ROWS)))
     # hash buckets are hash ranges, so that ranks run on from bucket to bucket
     bucket = F.least(F.floor((F.shiftright("hash", 11) / F.lit(2.0 ** 53) + 0.5) * F.col("buckets")), F.col("buckets") - 1)
-    ranked = (_met(sized.select("key", "size", _hash().alias("hash")), cells.where("odd > 0"))
-              .withColumn("bucket", bucket).select("key", "size", "bucket", "hash", "odd"))
-    counts = ranked.groupBy("key", "size", "bucket", "odd").agg(F.count("*").alias("rows"))
+    rows = _met(sized.select("key", "size", "nth", _hash().alias("hash")), cells.where("odd > 0").select("key", "size", "odd", "buckets"))
+    # documents that share a hash are one row with a count
+    ranked = (rows.groupBy("key", "size", "odd", "buckets", "hash").agg(F.count("*").alias("rows"))
+              .withColumn("bucket", bucket).drop("buckets"))
+    counts = ranked.groupBy("key", "size", "bucket", "odd").agg(F.sum("rows").alias("rows"))
     upto = F.sum("rows").over(Window.partitionBy("key", "size").orderBy("bucket"))
     # the one bucket of a cell in which the last odd copy falls
     last = (counts.withColumn("upto", upto).where((F.col("upto") >= F.col("odd")) & (F.col("upto") - F.col("rows") < F.col("odd")))
             .select("key", "size", "bucket", (F.col("odd") - F.col("upto") + F.col("rows")).alias("place")))
-    place = F.row_number().over(Window.partitionBy("key", "size", "bucket").orderBy("hash"))
-    limit = (ranked.drop("odd").join(last, ["key", "size", "bucket"]).withColumn("at", place).where("at = place")
-             .select("key", "size", F.col("hash").alias("limit")))
-    return cells.select("key", "size", "base").join(limit, ["key", "size"], "left")
+    upto = F.sum("rows").over(Window.partitionBy("key", "size", "bucket").orderBy("hash"))
+    limit = (ranked.drop("odd").join(last, ["key", "size", "bucket"]).withColumn("upto", upto)
+             .where((F.col("upto") >= F.col("place")) & (F.col("upto") - F.col("rows") < F.col("place")))
+             .select("key", "size", F.col("hash").alias("limit"), "rows", (F.col("place") - F.col("upto") + F.col("rows")).alias("rest")))
+    limit = cut(limit, "mix-limits")
+    return (cells.select("key", "size", "base").join(limit.select("key", "size", "limit"), ["key", "size"], "left")
+            .join(_tied(rows, limit.where("rest < rows")), ["key", "size"], "left"))
+
+
+def _tied(rows: DataFrame, limit: DataFrame) -> DataFrame:
+    """key, size, tied: the number up to which documents that share the limiting hash take an odd copy, ``rest``
+    of them. Numbers hold the partition in which a row was written; the partitions' counts tell in which
+    one the last copy falls, and only this one's rows are ranked."""
+    part = F.shiftright("nth", 33)
+    same = (rows.select("key", "size", "nth", "hash").join(limit.select("key", "size", F.col("limit").alias("hash"), "rest"), ["key", "size", "hash"])
+            .select("key", "size", "nth", part.alias("part"), "rest"))
+    counts = same.groupBy("key", "size", "part", "rest").agg(F.count("*").alias("rows"))
+    upto = F.sum("rows").over(Window.partitionBy("key", "size").orderBy("part"))
+    last = (counts.withColumn("upto", upto).where((F.col("upto") >= F.col("rest")) & (F.col("upto") - F.col("rows") < F.col("rest")))
+            .select("key", "size", "part", (F.col("rest") - F.col("upto") + F.col("rows")).alias("place")))
+    place = F.row_number().over(Window.partitionBy("key", "size", "part").orderBy("nth"))
+    return (same.drop("rest").join(last, ["key", "size", "part"]).withColumn("at", place).where("at = place")
+            .select("key", "size", F.col("nth").alias("tied")))
 
 
 def plan(sized: DataFrame, *, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0) -> tuple[DataFrame, DataFrame]:
-    """From doc_id, key, size: the targets by key and the copies by (key, size)."""
+    """From doc_id, key, size and nth (a written number of the row): the targets by key and the copies by (key, size)."""
+    release(sized.sparkSession)
     sizes = cut(sized.groupBy("key", "size").agg(F.count("*").alias("n")), "mix-histogram")
     goal = cut(targets(sizes, weights, share, cap), "mix-targets")
     cells = cut(cell_copies(sizes, goal, multipliers(sizes, goal, cap), cap), "mix-cells")
@@ -175,12 +199,14 @@ def plan(sized: DataFrame, *, weights=WEIGHTS, share: float = 1.5, cap: float =
 
 
 def _copies() -> Column:
-    return F.col("base") + F.when(F.col("hash") <= F.col("limit"), 1).otherwise(0)
+    odd = (F.col("hash") < F.col("limit")) | ((F.col("hash") == F.col("limit")) & (F.col("tied").isNull() | (F.col("nth") <= F.col("tied"))))
+    return F.col("base") + F.when(odd, 1).otherwise(0)
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, source, size, source_size, target, copies, taken for every row."""
-    sized = cut(docs.select("doc_id", "source", row_key("source").alias("key"), size_of().alias("size")), "mix-sizes")
+    sized = cut(docs.select("doc_id", "source", row_key("source").alias("key"), size_of().alias("size"),
+                            F.monotonically_increasing_id().alias("nth")), "mix-sizes")
     goal, limits = plan(sized, **options)
     return (_met(sized.withColumn("hash", _hash()), limits).join(goal, "key")
             .withColumn("copies", F.when(F.col("size") > 0, _copies()).otherwise(0))
@@ -192,9 +218,9 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in the mix: each as often as it has copies, with
     its own columns; rows without a word stay once."""
     names = docs.columns
-    wide = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id"),
-                       row_key("source").alias("key"), size_of().alias("size"))
-    _, limits = plan(cut(wide.select("doc_id", "key", "size"), "mix-sizes"), **options)
+    wide = cut(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("doc_id"), row_key("source").alias("key"),
+                           size_of().alias("size"), F.monotonically_increasing_id().alias("nth")), "mix-rows")
+    _, limits = plan(wide.select("doc_id", "key", "size", "nth"), **options)
     copies = F.when(F.col("size") > 0, _copies()).otherwise(1).cast("int")
     return (_met(wide.withColumn("hash", _hash()), limits)
             .withColumn("copies", copies).where("copies > 0")

@@ -73,6 +73,23 @@ def test_mix_keeps_columns_and_counts(spark, corpus):
     assert mixed.where("text RLIKE '[^\\\\x20\\\\x09-\\\\x0D]'").count() == copies
 
 
+def test_rows_that_share_a_hash_meet_the_target(spark, monkeypatch):
+    """No doc_id and one size, or one doc_id and one size, for most rows."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 50)
+    rows = [(None, "w " * 37, "a", "abc"[i % 3]) for i in range(450)] + [(7, "w " * 37, "a", "a") for _ in range(150)]
+    rows += [(i, "w " * (30 + i % 9), "a", "abc"[i % 3]) for i in range(1000, 1060)]
+    docs = make_docs(spark, rows)
+    got = mixing.mix_report(docs).collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        assert r.taken <= 2 * r.size
+    assert len(got) == len(rows) and all(abs(taken[s] - t) <= 38 for s, t in target.items())
+    assert mixing.mix(docs).count() == sum(r.copies for r in got)
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix_report(docs).collect()))
+
+
 def test_no_words_and_no_rows(spark):
     assert mixing.mix_report(make_docs(spark, [(1, " ", "a", "x"), (2, None, "a", None)])).select("taken", "target").collect() == [(0, 0.0)] * 2
     assert mixing.mix_report(make_docs(spark, [])).count() == 0
