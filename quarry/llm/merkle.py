@@ -87,20 +87,20 @@ def _parents(nodes: bytes) -> bytes:
     return b"".join([_h(nodes[i:i + step]) for i in range(0, len(nodes), step)])
 
 
-def _runs(nodes: list[bytes] | bytes, lo: int, n: int) -> Iterator[tuple[int, int, bytes, bool]]:
+def _runs(nodes: list[bytes] | bytes, lo: int, n: int) -> Iterator[tuple[int, int, bytes, int]]:
     """Level by level: the nodes of a contiguous range whose parents are not all in it.
-    Yields level, index, digest; the root is level -1."""
+    Yields level, index, digest and the number of nodes of the level; the root is level -1."""
     level = 0
     data = bytes(nodes)
     hi = lo + len(data) // HEX
     while hi > lo:
         if n == 1:
-            yield -1, 0, data
+            yield -1, 0, data, 1
             return
         first = min(hi, -(-lo // ARITY) * ARITY)
         last = hi if hi == n else max(first, hi >> ARITY_LOG2 << ARITY_LOG2)
         for i in [*range(lo, first), *range(last, hi)]:
-            yield level, i, data[(i - lo) * HEX:(i - lo + 1) * HEX]
+            yield level, i, data[(i - lo) * HEX:(i - lo + 1) * HEX], n
         if first >= last:  # no whole run in the range
             return
         data = _parents(data[(first - lo) * HEX:(last - lo) * HEX])
@@ -176,7 +176,7 @@ def source_runs(ordered: DataFrame) -> DataFrame:
     return cut(runs.join(ranks.join(sizes, "skey"), "skey").withColumn("n_top", F.lit(n_top).cast("long")), "merkle-ranked")
 
 
-NODE = "skey string, level int, idx long, digest string"
+NODE = "skey string, level int, idx long, digest string, n long"
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -184,14 +184,13 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
                                       schema=schema)
 
 
-NODE_ARROW = pa.schema([("skey", pa.string()), ("level", pa.int32()), ("idx", pa.int64()), ("digest", pa.string())])
+NODE_ARROW = pa.schema([("skey", pa.string()), ("level", pa.int32()), ("idx", pa.int64()), ("digest", pa.string()), ("n", pa.int64())])
 
 
-def _grow(loose: DataFrame, sizes: DataFrame, depth: int, name: str) -> tuple[DataFrame, DataFrame]:
+def _grow(loose: DataFrame, depth: int, name: str) -> tuple[DataFrame, DataFrame]:
     """All nodes that no partition holds wholly, from the loose ones, and the trees' roots.
-    ``sizes``: skey, n; ``depth``: levels of the largest tree."""
-    at_level = F.ceil(F.col("n") / F.pow(F.lit(float(ARITY)), F.greatest(F.col("level"), F.lit(0))))
-    shape = loose.join(sizes, "skey").withColumn("n", at_level)
+    ``n`` counts a tree's nodes of a row's level; ``depth``: levels of the largest tree."""
+    shape = loose
     found, state = [], None
     for level in range(depth):
         here = shape.where(F.col("level") == level)
@@ -260,18 +259,16 @@ def prove(ordered: DataFrame, runs: DataFrame) -> DataFrame:
         for part in _partitions(batches):
             rows = []
             for skey, start, n, _, _, n_run, data, _ in part.sources():
-                rows += [(skey, level, i, digest.decode()) for level, i, digest in _runs(data, start, n)]
+                rows += [(skey, level, i, digest.decode(), size) for level, i, digest, size in _runs(data, start, n)]
             for i in range(0, len(rows), 65536):
                 yield _batch(rows[i:i + 65536], NODE_ARROW)
 
     hanging = cut(by_partition(told).mapInArrow(loose, NODE), "merkle-loose")
-    sizes = runs.select("skey", "n").distinct()
-    nodes, subroots = _grow(hanging, sizes, _depth(deepest), "merkle-level")
-    ranks = runs.where("start = 0").select("skey", "rank", "n_top")
+    nodes, subroots = _grow(hanging, _depth(deepest), "merkle-level")
+    ranks = runs.where("start = 0").select("skey", "rank", F.col("n_top").alias("n"))
     bottom = cut(subroots.join(ranks, "skey").select(F.lit(TOP).alias("skey"), F.lit(0).alias("level"),
-                                                     F.col("rank").alias("idx"), "digest"), "merkle-subroots")
-    top_sizes = runs.limit(1).select(F.lit(TOP).alias("skey"), F.col("n_top").alias("n"))
-    top_nodes, _ = _grow(bottom, top_sizes, _depth(n_top), "merkle-top")
+                                                     F.col("rank").alias("idx"), "digest", "n"), "merkle-subroots")
+    top_nodes, _ = _grow(bottom, _depth(n_top), "merkle-top")
     if top_nodes is not None:
         nodes = top_nodes if nodes is None else nodes.unionByName(top_nodes)
 
