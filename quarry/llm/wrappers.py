@@ -72,6 +72,11 @@ FURNITURE_PAIRS = frozenset("ad-banner ad-box ad-container ad-slot ad-unit ad-wr
                             "site-footer site-header site-navigation social-buttons social-icons social-links social-media "
                             "social-share sponsored-content user-comments".split())
 OTHERS = frozenset("comment comments disqus recommended related respond".split())  # texts of readers and of other pages, often long
+# Words that name readers' comments and adverts in whatever company, and words that say how a page
+# deals with them ("has-comments", "ad-free") rather than what an element holds.
+INTRUDERS = frozenset("ad ads advert adverts advertisement advertising comment comments disqus newsletter promo promotion sponsor "
+                      "sponsored".split())
+STATES = frozenset("allow allowed closed content count disabled enabled free has hide layout main no open page show with without".split())
 WEAK, STRONG, APART = "~", "!", "!!"  # last part of a marked element's label: part of a value, whole value, whole value of OTHERS
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -121,11 +126,13 @@ def _mark(name: str, values: list[tuple[str, list[str]]], article: bool, inside:
     for attribute, words in values:
         marked = FURNITURE_WORDS.intersection(words)
         if (not marked or name in FRAME and not (name == "article" and "comment" in marked)
-                or attribute == "id" and (name in HEADINGS or name == "section" and article)
+                or attribute == "id" and (name in HEADINGS or name == "section" and article and not marked & INTRUDERS)
                 or article and marked <= {"header"}):
             continue
         if len(words) == 1 or "-".join(words) in FURNITURE_PAIRS:
             found = APART if found == APART or marked & OTHERS else STRONG
+        elif name not in HEADINGS and marked & INTRUDERS:
+            found = APART if marked & OTHERS and not STATES.intersection(words) else found or WEAK
         elif not inside and name not in HEADINGS and not (attribute == "id" and name == "section"):
             found = found or WEAK
     return found

@@ -87,6 +87,28 @@ def test_words_in_a_class_are_no_veto(spark):
     assert texts(spark, rows) == expected
 
 
+def test_comments_and_adverts_inside_the_article_go(spark):
+    blocks = ["<section id=comments>{x}</section>", "<div class=user-comment>{x}</div>", "<div class='post-comments'>{x}</div>",
+              "<div class=comment-thread>{x}</div>", "<div id=disqus_thread>{x}</div>", "<div class=ad-top>{x}</div>",
+              "<div class=google-ad>{x}</div>", "<div class=ad__inner>{x}</div>", "<div class=inline-newsletter>{x}</div>",
+              "<div class=commentThread>{x}</div>", "<section class='sponsored story'>{x}</section>"]
+    rows, expected = [], {}
+    for h, block in enumerate(blocks):
+        for i in range(5):
+            other = "".join(f"<p>Other {i} {k} {'says ' * 30}</p>" for k in range(3 if "ad" not in block and "letter" not in block else 1))
+            other = other if "omment" in block or "disqus" in block else f"<p>Buy {i}</p>"
+            rows.append((10 * h + i, f"http://h{h}.example/{i}", f"<body><article><h1>Head {i}</h1><p>First {i} {'word ' * (9 + i)}</p>"
+                         f"{block.format(x=other)}<p>Last {i}</p></article></body>"))
+            expected[10 * h + i] = "\n".join([f"Head {i}", f"First {i} {'word ' * (9 + i)}".strip(), f"Last {i}"])
+    # words that say how a page deals with comments and adverts mark no text
+    for h, wrapper in enumerate(["post has-comments", "ad-free", "comments-open content", "page-with-ads"], len(blocks)):
+        for i in range(5):
+            rows.append((10 * h + i, f"http://h{h}.example/{i}", f"<body><article><h1>Head {i}</h1><div class='{wrapper}'><p>First {i} "
+                         f"{'word ' * (9 + i)}</p><h2 id=ads>Part</h2><p>Last {i}</p></div></article></body>"))
+            expected[10 * h + i] = "\n".join([f"Head {i}", f"First {i} {'word ' * (9 + i)}".strip(), "Part", f"Last {i}"])
+    assert texts(spark, rows) == expected
+
+
 def test_a_marked_element_with_most_of_the_text(spark):
     rows = [(i, f"http://a.example/{i}", f"<body><p>Top {i}</p><div class=notice><h1>Head {i}</h1><p>Text {i} {'word ' * (20 + i)}</p></div>"
              f"<div class=sidebar><p>Side {i}</p></div></body>") for i in range(5)]
