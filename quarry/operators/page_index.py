@@ -70,7 +70,9 @@ def _commit(spark: SparkSession, path: str, segment: str, pages: int, buckets: i
 
 def _write(path: str, segment: str, postings: DataFrame, vocabulary: DataFrame, lengths: DataFrame) -> None:
     write_postings(postings, f"{path}/postings/segment={segment}")
-    vocabulary.write.mode("overwrite").parquet(f"{path}/vocabulary/segment={segment}")
+    # sorted by word: a prefix reads the files and row groups around it only
+    (vocabulary.repartitionByRange("token").sortWithinPartitions("token")
+     .write.mode("overwrite").parquet(f"{path}/vocabulary/segment={segment}"))
     lengths.write.mode("overwrite").parquet(f"{path}/lengths/segment={segment}")
 
 

@@ -327,8 +327,13 @@ def _occurrences(src, words: list[tuple[str, bool]], columns=None) -> DataFrame:
         t = src.postings
         if not any(is_prefix for _, is_prefix in words):
             # literals: folded by the optimizer into a filter on the bucket folders
-            t = t.filter(F.col("bucket").isin(*[term_bucket(F.lit(w), src.buckets) for w, _ in words]))
-        t = t.filter(_carries("term", words))
+            t = t.filter(F.col("bucket").isin(*[term_bucket(F.lit(w), src.buckets) for w, _ in words])).filter(_carries("term", words))
+        elif src.vocab is not None:
+            # the sorted vocabulary turns prefixes into terms, their buckets prune the folders at run time
+            terms = src.vocab.filter(_carries("token", words)).select("bucket", F.col("token").alias("term")).distinct()
+            t = t.join(terms, ["bucket", "term"])
+        else:
+            t = t.filter(_carries("term", words))
     elif isinstance(src, PostingsIndex):
         if src.vocab is None:
             raise ValueError("a stemmed PostingsIndex needs its vocabulary (build_vocabulary)")

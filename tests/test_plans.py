@@ -55,6 +55,18 @@ def test_index_lookup_prunes_and_pushes(spark, tmp_path):
     assert "EqualTo(term,and)" in p
 
 
+def test_prefixes_prune_by_the_sorted_vocabulary(spark, tmp_path):
+    from quarry.operators import page_index
+    path = str(tmp_path / "index")
+    page_index.append_pages(fx.text_pages(spark, SF001), path, 8)
+    idx = page_index.open_index(spark, path, stem=False)
+    p = plan(X._occurrences(idx, [("tha", True)]))
+    assert "dynamicpruning" in p and "StringStartsWith(token,tha)" in p
+    scan = X.PostingsIndex(idx.postings, 8, stem=False)  # without a vocabulary: every bucket is read
+    assert X._occurrences(idx, [("tha", True)]).exceptAll(X._occurrences(scan, [("tha", True)])).count() == 0
+    assert X._occurrences(idx, [("tha", True)]).count() == X._occurrences(scan, [("tha", True)]).count() > 0
+
+
 def test_vector_scan_is_not_shuffled(spark):
     p = plan(E.queries()["vector_topk"](spark, SF001))
     below = p[p.find("MapInPandas"):]
