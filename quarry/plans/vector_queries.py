@@ -180,6 +180,30 @@ def vector_index(spark, sf):
         F.bool_and(F.coalesce(F.abs(F.col("full") - F.col("exact")) < 1e-5, F.lit(False))).alias("exact_with_all_cells")))
 
 
+class LetterCounts:
+    """A model that counts two letters and all characters, and cannot read texts of some lengths."""
+
+    def __call__(self, texts):
+        if any(len(t) % 97 == 0 for t in texts):
+            raise ValueError("unreadable")
+        return [[t.count("a"), t.count("e"), len(t)] for t in texts]
+
+
+@register("embed_with_model", with_(TEXT_PAGES) + """
+SELECT doc_id, page_num, length(text) % 97 = 0 AS failed,
+       CASE WHEN length(text) % 97 <> 0 THEN length(text) - length(replace(text, 'a', '')) END AS a,
+       CASE WHEN length(text) % 97 <> 0 THEN length(text) - length(replace(text, 'e', '')) END AS e,
+       CASE WHEN length(text) % 97 <> 0 THEN length(text) END AS n
+FROM text_pages""")
+def embed_with_model(spark, sf):
+    """V4 with a model of the caller's: every page, with the rows that the model cannot read."""
+    from quarry.operators.embed import embed_with
+
+    out = embed_with(fx.text_pages(spark, sf), LetterCounts, "letter counts", max_rows=16)
+    number = lambda i: F.get("embedding", F.lit(i)).cast("int")
+    return out.select("doc_id", "page_num", F.col("error").isNotNull().alias("failed"), number(0).alias("a"), number(1).alias("e"), number(2).alias("n"))
+
+
 def _text_chunks(spark, sf):
     pages = fx.text_corpus_pages(spark, sf)
     return C.with_metadata(C.chunk_text(pages))
