@@ -41,20 +41,68 @@ def paginate(df: DataFrame, order: Sequence[Column | str], page: int = 1,
     return out.limit(limit)
 
 
-def page_after(df: DataFrame, key: Sequence[str], after: Sequence | None = None, limit: int = 20) -> DataFrame:
-    """The next ``limit`` rows in ascending order of the total order ``key`` after the
-    row whose key is ``after`` (None: from the start). A whole traversal by the
-    last key of each page keeps only ``limit`` rows per task, however deep."""
+Key = str | tuple[str, bool]  # a column, or a column and whether it ascends
+
+
+def _parts(key: Sequence[Key]) -> list[tuple[str, bool]]:
+    return [(k, True) if isinstance(k, str) else (k[0], k[1]) for k in key]
+
+
+def order_of(key: Sequence[Key]) -> list[Column]:
+    """The key as an order: nulls first where it ascends, last where it descends."""
+    return [F.col(name).asc() if up else F.col(name).desc() for name, up in _parts(key)]
+
+
+def page_after(df: DataFrame, key: Sequence[Key], after: Sequence | None = None, limit: int = 20) -> DataFrame:
+    """The next ``limit`` rows in the total order ``key`` after the row whose key is ``after``
+    (None: from the start). Columns may ascend or descend (``("created_at", False)``) and hold nulls. A whole
+    traversal by the last key of each page keeps only ``limit`` rows per task, however deep."""
     if after is not None:
-        beyond, equal = None, None
-        for name, value in zip(key, after, strict=True):
-            here = F.col(name) > F.lit(value)
-            here = here if equal is None else equal & here
-            beyond = here if beyond is None else beyond | here
-            same = F.col(name) == F.lit(value)
-            equal = same if equal is None else equal & same
+        beyond, equal = F.lit(False), F.lit(True)
+        for (name, up), value in zip(_parts(key), after, strict=True):
+            c = F.col(name)
+            if value is None:
+                here = c.isNotNull() if up else F.lit(False)
+            else:
+                here = c > F.lit(value) if up else (c < F.lit(value)) | c.isNull()
+            beyond = beyond | (equal & F.coalesce(here, F.lit(False)))
+            equal = equal & c.eqNullSafe(F.lit(value))
         df = df.filter(beyond)
-    return df.orderBy(*key).limit(limit)
+    return df.orderBy(*order_of(key)).limit(limit)
+
+
+def store_order(df: DataFrame, key: Sequence[Key], path: str, partitions: int | None = None) -> None:
+    """Write ``df`` in the total order ``key`` for numbered pages: dealt by range, sorted, every row with
+    its part and its place there, and the parts' sizes beside it."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = F.monotonically_increasing_id()
+    (df.repartitionByRange(n, *order_of(key)).sortWithinPartitions(*order_of(key)).withColumn("_at", at)
+     .withColumn("_part", F.shiftright("_at", 33)).withColumn("_place", F.col("_at") % F.lit(1 << 33)).drop("_at")
+     .write.mode("overwrite").partitionBy("_part").parquet(f"{path}/rows"))
+    df.limit(0).write.mode("overwrite").parquet(f"{path}/empty")  # the columns, where there are no rows
+    rows = df.sparkSession.read.schema("_part long").parquet(f"{path}/rows")
+    rows.groupBy("_part").agg(F.count("*").alias("n")).coalesce(1).write.mode("overwrite").parquet(f"{path}/sizes")
+
+
+def numbered_page(spark, path: str, page: int, limit: int) -> DataFrame:
+    """Page ``page`` (from 1) of a stored order, in order. The parts' sizes, one row each, tell which parts hold it; only
+    these are read, and of them only the page's rows are kept: however deep, nothing before it is sorted or gathered."""
+    if page < 1 or limit < 0:
+        raise ValueError("page counts from 1, limit must not be negative")
+    first, base, held = (page - 1) * limit, 0, []
+    for r in spark.read.parquet(f"{path}/sizes").orderBy("_part").collect():
+        low, high = max(0, first - base), min(r.n, first + limit - base)
+        if low < high:
+            held.append((r["_part"], low, high))
+        base += r.n
+    if not held:
+        return spark.read.parquet(f"{path}/empty")
+    rows = spark.read.parquet(f"{path}/rows")
+    wanted = F.lit(False)
+    for part, low, high in held:
+        wanted = wanted | ((F.col("_part") == part) & (F.col("_place") >= low) & (F.col("_place") < high))
+    return (rows.where(F.col("_part").isin([p for p, *_ in held])).where(wanted)
+            .orderBy("_part", "_place").drop("_part", "_place"))
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],

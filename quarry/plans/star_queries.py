@@ -42,6 +42,21 @@ def list_documents_corpus(spark, sf):
                             corpus="1-URGENT", page=2, limit=100)
 
 
+@register("documents_deep_page", _DOCS_PC + f"""
+SELECT {_DOC_COLS} FROM star_documents d JOIN star_page_count p ON p.ok = d.ok
+ORDER BY d.created_at DESC, d.id LIMIT 20 OFFSET 780""")
+def documents_deep_page(spark, sf):
+    """Q17: the fortieth page of a stored order, newest first: the parts that hold it are all that is read."""
+    import uuid
+
+    from quarry.functions.paging import numbered_page, store_order
+    from quarry.session import checkpoint_dir
+
+    path = f"{checkpoint_dir(spark).rstrip('/')}/document-order-{uuid.uuid4().hex}"
+    store_order(fx.star_documents(spark, sf, with_page_count=True), [("created_at", False), "id"], path)
+    return numbered_page(spark, path, 40, 20).select("id", "corpus", "filename", "page_count", "is_scanned", "created_at")
+
+
 @register("count_documents", with_(STAR_DOCUMENTS) + """
 SELECT count(*) AS total FROM star_documents""")
 def count_documents(spark, sf):

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from quarry.operators import search as X
@@ -99,6 +100,33 @@ def test_keyset_pages_cover_the_whole(spark):
     assert seen == df.orderBy("a", "b").collect()
 
 
+def test_keyset_pages_with_mixed_directions_and_nulls(spark):
+    from quarry.functions.paging import order_of, page_after
+    rows = [(None if i % 5 == 0 else i % 4, None if i % 7 == 0 else f"s{i % 6}", i) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string, c int")
+    key = [("a", False), "b", ("c", False)]
+    seen, after = [], None
+    while page := page_after(df, key, after, 7).collect():
+        seen += page
+        after = tuple(page[-1])
+    assert seen == df.orderBy(*order_of(key)).collect()
+
+
+def test_numbered_pages_read_their_own_parts(spark, tmp_path):
+    from quarry.functions.paging import numbered_page, store_order
+    df = spark.range(60_000).selectExpr("id % 1000 AS a", "id AS b")
+    store_order(df, [("a", False), "b"], str(tmp_path), partitions=20)
+    whole = df.orderBy(F.desc("a"), "b").limit(60_000).collect()
+    for page, limit in ((1, 6), (10_000, 6), (333, 100), (3, 25_000), (10_001, 6), (7, 0)):
+        assert numbered_page(spark, str(tmp_path), page, limit).collect() == whole[(page - 1) * limit:page * limit]
+    p = plan(numbered_page(spark, str(tmp_path), 10_000, 6))
+    assert re.search(r"PartitionFilters: \[.*_part", p)
+    read = spark.read.parquet(f"{tmp_path}/sizes").agg(F.max("n")).first()[0]
+    assert read < 0.15 * 60_000
+    store_order(df.limit(0), ["a"], str(tmp_path / "none"))
+    assert numbered_page(spark, str(tmp_path / "none"), 1, 5).count() == 0
+
+
 def test_no_local_folder_stands_in_for_the_shared_one():
     from types import SimpleNamespace
 
