@@ -22,18 +22,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.scratch import materialize
 from quarry.operators.search import (
     PostingsIndex,
     build_postings,
     build_vocabulary,
-    index_pages,
     page_lengths,
+    posting_rows,
+    write_posting_lists,
     write_postings,
 )
 
 COMMITS = "pages long, buckets int, replaces array<string>"
-POSTINGS = "term string, doc_id string, page_num int, col string, pos int, bucket int"
+POSTINGS = "term string, doc_id array<string>, page_num array<int>, col string, pos array<int>, bucket int"  # lists over pages
 VOCABULARY = "token string, bucket int, stem string"
 LENGTHS = "doc_id string, page_num int, n_tokens int"
 
@@ -68,10 +68,17 @@ def _commit(spark: SparkSession, path: str, segment: str, pages: int, buckets: i
      .write.mode("overwrite").parquet(f"{path}/commits/segment={segment}"))
 
 
-def _write(path: str, segment: str, postings: DataFrame, vocabulary: DataFrame, lengths: DataFrame) -> None:
-    write_postings(postings, f"{path}/postings/segment={segment}")
+def _write(path: str, segment: str, postings: DataFrame, vocabulary: DataFrame | None, lengths: DataFrame) -> None:
+    """The tables of a segment: new ones of a load, whose vocabulary is taken from the written postings, or
+    merged ones with their vocabulary."""
+    if vocabulary is not None:
+        write_postings(postings, f"{path}/postings/segment={segment}", order=())  # many runs become one
+        vocabulary = vocabulary.repartitionByRange("token")
+    else:
+        write_posting_lists(postings, f"{path}/postings/segment={segment}")
+        vocabulary = build_vocabulary(postings.sparkSession.read.schema(POSTINGS).parquet(f"{path}/postings/segment={segment}"))
     # sorted by word: a prefix reads the files and row groups around it only
-    (vocabulary.repartitionByRange("token").sortWithinPartitions("token")
+    (vocabulary.sortWithinPartitions("token")
      .write.mode("overwrite").parquet(f"{path}/vocabulary/segment={segment}"))
     lengths.write.mode("overwrite").parquet(f"{path}/lengths/segment={segment}")
 
@@ -90,9 +97,8 @@ def append_pages(pages: DataFrame, path: str, buckets: int, segment: str | None
     others = {r.buckets for r in known.values()} - {buckets}
     if others:
         raise ValueError(f"the index has {min(others)} buckets, not {buckets}")
-    rows = materialize(build_postings(pages, buckets), "postings")
-    _write(path, segment, rows, build_vocabulary(rows), page_lengths(pages))
-    _commit(spark, path, segment, index_pages(pages).count(), buckets, [])
+    _write(path, segment, build_postings(pages, buckets, lists="pages"), None, page_lengths(pages))
+    _commit(spark, path, segment, spark.read.schema(LENGTHS).parquet(f"{path}/lengths/segment={segment}").count(), buckets, [])
     return True
 
 
@@ -112,8 +118,8 @@ def open_index(spark: SparkSession, path: str, stem: bool = True) -> PostingsInd
     """The committed pages, ready to be searched. A word may stand in the vocabulary of several segments."""
     known, segments = commits(spark, path), _filled(spark, path)
     buckets = next((r.buckets for r in known.values()), 1)
-    return PostingsIndex(_read(spark, path, "postings", segments, POSTINGS), buckets, stem,
-                         _read(spark, path, "vocabulary", segments, VOCABULARY))
+    lists = _read(spark, path, "postings", segments, POSTINGS)
+    return PostingsIndex(posting_rows(lists), buckets, stem, _read(spark, path, "vocabulary", segments, VOCABULARY), lists)
 
 
 def read_lengths(spark: SparkSession, path: str) -> DataFrame:

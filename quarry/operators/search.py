@@ -32,12 +32,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from quarry import schemas as S
+from quarry.functions import postings
 from quarry.functions.paging import paginate
 from quarry.functions.porter import stem as _stem
 from quarry.functions.scratch import materialize
@@ -53,7 +55,8 @@ PAGE_KEY = ["doc_id", "page_num"]
 
 def fts_tokens(c: Column) -> Column:
     """Array of tokens of one column value."""
-    return F.filter(F.split(ascii_lower(c), TOKEN_SEPARATORS), lambda x: x != "")
+    ascii_only = F.octet_length(c) == F.char_length(c)  # most texts; folding them needs no table
+    return F.array_remove(F.split(F.when(ascii_only, F.lower(c)).otherwise(ascii_lower(c)), TOKEN_SEPARATORS), "")
 
 
 def fold_query_token(t: str, stem: bool) -> str:
@@ -68,6 +71,12 @@ def _query_tokens(text: str) -> list[str]:
     return [t for t in re.split(r"[\x00-/:-@\[-`{-\x7f]+", folded) if t]
 
 
+@F.arrow_udf(T.IntegerType())
+def count_tokens_udf(s: pa.Array) -> pa.Array:
+    """X1 in numbers: the tokens of each text."""
+    return postings.count_tokens(s)
+
+
 @F.pandas_udf(T.StringType())
 def stem_udf(s: pd.Series) -> pd.Series:
     """Porter stem of each distinct term (Arrow batches)."""
@@ -87,17 +96,28 @@ def page_tokens(pages: DataFrame, columns: Sequence[str] = FTS_COLUMNS) -> DataF
     return x.select(*PAGE_KEY, "col", F.posexplode("toks").alias("pos", "token"))
 
 
+def token_counts(pages: DataFrame, columns: Sequence[str] = FTS_COLUMNS) -> DataFrame:
+    """X1 in numbers: (doc_id, page_num, col, n_tokens, n_distinct) of every page row's columns that have
+    tokens, counted in the row."""
+    arr = F.array(*[F.struct(F.lit(c).alias("col"), fts_tokens(F.col(c).cast("string")).alias("toks")) for c in columns])
+    counted = F.transform(arr, lambda c: F.struct(c["col"].alias("col"), F.size(c["toks"]).alias("n_tokens"),
+                                                  F.size(F.array_distinct(c["toks"])).alias("n_distinct")))
+    return pages.select(*PAGE_KEY, F.explode(counted).alias("c")).select(*PAGE_KEY, "c.*").where("n_tokens > 0")
+
+
 def stem_vocabulary(tokens: DataFrame) -> DataFrame:
     """(token, term) for the distinct tokens. The distinct runs map-side
-    first, so the Python step sees each word once. The vocabulary is small
-    next to the occurrences, and AQE would coalesce it into a few tasks:
-    it is re-spread over all cores (by token) before the Python stage."""
+    first, so the Python step sees each word once."""
+    return tokens.select("token").distinct().repartition(_cores(tokens), "token").withColumn("term", stem_udf("token"))
+
+
+def _cores(df: DataFrame) -> int:
+    """Tasks for a vocabulary's Python stage: it is small next to the occurrences, and AQE would
+    coalesce it into a few tasks."""
     try:
-        n = tokens.sparkSession.sparkContext.defaultParallelism
+        return df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # remote session: fall back to the shuffle width
-        n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return (tokens.select("token").distinct().repartition(n, "token")
-            .withColumn("term", stem_udf("token")))
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 _STEM_CACHE: dict = {}
@@ -140,33 +160,78 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
-def build_postings(pages: DataFrame, buckets: int = 64) -> DataFrame:
+def build_postings(pages: DataFrame, buckets: int = 64, lists: str | None = None) -> DataFrame:
     """Postings (bucket, term, doc_id, page_num, col, pos) of the folded
     tokens. Stemming is not applied per occurrence: a stemmed index pairs the
     postings with :func:`build_vocabulary` (the distinct tokens and their
-    stems), so the Python stemmer runs once per distinct word."""
-    t = page_tokens(index_pages(pages)).withColumnRenamed("token", "term")
-    return t.select(term_bucket(F.col("term"), buckets).alias("bucket"), "term",
-                    *PAGE_KEY, "col", "pos")
+    stems), so the Python stemmer runs once per distinct word.
+
+    ``lists="page"`` gives a row for every term of a page column, ``pos`` the list of
+    its places there; ``lists="pages"`` a row for every term of some thousand pages, with
+    equally long lists in ``doc_id``, ``page_num`` and ``pos`` (:func:`posting_rows` unfolds them)."""
+    if lists is None:
+        return posting_rows(build_postings(pages, buckets, "pages"))
+    p = index_pages(pages).select(*PAGE_KEY, *[F.col(c).cast("string").alias(f"_v_{c}") for c in FTS_COLUMNS])
+    kinds = [p.schema[k].dataType for k in PAGE_KEY]
+    keys = kinds if lists == "page" else [T.ArrayType(t) for t in kinds]
+    schema = T.StructType([T.StructField("term", T.StringType()), T.StructField("col", T.StringType()),
+                           *[T.StructField(k, t) for k, t in zip(PAGE_KEY, keys, strict=True)],
+                           T.StructField("pos", T.ArrayType(T.IntegerType()))])
+    t = p.mapInArrow(postings.of_pages(PAGE_KEY, FTS_COLUMNS, lists == "page"), schema)
+    return t.select(term_bucket(F.col("term"), buckets).alias("bucket"), "term", *PAGE_KEY, "col", "pos")
+
+
+def posting_rows(lists: DataFrame) -> DataFrame:
+    """One row per occurrence from postings in lists over pages, with the lists' further columns. Conditions
+    on bucket, term and col are applied to the lists' rows, before they are unfolded."""
+    more = [c for c in lists.columns if c not in ("bucket", "term", *PAGE_KEY, "col", "pos")]
+    return (lists.select("bucket", "term", "col", *more, F.explode(F.arrays_zip(*PAGE_KEY, "pos")).alias("o"))
+            .select("bucket", "term", *[F.col(f"o.{k}").alias(k) for k in PAGE_KEY], "col", F.col("o.pos").alias("pos"), *more))
+
+
+def repeated_keys(pages: DataFrame) -> DataFrame:
+    """The page keys (nulls are equal) that several rows share, usually none; written, so that the joins
+    with it know its size."""
+    n = pages.groupBy(*PAGE_KEY).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    return materialize(n.select(*[F.col(k).alias(f"_{k}") for k in PAGE_KEY]), "repeated-keys")
+
+
+def by_repetition(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pages whose key no other row has, and the rest. What is counted per page needs no grouping for
+    the first, so only the others' tokens are dealt out and gathered."""
+    twice = repeated_keys(pages)
+    same = F.lit(True)
+    for k in PAGE_KEY:
+        same = same & pages[k].eqNullSafe(twice[f"_{k}"])
+    return pages.join(twice, same, "left_anti"), pages.join(twice, same, "left_semi")
 
 
 def build_vocabulary(postings: DataFrame) -> DataFrame:
     """X3 for an index: (bucket, token, stem) of every distinct token of the
     postings."""
-    stems = stem_vocabulary(postings.select(F.col("term").alias("token"))).withColumnRenamed("term", "stem")
-    return postings.select("bucket", F.col("term").alias("token")).distinct().join(stems, "token")
+    tokens = postings.select(F.col("term").alias("token"), "bucket").distinct()
+    # by ranges, as it is written: dealt out once, and each word is stemmed once
+    return tokens.repartitionByRange(_cores(tokens), "token").withColumn("stem", stem_udf("token"))
+
 
+def write_posting_lists(lists: DataFrame, path: str) -> None:
+    """Persist postings in lists, not shuffled: a row already holds what a term has in some thousand pages, so
+    every task writes a run of its own into each bucket's folder, sorted by term. A lookup reads the term's rows of
+    every run; how many runs there are follows from the bytes of the input's splits."""
+    lists.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
-def write_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> None:
+
+def write_postings(postings: DataFrame, path: str, mode: str = "overwrite", order: Sequence[str] = (*PAGE_KEY, "col", "pos")) -> None:
     """Persist the index: one folder per term bucket, rows sorted by term.
 
     The shuffle is a ``rebalance`` on (bucket, term): AQE splits a partition
     that a very frequent term makes skewed (a stop word can be several percent
     of all occurrences) over several writer tasks and merges small ones, so
     no task writes a hot term alone. Within every file rows are sorted by
-    term, so row-group min/max statistics skip most of a bucket folder."""
+    term, so row-group min/max statistics skip most of a bucket folder. Postings in lists
+    have no order of pages below that (``order=()``)."""
     (postings.hint("rebalance", "bucket", "term")
-     .sortWithinPartitions("bucket", "term", *PAGE_KEY, "col", "pos")
+     .sortWithinPartitions("bucket", "term", *order)
      .write.mode(mode).partitionBy("bucket").parquet(path))
 
 
@@ -177,11 +242,20 @@ def write_postings(postings: DataFrame, path: str, mode: str = "overwrite") -> N
 @dataclass
 class PostingsIndex:
     """A written index: postings of folded tokens and, for stemmed search, the
-    (bucket, token, stem) vocabulary built with it."""
+    (bucket, token, stem) vocabulary built with it. ``lists`` is the table that ``postings``
+    unfolds, where it is written in lists."""
     postings: DataFrame
     buckets: int
     stem: bool = True
     vocab: DataFrame | None = None
+    lists: DataFrame | None = None
+
+    def of_terms(self, terms: DataFrame) -> DataFrame:
+        """The postings of the (bucket, term) rows of ``terms``, with its further columns; lists are
+        unfolded after the join."""
+        if self.lists is not None:
+            return posting_rows(self.lists.join(terms, ["bucket", "term"]))
+        return self.postings.join(terms, ["bucket", "term"])
 
 
 @dataclass
@@ -331,15 +405,16 @@ def _occurrences(src, words: list[tuple[str, bool]], columns=None) -> DataFrame:
         elif src.vocab is not None:
             # the sorted vocabulary turns prefixes into terms, their buckets prune the folders at run time
             terms = src.vocab.filter(_carries("token", words)).select("bucket", F.col("token").alias("term")).distinct()
-            t = t.join(terms, ["bucket", "term"])
+            t = src.of_terms(terms)
         else:
             t = t.filter(_carries("term", words))
     elif isinstance(src, PostingsIndex):
         if src.vocab is None:
             raise ValueError("a stemmed PostingsIndex needs its vocabulary (build_vocabulary)")
         # a word may stand in the vocabulary of several index segments
-        forms = src.vocab.filter(_carries("stem", words)).select("bucket", F.col("token").alias("term"), "stem").distinct()
-        t = src.postings.join(forms, ["bucket", "term"]).drop("term").withColumnRenamed("stem", "term")
+        # written: their size is known to be small before the postings are read, so these are pruned and not shuffled
+        forms = materialize(src.vocab.filter(_carries("stem", words)).select("bucket", F.col("token").alias("term"), "stem").distinct(), "forms")
+        t = src.of_terms(forms).drop("term").withColumnRenamed("stem", "term")
     else:
         toks = page_tokens(_candidate_pages(src, [w for w, _ in words]))
         if src.stem:
@@ -486,13 +561,10 @@ BM25_MIN_IDF = 1e-6
 
 def page_lengths(pages: DataFrame) -> DataFrame:
     """Tokens per index row over all indexed columns (``doc_id``, ``page_num``,
-    ``n_tokens``): array sizes of a narrow projection, no explode. Build it
+    ``n_tokens``; null where a column is): counted in Arrow batches, no explode. Build it
     with the postings and keep it next to them."""
-    n = None
-    for c in FTS_COLUMNS:
-        s = F.size(fts_tokens(F.col(c).cast("string")))
-        n = s if n is None else n + s
-    return index_pages(pages).select(*PAGE_KEY, n.alias("n_tokens"))
+    whole = F.concat(*[x for c in FTS_COLUMNS for x in (F.lit(" "), F.col(c).cast("string"))])
+    return index_pages(pages).select(*PAGE_KEY, count_tokens_udf(whole).alias("n_tokens"))
 
 
 def _phrases(e: Expr, columns=None) -> list[tuple[Expr, object]]:

@@ -94,10 +94,11 @@ SELECT doc_id, page_num, col, CAST(count(*) AS INTEGER) AS n_tokens,
 FROM occ GROUP BY doc_id, page_num, col""")
 def tokenize_ascii(spark, sf):
     """Token and distinct-token counts per page column."""
-    t = X.page_tokens(X.index_pages(fx.text_pages(spark, sf)))
-    return t.groupBy("doc_id", "page_num", "col").agg(
+    once, twice = X.by_repetition(X.index_pages(fx.text_pages(spark, sf)))
+    grouped = X.page_tokens(twice).groupBy("doc_id", "page_num", "col").agg(
         F.count(F.lit(1)).cast("int").alias("n_tokens"),
         F.countDistinct("token").cast("int").alias("n_distinct"))
+    return X.token_counts(once).unionByName(grouped)
 
 
 @register("build_postings", _HEAD + """
@@ -105,9 +106,12 @@ SELECT term, doc_id, page_num, col, string_agg(CAST(pos AS VARCHAR), ',' ORDER B
 FROM occ GROUP BY term, doc_id, page_num, col""")
 def build_postings(spark, sf):
     """X2 without stemming; positions of one (term, page, column) as text."""
-    p = X.build_postings(fx.text_pages(spark, sf), buckets=16)
-    return (p.groupBy("term", "doc_id", "page_num", "col")
-            .agg(F.array_join(F.array_sort(F.collect_list("pos")), ",").alias("positions")))
+    once, twice = X.by_repetition(X.index_pages(fx.text_pages(spark, sf)))
+    p = X.build_postings(once, buckets=16, lists="page")
+    grouped = (X.build_postings(twice, buckets=16).groupBy("term", "doc_id", "page_num", "col")
+               .agg(F.array_sort(F.collect_list("pos")).alias("pos")))
+    return (p.select("term", "doc_id", "page_num", "col", "pos").unionByName(grouped)
+            .select("term", "doc_id", "page_num", "col", F.array_join("pos", ",").alias("positions")))
 
 
 _STEMS = """,
