@@ -19,6 +19,7 @@ NOT (its left side must match). Groups are one page's occurrences of the queries
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ from quarry.operators.search import (
 )
 
 AND, OR, NOT = -1, -2, -3
+VOTES = 1_000_000  # rows of one task
 WORDS = ("query_id string, leaf int, member int, place int, size int, word string, is_prefix boolean, cols array<string>, "
          "initial boolean, members int, reach int")
 PROGRAMS = "query_id string, corpus string, program array<int>"
@@ -146,12 +148,18 @@ def match_batch(index: PostingsIndex, queries: Iterable[tuple]) -> DataFrame:
     words, programs, prefix_lengths, widest = compile_queries(spark, queries, index.stem)
     terms = materialize(_terms(index, words.select("word", "is_prefix").distinct(), prefix_lengths), "batch-terms")
     buckets = [r.bucket for r in terms.select("bucket").distinct().collect()]  # at most the index's buckets
-    found = (index.postings.where(F.col("bucket").isin(buckets)).join(terms, ["bucket", "term"])
+    pruned = F.col("bucket").isin(buckets)
+    lists = None if index.lists is None else index.lists.where(pruned)
+    found = (replace(index, postings=index.postings.where(pruned), lists=lists).of_terms(terms)
              .select(*PAGE_KEY, "col", "pos", "word", "is_prefix"))
     leaf_of = ["query_id", "leaf", "member", "size", "members", "reach"]
     votes = materialize(found.join(words, ["word", "is_prefix"]).where("array_contains(cols, col)")
                         .select(*PAGE_KEY, "col", (F.col("pos") - F.col("place")).alias("start"), "initial", *leaf_of)
                         .where("NOT initial OR start = 0"), "batch-votes")
+    # Votes are small once written, but nearly all differ: counted where they are read, one task's table of them
+    # would grow with the input. A page's votes go to one task first, about VOTES of them to each.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    votes = votes.repartition(max(width, votes.count() // VOTES), *PAGE_KEY)
     several = (votes.where("size > 1").groupBy(*PAGE_KEY, "col", "start", *leaf_of).agg(F.count("*").alias("votes"))
                .where("votes = size").drop("votes"))
     instances = votes.where("size = 1").drop("initial").unionByName(several)
