@@ -229,7 +229,8 @@ def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame
 
     Loaded files are skipped before their pages are read. The mentions of the
     run are extracted once, into the shared scratch folder, and so are its
-    fresh files and its page records; every output is derived from these three.
+    fresh files and its pages; every output is derived from these three. Where
+    there are shapes, the page records with them are written in place of the pages.
     """
     from quarry.functions.scratch import materialize
     from quarry.operators.mentions import extract_mentions
@@ -241,6 +242,8 @@ def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame
     fresh = materialize(first_per_filename(text_based), "run-files")
     new_docs = upsert_documents(fresh, None, run_time, dedupe=False)         # D4
     new_pages = pages.join(fresh.select("doc_id"), "doc_id", "left_semi")
+    if shapes is None:
+        new_pages = materialize(new_pages, "run-pages")  # the texts meet the files once
     mentions = materialize(extract(new_pages), "run-mentions")               # M1-M4
     new_entities = upsert_entities(mentions, loaded_entities, run_time)      # D2
     new_mentions = load_mentions(mentions, run_time)                         # D3
@@ -250,7 +253,9 @@ def ingest_batch(files: DataFrame, pages: DataFrame, loaded_documents: DataFrame
     candidates = text_based.unionByName(known).withColumn("readable", F.lit(True))
     status = ingest_status(candidates, loaded_documents, first_pages(new_pages), counts)  # D5
     releases = run_release(status, files.select("corpus"), run_time, mentions)  # D6
-    records = materialize(page_records(new_pages, shapes), "run-pages")       # raw documents, page index, redactions
+    records = page_records(new_pages, shapes)                                # raw documents, page index, redactions
+    if shapes is not None:
+        records = materialize(records, "run-records")
     redactions = (records.where("redaction_count > 0")
                   .select(F.xxhash64("doc_id", "page_num").alias("id"), "doc_id", "page_num", "redaction_count",
                           F.col("estimated_chars_redacted").alias("estimated_chars")))

@@ -109,6 +109,7 @@ def document_totals(page_rows: DataFrame) -> DataFrame:
         F.coalesce(F.sum("redaction_count"), F.lit(0)).cast("long").alias("total_redactions"))
 
 
+NO_BLOCK = -1 << 31  # of a page without a number, in joins
 RAW_BLOCK_PAGES = 256  # part of the raw-document schema: pages of a record at most
 
 
@@ -120,17 +121,23 @@ def nest_pages(pages: DataFrame, docs: DataFrame, block_pages: int = RAW_BLOCK_P
     A document's pages are cut into blocks of at most ``block_pages`` pages
     (one record per block, ``block`` from 0), so no record -- and no group
     collected by one task -- grows with the size of a document; an ordinary
-    document is a single record. ``page_count`` is the document's total."""
-    block = F.floor((F.col("page_num") - 1) / block_pages).cast("int")
-    per = pages.groupBy("doc_id", block.alias("block")).agg(F.array_sort(F.collect_list(F.struct(
+    document is a single record. ``page_count`` is the document's total.
+
+    The texts are shuffled once: the document's attributes meet a record by its
+    document and block, as the record's pages did."""
+    block = F.coalesce(F.floor((F.col("page_num") - 1) / block_pages).cast("int"), F.lit(NO_BLOCK)).alias("_block")
+    per = pages.groupBy("doc_id", block).agg(F.array_sort(F.collect_list(F.struct(
         F.col("page_num").cast("int").alias("page_num"), "text",
         F.col("redaction_count").cast("int").alias("redaction_count"),
         F.col("estimated_chars_redacted").cast("int").alias("estimated_chars_redacted"),
         F.col("word_count").cast("int").alias("word_count")))).alias("pages"))
-    counts = pages.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("page_count"))
+    sizes = pages.groupBy("doc_id", block).agg(F.count(F.lit(1)).alias("n"))
+    counts = sizes.groupBy("doc_id").agg(F.sum("n").cast("int").alias("page_count"))
     d = docs.select(F.col("id").alias("doc_id"), "corpus", "filename", "file_path")
-    return (d.join(counts, "doc_id").join(per, "doc_id")
-            .select("doc_id", "corpus", "filename", "file_path", "page_count", "block", "pages"))
+    records = d.join(counts, "doc_id").join(sizes.select("doc_id", "_block"), "doc_id")
+    return (records.join(per, ["doc_id", "_block"])
+            .select("doc_id", "corpus", "filename", "file_path", "page_count",
+                    F.nullif("_block", F.lit(NO_BLOCK)).alias("block"), "pages"))
 
 
 def page_digest(page_num, text):

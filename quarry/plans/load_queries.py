@@ -343,9 +343,10 @@ def _two_waves(spark, sf, index_buckets=None):
     root = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
     files = fx.text_documents(spark, sf).select(F.col("id").alias("doc_id"), "corpus", "filename",
                                                 "file_path")
-    raw = raw_input_from_pages(fx.text_pages(spark, sf), files)
+    pages = fx.text_pages(spark, sf)
     lab = fx.table(spark, sf, "labels").select(F.col("doc_id").cast("string").alias("doc_id"))
-    for wave, rows in enumerate((raw.join(lab, "doc_id", "left_semi"), raw), 1):  # then everything again: repeats + new
+    for wave, some in enumerate((pages.join(lab, "doc_id", "left_semi"), pages), 1):  # then everything again: repeats + new
+        rows = raw_input_from_pages(some, files)
         rows.write.parquet(f"{root}/src/wave={wave}")
         run(spark, f"{root}/src", f"{root}/store", checkpoint=f"{root}/ckpt", index_buckets=index_buckets).awaitTermination()
     return f"{root}/store"

@@ -12,9 +12,9 @@ holds no state beyond the source's log of processed input files.
 Every output table is written under ``batch_id=N``. A re-executed batch
 overwrites only its own partition and reads "already loaded" from batches
 ``< N``, so retries after a lost executor or driver neither duplicate nor
-lose rows. A batch is read once: its rows are stored in the shared scratch folder,
-repeated documents are settled by ids and digests alone, and all outputs derive from what is
-stored. With ``index_buckets`` the batch's pages also become a segment of the page
+lose rows. A batch is read from its files; where documents come twice in it, its rows are stored
+in the shared scratch folder, repeats are settled by ids and digests alone, and what is left is stored
+for all outputs. With ``index_buckets`` the batch's pages also become a segment of the page
 index under the store, committed with the batch's name, so a search finds what was just loaded.
 """
 
@@ -76,8 +76,7 @@ def _schemas(spark: SparkSession) -> dict[str, T.StructType]:
 
 
 def _run_batch(spark, batch: DataFrame, loaded_docs, loaded_entities, run_time, extract=None, shapes=None):
-    stored = materialize(batch.withColumn("_row", F.monotonically_increasing_id()), "batch")
-    batch = one_per_document(stored)
+    batch = each_document_once(batch)
     files = batch.select("doc_id", "corpus", "filename", "file_path",
                          F.size("pages").cast("int").alias("page_count"))
     pages = batch.select("doc_id", F.explode("pages").alias("p")).select(
@@ -90,6 +89,15 @@ def _run_batch(spark, batch: DataFrame, loaded_docs, loaded_entities, run_time,
     return ingest_batch(files, pages, loaded_docs, loaded_entities, run_time, extract, shapes)
 
 
+def each_document_once(batch: DataFrame) -> DataFrame:
+    """The batch, ready to be read by every output without a join. Its files are fixed, so a batch in which
+    no document comes twice (the ids alone tell) is read from them; only another one is written."""
+    several = batch.groupBy("doc_id").agg(F.count("*").alias("copies")).where("copies > 1")
+    if several.isEmpty():
+        return batch
+    return one_per_document(materialize(batch.withColumn("_row", F.monotonically_increasing_id()), "batch"))
+
+
 def one_per_document(stored: DataFrame) -> DataFrame:
     """A document dropped more than once in a batch counts once: the copy with the longer first page, of
     equal ones the one with the greater digest, so that a batch that is executed again chooses alike.
@@ -101,7 +109,7 @@ def one_per_document(stored: DataFrame) -> DataFrame:
     several = keys.groupBy("doc_id").agg(F.max("key").alias("best"), F.count("*").alias("copies")).where("copies > 1")
     gone = (keys.join(several.select(F.col("doc_id").alias("twice"), "best"), F.col("doc_id").eqNullSafe(F.col("twice")))
             .where("_row <> -best.row").select("_row"))
-    return stored.join(gone, "_row", "left_anti").drop("_row")
+    return materialize(stored.join(materialize(gone, "repeats"), "_row", "left_anti").drop("_row"), "batch-once")
 
 
 def stream_ingest(spark: SparkSession, source: str, store: str, name: str = "ingest",
