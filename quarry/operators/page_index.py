@@ -68,14 +68,14 @@ def _commit(spark: SparkSession, path: str, segment: str, pages: int, buckets: i
      .write.mode("overwrite").parquet(f"{path}/commits/segment={segment}"))
 
 
-def _write(path: str, segment: str, postings: DataFrame, vocabulary: DataFrame | None, lengths: DataFrame) -> None:
+def _write(path: str, segment: str, buckets: int, postings: DataFrame, vocabulary: DataFrame | None, lengths: DataFrame) -> None:
     """The tables of a segment: new ones of a load, whose vocabulary is taken from the written postings, or
     merged ones with their vocabulary."""
     if vocabulary is not None:
         write_postings(postings, f"{path}/postings/segment={segment}", order=())  # many runs become one
         vocabulary = vocabulary.repartitionByRange("token")
     else:
-        write_posting_lists(postings, f"{path}/postings/segment={segment}")
+        write_posting_lists(postings, f"{path}/postings/segment={segment}", buckets)
         vocabulary = build_vocabulary(postings.sparkSession.read.schema(POSTINGS).parquet(f"{path}/postings/segment={segment}"))
     # sorted by word: a prefix reads the files and row groups around it only
     (vocabulary.sortWithinPartitions("token")
@@ -97,7 +97,7 @@ def append_pages(pages: DataFrame, path: str, buckets: int, segment: str | None
     others = {r.buckets for r in known.values()} - {buckets}
     if others:
         raise ValueError(f"the index has {min(others)} buckets, not {buckets}")
-    _write(path, segment, build_postings(pages, buckets, lists="pages"), None, page_lengths(pages))
+    _write(path, segment, buckets, build_postings(pages, buckets, lists="pages"), None, page_lengths(pages))
     _commit(spark, path, segment, spark.read.schema(LENGTHS).parquet(f"{path}/lengths/segment={segment}").count(), buckets, [])
     return True
 
@@ -139,7 +139,7 @@ def compact(spark: SparkSession, path: str, segments: Sequence[str] | None = Non
         return None
     name = "c-" + hashlib.sha256("\n".join(merged).encode()).hexdigest()[:16]
     filled = [s for s in merged if known[s].pages]
-    _write(path, name, _read(spark, path, "postings", filled, POSTINGS),
+    _write(path, name, known[merged[0]].buckets, _read(spark, path, "postings", filled, POSTINGS),
            _read(spark, path, "vocabulary", filled, VOCABULARY).distinct(), _read(spark, path, "lengths", filled, LENGTHS))
     _commit(spark, path, name, sum(known[s].pages for s in merged), known[merged[0]].buckets, merged)
     return name

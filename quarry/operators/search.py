@@ -214,10 +214,16 @@ def build_vocabulary(postings: DataFrame) -> DataFrame:
     return tokens.repartitionByRange(_cores(tokens), "token").withColumn("stem", stem_udf("token"))
 
 
-def write_posting_lists(lists: DataFrame, path: str) -> None:
+RUN_BUCKETS = 64  # buckets up to which every task writes into each
+
+
+def write_posting_lists(lists: DataFrame, path: str, buckets: int) -> None:
     """Persist postings in lists, not shuffled: a row already holds what a term has in some thousand pages, so
     every task writes a run of its own into each bucket's folder, sorted by term. A lookup reads the term's rows of
-    every run; how many runs there are follows from the bytes of the input's splits."""
+    every run; how many runs there are follows from the bytes of the input's splits. Into more than RUN_BUCKETS
+    folders the runs would be many small files: there the rows are dealt out as by :func:`write_postings`."""
+    if buckets > RUN_BUCKETS:
+        return write_postings(lists, path, order=())
     lists.sortWithinPartitions("bucket", "term").write.mode("overwrite").partitionBy("bucket").parquet(path)
 
 

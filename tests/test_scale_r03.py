@@ -159,3 +159,12 @@ def test_nested_pages_are_shuffled_once(spark):
     assert got == [("1", -1, 4, "1.pdf", ["tNone"]), ("1", 0, 4, "1.pdf", ["t1", "t2"]), ("1", 1, 4, "1.pdf", ["t3"]), *[("2", 0, 1, "2.pdf", ["u"])] * 2]
     assert not re.search(r"Exchange hashpartitioning\(doc_id[^\n]*\n[^\n]*(Project[^\n]*\n[^\n]*|Filter[^\n]*\n[^\n]*)*ObjectHashAggregate\(keys=\[doc_id[^\n]*functions=\[collect_list", plan)
     assert plan.count("collect_list") - plan.count("partial_collect_list") >= 1 and "SortMergeJoin [doc_id" in plan
+
+
+def test_an_index_of_many_buckets_is_not_many_small_files(spark, pages, tmp_path):
+    import pathlib
+    page_index.append_pages(pages.repartition(4), str(tmp_path / "index"), 100)
+    files = collections.Counter(f.parent.name for f in pathlib.Path(tmp_path / "index/postings/segment=segment").parent.rglob("*.parquet"))
+    assert max(files.values()) == 1
+    index = page_index.open_index(spark, str(tmp_path / "index"), stem=False)
+    assert X._occurrences(index, [("the", False)]).count() == sum(t == "the" for t, *_ in _occurrences(ROWS))
