@@ -117,3 +117,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+def hash_words(some: list[bytes]) -> np.ndarray:
+    """The hashes of words given by themselves, as they are."""
+    return words(pa.array([w.decode() for w in some], pa.string()), byte_table(bytes(range(256))), fold=False).hashes
